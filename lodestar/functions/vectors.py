@@ -83,23 +83,27 @@ def nearest_const(
 ) -> Column:
     """``struct(d2, cid)`` of the nearest constant centre.
 
-    Ties go to the lowest id: ``least`` over ``(d2, cid)`` structs orders by
-    distance, then id, the strict ``<`` scan of the reference. ``eligible``
-    (one boolean Column per centre) masks centres out; a row with no eligible
-    centre gets null.
+    ``d2`` is a ``least`` over the per-centre squared distances (plain
+    doubles, cheaper than comparing structs); ``cid`` is the first centre whose
+    distance equals it, so ties go to the lowest position, the strict ``<``
+    scan of the reference. Subexpression elimination computes each distance
+    once. ``eligible`` (one boolean Column per centre) masks centres out; a
+    row with no eligible centre gets a null ``d2`` and ``cid``.
     """
     ids = list(range(len(centers))) if ids is None else list(ids)
-    cands = []
-    for k, (cid, c) in enumerate(zip(ids, centers)):
-        s = F.struct(sq_dist_const(features, c).alias("d2"), F.lit(int(cid)).alias("cid"))
+    ds = []
+    for k, c in enumerate(centers):
+        d = sq_dist_const(features, c)
         if eligible is not None:
-            s = F.when(eligible[k], s)
-        cands.append(s)
-    if not cands:
+            d = F.when(eligible[k], d)
+        ds.append(d)
+    if not ds:
         return F.lit(None).cast("struct<d2:double,cid:int>")
-    if len(cands) == 1:
-        return cands[0]
-    return F.least(*cands)
+    m = ds[0] if len(ds) == 1 else F.least(*ds)
+    cid = F.when(ds[0] == m, F.lit(int(ids[0])))
+    for k in range(1, len(ds)):
+        cid = cid.when(ds[k] == m, F.lit(int(ids[k])))
+    return F.struct(m.alias("d2"), cid.alias("cid"))
 
 
 def vector_from_columns(cols: Sequence[str | Column]) -> Column:

@@ -4,7 +4,11 @@ Two forms compute the same thing:
 
 * ``expr``: an unrolled Column expression (K x D literal terms) inside
   whole-stage codegen, followed by Spark's own partial + final hash
-  aggregation on ``cid``. Best while the expression stays small.
+  aggregation on ``cid``. Best while the expression stays small: new centre
+  values mean a new generated class each round, and a 512-term expression
+  measured ~20x slower than ``arrow`` (8-10 s vs 0.4-0.6 s per round on
+  2,000 x 64 embeddings, K=8), while at 32 terms it is the faster form
+  (~0.6 s vs ~1 s per round on 600,000 lineitem rows).
 * ``arrow``: ``mapInArrow`` over Arrow batches with NumPy: each task reads the
   flat feature buffer zero-copy, assigns points in row chunks and emits only
   its partial sums in long form ``(cid, dim, value)``; Spark then sums the
@@ -24,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 
 # Unrolled Column expressions up to this many (centre x dimension) terms.
-EXPR_MAX_TERMS = 512
+EXPR_MAX_TERMS = 128
 # Largest centre table inlined into a plan or a task closure (numbers).
 MAX_CENTER_NUMBERS = 4_000_000
 # Row chunk for the NumPy distance block: rows x K x D doubles stay ~32 MB.
