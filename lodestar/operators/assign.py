@@ -118,6 +118,11 @@ def cluster_stats(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),
         "cid int, dim int, value double",
     )
+    return stats_from_partials(part)
+
+
+def stats_from_partials(part: DataFrame) -> DataFrame:
+    """Sum long-form task partials ``(cid, dim, value)`` into one row per cluster."""
     tot = part.groupBy("cid", "dim").agg(F.sum("value").alias("value"))
 
     def pick(code):

@@ -146,3 +146,138 @@ def arrow_partial_stats_fn(
         )
 
     return fn
+
+
+def _list_mask(col: pa.Array, ids_index: dict[int, int], m: int) -> np.ndarray:
+    """Rows x m boolean matrix from a list<int> column of canopy ids."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    offsets = np.asarray(col.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
+    vals = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
+    n = len(col)
+    mask = np.zeros((n, m), dtype=bool)
+    rows = np.repeat(np.arange(n), np.diff(offsets - offsets[0]))
+    pos = np.array([ids_index.get(int(v), -1) for v in vals], dtype=np.int64)
+    ok = pos >= 0
+    mask[rows[ok], pos[ok]] = True
+    return mask
+
+
+def arrow_within_fn(
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int],
+    radius: float,
+    features: str = "features",
+    out: str = "canopies",
+):
+    """``mapInArrow`` body: append ``out`` = ids of centres with distance < radius."""
+    c = np.asarray(centers, dtype=np.float64)
+    id_arr = np.asarray(ids, dtype=np.int32)
+    k, d = c.shape
+
+    def fn(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x = _features_matrix(rb.column(features), d)
+            step = max(1, _BLOCK_ELEMS // max(1, k * d))
+            parts = []
+            for s in range(0, x.shape[0], step):
+                diff = x[s : s + step, None, :] - c[None, :, :]
+                parts.append(np.sqrt(np.einsum("nkd,nkd->nk", diff, diff)) < radius)
+            inside = np.concatenate(parts) if parts else np.zeros((0, k), dtype=bool)
+            counts = inside.sum(axis=1)
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            vals = id_arr[np.nonzero(inside)[1]]
+            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(vals, pa.int32()))
+            yield rb.append_column(out, arr)
+
+    return fn
+
+
+def arrow_restricted_stats_fn(
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int],
+    center_canopies: Sequence[Sequence[int]],
+    canopy_ids: Sequence[int],
+    features: str = "features",
+    canopies: str = "canopies",
+):
+    """Partial stats where a point may only join centres sharing a canopy."""
+    c = np.asarray(centers, dtype=np.float64)
+    id_arr = np.asarray(ids, dtype=np.int32)
+    k, d = c.shape
+    index = {int(v): i for i, v in enumerate(canopy_ids)}
+    q = np.zeros((k, len(canopy_ids)), dtype=bool)
+    for j, cs in enumerate(center_canopies):
+        for v in cs:
+            q[j, index[int(v)]] = True
+
+    def fn(batches):
+        n = np.zeros(k)
+        sse = np.zeros(k)
+        s = np.zeros((k, d))
+        seen = False
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x = _features_matrix(rb.column(features), d)
+            r = _list_mask(rb.column(canopies), index, len(canopy_ids))
+            elig = (r.astype(np.int32) @ q.T.astype(np.int32)) > 0
+            has = elig.any(axis=1)
+            if not has.any():
+                continue
+            seen = True
+            x, elig = x[has], elig[has]
+            lab, mind = _nearest(x, c, elig)
+            n += np.bincount(lab, minlength=k)
+            sse += np.bincount(lab, weights=mind, minlength=k)
+            for j in range(d):
+                s[:, j] += np.bincount(lab, weights=x[:, j], minlength=k)
+        if not seen:
+            return
+        cids, dims, vals = [], [], []
+        for kk in np.nonzero(n)[0]:
+            cids += [int(id_arr[kk])] * (d + 3)
+            dims += [DIM_COUNT, DIM_WEIGHT, DIM_SSE] + list(range(d))
+            vals += [n[kk], n[kk], sse[kk]] + list(s[kk])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cids, pa.int32()), pa.array(dims, pa.int32()), pa.array(vals, pa.float64())],
+            names=["cid", "dim", "value"],
+        )
+
+    return fn
+
+
+def arrow_restricted_assign_fn(
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int],
+    center_canopies: Sequence[Sequence[int]],
+    canopy_ids: Sequence[int],
+    features: str = "features",
+    canopies: str = "canopies",
+):
+    """Append ``cid``/``d2`` choosing only centres that share a canopy (else null)."""
+    c = np.asarray(centers, dtype=np.float64)
+    id_arr = np.asarray(ids, dtype=np.int32)
+    k, d = c.shape
+    index = {int(v): i for i, v in enumerate(canopy_ids)}
+    q = np.zeros((k, len(canopy_ids)), dtype=np.int32)
+    for j, cs in enumerate(center_canopies):
+        for v in cs:
+            q[j, index[int(v)]] = 1
+
+    def fn(batches):
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x = _features_matrix(rb.column(features), d)
+            r = _list_mask(rb.column(canopies), index, len(canopy_ids)).astype(np.int32)
+            elig = (r @ q.T) > 0
+            has = elig.any(axis=1)
+            lab, mind = _nearest(x, c, elig)
+            yield rb.append_column(
+                "cid", pa.array(id_arr[lab], pa.int32(), mask=~has)
+            ).append_column("d2", pa.array(mind, pa.float64(), mask=~has))
+
+    return fn
