@@ -248,7 +248,7 @@ def kmeans_canopy(
     extra = [bucket_col] if bucket_col else []
     pts = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), *extra)
     if distinct:
-        aggs = [F.min("id").alias("id")] + [F.min(c).alias(c) for c in extra]
+        aggs = [F.min("id").alias("id")] + [F.min_by(c, "id").alias(c) for c in extra]
         pts = pts.groupBy("features").agg(*aggs).select("id", "features", *extra)
     pts = storage.keep(pts)
     try:
