@@ -10,9 +10,9 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from lodestar.registry import canopy_q, density_q, lloyd_q
+    from lodestar.registry import canopy_q, density_q, lloyd_q, two_level_q
 
     out = {}
-    for mod in (lloyd_q, canopy_q, density_q):
+    for mod in (lloyd_q, canopy_q, density_q, two_level_q):
         out.update(mod.QUERIES)
     return out

@@ -41,49 +41,75 @@ def lloyd_ctes(
     tol: float | None,
     max_iter: int,
     on_empty: str = "keep",
+    weighted: bool = False,
+    prefix: str = "",
 ) -> tuple[list[str], str]:
-    """CTE chain of ``max_iter`` Lloyd rounds.
+    """CTE chain of ``max_iter`` Lloyd rounds (names prefixed by ``prefix``).
 
-    Returns (ctes, final) where the CTE ``final`` names the chosen round's
-    centres ``(cid, c)``; ``rounds`` holds ``(it, delta, sse, clusters)`` for
-    every round up to the stop, and ``astop`` the assignment of the last round.
+    ``pts`` yields ``id, f`` (and ``w`` when ``weighted``); ``c0`` yields
+    ``cid, c``. Returns (ctes, final) where ``final`` names the stopping
+    round's centres ``(cid, c)``; ``{prefix}rounds`` holds ``(it, delta, sse,
+    clusters)`` up to the stop. ``on_empty='reseed'`` gives the e-th empty
+    cluster (by cid) the e-th farthest point from its centre (ties: lowest id).
     """
+    P = prefix
+    wcol = ", p.w" if weighted else ""
     ctes = [
-        f"pts AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM ({pts}))",
-        f"c0 AS MATERIALIZED ({c0})",
+        f"{P}pts AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM ({pts}))",
+        f"{P}c0 AS MATERIALIZED ({c0})",
     ]
-    sums = ", ".join(f"sum(a.f[{i}])" for i in range(1, dim + 1))
+    wt = "a.w * " if weighted else ""
+    sums = ", ".join(f"sum({wt}a.f[{i}])" for i in range(1, dim + 1))
     for r in range(1, max_iter + 1):
         p = r - 1
         ctes.append(
-            f"a{r} AS MATERIALIZED (SELECT p.id, p.f, min({{'d': {d2('p.f', 'c.c', dim)}, 'k': c.cid}}) AS m "
-            f"FROM pts p CROSS JOIN c{p} c GROUP BY p.rid, p.id, p.f)"
+            f"{P}a{r} AS MATERIALIZED (SELECT p.id, p.f{wcol}, min({{'d': {d2('p.f', 'c.c', dim)}, 'k': c.cid}}) AS m "
+            f"FROM {P}pts p CROSS JOIN {P}c{p} c GROUP BY p.rid, p.id, p.f{wcol})"
         )
+        wsum = "sum(a.w)" if weighted else "count(*)"
         ctes.append(
-            f"s{r} AS MATERIALIZED (SELECT a.m.k AS cid, count(*) AS n, sum(a.m.d) AS sse, [{sums}] AS s "
-            f"FROM a{r} a GROUP BY a.m.k)"
+            f"{P}s{r} AS MATERIALIZED (SELECT a.m.k AS cid, {wsum} AS n, sum({wt}a.m.d) AS sse, [{sums}] AS s "
+            f"FROM {P}a{r} a GROUP BY a.m.k)"
         )
+        if on_empty == "reseed":
+            ctes.append(
+                f"{P}e{r} AS MATERIALIZED (SELECT o.cid, row_number() OVER (ORDER BY o.cid) AS er FROM {P}c{p} o "
+                f"WHERE o.cid NOT IN (SELECT cid FROM {P}s{r}))"
+            )
+            ctes.append(
+                f"{P}far{r} AS MATERIALIZED (SELECT a.f, row_number() OVER (ORDER BY a.m.d DESC, a.id) AS fr "
+                f"FROM {P}a{r} a)"
+            )
+            ctes.append(
+                f"{P}c{r} AS MATERIALIZED (SELECT o.cid, CASE WHEN s.n IS NOT NULL THEN {vec_avg('s.s', 's.n', dim)} "
+                f"WHEN fa.f IS NOT NULL THEN fa.f ELSE o.c END AS c FROM {P}c{p} o "
+                f"LEFT JOIN {P}s{r} s ON o.cid = s.cid LEFT JOIN {P}e{r} e ON o.cid = e.cid "
+                f"LEFT JOIN {P}far{r} fa ON fa.fr = e.er)"
+            )
+        else:
+            ctes.append(
+                f"{P}c{r} AS MATERIALIZED (SELECT o.cid, CASE WHEN s.n IS NULL THEN o.c "
+                f"ELSE {vec_avg('s.s', 's.n', dim)} END AS c FROM {P}c{p} o LEFT JOIN {P}s{r} s ON o.cid = s.cid)"
+            )
         ctes.append(
-            f"c{r} AS MATERIALIZED (SELECT o.cid, CASE WHEN s.n IS NULL THEN o.c "
-            f"ELSE {vec_avg('s.s', 's.n', dim)} END AS c FROM c{p} o LEFT JOIN s{r} s ON o.cid = s.cid)"
+            f"{P}d{r} AS MATERIALIZED (SELECT {r} AS it, (SELECT sum({d2('o.c', 'n.c', dim)}) FROM {P}c{p} o "
+            f"JOIN {P}c{r} n ON o.cid = n.cid) AS delta, (SELECT sum(sse) FROM {P}s{r}) AS sse, "
+            f"(SELECT count(*) FROM {P}s{r}) AS clusters)"
         )
-        ctes.append(
-            f"d{r} AS MATERIALIZED (SELECT {r} AS it, (SELECT sum({d2('o.c', 'n.c', dim)}) FROM c{p} o "
-            f"JOIN c{r} n ON o.cid = n.cid) AS delta, (SELECT sum(sse) FROM s{r}) AS sse, "
-            f"(SELECT count(*) FROM s{r}) AS clusters)"
-        )
-    alld = " UNION ALL ".join(f"SELECT * FROM d{r}" for r in range(1, max_iter + 1))
-    stop_expr = (
-        f"coalesce(min(it) FILTER (WHERE delta <= {tol!r}), {max_iter})"
+    alld = " UNION ALL ".join(f"SELECT * FROM {P}d{r}" for r in range(1, max_iter + 1))
+    stop = (
+        f"SELECT coalesce(min(it) FILTER (WHERE delta <= {tol!r}), {max_iter}) AS r FROM {P}alld"
         if tol is not None
-        else str(max_iter)
+        else f"SELECT {max_iter} AS r"
+    )
+    ctes.append(f"{P}alld AS MATERIALIZED ({alld})")
+    ctes.append(f"{P}stop AS MATERIALIZED ({stop})")
+    ctes.append(f"{P}rounds AS MATERIALIZED (SELECT * FROM {P}alld WHERE it <= (SELECT r FROM {P}stop))")
+    allc = " UNION ALL ".join(f"SELECT {r} AS r, cid, c FROM {P}c{r}" for r in range(1, max_iter + 1))
+    ctes.append(
+        f"{P}final AS MATERIALIZED (SELECT cid, c FROM ({allc}) WHERE r = (SELECT r FROM {P}stop))"
     )
-    ctes.append(f"alld AS MATERIALIZED ({alld})")
-    ctes.append(f"stop AS MATERIALIZED (SELECT {stop_expr} AS r FROM alld)")
-    ctes.append("rounds AS MATERIALIZED (SELECT * FROM alld WHERE it <= (SELECT r FROM stop))")
-    allc = " UNION ALL ".join(f"SELECT {r} AS r, cid, c FROM c{r}" for r in range(1, max_iter + 1))
-    ctes.append(f"final AS MATERIALIZED (SELECT cid, c FROM ({allc}) WHERE r = (SELECT r FROM stop))")
-    return ctes, "final"
+    return ctes, f"{P}final"
 
 
 def with_(ctes: list[str], body: str) -> str:
