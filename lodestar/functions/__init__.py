@@ -9,6 +9,7 @@ from lodestar.functions.vectors import (
     sq_dist,
     sq_dist_const,
     vector_from_columns,
+    with_nearest,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "sq_dist",
     "sq_dist_const",
     "vector_from_columns",
+    "with_nearest",
 ]

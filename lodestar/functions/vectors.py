@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -106,6 +106,39 @@ def nearest_const(
     return F.struct(m.alias("d2"), cid.alias("cid"))
 
 
+def with_nearest(
+    df: DataFrame,
+    features: str | Column,
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int] | None = None,
+    eligible: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Append ``cid`` (int) and ``d2`` (double) of the nearest constant centre.
+
+    Three projections: the per-centre distances, their minimum, then the
+    first centre at that minimum. Catalyst does not collapse a projection
+    whose non-trivial outputs are used more than once, so every distance is
+    computed once per row (a single ``CASE`` over ``least(...)`` would
+    recompute them in every branch).
+    """
+    ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
+    base = [F.col(f"`{c}`") for c in df.columns]
+    dcols = []
+    for k, c in enumerate(centers):
+        d = sq_dist_const(features, c)
+        if eligible is not None:
+            d = F.when(eligible[k], d)
+        dcols.append(d.alias(f"_d{k}"))
+    ds = [F.col(f"_d{k}") for k in range(len(centers))]
+    step1 = df.select(*base, *dcols)
+    m = ds[0] if len(ds) == 1 else F.least(*ds)
+    step2 = step1.select(*base, *ds, m.alias("_m"))
+    cid = F.when(ds[0] == F.col("_m"), F.lit(ids[0]))
+    for k in range(1, len(ds)):
+        cid = cid.when(ds[k] == F.col("_m"), F.lit(ids[k]))
+    return step2.select(*base, cid.cast("int").alias("cid"), F.col("_m").alias("d2"))
+
+
 def vector_from_columns(cols: Sequence[str | Column]) -> Column:
     """Pack numeric columns into one ``array<double>``."""
     return F.array(*[_col(c).cast("double") for c in cols])

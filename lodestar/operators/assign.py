@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vectors import nearest_const
+from lodestar.functions.vectors import with_nearest
 from lodestar.plans import physical
 
 
@@ -40,12 +40,7 @@ def assign(
     d = _dims(centers)
     f = physical.choose_form(len(centers), d, form)
     if f == "expr":
-        nc = nearest_const(features, centers, ids)
-        return points.withColumn("_nc", nc).select(
-            *[F.col(c) for c in points.columns],
-            F.col("_nc.cid").cast("int").alias("cid"),
-            F.col("_nc.d2").alias("d2"),
-        )
+        return with_nearest(points, features, centers, ids)
     schema = T.StructType(
         points.schema.fields
         + [T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())]
@@ -141,6 +136,49 @@ def stats_from_partials(part: DataFrame) -> DataFrame:
     )
 
 
+def collect_stats(
+    points: DataFrame,
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int] | None = None,
+    features: str = "features",
+    weight: str | None = None,
+    form: str = "auto",
+) -> list[dict]:
+    """``cluster_stats`` rows as dicts on the driver (K rows, K x D numbers).
+
+    The Arrow form stops after the single ``(cid, dim)`` shuffle and builds
+    the K rows here, saving the second aggregation stage of every round.
+    """
+    centers = [list(map(float, c)) for c in centers]
+    ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
+    f = physical.choose_form(len(centers), _dims(centers), form)
+    if f == "expr":
+        return [r.asDict() for r in cluster_stats(points, centers, ids, features, weight, "expr").collect()]
+    cols = [features] + ([weight] if weight else [])
+    part = points.select(*cols).mapInArrow(
+        physical.arrow_partial_stats_fn(centers, ids, features, weight),
+        "cid int, dim int, value double",
+    )
+    tot = part.groupBy("cid", "dim").agg(F.sum("value").alias("value")).collect()
+    return assemble_long(tot, _dims(centers))
+
+
+def assemble_long(rows, d: int) -> list[dict]:
+    out: dict[int, dict] = {}
+    for r in rows:
+        o = out.setdefault(int(r["cid"]), {"cid": int(r["cid"]), "sums": [0.0] * d})
+        dim, v = int(r["dim"]), float(r["value"])
+        if dim == physical.DIM_COUNT:
+            o["n"] = int(round(v))
+        elif dim == physical.DIM_WEIGHT:
+            o["weight"] = v
+        elif dim == physical.DIM_SSE:
+            o["sse"] = v
+        else:
+            o["sums"][dim] = v
+    return [out[k] for k in sorted(out)]
+
+
 def kmeans_step(
     points: DataFrame,
     centers: Sequence[Sequence[float]],

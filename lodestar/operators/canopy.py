@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vectors import dist_const, nearest_const
+from lodestar.functions.vectors import dist_const, with_nearest
 from lodestar.operators.assign import assign, stats_from_partials
 from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
@@ -180,10 +180,7 @@ def restricted_assign(
     csets = [clusters[c][1] for c in cids]
     f = physical.choose_form(len(vecs), len(vecs[0]), form)
     if f == "expr":
-        nc = nearest_const(features, vecs, cids, _eligibility(csets))
-        out = memb.withColumn("_nc", nc).select(
-            *memb.columns, F.col("_nc.cid").cast("int").alias("cid"), F.col("_nc.d2").alias("d2")
-        )
+        out = with_nearest(memb, features, vecs, cids, _eligibility(csets))
     else:
         schema = T.StructType(
             memb.schema.fields + [T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())]

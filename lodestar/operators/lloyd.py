@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.assign import assign, centers_from_frame, cluster_stats, predict
+from lodestar.operators.assign import assign, centers_from_frame, collect_stats, predict
 from lodestar.plans import storage
 from lodestar.sources.sample import DEFAULT_SEED, seed_vectors
 
@@ -81,7 +81,7 @@ def lloyd_rounds(
     centers = [list(c) for c in centers]
     trace, last = [], {}
     for it in range(1, max_iter + 1):
-        rows = cluster_stats(points, centers, None, features, weight, form).collect()
+        rows = collect_stats(points, centers, None, features, weight, form)
         last = {int(r["cid"]): r for r in rows}
         new = [list(c) for c in centers]
         empty = []

@@ -2,7 +2,7 @@
 
 The iterative operators collect only K x D numbers per round and inline them
 as literals, so their plans do not grow from round to round. What they reuse
-is the prepared point set: ``keep`` persists it (MEMORY_AND_DISK, so a lost
+is the prepared point set: ``keep`` persists it (memory and disk, so a lost
 executor's blocks are recomputed from the deterministic scan-and-project
 lineage). ``materialize`` instead writes it as Parquet under the session's
 ``spark.checkpoint.dir`` (a shared folder on a cluster) and reads it back,
@@ -26,7 +26,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def keep(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    # Deserialized cached batches: PySpark's MEMORY_AND_DISK is the serialized
+    # level, which costs a Java deserialization of every batch on every round.
+    return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def materialize(df: DataFrame, name: str = "points") -> DataFrame:

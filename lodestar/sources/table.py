@@ -37,13 +37,20 @@ def table_vectors(
     if weight_col is not None:
         cols.append(F.col(weight_col).cast("double").alias("weight"))
     proj = df.select(*cols)
-    bad = F.col("id").isNull() | F.col("features").isNull() | F.exists(
-        "features", lambda v: v.isNull()
-    )
+    if feature_cols is not None:
+        # Null checks on the source columns stay inside generated code.
+        bad = F.col("id").isNull()
+        for i in range(len(feature_cols)):
+            bad = bad | F.col("features")[i].isNull()
+    else:
+        bad = F.col("id").isNull() | F.col("features").isNull() | F.exists(
+            "features", lambda v: v.isNull()
+        )
     if dim is None:
         first = proj.where(~bad).select(F.size("features").alias("d")).first()
         dim = int(first["d"]) if first is not None else 0
-    bad = bad | (F.size("features") != F.lit(dim))
+    if feature_cols is None:
+        bad = bad | (F.size("features") != F.lit(dim))
     if weight_col is not None:
         bad = bad | F.col("weight").isNull()
     tagged = proj.withColumn("_bad", bad)
