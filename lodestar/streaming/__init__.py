@@ -1,0 +1,17 @@
+"""Streaming use of the clustering operators.
+
+The reference has no streaming component, so nothing here is a new operator.
+What carries over is scoring: ``assign``/``predict`` are stateless projections
+with the centres inlined (or, above the expression bound, a ``mapInArrow``
+kernel), so they run unchanged on a streaming DataFrame from
+``spark.readStream`` and need no state store, watermark or shuffle. Fit the
+centres in batch (``kmeans``, ``kmeans_canopy``, ...), then score the stream::
+
+    centers = kmeans(points, 8).centers
+    scored = predict(stream_points, centers)
+    scored.writeStream.format("parquet").option("checkpointLocation", ...).start(...)
+"""
+
+from lodestar.operators.assign import assign, predict
+
+__all__ = ["assign", "predict"]
