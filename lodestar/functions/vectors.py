@@ -21,20 +21,55 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+Features = "str | Column | Sequence[str]"
+
+
+def elems(features, d: int) -> list[Column]:
+    """Element Columns of a vector: an array column, or one column per dimension."""
+    if isinstance(features, (list, tuple)):
+        return [F.col(c) for c in features]
+    x = _col(features)
+    return [x[i] for i in range(d)]
+
+
+def sql_double(v: float) -> str:
+    """A Spark SQL double literal that parses back to exactly ``v``."""
+    v = float(v)
+    if v != v or v in (float("inf"), float("-inf")):
+        return f"CAST('{v!r}' AS DOUBLE)".replace("inf", "Infinity").replace("nan", "NaN")
+    return f"({v!r}D)"
+
+
+def elem_sql(features, d: int) -> list[str]:
+    """SQL text of the vector elements: ``features[i]`` or one column per dimension."""
+    if isinstance(features, (list, tuple)):
+        return [f"`{c}`" for c in features]
+    return [f"`{features}`[{i}]" for i in range(d)]
+
+
+def sq_dist_sql(xs: Sequence[str], center: Sequence[float]) -> str:
+    """Unrolled squared distance as SQL text (left-to-right sum)."""
+    terms = []
+    for x, c in zip(xs, center):
+        diff = f"({x} - {sql_double(c)})"
+        terms.append(f"({diff} * {diff})")
+    return " + ".join(terms) if terms else "(0.0D)"
+
+
 def sq_dist_const(features: str | Column, center: Sequence[float]) -> Column:
     """Squared Euclidean distance from an array column to a constant vector.
 
     Unrolled as ``(x[0]-c0)*(x[0]-c0) + (x[1]-c1)*(x[1]-c1) + ...`` summed left
     to right, the same order a SQL oracle folds a list in.
     """
-    x = _col(features)
-    terms = []
-    for i, c in enumerate(center):
-        diff = x[i] - F.lit(float(c))
-        terms.append(diff * diff)
-    if not terms:
-        return F.lit(0.0)
-    return reduce(add, terms)
+    if isinstance(features, Column):
+        terms = []
+        for i, c in enumerate(center):
+            diff = features[i] - F.lit(float(c))
+            terms.append(diff * diff)
+        return reduce(add, terms) if terms else F.lit(0.0)
+    # One JVM-parsed expression instead of a py4j call per node.
+    return F.expr(sq_dist_sql(elem_sql(features, len(center)), center))
 
 
 def sq_dist(a: str | Column, b: str | Column, dim: int | None = None) -> Column:
@@ -108,35 +143,38 @@ def nearest_const(
 
 def with_nearest(
     df: DataFrame,
-    features: str | Column,
+    features,
     centers: Sequence[Sequence[float]],
     ids: Sequence[int] | None = None,
-    eligible: Sequence[Column] | None = None,
+    eligible: Sequence[str] | None = None,
 ) -> DataFrame:
     """Append ``cid`` (int) and ``d2`` (double) of the nearest constant centre.
 
+    ``features`` is an array column name or a list of per-dimension columns.
     Three projections: the per-centre distances, their minimum, then the
-    first centre at that minimum. Catalyst does not collapse a projection
-    whose non-trivial outputs are used more than once, so every distance is
-    computed once per row (a single ``CASE`` over ``least(...)`` would
-    recompute them in every branch).
+    first centre at that minimum (lowest id on ties). Catalyst does not
+    collapse a projection whose non-trivial outputs are used more than once,
+    so every distance is computed once per row. The expressions are built as
+    SQL text, parsed once on the JVM: building them node by node from Python
+    cost ~1 s of driver time per round. ``eligible`` (SQL boolean text, one
+    per centre) masks centres out; a row with none eligible gets nulls.
     """
     ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
-    base = [F.col(f"`{c}`") for c in df.columns]
-    dcols = []
+    d = len(centers[0]) if centers else 0
+    xs = elem_sql(features, d)
+    base = [f"`{c}`" for c in df.columns]
+    dexpr = []
     for k, c in enumerate(centers):
-        d = sq_dist_const(features, c)
+        e = sq_dist_sql(xs, c)
         if eligible is not None:
-            d = F.when(eligible[k], d)
-        dcols.append(d.alias(f"_d{k}"))
-    ds = [F.col(f"_d{k}") for k in range(len(centers))]
-    step1 = df.select(*base, *dcols)
-    m = ds[0] if len(ds) == 1 else F.least(*ds)
-    step2 = step1.select(*base, *ds, m.alias("_m"))
-    cid = F.when(ds[0] == F.col("_m"), F.lit(ids[0]))
-    for k in range(1, len(ds)):
-        cid = cid.when(ds[k] == F.col("_m"), F.lit(ids[k]))
-    return step2.select(*base, cid.cast("int").alias("cid"), F.col("_m").alias("d2"))
+            e = f"CASE WHEN {eligible[k]} THEN {e} END"
+        dexpr.append(f"{e} AS `_d{k}`")
+    names = [f"`_d{k}`" for k in range(len(centers))]
+    step1 = df.selectExpr(*base, *dexpr)
+    m = names[0] if len(names) == 1 else f"least({', '.join(names)})"
+    step2 = step1.selectExpr(*base, *names, f"{m} AS `_m`")
+    case = " ".join(f"WHEN {n} = `_m` THEN {cid}" for n, cid in zip(names, ids))
+    return step2.selectExpr(*base, f"CAST(CASE {case} END AS INT) AS cid", "`_m` AS d2")
 
 
 def vector_from_columns(cols: Sequence[str | Column]) -> Column:

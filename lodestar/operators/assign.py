@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vectors import with_nearest
+from lodestar.functions.vectors import elem_sql, with_nearest
 from lodestar.plans import physical
 
 
+def _fcols(features) -> list[str]:
+    return list(features) if isinstance(features, (list, tuple)) else [features]
+
+
 def _dims(centers: Sequence[Sequence[float]]) -> int:
     if not centers:
         raise ValueError("need at least one centre")
@@ -60,7 +64,7 @@ def predict(
         ids, centers = centers_from_frame(centers)
     else:
         ids = None
-    return assign(points.select(id_col, features), centers, ids, features, form).select(
+    return assign(points.select(id_col, *_fcols(features)), centers, ids, features, form).select(
         id_col, "cid", "d2"
     )
 
@@ -91,21 +95,17 @@ def cluster_stats(
     ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
     d = _dims(centers)
     f = physical.choose_form(len(centers), d, form)
-    cols = [features] + ([weight] if weight else [])
+    cols = _fcols(features) + ([weight] if weight else [])
     pts = points.select(*cols)
     if f == "expr":
         a = assign(pts, centers, ids, features, "expr")
-        x = F.col(features)
-        w = F.col(weight) if weight else None
-
-        def wt(e):
-            return e * w if w is not None else e
-
+        xs = elem_sql(features, d)
+        wt = f" * `{weight}`" if weight else ""
         aggs = [
             F.count(F.lit(1)).alias("n"),
-            (F.sum(w) if w is not None else F.count(F.lit(1)).cast("double")).alias("weight"),
-            F.sum(wt(F.col("d2"))).alias("sse"),
-        ] + [F.sum(wt(x[i])).alias(f"_s{i}") for i in range(d)]
+            (F.sum(weight) if weight else F.count(F.lit(1)).cast("double")).alias("weight"),
+            F.expr(f"sum(d2{wt})").alias("sse"),
+        ] + [F.expr(f"sum({xs[i]}{wt})").alias(f"_s{i}") for i in range(d)]
         return a.groupBy("cid").agg(*aggs).select(
             "cid", "n", "weight", "sse", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums")
         )
@@ -154,7 +154,7 @@ def collect_stats(
     f = physical.choose_form(len(centers), _dims(centers), form)
     if f == "expr":
         return [r.asDict() for r in cluster_stats(points, centers, ids, features, weight, "expr").collect()]
-    cols = [features] + ([weight] if weight else [])
+    cols = _fcols(features) + ([weight] if weight else [])
     part = points.select(*cols).mapInArrow(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),
         "cid int, dim int, value double",

@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vectors import dist_const, with_nearest
+from lodestar.functions.vectors import elem_sql, sq_dist_sql, sql_double, with_nearest
 from lodestar.operators.assign import assign, stats_from_partials
 from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
+from lodestar.plans.storage import local_frame
 
 DEFAULT_BUCKET_ROWS = 100_000
 MERGE_CHUNK = 20_000
@@ -157,14 +158,15 @@ def canopy_membership(
         return points.withColumn("canopies", F.array().cast("array<int>"))
     f = physical.choose_form(len(vecs), len(vecs[0]), form)
     if f == "expr":
-        hits = [F.when(dist_const(features, v) < float(t2), F.lit(c)) for c, v in zip(ids, vecs)]
-        return points.withColumn("canopies", F.array_compact(F.array(*hits)))
+        xs = elem_sql(features, len(vecs[0]))
+        hits = [f"CASE WHEN sqrt({sq_dist_sql(xs, v)}) < {sql_double(t2)} THEN {c} END" for c, v in zip(ids, vecs)]
+        return points.withColumn("canopies", F.expr(f"array_compact(array({', '.join(hits)}))"))
     schema = T.StructType(points.schema.fields + [T.StructField("canopies", T.ArrayType(T.IntegerType()))])
     return points.mapInArrow(physical.arrow_within_fn(vecs, ids, float(t2), features), schema)
 
 
-def _eligibility(csets: Sequence[Sequence[int]]):
-    return [F.arrays_overlap(F.col("canopies"), F.array(*[F.lit(int(c)) for c in cs])) for cs in csets]
+def _eligibility(csets: Sequence[Sequence[int]]) -> list[str]:
+    return [f"arrays_overlap(canopies, array({', '.join(str(int(c)) for c in cs)}))" for cs in csets]
 
 
 def restricted_assign(
@@ -198,10 +200,10 @@ def _restricted_stats(memb, clusters, canopy_ids, features, form) -> list:
     if f == "expr":
         a = restricted_assign(memb.select(features, "canopies"), clusters, canopy_ids, features, "expr")
         d = len(vecs[0])
-        x = F.col(features)
+        xs = elem_sql(features, d)
         return (
             a.groupBy("cid")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"_s{i}") for i in range(d)])
+            .agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum({xs[i]})").alias(f"_s{i}") for i in range(d)])
             .select("cid", "n", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums"))
             .collect()
         )
@@ -247,7 +249,7 @@ def kmeans_canopy(
     if distinct:
         aggs = [F.min("id").alias("id")] + [F.min_by(c, "id").alias(c) for c in extra]
         pts = pts.groupBy("features").agg(*aggs).select("id", "features", *extra)
-    pts = storage.keep(pts)
+    pts = storage.keep(storage.spread(pts, "id"))
     try:
         cands = storage.keep(local_canopies(pts, t1, buckets, bucket_col, bucket_rows))
         canopies = merge_canopies(cands, t3)
@@ -280,13 +282,13 @@ def kmeans_canopy(
     finally:
         storage.release(pts)
     crow = [(c, store[c], sizes.get(c, 0), c in active) for c in sorted(store)]
-    cdf = spark.createDataFrame(crow, "cid int, center array<double>, size bigint, active boolean")
-    kdf = spark.createDataFrame(canopies, "canopy int, id bigint, center array<double>")
-    tdf = spark.createDataFrame(trace, "iter int, delta double, clusters int")
+    cdf = local_frame(spark, crow, "cid int, center array<double>, size bigint, active boolean")
+    kdf = local_frame(spark, canopies, "canopy int, id bigint, center array<double>")
+    tdf = local_frame(spark, trace, "iter int, delta double, clusters int")
     memb_lazy = memb_all.where(F.size("canopies") > 0)
     if last_active:
         adf = restricted_assign(memb_lazy, last_active, canopy_ids, "features", form).select("id", "cid")
     else:
-        adf = spark.createDataFrame([], "id bigint, cid int")
+        adf = local_frame(spark, [], "id bigint, cid int")
     udf_ = memb_all.where(F.size("canopies") == 0).select("id", "features")
     return CanopyResult(cdf, kdf, tdf, adf, udf_)

@@ -220,7 +220,9 @@ def kmeans_density(
 ) -> tuple[KMeansResult, float, DensitySeeds]:
     """K5: adaptive radius (unless ``t2`` is given), density seeding on a
     ``sample_n`` sample (``'seeded'`` md5 order or ``'first'`` ids), Lloyd."""
-    pts = storage.keep(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")))
+    pts = storage.keep(
+        storage.spread(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")), "id")
+    )
     try:
         radius = adaptive_radius(pts, coef) if t2 is None else float(t2)
         smp = seeded_sample(pts, sample_n, seed) if sample == "seeded" else first_rows(pts, sample_n)

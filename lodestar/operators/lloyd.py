@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.assign import assign, centers_from_frame, collect_stats, predict
 from lodestar.plans import storage
 from lodestar.sources.sample import DEFAULT_SEED, seed_vectors
+from lodestar.plans.storage import local_frame
 
 
 class KMeansResult(NamedTuple):
@@ -95,15 +96,16 @@ def lloyd_rounds(
         if empty and on_empty == "error":
             raise ValueError(f"empty clusters in round {it}: {empty}")
         if empty and on_empty == "reseed":
+            fcols = list(features) if isinstance(features, (list, tuple)) else [features]
             far = (
-                assign(points.select(id_col, features), centers, None, features, form)
+                assign(points.select(id_col, *fcols), centers, None, features, form)
                 .orderBy(F.desc("d2"), F.col(id_col))
                 .limit(len(empty))
-                .select(features)
+                .select(*fcols)
                 .collect()
             )
             for cid, r in zip(empty, far):
-                new[cid] = list(r[0])
+                new[cid] = [float(v) for v in r] if len(fcols) > 1 else list(r[0])
         delta = sum(sq_movement(a, b) for a, b in zip(centers, new))
         sse = float(sum(float(r["sse"]) for r in rows))
         trace.append((it, float(delta), sse, len(rows)))
@@ -136,11 +138,23 @@ def kmeans(
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
-    prepared = storage.keep(points.select(*cols))
+    start = resolve_init(points.select(*cols), k, init, seed, distinct_seeds, features, id_col)
+    # Iterated copy: one double column per dimension, which the columnar cache
+    # stores compressed and scans vectorized (an array column is decoded row
+    # by row on every round).
+    wide = [f"_x{i}" for i in range(len(start[0]))]
+    prepared = storage.keep(
+        storage.spread(
+            points.select(
+                F.col(id_col), *[F.col(features)[i].alias(c) for i, c in enumerate(wide)],
+                *([F.col(weight)] if weight else []),
+            ),
+            id_col,
+        )
+    )
     try:
-        start = resolve_init(prepared, k, init, seed, distinct_seeds, features, id_col)
         centers, trace, last = lloyd_rounds(
-            prepared, start, tol, max_iter, features, weight, on_empty, form, id_col
+            prepared, start, tol, max_iter, wide, weight, on_empty, form, id_col
         )
     finally:
         storage.release(prepared)
@@ -148,7 +162,7 @@ def kmeans(
     for cid, c in enumerate(centers):
         r = last.get(cid)
         crow.append((cid, c, int(r["n"]) if r else 0, float(r["weight"]) if r else 0.0))
-    cdf = spark.createDataFrame(crow, CENTER_SCHEMA)
-    tdf = spark.createDataFrame(trace, TRACE_SCHEMA)
+    cdf = local_frame(spark, crow, CENTER_SCHEMA)
+    tdf = local_frame(spark, trace, TRACE_SCHEMA)
     adf = predict(points.select(*cols), centers, features, id_col, form)
     return KMeansResult(cdf, tdf, adf)

@@ -28,6 +28,7 @@ from lodestar.operators.lloyd import lloyd_rounds, resolve_init, sq_movement
 from lodestar.operators.pairs import closest_pairs
 from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED
+from lodestar.plans.storage import local_frame
 
 CENTROID_SCHEMA = "id bigint, bucket int, cid int, features array<double>, weight double"
 
@@ -119,7 +120,10 @@ def kmeans_two_level(
         else F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int")
     )
     pts = storage.keep(
-        points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket"))
+        storage.spread(
+            points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket")),
+            "id",
+        )
     )
     try:
         centers = resolve_init(pts, k, init, seed, False, "features", "id")
@@ -127,7 +131,7 @@ def kmeans_two_level(
         trace = []
         for it in range(1, max_iter + 1):
             rows = partial_centroids(pts, centers, "bucket", "features", form).collect()
-            cent = spark.createDataFrame(
+            cent = local_frame(spark, 
                 [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows],
                 CENTROID_SCHEMA,
             )
@@ -145,7 +149,7 @@ def kmeans_two_level(
                 break
     finally:
         storage.release(pts)
-    cdf = spark.createDataFrame(list(enumerate(centers)), "cid int, center array<double>")
-    tdf = spark.createDataFrame(trace, "iter int, delta double, partials int")
+    cdf = local_frame(spark, list(enumerate(centers)), "cid int, center array<double>")
+    tdf = local_frame(spark, trace, "iter int, delta double, partials int")
     adf = predict(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")), centers)
     return TwoLevelResult(cdf, tdf, adf)

@@ -2,7 +2,7 @@
 
 from lodestar.plans.config import local_session
 from lodestar.plans.physical import EXPR_MAX_TERMS, MAX_CENTER_NUMBERS, choose_form
-from lodestar.plans.storage import checkpoint_dir, keep, materialize, release
+from lodestar.plans.storage import checkpoint_dir, keep, local_frame, materialize, release, spread
 
 __all__ = [
     "EXPR_MAX_TERMS",
@@ -10,7 +10,9 @@ __all__ = [
     "checkpoint_dir",
     "choose_form",
     "keep",
+    "local_frame",
     "local_session",
     "materialize",
     "release",
+    "spread",
 ]

@@ -50,7 +50,13 @@ def choose_form(k: int, d: int, form: str = "auto") -> str:
     return "expr" if k * d <= EXPR_MAX_TERMS else "arrow"
 
 
-def _features_matrix(col: pa.Array, d: int) -> np.ndarray:
+def _features_matrix(rb: pa.RecordBatch, features, d: int) -> np.ndarray:
+    """Rows x d float64 matrix from an array column or one column per dimension."""
+    if isinstance(features, (list, tuple)):
+        return np.column_stack(
+            [np.asarray(rb.column(c).to_numpy(zero_copy_only=False), dtype=np.float64) for c in features]
+        ).reshape(-1, d)
+    col = rb.column(features)
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     flat = col.flatten().to_numpy(zero_copy_only=False)
@@ -89,7 +95,7 @@ def arrow_assign_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb.column(features), d)
+            x = _features_matrix(rb, features, d)
             lab, mind = _nearest(x, c)
             yield rb.append_column("cid", pa.array(id_arr[lab], pa.int32())).append_column(
                 "d2", pa.array(mind, pa.float64())
@@ -119,7 +125,7 @@ def arrow_partial_stats_fn(
             if rb.num_rows == 0:
                 continue
             seen = True
-            x = _features_matrix(rb.column(features), d)
+            x = _features_matrix(rb, features, d)
             lab, mind = _nearest(x, c)
             wt = (
                 np.asarray(rb.column(weight).to_numpy(zero_copy_only=False), dtype=np.float64)
@@ -179,7 +185,7 @@ def arrow_within_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb.column(features), d)
+            x = _features_matrix(rb, features, d)
             step = max(1, _BLOCK_ELEMS // max(1, k * d))
             parts = []
             for s in range(0, x.shape[0], step):
@@ -221,7 +227,7 @@ def arrow_restricted_stats_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb.column(features), d)
+            x = _features_matrix(rb, features, d)
             r = _list_mask(rb.column(canopies), index, len(canopy_ids))
             elig = (r.astype(np.int32) @ q.T.astype(np.int32)) > 0
             has = elig.any(axis=1)
@@ -271,7 +277,7 @@ def arrow_restricted_assign_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb.column(features), d)
+            x = _features_matrix(rb, features, d)
             r = _list_mask(rb.column(canopies), index, len(canopy_ids)).astype(np.int32)
             elig = (r @ q.T) > 0
             has = elig.any(axis=1)

@@ -25,6 +25,31 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """Hash-partition on ``key`` when the input has fewer partitions than cores.
+
+    Small inputs (one Parquet file is one partition) would otherwise run every
+    round on a single core. At scale the input has far more partitions than
+    the cluster has cores and this is a no-op, so no shuffle is added there.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
+def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small driver-side result (K rows, a trace) as a DataFrame via Arrow."""
+    import pandas as pd
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    pdf = pd.DataFrame([tuple(r) for r in rows], columns=st.names)
+    if pdf.empty:
+        return spark.createDataFrame([], st)
+    return spark.createDataFrame(pdf, st)
+
+
 def keep(df: DataFrame) -> DataFrame:
     # Deserialized cached batches: PySpark's MEMORY_AND_DISK is the serialized
     # level, which costs a Java deserialization of every batch on every round.

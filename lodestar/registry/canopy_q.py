@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.canopy import kmeans_canopy, local_canopies, merge_canopies
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, sql_vectors, vectors
+from lodestar.plans.storage import local_frame
 
 # Fixed parameters: customer (c_acctbal, c_nationkey), four id-modulo buckets.
 VIEW = "cust"
@@ -34,7 +35,7 @@ def canopy_local(spark: SparkSession, sf: str) -> DataFrame:
 def canopy_global(spark: SparkSession, sf: str) -> DataFrame:
     cands = local_canopies(_distinct(spark, sf), T1, bucket_col="bucket")
     rows = [(c, i) for c, i, _ in merge_canopies(cands, T3)]
-    return spark.createDataFrame(rows, "canopy int, id bigint")
+    return local_frame(spark, rows, "canopy int, id bigint")
 
 
 def _run(spark, sf):

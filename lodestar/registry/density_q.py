@@ -17,6 +17,7 @@ from lodestar.operators.density import (
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, vectors
 from lodestar.sources.sample import seeded_sample
+from lodestar.plans.storage import local_frame
 
 # Fixed parameters.
 RADIUS_VIEW = "emb"  # adaptive radius over all embeddings
@@ -26,7 +27,7 @@ KD_VIEW, KD_TOL, KD_MAX_ITER = "cust", 0.01, 10  # density-seeded k-means on cus
 
 def adaptive_radius_q(spark: SparkSession, sf: str) -> DataFrame:
     s = pair_distance_sum(vectors(spark, sf, RADIUS_VIEW))
-    return spark.createDataFrame([(round(math.sqrt(s) * DEFAULT_COEF, ROUND),)], "t2 double")
+    return local_frame(spark, [(round(math.sqrt(s) * DEFAULT_COEF, ROUND),)], "t2 double")
 
 
 def _sql_radius(view: str) -> str:
@@ -84,7 +85,7 @@ SQL_DENSITY_RANK = (
 
 def density_seed_q(spark: SparkSession, sf: str) -> DataFrame:
     seeds = density_seed(_sample(spark, sf), SEED_T2)
-    return spark.createDataFrame(seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
+    return local_frame(spark, seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
 
 
 def _sql_seed_ctes(view: str, t2: str) -> list[str]:

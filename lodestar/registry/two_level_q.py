@@ -15,6 +15,7 @@ from lodestar.operators.two_level import (
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, vectors
 from lodestar.sources.sample import seed_vectors
+from lodestar.plans.storage import local_frame
 
 # Fixed parameters.
 PAIR_VIEW, PAIR_K = "supp", 5  # closest supplier pairs
@@ -55,7 +56,7 @@ def _centroids(spark, sf):
     pts = vectors(spark, sf, VIEW).withColumn("bucket", (F.col("id") % BUCKETS).cast("int"))
     seeds = seed_vectors(pts, K, SEED)
     rows = partial_centroids(pts, seeds, "bucket").collect()
-    return spark.createDataFrame(
+    return local_frame(spark, 
         [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows],
         "id bigint, bucket int, cid int, features array<double>, weight double",
     )
@@ -70,7 +71,7 @@ def kmeans_reseed(spark: SparkSession, sf: str) -> DataFrame:
     cent = _centroids(spark, sf)
     seeds = seeds_from_pairs(cent, K, ordered=True)
     centers = inner_kmeans(cent, seeds, INNER, weighted=False)
-    return long_vectors(spark.createDataFrame(list(enumerate(centers)), "cid int, center array<double>"), ["cid"], "center")
+    return long_vectors(local_frame(spark, list(enumerate(centers)), "cid int, center array<double>"), ["cid"], "center")
 
 
 def kmeans_two_level_q(spark: SparkSession, sf: str) -> DataFrame:
