@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.assign import assign, centers_from_frame, collect_stats, predict
-from lodestar.plans import storage
+from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED, seed_vectors
 from lodestar.plans.storage import local_frame
 
@@ -105,7 +105,8 @@ def lloyd_rounds(
                 .collect()
             )
             for cid, r in zip(empty, far):
-                new[cid] = [float(v) for v in r] if len(fcols) > 1 else list(r[0])
+                wide = isinstance(features, (list, tuple))
+                new[cid] = [float(v) for v in r] if wide else list(r[0])
         delta = sum(sq_movement(a, b) for a, b in zip(centers, new))
         sse = float(sum(float(r["sse"]) for r in rows))
         trace.append((it, float(delta), sse, len(rows)))
@@ -139,22 +140,22 @@ def kmeans(
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
     start = resolve_init(points.select(*cols), k, init, seed, distinct_seeds, features, id_col)
-    # Iterated copy: one double column per dimension, which the columnar cache
-    # stores compressed and scans vectorized (an array column is decoded row
-    # by row on every round).
-    wide = [f"_x{i}" for i in range(len(start[0]))]
+    # Iterated copy. For the expression form, one double column per dimension:
+    # the columnar cache stores it compressed and scans it vectorized, while an
+    # array column is decoded row by row on every round. The Arrow kernel reads
+    # the array's flat buffer zero-copy, which beats stacking many columns.
+    d = len(start[0])
+    if physical.choose_form(len(start), d, form) == "expr":
+        feats = [f"_x{i}" for i in range(d)]
+        fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feats)]
+    else:
+        feats, fcols = features, [F.col(features)]
     prepared = storage.keep(
-        storage.spread(
-            points.select(
-                F.col(id_col), *[F.col(features)[i].alias(c) for i, c in enumerate(wide)],
-                *([F.col(weight)] if weight else []),
-            ),
-            id_col,
-        )
+        storage.spread(points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col)
     )
     try:
         centers, trace, last = lloyd_rounds(
-            prepared, start, tol, max_iter, wide, weight, on_empty, form, id_col
+            prepared, start, tol, max_iter, feats, weight, on_empty, form, id_col
         )
     finally:
         storage.release(prepared)

@@ -60,5 +60,10 @@ def test_two_level_reference_mode(spark):
         for j, f in zip(empty, far):
             new[j] = cent[f]
         seeds = new
+    # A midpoint seed is exactly equidistant from the two centroids of its
+    # pair, so the first inner assignment is an exact tie in real arithmetic;
+    # last-bit differences in the centroid sums (partition order) decide it.
+    # The centres are the same either way; their numbering may differ.
     got = np.array([list(p.center) for p in r.centers.orderBy("cid").collect()])
-    assert np.allclose(got, seeds, atol=1e-9)
+    key = lambda a: sorted(map(tuple, np.round(a, 9)))
+    assert key(got) == key(seeds)
