@@ -236,12 +236,14 @@ def kmeans_canopy(
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
+    checkpoint: bool = False,
 ) -> CanopyResult:
     """K6: canopy k-means; K = number of global canopies.
 
     ``distinct=True`` first collapses points equal by value (lowest id kept),
     as the reference keys points by their vector. Loop: while delta > tol and
-    rounds < max_iter, with at least one round.
+    rounds < max_iter, with at least one round. ``checkpoint=True`` writes the
+    canopy memberships under ``spark.checkpoint.dir`` instead of caching them.
     """
     spark = points.sparkSession
     extra = [bucket_col] if bucket_col else []
@@ -257,7 +259,8 @@ def kmeans_canopy(
         canopy_list = [(c, v) for c, _, v in canopies]
         canopy_ids = [c for c, _ in canopy_list]
         memb_all = canopy_membership(pts.select("id", "features"), canopy_list, t2, "features", form)
-        memb = storage.keep(memb_all.where(F.size("canopies") > 0))
+        covered = memb_all.where(F.size("canopies") > 0)
+        memb = storage.materialize(covered, "canopy") if checkpoint else storage.keep(covered)
         store = {c: list(v) for c, v in canopy_list}
         active = {c: (list(v), [c]) for c, v in canopy_list}
         trace, sizes, last_active = [], {}, dict(active)

@@ -129,6 +129,7 @@ def kmeans(
     form: str = "auto",
     features: str = "features",
     id_col: str = "id",
+    checkpoint: bool = False,
 ) -> KMeansResult:
     """Lloyd k-means on ``(id, features[, weight])`` rows.
 
@@ -136,6 +137,9 @@ def kmeans(
     (md5-seeded sample of ``k`` rows, see ``sources.sample``) or ``'first'``.
     ``on_empty``: ``'keep'`` (an empty cluster keeps its centre), ``'error'``,
     or ``'reseed'`` (farthest point from its centre, lowest id on ties).
+    ``checkpoint=True`` writes the prepared points as Parquet under the
+    session's ``spark.checkpoint.dir`` instead of caching them, cutting the
+    lineage (for an expensive source such as parsed text).
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
@@ -150,9 +154,10 @@ def kmeans(
         fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feats)]
     else:
         feats, fcols = features, [F.col(features)]
-    prepared = storage.keep(
-        storage.spread(points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col)
+    prepared = storage.spread(
+        points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col
     )
+    prepared = storage.materialize(prepared, "kmeans") if checkpoint else storage.keep(prepared)
     try:
         centers, trace, last = lloyd_rounds(
             prepared, start, tol, max_iter, feats, weight, on_empty, form, id_col

@@ -116,3 +116,18 @@ def test_weighted_stats(spark):
     for form in ("expr", "arrow"):
         r = cluster_stats(df, [[1.0]], weight="weight", form=form).first()
         assert r.n == 2 and r.weight == 4.0 and list(r.sums) == [6.0]
+
+
+def test_checkpointed_points(spark, frame):
+    import os
+
+    from lodestar.plans.storage import checkpoint_dir
+
+    vecs = [[float(i % 5), float(i % 3)] for i in range(60)]
+    a = kmeans(frame(vecs), 3, init="first", tol=0.0, max_iter=10)
+    b = kmeans(frame(vecs), 3, init="first", tol=0.0, max_iter=10, checkpoint=True)
+    ca = [list(r.center) for r in a.centers.orderBy("cid").collect()]
+    cb = [list(r.center) for r in b.centers.orderBy("cid").collect()]
+    assert ca == cb
+    base = checkpoint_dir(spark).replace("file:", "")
+    assert any(n.startswith("lodestar-kmeans-") for n in os.listdir(base))
