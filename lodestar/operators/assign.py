@@ -8,13 +8,14 @@ broadcast exchange, and the same plan every round.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vectors import elem_sql, with_nearest
+from lodestar.functions.vectors import elem_sql, sq_dist_sql, with_nearest
 from lodestar.plans import physical
 
 
@@ -151,9 +152,10 @@ def collect_stats(
     """
     centers = [list(map(float, c)) for c in centers]
     ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
-    f = physical.choose_form(len(centers), _dims(centers), form)
+    d = _dims(centers)
+    f = physical.choose_form(len(centers), d, form)
     if f == "expr":
-        return [r.asDict() for r in cluster_stats(points, centers, ids, features, weight, "expr").collect()]
+        return _collect_stats_sql(points, centers, ids, features, weight)
     cols = _fcols(features) + ([weight] if weight else [])
     part = points.select(*cols).mapInArrow(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),
@@ -163,6 +165,42 @@ def collect_stats(
     return assemble_long(tot, _dims(centers))
 
 
+def _collect_stats_sql(points, centers, ids, features, weight) -> list[dict]:
+    """The expression-form round as one SQL statement over a temporary view.
+
+    Same plan as ``cluster_stats`` (distances, minimum, first centre at the
+    minimum, partial + final aggregation on ``cid``), but the driver parses
+    and analyses one statement instead of one DataFrame per step, which is
+    most of the per-round driver time on small inputs.
+    """
+    spark = points.sparkSession
+    d = len(centers[0])
+    xs = elem_sql(features, d)
+    carry = [f"`{c}`" for c in _fcols(features)] + ([f"`{weight}`"] if weight else [])
+    dnames = [f"`_d{k}`" for k in range(len(centers))]
+    dexpr = [f"{sq_dist_sql(xs, c)} AS {n}" for c, n in zip(centers, dnames)]
+    m = dnames[0] if len(dnames) == 1 else f"least({', '.join(dnames)})"
+    case = " ".join(f"WHEN {n} = `_m` THEN {cid}" for n, cid in zip(dnames, ids))
+    wt = f" * `{weight}`" if weight else ""
+    wsum = f"sum(`{weight}`)" if weight else "CAST(count(1) AS DOUBLE)"
+    sums = ", ".join(f"sum({x}{wt}) AS `_s{i}`" for i, x in enumerate(xs))
+    view = f"lodestar_round_{uuid.uuid4().hex[:16]}"
+    points.createOrReplaceTempView(view)
+    try:
+        rows = spark.sql(
+            f"SELECT cid, count(1) AS n, {wsum} AS weight, sum(d2{wt}) AS sse, {sums} FROM ("
+            f"SELECT {', '.join(carry)}, CAST(CASE {case} END AS INT) AS cid, `_m` AS d2 FROM ("
+            f"SELECT {', '.join(carry)}, {', '.join(dnames)}, {m} AS `_m` FROM ("
+            f"SELECT {', '.join(carry)}, {', '.join(dexpr)} FROM `{view}`))) GROUP BY cid"
+        ).collect()
+    finally:
+        spark.catalog.dropTempView(view)
+    return [
+        {"cid": r["cid"], "n": r["n"], "weight": r["weight"], "sse": r["sse"], "sums": [r[f"_s{i}"] for i in range(d)]}
+        for r in rows
+    ]
+
+
 def assemble_long(rows, d: int) -> list[dict]:
     out: dict[int, dict] = {}
     for r in rows:

@@ -62,8 +62,7 @@ def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -
         step = max(1, 4_000_000 // max(1, len(cent) * d))
         blk = x[s : s + step]
         if len(cent):
-            diff = blk[:, None, :] - cent[None, :, :]
-            mind = np.sqrt((diff * diff).sum(axis=2)).min(axis=1)
+            mind = np.sqrt(physical.sq_dists(blk, cent)).min(axis=1)
             cand = np.nonzero(mind > radius)[0]
         else:
             cand = np.arange(len(blk))
@@ -71,8 +70,7 @@ def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -
         for i in cand:
             v = blk[i]
             if new:
-                nd = np.asarray(new) - v
-                if np.sqrt((nd * nd).sum(axis=1)).min() <= radius:
+                if np.sqrt(physical.sq_dists(v[None, :], np.asarray(new))).min() <= radius:
                     continue
             new.append(v)
             picked.append(s + int(i))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators.lloyd import KMeansResult, kmeans
-from lodestar.plans import storage
+from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED, first_rows, seeded_sample
 
 DEFAULT_BLOCK_ROWS = 20_000
@@ -37,11 +37,10 @@ def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
     """Sum of Euclidean distances over all (row of a, row of b) pairs."""
     if len(a) == 0 or len(b) == 0:
         return 0.0
-    step = max(1, 4_000_000 // max(1, len(b) * a.shape[1]))
+    step = max(1, 4_000_000 // max(1, len(b)))
     total = 0.0
     for s in range(0, len(a), step):
-        diff = a[s : s + step, None, :] - b[None, :, :]
-        total += float(np.sqrt((diff * diff).sum(axis=2)).sum())
+        total += float(np.sqrt(physical.sq_dists(a[s : s + step], b)).sum())
     return total
 
 
@@ -55,7 +54,7 @@ def pair_distance_sum(
     n = points.count()
     if n == 0:
         return 0.0
-    nb = max(1, math.ceil(n / block_rows))
+    nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
     blk = points.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int").alias("blk"),
         F.col(features).alias("features"),
@@ -64,14 +63,14 @@ def pair_distance_sum(
         F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", "features"
     )
 
+    def block(pdf, b):
+        v = pdf.loc[pdf["blk"] == b, "features"].to_numpy()
+        return np.stack(v).astype(np.float64) if len(v) else np.empty((0, 1))
+
     def fn(pdf):
         ta, tb = int(pdf["ta"].iloc[0]), int(pdf["tb"].iloc[0])
-        a = np.stack(pdf.loc[pdf["blk"] == ta, "features"].to_numpy()).astype(np.float64)
-        if ta == tb:
-            s = _tile_sum(a, a)
-        else:
-            b = np.stack(pdf.loc[pdf["blk"] == tb, "features"].to_numpy()).astype(np.float64)
-            s = 2.0 * _tile_sum(a, b)
+        a = block(pdf, ta)
+        s = _tile_sum(a, a) if ta == tb else 2.0 * _tile_sum(a, block(pdf, tb))
         return __import__("pandas").DataFrame({"ta": [ta], "tb": [tb], "s": [s]})
 
     tiles = rep.groupBy("ta", "tb").applyInPandas(fn, "ta int, tb int, s double")
@@ -111,8 +110,7 @@ def density_stats(sample: DataFrame, t2: float, features: str = "features") -> D
             x = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(
                 rb.num_rows, -1
             )
-            diff = x[:, None, :] - mat[None, :, :]
-            d2 = (diff * diff).sum(axis=2)
+            d2 = physical.sq_dists(x, mat)
             inside = d2 <= thr
             yield rb.append_column("density", pa.array(inside.sum(axis=1), pa.int64())).append_column(
                 "rowsum", pa.array(d2.sum(axis=1), pa.float64())

@@ -11,13 +11,14 @@ value). Order: squared distance, then ids.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.plans import physical
+
 DEFAULT_BLOCK_ROWS = 20_000
 
 PAIR_SCHEMA = "i bigint, j bigint, d2 double, mid array<double>"
@@ -26,10 +27,9 @@ PAIR_SCHEMA = "i bigint, j bigint, d2 double, mid array<double>"
 def _tile_topk(ia, xa, ib, xb, k: int, same: bool):
     """Top-k (d2, i, j) unordered pairs with i < j between two blocks."""
     out_i, out_j, out_d = [], [], []
-    step = max(1, 4_000_000 // max(1, len(xb) * xa.shape[1]))
+    step = max(1, 4_000_000 // max(1, len(xb)))
     for s in range(0, len(xa), step):
-        diff = xa[s : s + step, None, :] - xb[None, :, :]
-        d2 = (diff * diff).sum(axis=2)
+        d2 = physical.sq_dists(xa[s : s + step], xb)
         ii = np.broadcast_to(ia[s : s + step, None], d2.shape)
         jj = np.broadcast_to(ib[None, :], d2.shape)
         lo, hi = np.minimum(ii, jj), np.maximum(ii, jj)
@@ -50,6 +50,17 @@ def _tile_topk(ia, xa, ib, xb, k: int, same: bool):
     return a[order], b[order], d[order]
 
 
+def _pairs_frame(i, j, d2, mids) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "i": pd.Series(i, dtype="int64"),
+            "j": pd.Series(j, dtype="int64"),
+            "d2": pd.Series(d2, dtype="float64"),
+            "mid": pd.Series(list(mids), dtype=object),
+        }
+    )
+
+
 def closest_pairs(
     points: DataFrame,
     k: int,
@@ -65,7 +76,7 @@ def closest_pairs(
     the reference's ``cartesian``.
     """
     n = points.count()
-    nb = max(1, math.ceil(n / block_rows))
+    nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
     blk = points.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int").alias("blk"),
         F.col(id_col).cast("bigint").alias("id"),
@@ -80,6 +91,8 @@ def closest_pairs(
         ta, tb = int(pdf["ta"].iloc[0]), int(pdf["tb"].iloc[0])
         pa_ = pdf[pdf["blk"] == ta]
         pb_ = pa_ if ta == tb else pdf[pdf["blk"] == tb]
+        if pa_.empty or pb_.empty:  # a hash block may be empty
+            return _pairs_frame([], [], [], [])
         xa = np.stack(pa_["features"].to_numpy()).astype(np.float64)
         xb = np.stack(pb_["features"].to_numpy()).astype(np.float64)
         ia = pa_["id"].to_numpy(np.int64)
@@ -88,7 +101,7 @@ def closest_pairs(
         vec = dict(zip(ia.tolist(), xa))
         vec.update(zip(ib.tolist(), xb))
         mids = [((vec[int(x)] + vec[int(y)]) / 2.0).tolist() for x, y in zip(a, b)]
-        return pd.DataFrame({"i": a, "j": b, "d2": d, "mid": mids})
+        return _pairs_frame(a, b, d, mids)
 
     cand = rep.groupBy("ta", "tb").applyInPandas(fn, PAIR_SCHEMA)
     if ordered:

@@ -63,6 +63,29 @@ def _features_matrix(rb: pa.RecordBatch, features, d: int) -> np.ndarray:
     return np.asarray(flat, dtype=np.float64).reshape(-1, d)
 
 
+def sq_dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``len(a) x len(b)`` squared distances, dimensions summed left to right.
+
+    The same operation order as the unrolled Spark and SQL expressions, so
+    ties and thresholds resolve identically; 2-D passes also beat a reduction
+    over a short last axis.
+    """
+    out = np.zeros((a.shape[0], b.shape[0]))
+    for j in range(a.shape[1]):
+        diff = a[:, j, None] - b[None, :, j]
+        out += diff * diff
+    return out
+
+
+def tile_blocks(n: int, block_rows: int, parallelism: int) -> int:
+    """Blocks for an all-pairs tiling: at most ``block_rows`` rows per block, and
+    at least enough tiles (b * (b + 1) / 2) for two per core on small inputs."""
+    b = max(1, -(-n // block_rows))
+    while b * (b + 1) // 2 < 2 * parallelism and b < n:
+        b += 1
+    return b
+
+
 def _nearest(x: np.ndarray, c: np.ndarray, eligible: np.ndarray | None = None):
     """Row-chunked argmin; first minimum = lowest id on ties."""
     n, k = x.shape[0], c.shape[0]
@@ -71,8 +94,7 @@ def _nearest(x: np.ndarray, c: np.ndarray, eligible: np.ndarray | None = None):
     step = max(1, _BLOCK_ELEMS // max(1, k * x.shape[1]))
     for s in range(0, n, step):
         blk = x[s : s + step]
-        diff = blk[:, None, :] - c[None, :, :]
-        d2 = np.einsum("nkd,nkd->nk", diff, diff)
+        d2 = sq_dists(blk, c)
         if eligible is not None:
             d2 = np.where(eligible[s : s + step], d2, np.inf)
         j = d2.argmin(axis=1)
@@ -189,8 +211,7 @@ def arrow_within_fn(
             step = max(1, _BLOCK_ELEMS // max(1, k * d))
             parts = []
             for s in range(0, x.shape[0], step):
-                diff = x[s : s + step, None, :] - c[None, :, :]
-                parts.append(np.sqrt(np.einsum("nkd,nkd->nk", diff, diff)) < radius)
+                parts.append(np.sqrt(sq_dists(x[s : s + step], c)) < radius)
             inside = np.concatenate(parts) if parts else np.zeros((0, k), dtype=bool)
             counts = inside.sum(axis=1)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
