@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 20222132
+# Rows fetched to the driver while looking for distinct seeds before switching
+# to the distributed form.
+MAX_FETCH = 65_536
 
 
 def sample_key(id_col: str = "id", seed: int = DEFAULT_SEED):
@@ -65,7 +68,7 @@ def seed_vectors(
     if how not in ("sample", "first"):
         raise ValueError(f"unknown seeding {how!r}")
     m = k
-    while True:
+    while m <= MAX_FETCH:
         rows = points.orderBy(*order).limit(m).select(features).collect()
         vecs = [list(r[0]) for r in rows]
         if not distinct:
@@ -84,3 +87,10 @@ def seed_vectors(
                 raise ValueError(f"k={k} exceeds the number of available (distinct) points")
             return picked
         m *= 4
+    # Heavy duplication: rank each distinct value by its first row in the same
+    # order, on Spark (map-side combine collapses the copies before the shuffle).
+    keyed = points.select(F.struct(*order).alias("_o"), F.col(features).alias("_f"))
+    firsts = keyed.groupBy("_f").agg(F.min("_o").alias("_o")).orderBy("_o").limit(k).collect()
+    if len(firsts) < k:
+        raise ValueError(f"k={k} exceeds the number of available distinct points")
+    return [list(r["_f"]) for r in firsts]

@@ -61,3 +61,14 @@ def test_projection_prunes_columns(spark):
     pv = table_vectors(li, "l_orderkey", feature_cols=["l_quantity", "l_discount"])
     plan = pv.points._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan and "l_returnflag" not in plan
+
+
+def test_distinct_seeds_under_heavy_duplication(spark, frame, monkeypatch):
+    import lodestar.sources.sample as smp
+
+    vecs = [[1.0, 1.0]] * 200 + [[2.0, 2.0]] * 3 + [[3.0, 3.0]]
+    want = smp.seed_vectors(frame(vecs), 3, distinct=True)
+    monkeypatch.setattr(smp, "MAX_FETCH", 4)  # force the distributed path
+    got = smp.seed_vectors(frame(vecs, parts=3), 3, distinct=True)
+    assert sorted(map(tuple, got)) == [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)]
+    assert got == want
