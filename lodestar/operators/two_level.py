@@ -63,6 +63,39 @@ def partial_centroids(
     )
 
 
+def collect_partial_centroids(
+    points: DataFrame,
+    centers: list[list[float]],
+    bucket: str = "bucket",
+    features: str = "features",
+    form: str = "auto",
+) -> list[tuple]:
+    """Partial centroid rows ``(id, bucket, cid, center, weight)`` on the driver
+    (at most buckets x K rows). The Arrow form accumulates per (bucket, cid) in
+    each task and needs one small shuffle."""
+    k, d = len(centers), len(centers[0])
+    if physical.choose_form(k, d, form) == "expr":
+        rows = partial_centroids(points, centers, bucket, features, form).collect()
+        return [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows]
+    part = points.select(F.col(bucket).cast("int").alias(bucket), features).mapInArrow(
+        physical.arrow_group_stats_fn(centers, list(range(k)), bucket, features),
+        "grp int, cid int, dim int, value double",
+    )
+    tot = part.groupBy("grp", "cid", "dim").agg(F.sum("value").alias("value")).collect()
+    acc: dict[tuple[int, int], dict] = {}
+    for r in tot:
+        a = acc.setdefault((int(r["grp"]), int(r["cid"])), {"sums": [0.0] * d})
+        dim, v = int(r["dim"]), float(r["value"])
+        if dim == physical.DIM_COUNT:
+            a["n"] = v
+        elif dim >= 0:
+            a["sums"][dim] = v
+    out = []
+    for (g, cid), a in sorted(acc.items()):
+        out.append((g * k + cid, g, cid, [x / a["n"] for x in a["sums"]], a["n"]))
+    return out
+
+
 def seeds_from_pairs(centroids: DataFrame, k: int, ordered: bool = False) -> list[list[float]]:
     """Midpoints of the k closest pairs (padded from the heaviest centroids)."""
     mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered).orderBy("rank").collect()]
@@ -130,15 +163,12 @@ def kmeans_two_level(
         physical.choose_form(len(centers), len(centers[0]), form)
         trace = []
         for it in range(1, max_iter + 1):
-            rows = partial_centroids(pts, centers, "bucket", "features", form).collect()
-            cent = local_frame(spark, 
-                [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows],
-                CENTROID_SCHEMA,
-            )
+            rows = collect_partial_centroids(pts, centers, "bucket", "features", form)
+            cent = local_frame(spark, rows, CENTROID_SCHEMA)
             if len(centers) == 1:
-                tot = sum(r["weight"] for r in rows)
+                tot = sum(r[4] for r in rows)
                 d = len(centers[0])
-                new = [[sum(r["weight"] * r["features"][i] for r in rows) / tot for i in range(d)]]
+                new = [[sum(r[4] * r[3][i] for r in rows) / tot for i in range(d)]]
             else:
                 seeds = seeds_from_pairs(cent, len(centers), ordered_pairs)
                 new = inner_kmeans(cent, seeds, inner_iter, weighted, form)

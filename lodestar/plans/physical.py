@@ -77,11 +77,18 @@ def sq_dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+# Below this many rows the all-pairs work of one tile is too small to split.
+TILE_SPLIT_ROWS = 4_096
+
+
 def tile_blocks(n: int, block_rows: int, parallelism: int) -> int:
-    """Blocks for an all-pairs tiling: at most ``block_rows`` rows per block, and
-    at least enough tiles (b * (b + 1) / 2) for two per core on small inputs."""
+    """Blocks for an all-pairs tiling: at most ``block_rows`` rows per block, and,
+    once the pair work is worth splitting, enough tiles (b * (b + 1) / 2) for
+    two per core."""
     b = max(1, -(-n // block_rows))
-    while b * (b + 1) // 2 < 2 * parallelism and b < n:
+    if n < TILE_SPLIT_ROWS:
+        return b
+    while b * (b + 1) // 2 < 2 * parallelism:
         b += 1
     return b
 
@@ -176,6 +183,53 @@ def arrow_partial_stats_fn(
     return fn
 
 
+def arrow_group_stats_fn(
+    centers: Sequence[Sequence[float]],
+    ids: Sequence[int],
+    group: str,
+    features: str = "features",
+):
+    """Like ``arrow_partial_stats_fn`` but per (group value, cluster), for the
+    two-level partial centroids: rows ``(grp, cid, dim, value)``."""
+    c = np.asarray(centers, dtype=np.float64)
+    id_arr = np.asarray(ids, dtype=np.int32)
+    k, d = c.shape
+
+    def fn(batches):
+        acc: dict[int, np.ndarray] = {}  # grp -> k x (d + 2): count, sse, sums
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x = _features_matrix(rb, features, d)
+            g = np.asarray(rb.column(group).to_numpy(zero_copy_only=False), dtype=np.int64)
+            lab, mind = _nearest(x, c)
+            for gv in np.unique(g):
+                sel = g == gv
+                a = acc.setdefault(int(gv), np.zeros((k, d + 2)))
+                lb = lab[sel]
+                a[:, 0] += np.bincount(lb, minlength=k)
+                a[:, 1] += np.bincount(lb, weights=mind[sel], minlength=k)
+                xs = x[sel]
+                for j in range(d):
+                    a[:, 2 + j] += np.bincount(lb, weights=xs[:, j], minlength=k)
+        if not acc:
+            return
+        grp, cids, dims, vals = [], [], [], []
+        for gv, a in acc.items():
+            for kk in np.nonzero(a[:, 0])[0]:
+                grp += [gv] * (d + 3)
+                cids += [int(id_arr[kk])] * (d + 3)
+                dims += [DIM_COUNT, DIM_WEIGHT, DIM_SSE] + list(range(d))
+                vals += [a[kk, 0], a[kk, 0], a[kk, 1]] + list(a[kk, 2:])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(grp, pa.int32()), pa.array(cids, pa.int32()), pa.array(dims, pa.int32()),
+             pa.array(vals, pa.float64())],
+            names=["grp", "cid", "dim", "value"],
+        )
+
+    return fn
+
+
 def _list_mask(col: pa.Array, ids_index: dict[int, int], m: int) -> np.ndarray:
     """Rows x m boolean matrix from a list<int> column of canopy ids."""
     if isinstance(col, pa.ChunkedArray):
