@@ -143,13 +143,25 @@ def kmeans(
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
-    start = resolve_init(points.select(*cols), k, init, seed, distinct_seeds, features, id_col)
+    seeded = isinstance(init, str)
+    if seeded:
+        # Only the dimension is needed before the points are prepared; the
+        # seeds are then drawn from the persisted copy, so the source is read
+        # once (the seeding pass also fills the cache).
+        if k is None or k < 1:
+            raise ValueError("k >= 1 is required for seeded initialisation")
+        first = points.select(F.size(features).alias("d")).first()
+        if first is None:
+            raise ValueError("no points")
+        kk, d = k, int(first["d"])
+    else:
+        start = resolve_init(points.select(*cols), k, init, seed, distinct_seeds, features, id_col)
+        kk, d = len(start), len(start[0])
     # Iterated copy. For the expression form, one double column per dimension:
     # the columnar cache stores it compressed and scans it vectorized, while an
     # array column is decoded row by row on every round. The Arrow kernel reads
     # the array's flat buffer zero-copy, which beats stacking many columns.
-    d = len(start[0])
-    if physical.choose_form(len(start), d, form) == "expr":
+    if physical.choose_form(kk, d, form) == "expr":
         feats = [f"_x{i}" for i in range(d)]
         fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feats)]
     else:
@@ -158,6 +170,11 @@ def kmeans(
         points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col
     )
     prepared = storage.materialize(prepared, "kmeans") if checkpoint else storage.keep(prepared)
+    if seeded:
+        vec = F.array(*[F.col(c) for c in feats]) if isinstance(feats, list) else F.col(feats)
+        start = seed_vectors(
+            prepared.select(id_col, vec.alias("_seedvec")), k, seed, distinct_seeds, init, id_col, "_seedvec"
+        )
     try:
         centers, trace, last = lloyd_rounds(
             prepared, start, tol, max_iter, feats, weight, on_empty, form, id_col
