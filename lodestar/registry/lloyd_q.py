@@ -11,7 +11,7 @@ from lodestar.operators.lloyd import kmeans
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, table, vectors
 from lodestar.sources.sample import seed_vectors, seeded_sample
-from lodestar.sources.text import parse_vectors
+from lodestar.sources.text import parse_tagged
 
 # Fixed parameters of the registered queries.
 NEAREST_K = 8  # first 8 embeddings by vec_id are the fixed centres
@@ -50,18 +50,14 @@ def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_vector_scan(spark: SparkSession, sf: str) -> DataFrame:
-    pv = parse_vectors(_order_lines(spark, sf), "value", "id", ",", dim=3)
-    ok = pv.points.select(
+    # One pass: accepted and rejected lines come out of the same parse.
+    tagged = parse_tagged(_order_lines(spark, sf), "value", "id", ",", dim=3)
+    ok = F.col("reason").isNull()
+    return tagged.select(
         F.col("id").alias("o_orderkey"),
-        F.lit("ok").alias("reason"),
-        *[F.col("features")[i].alias(f"f{i}") for i in range(3)],
+        F.coalesce(F.col("reason"), F.lit("ok")).alias("reason"),
+        *[F.when(ok, F.col("features")[i]).alias(f"f{i}") for i in range(3)],
     )
-    bad = pv.rejects.select(
-        F.col("id").alias("o_orderkey"),
-        "reason",
-        *[F.lit(None).cast("double").alias(f"f{i}") for i in range(3)],
-    )
-    return ok.unionByName(bad)
 
 
 SQL_TEXT_VECTOR_SCAN = """

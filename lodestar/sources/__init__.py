@@ -8,13 +8,14 @@ from lodestar.sources.sample import (
     seeded_sample,
 )
 from lodestar.sources.table import table_vectors
-from lodestar.sources.text import ParsedVectors, infer_dim, parse_vectors, read_text_vectors
+from lodestar.sources.text import ParsedVectors, infer_dim, parse_tagged, parse_vectors, read_text_vectors
 
 __all__ = [
     "DEFAULT_SEED",
     "ParsedVectors",
     "first_rows",
     "infer_dim",
+    "parse_tagged",
     "parse_vectors",
     "read_text_vectors",
     "sample_key",

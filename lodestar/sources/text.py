@@ -37,16 +37,16 @@ def infer_dim(df: DataFrame, value_col: str = "value", sep: str = ",") -> int:
     return int(row["w"])
 
 
-def parse_vectors(
+def parse_tagged(
     df: DataFrame,
     value_col: str = "value",
     id_col: str = "id",
     sep: str = ",",
     dim: int | None = None,
-) -> ParsedVectors:
-    """Parse a string column of delimited numbers into ``features``.
+) -> DataFrame:
+    """Every line once: ``id, line, features, reason`` (reason null = accepted).
 
-    ``df`` must carry ``id_col``; the result keeps it as ``id``.
+    One pass over the text serves both outcomes; ``parse_vectors`` splits it.
     """
     if dim is None:
         dim = infer_dim(df, value_col, sep)
@@ -60,7 +60,22 @@ def parse_vectors(
         F.when(F.col("line").isNull() | has_null, F.lit("non_numeric"))
         .when(F.size("features") != F.lit(dim), F.lit("width"))
     )
-    tagged = parsed.withColumn("reason", reason)
+    return parsed.withColumn("reason", reason)
+
+
+def parse_vectors(
+    df: DataFrame,
+    value_col: str = "value",
+    id_col: str = "id",
+    sep: str = ",",
+    dim: int | None = None,
+) -> ParsedVectors:
+    """Parse a string column of delimited numbers into ``features``.
+
+    ``df`` must carry ``id_col``; the result keeps it as ``id``. Using both
+    frames reads the input twice; persist ``parse_tagged`` to read it once.
+    """
+    tagged = parse_tagged(df, value_col, id_col, sep, dim)
     points = tagged.where(F.col("reason").isNull()).select("id", "features")
     rejects = tagged.where(F.col("reason").isNotNull()).select("id", "line", "reason")
     return ParsedVectors(points, rejects)
