@@ -1,5 +1,17 @@
 """lodestar: k-means family clustering of dense vectors as Spark DataFrame jobs."""
 
+import sys as _sys
+
+# The Arrow / pandas task functions are closures over this package's helpers.
+# Pickle the package by value so Python workers need only NumPy, pandas and
+# Arrow, not an installed copy of lodestar (no --py-files step on a cluster).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship with --py-files
+    pass
+
 from lodestar.operators import (
     KMeansResult,
     assign,
