@@ -234,14 +234,14 @@ def kmeans_canopy(
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
-    checkpoint: bool = False,
+    checkpoint: bool | None = None,
 ) -> CanopyResult:
     """K6: canopy k-means; K = number of global canopies.
 
     ``distinct=True`` first collapses points equal by value (lowest id kept),
     as the reference keys points by their vector. Loop: while delta > tol and
-    rounds < max_iter, with at least one round. ``checkpoint=True`` writes the
-    canopy memberships under ``spark.checkpoint.dir`` instead of caching them.
+    rounds < max_iter, with at least one round. Points and memberships are
+    prepared as in ``plans.storage.prepare`` (``checkpoint`` forces either way).
     """
     spark = points.sparkSession
     extra = [bucket_col] if bucket_col else []
@@ -249,7 +249,8 @@ def kmeans_canopy(
     if distinct:
         aggs = [F.min("id").alias("id")] + [F.min_by(c, "id").alias(c) for c in extra]
         pts = pts.groupBy("features").agg(*aggs).select("id", "features", *extra)
-    pts = storage.keep(storage.spread(pts, "id"))
+    base = pts  # source lineage, for the lazily evaluated outputs
+    pts = storage.prepare(storage.spread(pts, "id"), "canopy-points", checkpoint)
     try:
         cands = storage.keep(local_canopies(pts, t1, buckets, bucket_col, bucket_rows))
         canopies = merge_canopies(cands, t3)
@@ -258,7 +259,7 @@ def kmeans_canopy(
         canopy_ids = [c for c, _ in canopy_list]
         memb_all = canopy_membership(pts.select("id", "features"), canopy_list, t2, "features", form)
         covered = memb_all.where(F.size("canopies") > 0)
-        memb = storage.materialize(covered, "canopy") if checkpoint else storage.keep(covered)
+        memb = storage.prepare(covered, "canopy-members", checkpoint)
         store = {c: list(v) for c, v in canopy_list}
         active = {c: (list(v), [c]) for c, v in canopy_list}
         trace, sizes, last_active = [], {}, dict(active)
@@ -286,6 +287,8 @@ def kmeans_canopy(
     cdf = local_frame(spark, crow, "cid int, center array<double>, size bigint, active boolean")
     kdf = local_frame(spark, canopies, "canopy int, id bigint, center array<double>")
     tdf = local_frame(spark, trace, "iter int, delta double, clusters int")
+    # Lazy outputs read the source, not the prepared copy released above.
+    memb_all = canopy_membership(base.select("id", "features"), canopy_list, t2, "features", form)
     memb_lazy = memb_all.where(F.size("canopies") > 0)
     if last_active:
         adf = restricted_assign(memb_lazy, last_active, canopy_ids, "features", form).select("id", "cid")

@@ -218,14 +218,14 @@ def kmeans_density(
 ) -> tuple[KMeansResult, float, DensitySeeds]:
     """K5: adaptive radius (unless ``t2`` is given), density seeding on a
     ``sample_n`` sample (``'seeded'`` md5 order or ``'first'`` ids), Lloyd."""
-    pts = storage.keep(
-        storage.spread(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")), "id")
-    )
+    src = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"))
+    pts = storage.prepare(storage.spread(src, "id"), "density")
     try:
         radius = adaptive_radius(pts, coef) if t2 is None else float(t2)
         smp = seeded_sample(pts, sample_n, seed) if sample == "seeded" else first_rows(pts, sample_n)
         seeds = density_seed(smp, radius, max_centers, weight)
-        res = kmeans(pts, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form)
     finally:
         storage.release(pts)
+    # K1 prepares its own copy; its lazy assignments read the source.
+    res = kmeans(src, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form)
     return res, radius, seeds

@@ -129,7 +129,7 @@ def kmeans(
     form: str = "auto",
     features: str = "features",
     id_col: str = "id",
-    checkpoint: bool = False,
+    checkpoint: bool | None = None,
 ) -> KMeansResult:
     """Lloyd k-means on ``(id, features[, weight])`` rows.
 
@@ -137,9 +137,9 @@ def kmeans(
     (md5-seeded sample of ``k`` rows, see ``sources.sample``) or ``'first'``.
     ``on_empty``: ``'keep'`` (an empty cluster keeps its centre), ``'error'``,
     or ``'reseed'`` (farthest point from its centre, lowest id on ties).
-    ``checkpoint=True`` writes the prepared points as Parquet under the
-    session's ``spark.checkpoint.dir`` instead of caching them, cutting the
-    lineage (for an expensive source such as parsed text).
+    The prepared points go to Parquet under the session's
+    ``spark.checkpoint.dir`` when one is set (``checkpoint=None``; see
+    ``plans.storage``), else to the cache; ``checkpoint`` forces either.
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
@@ -169,7 +169,7 @@ def kmeans(
     prepared = storage.spread(
         points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col
     )
-    prepared = storage.materialize(prepared, "kmeans") if checkpoint else storage.keep(prepared)
+    prepared = storage.prepare(prepared, "kmeans", checkpoint)
     if seeded:
         vec = F.array(*[F.col(c) for c in feats]) if isinstance(feats, list) else F.col(feats)
         start = seed_vectors(

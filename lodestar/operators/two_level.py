@@ -152,11 +152,12 @@ def kmeans_two_level(
         if bucket_col
         else F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int")
     )
-    pts = storage.keep(
+    pts = storage.prepare(
         storage.spread(
             points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket")),
             "id",
-        )
+        ),
+        "two-level",
     )
     try:
         centers = resolve_init(pts, k, init, seed, False, "features", "id")
