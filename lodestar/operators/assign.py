@@ -155,7 +155,7 @@ def collect_stats(
     d = _dims(centers)
     f = physical.choose_form(len(centers), d, form)
     if f == "expr":
-        return _collect_stats_sql(points, centers, ids, features, weight)
+        return collect_stats_sql(points, centers, ids, features, weight)
     cols = _fcols(features) + ([weight] if weight else [])
     part = points.select(*cols).mapInArrow(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),
@@ -165,7 +165,7 @@ def collect_stats(
     return assemble_long(tot, _dims(centers))
 
 
-def _collect_stats_sql(points, centers, ids, features, weight) -> list[dict]:
+def collect_stats_sql(points, centers, ids, features, weight, eligible=None, extra=()) -> list[dict]:
     """The expression-form round as one SQL statement over a temporary view.
 
     Same plan as ``cluster_stats`` (distances, minimum, first centre at the
@@ -177,8 +177,14 @@ def _collect_stats_sql(points, centers, ids, features, weight) -> list[dict]:
     d = len(centers[0])
     xs = elem_sql(features, d)
     carry = [f"`{c}`" for c in _fcols(features)] + ([f"`{weight}`"] if weight else [])
+    carry += [f"`{c}`" for c in extra]
     dnames = [f"`_d{k}`" for k in range(len(centers))]
-    dexpr = [f"{sq_dist_sql(xs, c)} AS {n}" for c, n in zip(centers, dnames)]
+    dexpr = []
+    for k, (c, n) in enumerate(zip(centers, dnames)):
+        e = sq_dist_sql(xs, c)
+        if eligible is not None:  # masked centres give null; least() skips nulls
+            e = f"CASE WHEN {eligible[k]} THEN {e} END"
+        dexpr.append(f"{e} AS {n}")
     m = dnames[0] if len(dnames) == 1 else f"least({', '.join(dnames)})"
     case = " ".join(f"WHEN {n} = `_m` THEN {cid}" for n, cid in zip(dnames, ids))
     wt = f" * `{weight}`" if weight else ""
@@ -191,7 +197,7 @@ def _collect_stats_sql(points, centers, ids, features, weight) -> list[dict]:
             f"SELECT cid, count(1) AS n, {wsum} AS weight, sum(d2{wt}) AS sse, {sums} FROM ("
             f"SELECT {', '.join(carry)}, CAST(CASE {case} END AS INT) AS cid, `_m` AS d2 FROM ("
             f"SELECT {', '.join(carry)}, {', '.join(dnames)}, {m} AS `_m` FROM ("
-            f"SELECT {', '.join(carry)}, {', '.join(dexpr)} FROM `{view}`))) GROUP BY cid"
+            f"SELECT {', '.join(carry)}, {', '.join(dexpr)} FROM `{view}`))) WHERE cid IS NOT NULL GROUP BY cid"
         ).collect()
     finally:
         spark.catalog.dropTempView(view)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.functions.vectors import elem_sql, sq_dist_sql, sql_double, with_nearest
-from lodestar.operators.assign import assign, stats_from_partials
+from lodestar.operators.assign import collect_stats_sql, assign, stats_from_partials
 from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
@@ -196,14 +196,10 @@ def _restricted_stats(memb, clusters, canopy_ids, features, form) -> list:
     vecs = [clusters[c][0] for c in cids]
     f = physical.choose_form(len(vecs), len(vecs[0]), form)
     if f == "expr":
-        a = restricted_assign(memb.select(features, "canopies"), clusters, canopy_ids, features, "expr")
-        d = len(vecs[0])
-        xs = elem_sql(features, d)
-        return (
-            a.groupBy("cid")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"sum({xs[i]})").alias(f"_s{i}") for i in range(d)])
-            .select("cid", "n", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums"))
-            .collect()
+        csets = [clusters[c][1] for c in cids]
+        return collect_stats_sql(
+            memb.select(features, "canopies"), vecs, cids, features, None,
+            eligible=_eligibility(csets), extra=["canopies"],
         )
     part = memb.select(features, "canopies").mapInArrow(
         physical.arrow_restricted_stats_fn(vecs, cids, [clusters[c][1] for c in cids], canopy_ids, features),
