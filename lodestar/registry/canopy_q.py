@@ -10,16 +10,20 @@ from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, sql_vectors, vectors
 from lodestar.plans.storage import local_frame
 
-# Fixed parameters: customer (c_acctbal, c_nationkey), four id-modulo buckets.
+# Fixed parameters: customer (c_acctbal, c_nationkey). The bucket count grows
+# with the table, ceil(rows / BUCKET_ROWS), so no local pass holds more than
+# about BUCKET_ROWS points at any scale; bucket = id % count, in SQL alike.
 VIEW = "cust"
 T1, T2, T3 = 2000.0, 900.0, 2000.0
 TOL, MAX_ITER = 0.001, 20
-BUCKETS = 4
+BUCKET_ROWS = 500
 DELTA_ROUND = 3
 
 
 def _points(spark, sf):
-    return vectors(spark, sf, VIEW).withColumn("bucket", (F.col("id") % BUCKETS).cast("int"))
+    pts = vectors(spark, sf, VIEW)
+    nb = max(1, -(-pts.count() // BUCKET_ROWS))
+    return pts.withColumn("bucket", (F.col("id") % nb).cast("int"))
 
 
 def _distinct(spark, sf):
@@ -92,8 +96,10 @@ def _sql_base_ctes() -> list[str]:
     dim = DIMS[VIEW]
     return [
         f"cpts AS MATERIALIZED (SELECT min(id) AS id, f FROM ({sql_vectors(VIEW)}) GROUP BY f)",
-        f"cb AS MATERIALIZED (SELECT id, f, CAST(id % {BUCKETS} AS INTEGER) AS bucket, "
-        f"row_number() OVER (PARTITION BY id % {BUCKETS} ORDER BY id) AS rn FROM cpts)",
+        f"nb AS MATERIALIZED (SELECT CAST(greatest(1, ceil(count(*) / {BUCKET_ROWS}.0)) AS BIGINT) AS b "
+        f"FROM ({sql_vectors(VIEW)}))",
+        "cb AS MATERIALIZED (SELECT id, f, CAST(id % (SELECT b FROM nb) AS INTEGER) AS bucket, "
+        "row_number() OVER (PARTITION BY id % (SELECT b FROM nb) ORDER BY id) AS rn FROM cpts)",
         _greedy_walk("walk1", "cb", "bucket", T1, dim),
         "loc AS MATERIALIZED (SELECT bucket, unnest(ids) AS id, unnest(cs) AS f FROM walk1 w "
         "WHERE rn = (SELECT max(rn) FROM cb WHERE cb.bucket = w.bucket))",
