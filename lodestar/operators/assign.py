@@ -197,13 +197,17 @@ def collect_stats_sql(points, centers, ids, features, weight, eligible=None, ext
             f"SELECT cid, count(1) AS n, {wsum} AS weight, sum(d2{wt}) AS sse, {sums} FROM ("
             f"SELECT {', '.join(carry)}, CAST(CASE {case} END AS INT) AS cid, `_m` AS d2 FROM ("
             f"SELECT {', '.join(carry)}, {', '.join(dnames)}, {m} AS `_m` FROM ("
-            f"SELECT {', '.join(carry)}, {', '.join(dexpr)} FROM `{view}`))) WHERE cid IS NOT NULL GROUP BY cid"
+            f"SELECT {', '.join(carry)}, {', '.join(dexpr)} FROM `{view}`))) GROUP BY cid"
         ).collect()
     finally:
         spark.catalog.dropTempView(view)
+    # Rows with no eligible centre form one null-cid group, dropped here: a
+    # WHERE on cid would be pushed below the projections and re-evaluate the
+    # distances inside the predicate.
     return [
         {"cid": r["cid"], "n": r["n"], "weight": r["weight"], "sse": r["sse"], "sums": [r[f"_s{i}"] for i in range(d)]}
         for r in rows
+        if r["cid"] is not None
     ]
 
 

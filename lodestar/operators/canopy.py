@@ -180,7 +180,12 @@ def restricted_assign(
     csets = [clusters[c][1] for c in cids]
     f = physical.choose_form(len(vecs), len(vecs[0]), form)
     if f == "expr":
-        out = with_nearest(memb, features, vecs, cids, _eligibility(csets))
+        # Keep only points sharing a canopy with some cluster, tested on the
+        # membership array before any distance: a filter on the derived cid
+        # would be pushed below the projections and recompute the distances.
+        union = sorted({int(c) for cs in csets for c in cs})
+        has = F.expr(f"arrays_overlap(canopies, array({', '.join(map(str, union)) or 'CAST(NULL AS INT)'}))")
+        return with_nearest(memb.where(has), features, vecs, cids, _eligibility(csets))
     else:
         schema = T.StructType(
             memb.schema.fields + [T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())]
@@ -254,8 +259,11 @@ def kmeans_canopy(
         canopy_list = [(c, v) for c, _, v in canopies]
         canopy_ids = [c for c, _ in canopy_list]
         memb_all = canopy_membership(pts.select("id", "features"), canopy_list, t2, "features", form)
-        covered = memb_all.where(F.size("canopies") > 0)
-        memb = storage.prepare(covered, "canopy-members", checkpoint)
+        # Persist first, then filter the stored array: filtering the derived
+        # column directly would be pushed into the projection and build every
+        # membership array twice.
+        memb_store = storage.prepare(memb_all, "canopy-members", checkpoint)
+        memb = memb_store.where(F.size("canopies") > 0)
         store = {c: list(v) for c, v in canopy_list}
         active = {c: (list(v), [c]) for c, v in canopy_list}
         trace, sizes, last_active = [], {}, dict(active)
@@ -276,7 +284,7 @@ def kmeans_canopy(
             trace.append((it, float(delta), len(new)))
             if delta <= tol:
                 break
-        storage.release(memb)
+        storage.release(memb_store)
     finally:
         storage.release(pts)
     crow = [(c, store[c], sizes.get(c, 0), c in active) for c in sorted(store)]
