@@ -101,3 +101,25 @@ def by_slots(df: DataFrame, n: int, col: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def bitmap_of(df: DataFrame, col: str, bits: int):
+    """Broadcast bitmap of the top ``bits`` bits of a 64-bit hash column: ``2^(bits - 3)`` bytes, however many rows there are.
+
+    Spark packs the bits into 64-bit words, so at most ``2^(bits - 6)`` rows come to the driver.
+    """
+    import numpy as np
+
+    top = f"shiftrightunsigned({col}, {64 - bits})"
+    words = df.select(F.expr(f"cast(shiftright({top}, 6) as int)").alias("word"), F.expr(f"shiftleft(1L, cast({top} & 63 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(1 << (bits - 6), "<i8")
+    out[[r["word"] for r in got]] = [r["bits"] for r in got]
+    return df.sparkSession.sparkContext.broadcast(out.view(np.uint8))
+
+
+def has_bit(bitmap, top):
+    """Whether the bitmap has each of the (already shifted) top bits."""
+    import numpy as np
+
+    return (bitmap[(top >> np.uint64(3)).astype(np.int64)] >> (top & np.uint64(7)).astype(np.uint8)) & 1 > 0

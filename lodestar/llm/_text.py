@@ -122,3 +122,21 @@ def window_starts(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     base = np.cumsum(n) - n
     at = np.arange(int(n.sum())) - np.repeat(base, n) + np.repeat(first[:-1], n)
     return at, doc
+
+
+def gathered_words(w: Words, keep: np.ndarray) -> pa.Array:
+    """Per text: its kept words joined by one space."""
+    i = np.flatnonzero(keep)
+    doc = w.doc()[i]
+    last = np.ones(len(i), bool)
+    last[:-1] = doc[1:] != doc[:-1]
+    n = w.end[i] - w.start[i]
+    size = n + ~last  # with the space after it
+    begin = np.cumsum(size) - size
+    out = np.full(int(size.sum()), 0x20, np.uint8)
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    out[np.repeat(begin, n) + inside] = w.buf[np.repeat(w.start[i], n) + inside]
+    per = np.zeros(len(w.first) - 1, np.int64)
+    np.add.at(per, doc, size)
+    off = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(per), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(out.tobytes())])

@@ -3,19 +3,79 @@
 from __future__ import annotations
 
 from lodestar.llm._common import table
+from lodestar.llm.decontam import contamination_digest
 from lodestar.llm.packing import pack_digest
+from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def op1_best_fit_packing(spark, sf_dir):
     return pack_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return dedup_digest(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, s, array_to_string(ws[s + 1:s + 20], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 19)) AS s FROM w)
+), again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS rn FROM win) WHERE rn > 1
+), gone AS (
+  SELECT DISTINCT doc_id, s + i AS pos FROM (SELECT doc_id, s, unnest(range(0, 20)) AS i FROM again)
+), each AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS pos FROM w
+), kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.pos) AS t, count(*) AS n
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op4_decontamination(spark, sf_dir):
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, m, array_to_string(ws[s + 1:s + m], ' ') AS k
+  FROM (SELECT item_id, ws, least(len(ws), 10) AS m, unnest(range(0, len(ws) - least(len(ws), 10) + 1)) AS s FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT doc_id, m, s, array_to_string(ws[s + 1:s + m], ' ') AS k
+  FROM (SELECT doc_id, ws, m, unnest(range(0, len(ws) - m + 1)) AS s FROM d, (SELECT DISTINCT m FROM iw) WHERE len(ws) >= m)
+), hit AS (
+  SELECT dw.doc_id, dw.m, dw.s, iw.item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.k = iw.k
+), cov AS (
+  SELECT doc_id, count(DISTINCT s + i) AS n FROM (SELECT doc_id, s, unnest(range(0, m)) AS i FROM (SELECT DISTINCT doc_id, m, s FROM hit)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op9_token_file(spark, sf_dir):
     return token_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
+    "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op9_token_file": (op9_token_file, None),
 }
