@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lodestar.llm._common import table
 from lodestar.llm.decontam import contamination_digest
+from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
@@ -41,6 +42,31 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 
+def op3_minhash_near_dedup(spark, sf_dir):
+    return near_duplicate_digest(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[s + 1:s + 3], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - 2, 1))) AS s FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY 1
+), link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM sh x JOIN sh y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)
+), reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT link.b, reach.c FROM reach JOIN link ON link.a = reach.doc_id
+), comp AS (
+  SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1
+)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def op4_decontamination(spark, sf_dir):
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -76,6 +102,7 @@ def op9_token_file(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
+    "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op9_token_file": (op9_token_file, None),
 }
