@@ -36,9 +36,10 @@ CHUNK = "shard int, chunk int, first long, doc_ids array<long>, counts array<lon
 
 def _width(ids: np.ndarray) -> np.ndarray:
     """Bits of each id: 0 for 0, up to 64."""
+    if not len(ids) or ids.max() < 1 << 53:
+        return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     w = np.zeros(len(ids), np.uint8)
-    top = int(ids.max()) if len(ids) else 0
-    for b in range(top.bit_length()):
+    for b in range(64):
         w += (ids >> np.uint64(b)) > 0
     return w
 
@@ -57,7 +58,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x[: len(ids)] = ids
     width = _width(x).reshape(blocks, BLOCK)
     pad = np.concatenate([width, np.zeros((blocks, 120), np.uint8)], axis=1)  # past a block all fits; the count cuts it off
-    choice = np.zeros((blocks, BLOCK), np.uint8)
+    choice = np.full((blocks, BLOCK), 16, np.uint8)  # 16 less the selectors that fit: where one fits, so do all after it
     span, m = 1, pad  # m: largest width among the next ``span``
     for s in range(15, 0, -1):
         n = int(COUNT[s])
@@ -65,7 +66,11 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             step = min(span, n - span)
             m = np.maximum(m[:, : m.shape[1] - step], m[:, step:])
             span += step
-        choice[m[:, :BLOCK] <= BITS[s]] = s
+        fits = m[:, :BLOCK] <= BITS[s]
+        if not fits.any():
+            break
+        choice -= fits
+    choice &= 15  # none fits: 0, the escape
     lane, at = np.arange(blocks), np.zeros(blocks, np.int64)
     where, sel = [], []
     while len(lane):

@@ -74,22 +74,46 @@ class Encoder:
             self.forget()
         m = self.memo
         at = pc.index_in(distinct, value_set=m["known"])
-        new = distinct.filter(at.is_null())
-        if len(new):
-            lens, flat = [m["lens"]], [m["flat"]]
-            for i in range(0, len(new), 4096):
-                got = [e.ids for e in self.tok.encode_batch_fast(new.slice(i, 4096).to_pylist(), add_special_tokens=False)]
-                lens.append(np.fromiter(map(len, got), np.int64, len(got)))
-                flat.append(np.fromiter(chain.from_iterable(got), np.uint32, int(lens[-1].sum())))
-            m.update(known=pa.concat_arrays([m["known"], new]), flat=np.concatenate(flat), lens=np.concatenate(lens))
-            at = pc.index_in(distinct, value_set=m["known"])
+        new = at.is_null()
+        if at.null_count:
+            fresh = distinct.filter(new)
+            # One space or none before the text: such pieces are encoded many to a call, parted by line feeds.
+            easy = pc.match_substring_regex(fresh, r"^ ?\S")
+            joined, other = fresh.filter(easy), fresh.filter(pc.invert(easy))
+            runs = [self._joined(joined.slice(i, 1 << 16).to_pylist()) for i in range(0, len(joined), 1 << 16)]
+            alone = self._library(other.to_pylist())
+            m["flat"] = np.concatenate([m["flat"], *(r[0] for r in runs), *alone])
+            m["lens"] = np.concatenate([m["lens"], *(r[1] for r in runs), np.array([len(x) for x in alone], np.int64)])
+            place = np.empty(len(fresh), np.int64)
+            e = easy.to_numpy(zero_copy_only=False)
+            place[e], place[~e] = np.arange(len(joined)), len(joined) + np.arange(len(other))
+            got = np.empty(len(distinct), np.int64)
+            new = new.to_numpy(zero_copy_only=False)
+            got[new], got[~new] = len(m["known"]) + place, at.drop_null().to_numpy()
+            m["known"] = pa.concat_arrays([m["known"], joined, other])
+        else:
+            got = at.to_numpy()
         lens = m["lens"]
-        return gather(m["flat"], np.cumsum(lens) - lens, lens, at.to_numpy(zero_copy_only=False)[code])
+        return gather(m["flat"], np.cumsum(lens) - lens, lens, got[code])
+
+    def _joined(self, pieces: list[str], each: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and lengths of pieces that hold no line feed."""
+        texts = ["\n".join(pieces[i : i + each]) + "\n" for i in range(0, len(pieces), each)]
+        got = [e.ids for i in range(0, len(texts), 16) for e in self.tok.encode_batch_fast(texts[i : i + 16], add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(got), np.uint32)
+        (feed,) = self.tok.encode("\n", add_special_tokens=False).ids
+        at = np.flatnonzero(flat == feed)
+        if len(at) != len(pieces):
+            raise ValueError("the tokenizer joins line feeds with other text")
+        return flat[flat != feed], np.diff(at, prepend=-1) - 1
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, bounds)``: text i has ids[bounds[i]:bounds[i + 1]]."""
         texts = strings(texts)
-        wide = pc.match_substring_regex(texts, _WIDE_SPACE).to_numpy(zero_copy_only=False)
+        raw = buffer_of(texts)[0]
+        wide = np.zeros(0, bool)
+        if any((raw == lead).any() for lead in (0xC2, 0xE1, 0xE2, 0xE3)):  # first bytes of white space outside ASCII
+            wide = pc.match_substring_regex(texts, _WIDE_SPACE).to_numpy(zero_copy_only=False)
         if wide.any():
             whole = {int(i): x for i, x in zip(np.flatnonzero(wide), self._library(texts.filter(pa.array(wide)).to_pylist()))}
             ids, b = self._narrow(pc.if_else(pa.array(wide), pa.scalar("", pa.large_string()), texts))
