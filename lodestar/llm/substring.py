@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import binaries, ranked_id, shuffle_width, steps, strings
-from lodestar.llm._text import U, gathered_words, window_hash, window_starts, word_hash, words
+from lodestar.llm._common import binaries, ranked_id, save, shuffle_width, steps, strings
+from lodestar.llm._text import U, gathered_words, mix, window_hash, window_starts, word_hash, words
 
 WIDTH_BITS = 28
 DEPTH = 2
@@ -119,9 +119,11 @@ def sketch(texts: DataFrame, window: int) -> tuple[bytes, int]:
     merged = parts.repartitionById(slices, F.col("slice")).mapInArrow(merge, "slice int, cells binary, n long")
     bits = bytearray(slices << (SLICE_BITS - 3))  # 64 MB, the sketch's fixed size
     total = 0
-    for r in merged.collect():  # as many rows as the sketch has slices
-        bits[r["slice"] << (SLICE_BITS - 3) : (r["slice"] + 1) << (SLICE_BITS - 3)] = r["cells"]
-        total += r["n"]
+    merged = save(merged, "sketch")
+    for i in range(0, slices, 16):  # a few MB at a time
+        for r in merged.filter(F.col("slice").between(i, i + 15)).collect():
+            bits[r["slice"] << (SLICE_BITS - 3) : (r["slice"] + 1) << (SLICE_BITS - 3)] = r["cells"]
+            total += r["n"]
     return bytes(bits), total
 
 
@@ -222,14 +224,14 @@ def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
 
     def settle(batches):
         # A partition is one slice: all windows whose first hash falls in it, one per task and distinct window.
-        held = []
+        held, marks = [], []
         for b in batches:
             for r in zip(*(b.column(k) for k in range(1, 7))):
                 ids, hs, lens, h1, h2, at = (x.as_buffer() for x in r)
                 lens = np.frombuffer(lens, "<u4")
                 ids, hs = np.repeat(np.frombuffer(ids, np.int64), lens), np.repeat(np.frombuffer(hs, np.int64), lens)
                 if not len(h1):
-                    yield _marks(ids, hs, np.frombuffer(at, "<u4").astype(np.int64))
+                    marks.append((ids, hs, np.frombuffer(at, "<u4").astype(np.int64)))
                     continue
                 pos = ungaps(np.frombuffer(at, np.uint8))
                 last = pos[np.cumsum(lens) - 1] + 1
@@ -240,19 +242,33 @@ def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
             held.clear()
             order, earliest, _ = _first_of(h1, h2, ids, hs, start)
             again = order[~earliest]
-            m = _marks(ids[again], hs[again], start[again])
-            if m is not None:
-                yield m
+            marks.append((ids[again], hs[again], start[again]))
+        if marks:
+            ids, hs, start = (np.concatenate(x) for x in zip(*marks))
+            to = (mix((ids ^ hs).view(np.uint64)) % U(slices)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            edge = np.searchsorted(to[order], np.arange(slices + 1))
+            for k in np.flatnonzero(np.diff(edge)):
+                i = order[edge[k] : edge[k + 1]]
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(k)], pa.int32()), "ids": [ids[i].tobytes()], "hs": [hs[i].tobytes()], "at": [start[i].astype("<u4").tobytes()]})
+
+    def gather(batches):
+        # A partition is one bucket of documents: a row per document with all its marks.
+        got = [tuple(np.frombuffer(b.column(k)[i].as_buffer(), t) for k, t in ((1, np.int64), (2, np.int64), (3, "<u4"))) for b in batches for i in range(b.num_rows)]
+        m = _marks(*(np.concatenate(x) for x in zip(*got))) if got else None
+        if m is not None:
+            yield m
 
     sent = texts.mapInArrow(candidates, "slice int, ids binary, hs binary, lens binary, h1 binary, h2 binary, at binary")
-    return sent.repartitionById(slices, F.col("slice")).mapInArrow(settle, MARKS)
+    settled = sent.repartitionById(slices, F.col("slice")).mapInArrow(settle, "bucket int, ids binary, hs binary, at binary")
+    return settled.repartitionById(slices, F.col("bucket")).mapInArrow(gather, MARKS)
 
 
 def dedup_substrings(docs: DataFrame, *, window: int = 20, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text (kept words joined by one space), and the columns in ``keep``."""
     key, h = ranked_id(id_col), F.xxhash64(text_col)
     marks = repeated_windows(docs.select(key.alias("id"), h.alias("h"), F.col(text_col).alias("text")), window)
-    marks = marks.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_list("starts").alias("_starts"))
+    marks = marks.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("starts").alias("_starts"))
     side = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), key.alias("_key"), h.alias("_th"))
     joined = side.join(marks, (F.col("_key") == F.col("_id")) & (F.col("_th") == F.col("_h")), "left")
     kept = [f"_k{i}" for i in range(len(keep))]
@@ -267,7 +283,7 @@ def dedup_substrings(docs: DataFrame, *, window: int = 20, id_col: str = "doc_id
             cover = np.zeros(len(w.start) + window + 1, np.int32)
             for i, s in enumerate(b.column(2).to_pylist()):
                 if s:
-                    at = np.frombuffer(b"".join(s), "<u4").astype(np.int64) + w.first[i]
+                    at = np.frombuffer(s, "<u4").astype(np.int64) + w.first[i]
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + window, -1)
             gone = np.cumsum(cover)[: len(w.start)] > 0
