@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lodestar.llm._common import table
 from lodestar.llm.decontam import contamination_digest
+from lodestar.llm.langid import identify
 from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
 from lodestar.llm.substring import dedup_digest
@@ -99,10 +100,15 @@ def op9_token_file(spark, sf_dir):
     return token_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op9_token_file": (op9_token_file, None),
+    "op10_language_id": (op10_language_id, None),
 }
