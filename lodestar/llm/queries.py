@@ -9,6 +9,7 @@ from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
+from lodestar.llm.topk import top_inner_products
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,6 +97,23 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op6_exact_topk(spark, sf_dir):
+    return top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def op9_token_file(spark, sf_dir):
     return token_digest(table(spark, sf_dir, "documents"))
 
@@ -109,6 +127,7 @@ QUERIES = {
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
+    "op6_exact_topk": (op6_exact_topk, OP6_SQL),
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
 }
