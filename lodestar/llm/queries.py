@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lodestar.llm import brown
 from lodestar.llm._common import table
 from lodestar.llm.decontam import contamination_digest
 from lodestar.llm.langid import identify
@@ -114,6 +115,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op8_brown_lm(spark, sf_dir):
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
 def op9_token_file(spark, sf_dir):
     return token_digest(table(spark, sf_dir, "documents"))
 
@@ -128,6 +133,7 @@ QUERIES = {
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op6_exact_topk": (op6_exact_topk, OP6_SQL),
+    "op8_brown_lm": (op8_brown_lm, None),
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
 }
