@@ -8,6 +8,7 @@ from lodestar.llm.decontam import contamination_digest
 from lodestar.llm.langid import identify
 from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
+from lodestar.llm.quality import classify_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
 from lodestar.llm.topk import top_inner_products
@@ -115,6 +116,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op7_quality_classifier(spark, sf_dir):
+    return classify_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_brown_lm(spark, sf_dir):
     return brown.score(table(spark, sf_dir, "documents"))
 
@@ -133,6 +138,7 @@ QUERIES = {
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
     "op6_exact_topk": (op6_exact_topk, OP6_SQL),
+    "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_brown_lm": (op8_brown_lm, None),
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
