@@ -3,17 +3,20 @@
 A document's signature is 64 MinHash values of 16 bits. Two signatures differ
 in d of the first 32 slots; all pairs with d <= 15 are found by pigeonhole: the
 slots are cut into 8 chunks of 4, so some chunk has at most one error, and each
-chunk gives one key per slot left out. (At a Jaccard similarity of 0.85 a pair
-has d > 15 with a probability of about 1e-6.) A further bound on all 64 slots
-drops chance meetings before whole texts are fetched, and every link is
-confirmed on the full shingle sets.
+chunk gives one key per slot left out. A bound on the distance over all 64 slots,
+six standard deviations above the mean at the asked similarity, drops chance
+meetings before whole texts are fetched, and every link is confirmed on the full
+shingle sets. (Of pairs at a similarity of 0.85, about 2 in 10^8 share no key
+and 1 in 10^8 fail the bound; of pairs above it, fewer.)
 
 Equal sets are one class from the start. Among classes that share a key, the
 pairs to confirm are not all pairs: first every class is compared with its key's
 most popular class (the one whose keys are shared most); what that links
-becomes components. Then only classes of one key that are still in different
-components are compared, until no key has any such pair left, so no link between
-components is lost.
+becomes components. Only where the classes of a key are still in different
+components are they compared with each other: pair by pair for a few classes,
+else in cells of two blocks of classes, whose tasks get the full sets, find all
+intersections by one matrix product and return links alone. So no link between
+components is lost, and no group is held or paired out as a whole.
 
 Defined results: a null or wordless text has no shingles and is linked with
 nothing; rows of one id are one node; a null id is linked with nothing that has
@@ -34,10 +37,10 @@ from lodestar.llm.components import components
 
 SLOTS = 64
 CHUNKS, CHUNK = 8, 4
-#: Slots that may differ: of the chunked ones, and of all.
-RADIUS, RADIUS_ALL = 2 * CHUNKS - 1, 27
 SIGNED = "id long, h long, n long, s1 long, s2 long, sig binary"
 BITS = 26
+#: Classes of a key that are compared pair by pair; classes of a block beyond.
+FEW, BLOCK = 16, 256
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,34 +116,44 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
-def _near_signatures(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs within both radii."""
+def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that differ in no more slots than pairs of the asked similarity do."""
+    p = 1 - percent / 100
+    radius = int(SLOTS * p + 6 * np.sqrt(SLOTS * p * (1 - p)))
     sig = classes.select("id", "sig")
     both = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
 
     def run(batches):
         for b in batches:
             if b.num_rows:
-                far = _sig(b.column(2)) != _sig(b.column(3))
-                ok = (far[:, : CHUNKS * CHUNK].sum(1) <= RADIUS) & (far.sum(1) <= RADIUS_ALL)
+                ok = (_sig(b.column(2)) != _sig(b.column(3))).sum(1) <= radius
                 yield b.select([0, 1]).filter(pa.array(ok))
 
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-    pairs = save(_near_signatures(pairs, classes).distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = bitmap_of(ends.select(F.xxhash64("id").alias("x")), "x", BITS)
+def texts_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``id, text`` of some classes; a bitmap of fixed size keeps most other texts from being shuffled."""
+    wanted = bitmap_of(ids.select(F.xxhash64("id").alias("x")), "x", BITS)
 
     def maybe(batches):
         for b in batches:
-            yield b.filter(pa.array(has_bit(wanted.value, b.column(2).to_numpy().view(U) >> U(64 - BITS)))).drop_columns(["x"])
+            yield b.filter(pa.array(has_bit(wanted.value, b.column(2).to_numpy().view(U) >> U(64 - BITS)))).select([0, 1, 3])
 
-    held = classes.select("id", "h").join(ends, "id")
+    held = classes.select("id", "h").join(ids, "id")
     some = docs.select("id", "h", F.xxhash64("id").alias("x"), "text").mapInArrow(maybe, "id long, h long, text string")
-    texts = save(some.join(held, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "text"), "texts")
+    return some.join(held, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "text")
+
+
+def _similar(inter: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * inter >= percent * (na + nb - inter)
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= percent * union."""
+    pairs = save(_near_signatures(pairs, classes, percent).distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = save(texts_of(ends, classes, docs), "texts")
 
     def run(batches):
         for whole in batches:
@@ -152,13 +165,55 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
                 order = np.lexsort((g, pair))
                 same = (g[order][1:] == g[order][:-1]) & (pair[order][1:] == pair[order][:-1])
                 inter = np.bincount(pair[order][1:][same], minlength=k)
-                ok = 100 * inter >= percent * (n[:k] + n[k:] - inter)
-                yield b.select([0, 1]).filter(pa.array(ok))
+                yield b.select([0, 1]).filter(pa.array(_similar(inter, n[:k], n[k:], percent)))
 
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def links_in_cells(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between the components of a key's many classes. ``members``: key, id, c (component), m (classes of the key)."""
+    members = save(members.withColumn("s", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("k", F.pmod(F.xxhash64("id", "key"), F.col("s")).cast("int")), "members")
+
+    def sets(batches):
+        for b in steps(batches, "text", 1 << 20):
+            g, bounds = shingle_sets(strings(b.column(1)), shingle)
+            yield pa.RecordBatch.from_arrays([b.column(0), binaries(g, bounds)], names=["id", "set"])
+
+    known = save(texts_of(members.select("id").distinct(), classes, docs).mapInArrow(sets, "id long, set binary"), "sets")
+    # Each block meets each: cell (i, j) with i <= j gets blocks i and j.
+    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda o: F.struct(F.least("k", o).alias("i"), F.greatest("k", o).alias("j"))))
+    rows = members.select("key", "id", "c", "k", cell.alias("cell")).select("key", "cell.i", "cell.j", "id", "c", "k").join(known, "id")
+
+    def link(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, c, k = (table.column(n).to_numpy() for n in ("id", "c", "k"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        raw = [np.frombuffer(x.as_buffer(), U) for x in table.column("set")]
+        size = np.array([len(x) for x in raw])
+        flat, owner = np.concatenate(raw), np.repeat(np.arange(len(raw)), size)
+        value, at, often = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = often[at] > 1  # what only one has is in no intersection
+        at, owner = at[shared], owner[shared]
+        cols = np.unique(at)
+        at = np.searchsorted(cols, at)
+        left, right = np.flatnonzero(k == i), np.flatnonzero(k == j)
+        inter = np.zeros((len(left), len(right)))
+        order = np.argsort(at, kind="stable")
+        at, owner = at[order], owner[order]
+        for lo in range(0, len(cols), 8192):
+            x = np.zeros((len(raw), 8192), np.float32)
+            s = slice(*np.searchsorted(at, [lo, lo + 8192]))
+            x[owner[s], at[s] - lo] = 1
+            inter += x[left] @ x[right].T
+        ok = _similar(inter, size[left, None], size[None, right], percent) & (c[left, None] != c[None, right])
+        a, b = np.nonzero(ok)
+        a, b = ids[left[a]], ids[right[b]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(link, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, class_id (smallest id of equal sets) and h (hash of the text)."""
     cols = docs.select(ranked_id(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
@@ -181,9 +236,13 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
     open_ = met.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("key")
     open_ = save(open_.join(mixed, "key"), "open")
-    left, right = (open_.select("key", F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
+    many = open_.groupBy("key").agg(F.count("*").alias("m"))
+    open_ = save(open_.join(many, "key"), "open")
+    few = open_.filter(F.col("m") <= FEW)
+    left, right = (few.select("key", F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
     across = left.join(right, "key").filter("ca != cb and a < b").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     more = confirmed(across, classes, cols, shingle, percent)
+    more = more.unionByName(links_in_cells(open_.filter(F.col("m") > FEW), classes, cols, shingle, percent))
     # The first components are links too: a node and its component.
     comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
