@@ -19,9 +19,10 @@ intersections by one matrix product and return links alone. So no link between
 components is lost, and no group is held or paired out as a whole.
 
 Defined results: a null or wordless text has no shingles and is linked with
-nothing; rows of one id are one node; a null id is linked with nothing that has
-one and keeps a null component; repeated rows share their class; an empty table
-gives no rows; columns other than id and text are ignored.
+nothing; rows of one id are one node; null ids are one node that ranks after all
+others, and a component of null ids alone has a null id; repeated rows share
+their class; an empty table gives no rows; columns other than id and text are
+ignored.
 """
 
 from __future__ import annotations
@@ -264,5 +265,13 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
     )
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that stay, one row of each component, with all their columns."""
+    near = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("kept")
+    stay = near.select(ranked_id("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    rows = docs.join(stay, (ranked_id(id_col) == F.col("_id")) & (F.xxhash64(text_col) == F.col("_h")))
+    return rows.dropDuplicates(["_id", "_h"]).select(*(docs[c] for c in docs.columns))
+
+
 def near_duplicate_digest(docs: DataFrame, **options) -> DataFrame:
     return near_duplicates(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")

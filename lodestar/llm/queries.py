@@ -6,6 +6,7 @@ from lodestar.llm import brown
 from lodestar.llm._common import table
 from lodestar.llm.decontam import contamination_digest
 from lodestar.llm.langid import identify
+from lodestar.llm.licenses import scan_licenses
 from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
 from lodestar.llm.quality import classify_digest
@@ -99,6 +100,10 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op5_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_topk(spark, sf_dir):
     return top_inner_products(table(spark, sf_dir, "embeddings"))
 
@@ -137,6 +142,7 @@ QUERIES = {
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
     "op3_minhash_near_dedup": (op3_minhash_near_dedup, OP3_SQL),
     "op4_decontamination": (op4_decontamination, OP4_SQL),
+    "op5_license_scan": (op5_license_scan, None),
     "op6_exact_topk": (op6_exact_topk, OP6_SQL),
     "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_brown_lm": (op8_brown_lm, None),
