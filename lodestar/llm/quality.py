@@ -1,11 +1,14 @@
-"""Quality classifier from weak labels: labellers, expectation-maximisation, a hashed linear scorer.
-
-Labellers look at a text (or at the ``labels`` table) and vote bad, good or
-nothing; they overlap and err. Expectation-maximisation estimates how often each
-labeller votes what on bad and on good documents, without trusting any of them,
-and gives each document a posterior label. These labels train a linear scorer
-over hashed words, word beginnings (for stems that inflect) and binned
-statistics of the text, which scores every document; votes and labels are no inputs of a score.
+"""Quality classifier from weak labels: labellers, expectation-maximisation, hashed linear scorers.
+
+Two things make a document bad, junk and toxicity, and each has its labellers:
+they look at a text, or at the ``labels`` table, and vote bad, good or nothing;
+they overlap and err. Expectation-maximisation estimates how often each votes
+what on bad and on good documents and gives each document a posterior label.
+(Text labellers start without trust; the labels table, where it has a row,
+starts with a belief in ``TRUST`` of its votes.) These posteriors train a linear
+scorer for junk and one for toxicity over hashed words, word beginnings (for
+stems that inflect) and binned statistics of the text, which score every
+document; votes and labels are no inputs of a score.
 
 The labellers run, and the model is fitted, on at most ``LABELLED`` documents
 that the labels table covers and ``PLAIN`` others, chosen by a hash of their
@@ -36,6 +39,10 @@ BAD, GOOD, NONE = 1, 0, 2
 INSULTS = "clown disgusting dumb fool garbage idiot imbecile jerk loser moron pathetic scum stupid trash worthless".split()
 #: Bytes of the word beginnings that are features besides whole words.
 BEGINNINGS = (4, 5)
+#: Belief in the labels table, and its weight in documents.
+TRUST, WEIGHT = 0.995, 10.0
+#: Features of a scorer: significance, in standard deviations, and number at most.
+SIGNIFICANCE, FEATURES = 8.0, 512
 STATS = ("repeats", "marks", "capitals", "bars", "long words")
 
 
@@ -76,34 +83,27 @@ def statistics(texts: pa.Array) -> np.ndarray:
     )
 
 
-def votes(stats: np.ndarray, insults: np.ndarray, bad_label: np.ndarray) -> np.ndarray:
-    """A column per labeller. ``bad_label``: 1, 0, or -1 without a label."""
+def votes(stats: np.ndarray, insults: np.ndarray, junk: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A column per labeller of junk and of toxicity; the last is the labels table (1, 0, or -1 without a label)."""
     repeats, marks, capitals, bars, _ = stats.T
     plain = (repeats < 0.05) & (marks < 0.10) & (capitals < 0.3) & (bars < 0.02)
-    return np.stack(
-        [
-            np.where(repeats > 0.2, BAD, NONE),
-            np.where(marks > 0.15, BAD, NONE),
-            np.where(capitals > 0.6, BAD, NONE),
-            np.where(bars > 0.1, BAD, NONE),
-            np.where(insults > 0, BAD, NONE),
-            np.where(plain & (insults == 0), GOOD, NONE),
-            np.where(bad_label < 0, NONE, np.where(bad_label > 0, BAD, GOOD)),
-        ],
-        1,
-    )
+    table = [np.where(x < 0, NONE, np.where(x > 0, BAD, GOOD)) for x in (junk, toxic)]
+    of_junk = [np.where(x > most, BAD, NONE) for x, most in ((repeats, 0.2), (marks, 0.15), (capitals, 0.6), (bars, 0.1))]
+    return np.stack([*of_junk, np.where(plain, GOOD, NONE), table[0]], 1), np.stack([np.where(insults > 0, BAD, NONE), table[1]], 1)
 
 
 def label_model(v: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation: P(bad) per document, and P(vote | class) as labeller x class (good, bad) x vote."""
-    said = v != NONE
-    p = (((v == BAD) & said).sum(1) + 0.5) / (said.sum(1) + 1.0)
-    table = np.zeros((v.shape[1], 2, 3))
+    table, label = np.zeros((v.shape[1], 2, 3)), v[:, -1]
+    p = np.where(label == BAD, 0.95, np.where(label == GOOD, 0.05, np.where((v[:, :-1] == BAD).any(1), 0.8, 0.2)))
     hot = np.stack([v == x for x in range(3)], 2).astype(float)
     for _ in range(rounds):
-        for c, w in ((0, 1 - p), (1, p)):
+        for c, w in ((GOOD, 1 - p), (BAD, p)):
             n = np.einsum("d,dlx->lx", w, hot) + 0.5
             table[:, c] = n / n.sum(1, keepdims=True)
+            # The labels table: its votes with the belief in them; no row says nothing.
+            n = n[-1, :2] + WEIGHT * len(v) * np.where(np.arange(2) == c, TRUST, 1 - TRUST)
+            table[-1, c] = [*(n / n.sum()), 1.0]
         prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
         log = np.einsum("dlx,lcx->dc", hot, np.log(table)) + np.log([1 - prior, prior])
         p = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50)))
@@ -134,40 +134,53 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(np.bincount(doc, self.weights[feats], n) + self.bias, -50, 50)))
 
 
-def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds: int = 120, l1: float = 1e-4, rate: float = 0.5, least: int = 4) -> Scorer:
-    """Logistic loss with an L1 penalty, by proximal steps scaled per weight; features of fewer than ``least`` texts weigh nothing."""
-    often = np.bincount(feats, minlength=BUCKETS)[feats] >= least
-    feats, doc = feats[often], doc[often]
-    cols, at = np.unique(feats, return_inverse=True)
-    n = max(len(target), 1)
-    w, g2, bias, b2 = np.zeros(len(cols)), np.full(len(cols), 1e-8), 0.0, 1e-8
+def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds: int = 30, l2: float = 300.0) -> Scorer:
+    """Logistic regression by damped Newton steps on the most significant features; rare ones are held back more."""
+    n, mean = len(target), float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
+    df = np.bincount(feats, minlength=BUCKETS)
+    z = np.abs(np.bincount(feats, target[doc], BUCKETS) - mean * df) / np.sqrt(np.maximum(mean * (1 - mean) * df, 1e-9)) * (df >= 4)
+    cols = np.sort(np.argsort(-z, kind="stable")[:FEATURES])
+    cols = cols[z[cols] >= SIGNIFICANCE]
+    place = np.full(BUCKETS, -1)
+    place[cols] = np.arange(len(cols))
+    at = place[feats]
+    x = np.zeros((n, len(cols) + 1))
+    x[doc[at >= 0], at[at >= 0]] = 1
+    x[:, -1] = 1
+    w = np.append(np.zeros(len(cols)), np.log(mean / (1 - mean)))
+    pen = np.append(l2 / np.maximum(df[cols], 1), 1e-6)
+
+    def loss(u):
+        y = x @ u
+        return (np.logaddexp(0, y) - target * y).sum() + 0.5 * (pen * u * u).sum()
+
     for _ in range(rounds):
-        miss = 1 / (1 + np.exp(-np.clip(np.bincount(doc, w[at], len(target)) + bias, -50, 50))) - target
-        g = np.bincount(at, miss[doc], len(cols)) / n
-        g2 += g * g
-        step = rate / np.sqrt(g2)
-        w = w - step * g
-        w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
-        gb = miss.mean() if len(target) else 0.0
-        b2 += gb * gb
-        bias -= rate / np.sqrt(b2) * gb
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        v = np.maximum(p * (1 - p), 1e-6)
+        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(pen), x.T @ (p - target) + pen * w)
+        size, now = 1.0, loss(w)
+        while size > 1e-4 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-4:
+            break
     full = np.zeros(BUCKETS)
-    full[cols] = w
-    return Scorer(full, float(bias))
+    full[cols] = w[:-1]
+    return Scorer(full, float(w[-1]))
 
 
 class Fitted(NamedTuple):
-    scorer: Scorer
-    accuracy: np.ndarray  # P(vote | class) of each labeller
+    scorers: tuple[Scorer, ...]  # of junk, of toxicity
+    votes: tuple[np.ndarray, ...]  # P(vote | class) of each labeller of junk, of toxicity
     documents: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, plain: int = PLAIN, id_col: str = "doc_id", text_col: str = "text") -> Fitted:
     ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
-    known = known.filter("id is not null and bad is not null").groupBy("id").agg(F.max("bad").alias("bad"))
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), (1 - F.col("quality")).alias("junk"), "toxic")
+    known = known.filter("id is not null").groupBy("id").agg(*(F.coalesce(F.max(c), F.lit(-1)).cast("long").alias(c) for c in ("junk", "toxic")))
     with_label = ids.join(known, "id").orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(labelled)
-    without = ids.orderBy(F.xxhash64(F.col("id") + 1), F.xxhash64("text")).limit(plain).join(known, "id", "left_anti").withColumn("bad", F.lit(-1))
+    without = ids.orderBy(F.xxhash64(F.col("id") + 1), F.xxhash64("text")).limit(plain).join(known, "id", "left_anti").withColumns({c: F.lit(-1).cast("long") for c in ("junk", "toxic")})
 
     def look(batches):
         insults = _hash_of(INSULTS)
@@ -176,31 +189,31 @@ def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, plain:
             s = statistics(t)
             w = words(t, ALNUM, lower=True)
             hit = np.bincount(w.doc(), np.isin(word_hash(w), insults), b.num_rows)
-            v = votes(s, hit, b.column(2).to_numpy())
+            junk, toxic = votes(s, hit, b.column(2).to_numpy(), b.column(3).to_numpy())
             f, doc = features(t, s)
             edge = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            yield pa.RecordBatch.from_pydict({"votes": [x.astype("u1").tobytes() for x in v], "feats": [f[edge[i] : edge[i + 1]].astype("<u4").tobytes() for i in range(b.num_rows)]})
+            yield pa.RecordBatch.from_pydict({"junk": [x.tobytes() for x in junk.astype("u1")], "toxic": [x.tobytes() for x in toxic.astype("u1")], "feats": [f[edge[i] : edge[i + 1]].astype("<u4").tobytes() for i in range(b.num_rows)]})
 
-    rows = with_label.unionByName(without).select("id", "text", F.col("bad").cast("long")).mapInArrow(look, "votes binary, feats binary").collect()
+    rows = with_label.unionByName(without).select("id", "text", "junk", "toxic").mapInArrow(look, "junk binary, toxic binary, feats binary").collect()
     if not rows:
-        return Fitted(Scorer(np.zeros(BUCKETS), -50.0), np.zeros((0, 2, 3)), 0)
+        return Fitted((Scorer(np.zeros(BUCKETS), -50.0),), (), 0)
     rows.sort()  # the same model however the rows arrive
-    p, table = label_model(np.stack([np.frombuffer(r["votes"], "u1") for r in rows]).astype(int))
     feats = [np.frombuffer(r["feats"], "<u4") for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(f) for f in feats])
-    return Fitted(train_scorer(np.concatenate(feats).astype(np.int64), doc, p), table, len(rows))
+    feats = np.concatenate(feats).astype(np.int64)
+    models = [label_model(np.stack([np.frombuffer(r[c], "u1") for r in rows]).astype(int)) for c in ("junk", "toxic")]
+    return Fitted(tuple(train_scorer(feats, doc, p) for p, _ in models), tuple(t for _, t in models), len(rows))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, reject: float = 0.5, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with ``quality_score`` (P(good)) and ``quality_kept`` (P(bad) under ``reject``)."""
-    scorer = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options).scorer)
+    """``docs`` with ``quality_score`` (1 less the larger of P(junk) and P(toxic)) and ``quality_kept`` (neither reaches ``reject``)."""
+    scorers = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options).scorers)
 
     def run(batches):
-        m = scorer.value
         for b in steps(batches, text_col):
             t = strings(b.column(b.schema.get_field_index(text_col)))
             f, doc = features(t, statistics(t))
-            p = m.p_bad(f, doc, b.num_rows)
+            p = np.max([m.p_bad(f, doc, b.num_rows) for m in scorers.value], axis=0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 - p), pa.array(p < reject)], names=[*b.schema.names, "quality_score", "quality_kept"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
