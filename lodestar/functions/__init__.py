@@ -1,25 +1,5 @@
-"""Vector Column builders (distances, midpoints, nearest centre)."""
+"""Vector expressions (distances, nearest centre)."""
 
-from lodestar.functions.vectors import (
-    dist,
-    dist_const,
-    midpoint,
-    nearest_const,
-    scale,
-    sq_dist,
-    sq_dist_const,
-    vector_from_columns,
-    with_nearest,
-)
+from lodestar.functions.vectors import elem_sql, sq_dist_sql, with_nearest
 
-__all__ = [
-    "dist",
-    "dist_const",
-    "midpoint",
-    "nearest_const",
-    "scale",
-    "sq_dist",
-    "sq_dist_const",
-    "vector_from_columns",
-    "with_nearest",
-]
+__all__ = ["elem_sql", "sq_dist_sql", "with_nearest"]

@@ -1,7 +1,6 @@
 """Column builders for dense vectors stored as ``array<double>``.
 
-Everything here returns a :class:`pyspark.sql.Column`, so distances and
-nearest-centre choices run inside whole-stage codegen on the executors.
+Everything here is SQL text, so distances and nearest-centre choices run inside whole-stage codegen on the executors.
 Constant vectors (centres, canopy centres) are inlined as literals: they are
 small (K x D numbers, size-checked by the callers) and keep each round's plan
 flat, with no join and no lineage growth from round to round.
@@ -10,26 +9,8 @@ flat, with no join and no lineage growth from round to round.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-Features = "str | Column | Sequence[str]"
-
-
-def elems(features, d: int) -> list[Column]:
-    """Element Columns of a vector: an array column, or one column per dimension."""
-    if isinstance(features, (list, tuple)):
-        return [F.col(c) for c in features]
-    x = _col(features)
-    return [x[i] for i in range(d)]
+from pyspark.sql import DataFrame
 
 
 def sql_double(v: float) -> str:
@@ -41,10 +22,15 @@ def sql_double(v: float) -> str:
 
 
 def elem_sql(features, d: int) -> list[str]:
-    """SQL text of the vector elements: ``features[i]`` or one column per dimension."""
+    """SQL text of the vector elements: one column per dimension, or the array's.
+
+    The first element of an array of another length is null, and so are all its
+    distances: such a row belongs to no centre, as a row with a null does.
+    """
     if isinstance(features, (list, tuple)):
         return [f"`{c}`" for c in features]
-    return [f"`{features}`[{i}]" for i in range(d)]
+    first = f"CASE WHEN size(`{features}`) = {d} THEN get(`{features}`, 0) END"
+    return [first if i == 0 else f"get(`{features}`, {i})" for i in range(d)]
 
 
 def sq_dist_sql(xs: Sequence[str], center: Sequence[float]) -> str:
@@ -56,91 +42,6 @@ def sq_dist_sql(xs: Sequence[str], center: Sequence[float]) -> str:
     return " + ".join(terms) if terms else "(0.0D)"
 
 
-def sq_dist_const(features: str | Column, center: Sequence[float]) -> Column:
-    """Squared Euclidean distance from an array column to a constant vector.
-
-    Unrolled as ``(x[0]-c0)*(x[0]-c0) + (x[1]-c1)*(x[1]-c1) + ...`` summed left
-    to right, the same order a SQL oracle folds a list in.
-    """
-    if isinstance(features, Column):
-        terms = []
-        for i, c in enumerate(center):
-            diff = features[i] - F.lit(float(c))
-            terms.append(diff * diff)
-        return reduce(add, terms) if terms else F.lit(0.0)
-    # One JVM-parsed expression instead of a py4j call per node.
-    return F.expr(sq_dist_sql(elem_sql(features, len(center)), center))
-
-
-def sq_dist(a: str | Column, b: str | Column, dim: int | None = None) -> Column:
-    """Squared Euclidean distance between two array columns.
-
-    With ``dim`` the sum is unrolled; without it a higher-order
-    ``zip_with``/``aggregate`` pair is used (a length mismatch yields null).
-    """
-    a, b = _col(a), _col(b)
-    if dim is not None:
-        terms = [(a[i] - b[i]) * (a[i] - b[i]) for i in range(dim)]
-        return reduce(add, terms) if terms else F.lit(0.0)
-    return F.aggregate(
-        F.zip_with(a, b, lambda u, v: (u - v) * (u - v)),
-        F.lit(0.0),
-        lambda acc, t: acc + t,
-    )
-
-
-def dist(a: str | Column, b: str | Column, dim: int | None = None) -> Column:
-    """Euclidean (L2) distance between two array columns."""
-    return F.sqrt(sq_dist(a, b, dim))
-
-
-def dist_const(features: str | Column, center: Sequence[float]) -> Column:
-    """Euclidean distance from an array column to a constant vector."""
-    return F.sqrt(sq_dist_const(features, center))
-
-
-def midpoint(a: str | Column, b: str | Column) -> Column:
-    """Element-wise midpoint ``(a + b) / 2`` of two array columns."""
-    return F.zip_with(_col(a), _col(b), lambda u, v: (u + v) / 2.0)
-
-
-def scale(v: str | Column, divisor: str | Column) -> Column:
-    """Element-wise ``v / divisor`` (centroid = sum / count)."""
-    d = _col(divisor)
-    return F.transform(_col(v), lambda u: u / d)
-
-
-def nearest_const(
-    features: str | Column,
-    centers: Sequence[Sequence[float]],
-    ids: Sequence[int] | None = None,
-    eligible: Sequence[Column] | None = None,
-) -> Column:
-    """``struct(d2, cid)`` of the nearest constant centre.
-
-    ``d2`` is a ``least`` over the per-centre squared distances (plain
-    doubles, cheaper than comparing structs); ``cid`` is the first centre whose
-    distance equals it, so ties go to the lowest position, the strict ``<``
-    scan of the reference. Subexpression elimination computes each distance
-    once. ``eligible`` (one boolean Column per centre) masks centres out; a
-    row with no eligible centre gets a null ``d2`` and ``cid``.
-    """
-    ids = list(range(len(centers))) if ids is None else list(ids)
-    ds = []
-    for k, c in enumerate(centers):
-        d = sq_dist_const(features, c)
-        if eligible is not None:
-            d = F.when(eligible[k], d)
-        ds.append(d)
-    if not ds:
-        return F.lit(None).cast("struct<d2:double,cid:int>")
-    m = ds[0] if len(ds) == 1 else F.least(*ds)
-    cid = F.when(ds[0] == m, F.lit(int(ids[0])))
-    for k in range(1, len(ds)):
-        cid = cid.when(ds[k] == m, F.lit(int(ids[k])))
-    return F.struct(m.alias("d2"), cid.alias("cid"))
-
-
 def with_nearest(
     df: DataFrame,
     features,
@@ -175,8 +76,3 @@ def with_nearest(
     step2 = step1.selectExpr(*base, *names, f"{m} AS `_m`")
     case = " ".join(f"WHEN {n} = `_m` THEN {cid}" for n, cid in zip(names, ids))
     return step2.selectExpr(*base, f"CAST(CASE {case} END AS INT) AS cid", "`_m` AS d2")
-
-
-def vector_from_columns(cols: Sequence[str | Column]) -> Column:
-    """Pack numeric columns into one ``array<double>``."""
-    return F.array(*[_col(c).cast("double") for c in cols])

@@ -1,9 +1,13 @@
 """Nearest-centre assignment and per-cluster sums.
 
-Centres are a driver-side list (K x D numbers, bounded by
-``plans.physical.MAX_CENTER_NUMBERS``) inlined into the plan, so the
+Centres are a driver-side list (K x D numbers) inlined into the plan, so the
 "points x centres" product is a projection, not a join: no shuffle, no
-broadcast exchange, and the same plan every round.
+broadcast exchange, and the same plan every round. Beyond
+``plans.physical.MAX_CENTER_NUMBERS`` numbers they are inlined block by block,
+each block lowering the best centre so far: the same answer in one pass.
+
+A row whose vector is null, holds a null or has another length than the centres
+gets a null ``cid`` and ``d2`` and enters no statistic, in either form.
 """
 
 from __future__ import annotations
@@ -38,8 +42,9 @@ def assign(
     ids: Sequence[int] | None = None,
     features: str = "features",
     form: str = "auto",
+    inline_limit: int = physical.MAX_CENTER_NUMBERS,
 ) -> DataFrame:
-    """Append ``cid`` (nearest centre, lowest id on ties) and ``d2`` to every row."""
+    """Append ``cid`` (nearest centre, lowest position on ties) and ``d2`` to every row."""
     centers = [list(map(float, c)) for c in centers]
     ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
     d = _dims(centers)
@@ -50,7 +55,11 @@ def assign(
         points.schema.fields
         + [T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())]
     )
-    return points.mapInArrow(physical.arrow_assign_fn(centers, ids, features), schema)
+    step = max(1, inline_limit // d)
+    out = points.mapInArrow(physical.arrow_assign_fn(centers[:step], ids[:step], features), schema)
+    for s in range(step, len(centers), step):
+        out = out.mapInArrow(physical.arrow_assign_fn(centers[s : s + step], ids[s : s + step], features, True), schema)
+    return out
 
 
 def predict(
@@ -59,13 +68,14 @@ def predict(
     features: str = "features",
     id_col: str = "id",
     form: str = "auto",
+    inline_limit: int = physical.MAX_CENTER_NUMBERS,
 ) -> DataFrame:
     """``(id, cid, d2)`` for every point against fixed centres."""
     if isinstance(centers, DataFrame):
         ids, centers = centers_from_frame(centers)
     else:
         ids = None
-    return assign(points.select(id_col, *_fcols(features)), centers, ids, features, form).select(
+    return assign(points.select(id_col, *_fcols(features)), centers, ids, features, form, inline_limit).select(
         id_col, "cid", "d2"
     )
 
@@ -98,8 +108,8 @@ def cluster_stats(
     f = physical.choose_form(len(centers), d, form)
     cols = _fcols(features) + ([weight] if weight else [])
     pts = points.select(*cols)
-    if f == "expr":
-        a = assign(pts, centers, ids, features, "expr")
+    if f == "expr" or len(centers) * d > physical.MAX_CENTER_NUMBERS:
+        a = assign(pts, centers, ids, features, f)
         xs = elem_sql(features, d)
         wt = f" * `{weight}`" if weight else ""
         aggs = [
@@ -107,9 +117,9 @@ def cluster_stats(
             (F.sum(weight) if weight else F.count(F.lit(1)).cast("double")).alias("weight"),
             F.expr(f"sum(d2{wt})").alias("sse"),
         ] + [F.expr(f"sum({xs[i]}{wt})").alias(f"_s{i}") for i in range(d)]
-        return a.groupBy("cid").agg(*aggs).select(
-            "cid", "n", "weight", "sse", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums")
-        )
+        # The null group goes by an aggregate: a filter on cid would be pushed below the distances.
+        got = a.groupBy("cid").agg(*aggs, F.count("cid").alias("_known")).where("_known > 0")
+        return got.select("cid", "n", "weight", "sse", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums"))
     part = pts.mapInArrow(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),
         "cid int, dim int, value double",
@@ -156,6 +166,8 @@ def collect_stats(
     f = physical.choose_form(len(centers), d, form)
     if f == "expr":
         return collect_stats_sql(points, centers, ids, features, weight)
+    if len(centers) * d > physical.MAX_CENTER_NUMBERS:
+        return [r.asDict() for r in cluster_stats(points, centers, ids, features, weight, form).collect()]
     cols = _fcols(features) + ([weight] if weight else [])
     part = points.select(*cols).mapInArrow(
         physical.arrow_partial_stats_fn(centers, ids, features, weight),

@@ -2,8 +2,9 @@
 
 1. C1 local canopies: inside each bucket, points are scanned in id order and
    a point becomes a local centre iff its distance to every local centre so
-   far is > T1. Buckets come from a hash of the id (sized so no bucket holds
-   more than ``bucket_rows`` points) and run as ``groupBy.applyInPandas``.
+   far is > T1. The number of buckets is a parameter, never the row count: a
+   new row changes its own bucket's centres alone. Rows are sorted by Spark and
+   stream through; a task holds the centres of one bucket and no bucket whole.
 2. C2 global merge: the same greedy rule with T3 over the local centres in
    (bucket, id) order; canopy ids 1..M in acceptance order. Exact at any
    size: candidates are taken in ordered chunks, and before each chunk Spark
@@ -20,11 +21,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
 
-DEFAULT_BUCKET_ROWS = 100_000
+DEFAULT_BUCKETS = 64
 MERGE_CHUNK = 20_000
 
 
@@ -45,6 +46,7 @@ class CanopyResult(NamedTuple):
     trace: DataFrame  # iter int, delta double, clusters int
     assignments: DataFrame  # id bigint, cid int  (last round, centres before its update)
     uncovered: DataFrame  # id bigint, features array<double>
+    membership: DataFrame  # points bigint, covered bigint, mean_canopies double (over covered points)
 
 
 def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -> list[int]:
@@ -80,39 +82,50 @@ def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -
     return picked
 
 
-def _bucketed(points: DataFrame, buckets, bucket_col, bucket_rows, id_col) -> DataFrame:
+def _bucketed(points: DataFrame, buckets: int, bucket_col, id_col) -> DataFrame:
     if bucket_col is not None:
         return points.withColumn("bucket", F.col(bucket_col).cast("int"))
-    if buckets is None:
-        buckets = max(1, math.ceil(points.count() / bucket_rows))
     return points.withColumn("bucket", F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int"))
 
 
 def local_canopies(
     points: DataFrame,
     t1: float,
-    buckets: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
     bucket_col: str | None = None,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
     id_col: str = "id",
     features: str = "features",
 ) -> DataFrame:
     """``(bucket, id, features)`` of the local canopy centres.
 
-    ``buckets=1`` is the single sequential pass over all points (one task);
-    the default sizes buckets from the row count.
+    ``buckets=1`` is the single sequential pass over all points (one task).
     """
-    pts = _bucketed(points, buckets, bucket_col, bucket_rows, id_col).select(
-        "bucket", F.col(id_col).alias("id"), F.col(features).alias("features")
+    pts = _bucketed(points, buckets, bucket_col, id_col).select(
+        "bucket", F.col(id_col).cast("bigint").alias("id"), F.col(features).alias("features")
     )
     radius = float(t1)
 
-    def fn(pdf):
-        pdf = pdf.sort_values("id", kind="stable").reset_index(drop=True)
-        x = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-        return pdf.iloc[greedy_pick(x, radius)][["bucket", "id", "features"]]
-
-    return pts.groupBy("bucket").applyInPandas(fn, "bucket int, id bigint, features array<double>")
+    def fn(batches):
+        now, cent = None, None
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            own = rb.column(0).to_numpy()
+            edge = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
+            picked = []
+            for lo, hi in zip(edge[:-1], edge[1:]):
+                part = rb.slice(lo, hi - lo)
+                d = len(part.column(2)[0])
+                x, _ = physical._features_matrix(part, "features", d)
+                if own[lo] != now:
+                    now, cent = own[lo], np.zeros((0, d))
+                i = greedy_pick(x, radius, cent)
+                cent = np.vstack([cent, x[i]])
+                picked += [lo + j for j in i]
+            yield rb.take(pa.array(picked, pa.int64()))
+
+    ordered = pts.repartition("bucket").sortWithinPartitions("bucket", "id", "features")
+    return ordered.mapInArrow(fn, "bucket int, id bigint, features array<double>")
 
 
 def merge_canopies(candidates: DataFrame, t3: float, chunk: int = MERGE_CHUNK) -> list[tuple[int, int, list[float]]]:
@@ -213,12 +226,26 @@ def _restricted_stats(memb, clusters, canopy_ids, features, form) -> list:
     return stats_from_partials(part).select("cid", "n", "sums").collect()
 
 
-def _canopies_of(v: Sequence[float], canopies, t2: float) -> list[int]:
-    out = []
-    for cid, c in canopies:
-        if math.sqrt(sq_movement(v, c)) < t2:
-            out.append(cid)
-    return out
+def distinct_points(points: DataFrame, id_col: str = "id", features: str = "features", extra: Sequence[str] = ()) -> DataFrame:
+    """A4: points equal by value as one row, with the lowest id (and its extra columns)."""
+    aggs = [F.min(F.struct(F.col(id_col).alias("id"), *extra)).alias("m")]
+    return points.groupBy(F.col(features).alias("features")).agg(*aggs).select("m.id", "features", *[f"m.{c}" for c in extra])
+
+
+def find_canopies(pts: DataFrame, t1: float, t3: float, buckets: int = DEFAULT_BUCKETS, bucket_col: str | None = None) -> list[tuple[int, int, list[float]]]:
+    """The global canopies ``(canopy, id, vector)``."""
+    with storage.prepared(local_canopies(pts, t1, buckets, bucket_col), "local-canopies") as cands:
+        return merge_canopies(cands, t3)
+
+
+def covered_points(pts: DataFrame, canopies: Sequence[tuple[int, Sequence[float]]], t2: float, cover: str = "drop", form: str = "auto") -> DataFrame:
+    """C3 with ``cover='nearest'``: a point in no canopy belongs to its nearest one (else to none)."""
+    memb = canopy_membership(pts, canopies, t2, "features", form)
+    if cover == "drop" or not canopies:
+        return memb
+    near = assign(memb, [v for _, v in canopies], [c for c, _ in canopies])
+    own = F.when((F.size("canopies") > 0) | F.col("cid").isNull(), F.col("canopies")).otherwise(F.array("cid"))
+    return near.select(*pts.columns, own.alias("canopies"))
 
 
 def kmeans_canopy(
@@ -229,9 +256,9 @@ def kmeans_canopy(
     tol: float = 0.001,
     max_iter: int = 20,
     distinct: bool = True,
-    buckets: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
     bucket_col: str | None = None,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    cover: str = "drop",
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
@@ -241,62 +268,59 @@ def kmeans_canopy(
 
     ``distinct=True`` first collapses points equal by value (lowest id kept),
     as the reference keys points by their vector. Loop: while delta > tol and
-    rounds < max_iter, with at least one round. Points and memberships are
-    prepared as in ``plans.storage.prepare`` (``checkpoint`` forces either way).
+    rounds < max_iter, with at least one round. ``cover='nearest'`` sends points
+    in no canopy to the nearest one instead of leaving them out.
     """
+    if cover not in ("drop", "nearest"):
+        raise ValueError(f"unknown cover {cover!r}")
     spark = points.sparkSession
     extra = [bucket_col] if bucket_col else []
-    pts = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), *extra)
     if distinct:
-        aggs = [F.min("id").alias("id")] + [F.min_by(c, "id").alias(c) for c in extra]
-        pts = pts.groupBy("features").agg(*aggs).select("id", "features", *extra)
+        pts = distinct_points(points, id_col, features, extra)
+    else:
+        pts = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), *extra)
     base = pts  # source lineage, for the lazily evaluated outputs
-    pts = storage.prepare(storage.spread(pts, "id"), "canopy-points", checkpoint)
-    try:
-        cands = storage.keep(local_canopies(pts, t1, buckets, bucket_col, bucket_rows))
-        canopies = merge_canopies(cands, t3)
-        storage.release(cands)
+    with storage.prepared(storage.spread(pts, "id"), "canopy-points", checkpoint) as pts:
+        canopies = find_canopies(pts, t1, t3, buckets, bucket_col)
         canopy_list = [(c, v) for c, _, v in canopies]
         canopy_ids = [c for c, _ in canopy_list]
-        memb_all = canopy_membership(pts.select("id", "features"), canopy_list, t2, "features", form)
-        # Persist first, then filter the stored array: filtering the derived
-        # column directly would be pushed into the projection and build every
-        # membership array twice.
-        memb_store = storage.prepare(memb_all, "canopy-members", checkpoint)
-        memb = memb_store.where(F.size("canopies") > 0)
+        where = np.array([v for _, v in canopy_list], dtype=np.float64)
         store = {c: list(v) for c, v in canopy_list}
         active = {c: (list(v), [c]) for c, v in canopy_list}
         trace, sizes, last_active = [], {}, dict(active)
-        for it in range(1, max_iter + 1):
-            if not active:
-                break
-            last_active = dict(active)
-            rows = _restricted_stats(memb, active, canopy_ids, "features", form)
-            new = {int(r["cid"]): [s / float(r["n"]) for s in r["sums"]] for r in rows}
-            sizes = {int(r["cid"]): int(r["n"]) for r in rows}
-            delta = sum(sq_movement(new[c], store[c]) for c in new)
-            store.update(new)
-            active = {}
-            for c in sorted(new):
-                cs = _canopies_of(new[c], canopy_list, t2)
-                if cs:
-                    active[c] = (new[c], cs)
-            trace.append((it, float(delta), len(new)))
-            if delta <= tol:
-                break
-        storage.release(memb_store)
-    finally:
-        storage.release(pts)
+        # Stored first, then filtered: a filter on the derived array would be
+        # pushed into the projection and build every array twice.
+        with storage.prepared(covered_points(pts.select("id", "features"), canopy_list, t2, cover, form), "canopy-members", checkpoint) as stored:
+            memb = stored.where(F.size("canopies") > 0)
+            n = F.size("canopies")
+            counts = stored.agg(F.count("*").alias("points"), F.count_if(n > 0).alias("covered"), F.avg(F.when(n > 0, n)).alias("mean_canopies")).collect()
+            for it in range(1, max_iter + 1):
+                if not active:
+                    break
+                last_active = dict(active)
+                rows = _restricted_stats(memb, active, canopy_ids, "features", form)
+                new = {int(r["cid"]): [s / float(r["n"]) for s in r["sums"]] for r in rows}
+                sizes = {int(r["cid"]): int(r["n"]) for r in rows}
+                delta = sum(sq_movement(new[c], store[c]) for c in new)
+                store.update(new)
+                # C4: the canopies within T2 of each moved centre.
+                moved = sorted(new)
+                inside = physical.within(np.array([new[c] for c in moved]), where, t2) if moved else []
+                active = {c: (new[c], [canopy_ids[i] for i in at]) for c, at in zip(moved, inside) if len(at)}
+                trace.append((it, float(delta), len(new)))
+                if delta <= tol:
+                    break
     crow = [(c, store[c], sizes.get(c, 0), c in active) for c in sorted(store)]
     cdf = local_frame(spark, crow, "cid int, center array<double>, size bigint, active boolean")
     kdf = local_frame(spark, canopies, "canopy int, id bigint, center array<double>")
     tdf = local_frame(spark, trace, "iter int, delta double, clusters int")
-    # Lazy outputs read the source, not the prepared copy released above.
-    memb_all = canopy_membership(base.select("id", "features"), canopy_list, t2, "features", form)
-    memb_lazy = memb_all.where(F.size("canopies") > 0)
+    bdf = local_frame(spark, counts, "points bigint, covered bigint, mean_canopies double")
+    # Lazy outputs read the source, not the prepared copy that is gone.
+    memb_all = covered_points(base.select("id", "features"), canopy_list, t2, cover, form)
     if last_active:
+        memb_lazy = memb_all.where(F.size("canopies") > 0)
         adf = restricted_assign(memb_lazy, last_active, canopy_ids, "features", form).select("id", "cid")
     else:
         adf = local_frame(spark, [], "id bigint, cid int")
     udf_ = memb_all.where(F.size("canopies") == 0).select("id", "features")
-    return CanopyResult(cdf, kdf, tdf, adf, udf_)
+    return CanopyResult(cdf, kdf, tdf, adf, udf_, bdf)

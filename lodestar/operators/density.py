@@ -7,10 +7,9 @@
   max(b, j))`` it takes part in, and every tile (two blocks, a bounded group)
   returns one partial sum. No pair is materialised as a row and no task holds
   more than two blocks. Pass ``t2=`` to ``kmeans_density`` to skip it.
-* K4 ``density_seed``: on a bounded sample (the sampling step is part of the
-  operator: 70 rows by default), A5/A7 density and squared-distance row sums
-  are a Spark job over the sample rows; the greedy choice of at most
-  ``max_centers`` centres then walks the sample in order on the driver.
+* K4 ``density_seed``: on a sample (the sampling step is part of the operator:
+  70 rows by default), A5/A7 density and squared-distance row sums are tiled
+  likewise; each further centre is a scan, an anti-join and an argmax on Spark.
 * K5 ``kmeans_density`` = K3 -> sample -> K4 -> K1.
 """
 
@@ -23,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lodestar.operators.lloyd import KMeansResult, kmeans
+from lodestar.operators.assign import assign, predict
+from lodestar.operators.lloyd import kmeans
 from lodestar.plans import physical, storage
+from lodestar.plans.storage import local_frame
 from lodestar.sources.sample import DEFAULT_SEED, first_rows, seeded_sample
 
 DEFAULT_BLOCK_ROWS = 20_000
@@ -44,6 +44,15 @@ def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
     return total
 
 
+def tiles(points: DataFrame, block_rows: int, *cols) -> DataFrame:
+    """Every row once per tile it takes part in: ``ta, tb, blk`` and ``cols``; a tile is two blocks of rows."""
+    n = points.count()
+    nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
+    blk = points.select(F.pmod(F.xxhash64(*cols), F.lit(nb)).cast("int").alias("blk"), *cols)
+    rep = blk.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    return rep.select(F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", *cols)
+
+
 def pair_distance_sum(
     points: DataFrame,
     block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -51,31 +60,21 @@ def pair_distance_sum(
     features: str = "features",
 ) -> float:
     """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j)."""
-    n = points.count()
-    if n == 0:
-        return 0.0
-    nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
-    blk = points.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int").alias("blk"),
-        F.col(features).alias("features"),
-    )
-    rep = blk.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).select(
-        F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", "features"
-    )
 
-    def block(pdf, b):
-        v = pdf.loc[pdf["blk"] == b, "features"].to_numpy()
-        return np.stack(v).astype(np.float64) if len(v) else np.empty((0, 1))
+    def fn(tile: pa.Table) -> pa.Table:
+        rb = tile.combine_chunks().to_batches()[0]
+        ta, tb, own = (rb.column(rb.schema.get_field_index(c)).to_numpy() for c in ("ta", "tb", "blk"))
+        x, _ = physical._features_matrix(rb, features, len(rb.column(rb.schema.get_field_index(features))[0]))
+        a, b = x[own == ta[0]], x[own == tb[0]]
+        if ta[0] != tb[0]:
+            return pa.table({"s": [2.0 * _tile_sum(a, b)]})
+        # Within a block each pair once, twice over; a row's distance to itself is 0.
+        step = 1024
+        s = sum(_tile_sum(a[i : i + step], a[i + step :]) * 2 + _tile_sum(a[i : i + step], a[i : i + step]) for i in range(0, len(a), step))
+        return pa.table({"s": [s]})
 
-    def fn(pdf):
-        ta, tb = int(pdf["ta"].iloc[0]), int(pdf["tb"].iloc[0])
-        a = block(pdf, ta)
-        s = _tile_sum(a, a) if ta == tb else 2.0 * _tile_sum(a, block(pdf, tb))
-        return __import__("pandas").DataFrame({"ta": [ta], "tb": [tb], "s": [s]})
-
-    tiles = rep.groupBy("ta", "tb").applyInPandas(fn, "ta int, tb int, s double")
-    row = tiles.agg(F.sum("s").alias("s")).first()
-    return float(row["s"] or 0.0)
+    parts = tiles(points, block_rows, id_col, features).groupBy("ta", "tb").applyInArrow(fn, "s double")
+    return float(parts.agg(F.sum("s").alias("s")).first()["s"] or 0.0)
 
 
 def adaptive_radius(
@@ -89,42 +88,33 @@ def adaptive_radius(
     return math.sqrt(pair_distance_sum(points, block_rows, id_col, features)) * coef
 
 
-def density_stats(sample: DataFrame, t2: float, features: str = "features") -> DataFrame:
-    """A5/A7 over a bounded sample ``(seq, id, features)``.
+def density_stats(sample: DataFrame, t2: float, features: str = "features", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """A5/A7 over a sample ``(seq, id, features)``.
 
     Adds ``density`` (rows whose **squared** distance is <= t2, self
     included, as the reference compares) and ``rowsum`` (sum of squared
     distances to all sample rows) and ``rowsum_in`` (the same over the rows
-    counted in ``density``). The sample matrix (n x D, n = the sample size)
-    travels in the task closure; work is spread over the sample's partitions.
+    counted in ``density``). Tiles give partial sums per row, Spark adds them.
     """
-    rows = sample.orderBy("seq").select(features).collect()
-    mat = np.asarray([list(r[0]) for r in rows], dtype=np.float64)
     thr = float(t2)
 
-    def fn(batches):
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            col = rb.column(features)
-            x = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(
-                rb.num_rows, -1
-            )
-            d2 = physical.sq_dists(x, mat)
-            inside = d2 <= thr
-            yield rb.append_column("density", pa.array(inside.sum(axis=1), pa.int64())).append_column(
-                "rowsum", pa.array(d2.sum(axis=1), pa.float64())
-            ).append_column("rowsum_in", pa.array(np.where(inside, d2, 0.0).sum(axis=1), pa.float64()))
-
-    schema = T.StructType(
-        sample.schema.fields
-        + [
-            T.StructField("density", T.LongType()),
-            T.StructField("rowsum", T.DoubleType()),
-            T.StructField("rowsum_in", T.DoubleType()),
-        ]
-    )
-    return sample.mapInArrow(fn, schema)
+    def fn(tile: pa.Table) -> pa.Table:
+        rb = tile.combine_chunks().to_batches()[0]
+        ta, tb, own, seq = (rb.column(rb.schema.get_field_index(c)).to_numpy() for c in ("ta", "tb", "blk", "seq"))
+        x, _ = physical._features_matrix(rb, features, len(rb.column(rb.schema.get_field_index(features))[0]))
+        sides = {(int(ta[0]), int(tb[0])), (int(tb[0]), int(ta[0]))}  # each block against the other
+        out = []
+        for mine, other in sorted(sides):
+            i, y = np.flatnonzero(own == mine), x[own == other]
+            step = max(1, 4_000_000 // max(1, len(y)))
+            for s in range(0, len(i), step):
+                d2 = physical.sq_dists(x[i[s : s + step]], y)
+                inside = d2 <= thr
+                out.append((seq[i[s : s + step]], inside.sum(1), d2.sum(1), np.where(inside, d2, 0.0).sum(1)))
+        return pa.table(dict(zip(("seq", "density", "rowsum", "rowsum_in"), (np.concatenate(c) for c in zip(*out)))))
+
+    parts = tiles(sample, block_rows, "seq", features).groupBy("ta", "tb").applyInArrow(fn, "seq int, density bigint, rowsum double, rowsum_in double")
+    return sample.join(parts.groupBy("seq").agg(*(F.sum(c).alias(c) for c in ("density", "rowsum", "rowsum_in"))), "seq")
 
 
 class DensitySeeds(NamedTuple):
@@ -132,55 +122,6 @@ class DensitySeeds(NamedTuple):
     rows: list[tuple[int, int, int, int]]  # (cid, seq, id, density)
 
 
-def _sqd(a, b) -> float:
-    s = 0.0
-    for u, v in zip(a, b):
-        s += (u - v) * (u - v)
-    return s
-
-
-def greedy_density(
-    vecs: list[list[float]],
-    dens: list[int],
-    rowsum: list[float],
-    rowsum_in: list[float],
-    t2: float,
-    max_centers: int = 3,
-    weight: str = "reference",
-) -> list[int]:
-    """Sample positions of the chosen centres (see SURVEY section 2.8)."""
-    n = len(vecs)
-    if n == 0:
-        return []
-    mi = max(range(n), key=lambda i: (dens[i], -i))
-    chosen = [mi]
-    key = [tuple(v) for v in vecs]
-    alive = [i for i in range(n) if key[i] != key[mi]]
-    snapshot = list(alive)
-    for i in snapshot:
-        if len(chosen) >= max_centers:
-            break
-        cent = [vecs[c] for c in chosen]
-        if any(math.sqrt(_sqd(vecs[i], c)) <= t2 for c in cent):
-            alive = [j for j in alive if key[j] != key[i]]
-            continue
-        if not alive:
-            break
-        best, best_w = None, None
-        for j in alive:
-            cd = [math.sqrt(_sqd(vecs[j], c)) for c in cent]
-            m = min(range(len(cd)), key=lambda q: (cd[q], q))
-            if weight == "reference":
-                w = dens[mi] * (1.0 / (rowsum[m] / dens[m])) * cd[m]
-            else:
-                w = 0.0 if rowsum_in[j] == 0 else dens[j] * (1.0 / (rowsum_in[j] / dens[j])) * cd[m]
-            if best_w is None or w > best_w:
-                best, best_w = j, w
-        chosen.append(best)
-        alive = [j for j in alive if key[j] != key[best]]
-    return chosen
-
-
 def density_seed(
     sample: DataFrame,
     t2: float,
@@ -188,17 +129,55 @@ def density_seed(
     weight: str = "reference",
     features: str = "features",
 ) -> DensitySeeds:
-    """K4 on a bounded ``(seq, id, features)`` sample."""
+    """K4 on a ``(seq, id, features)`` sample, a few small Spark jobs per centre.
+
+    The densest row comes first. For each further centre, rows are scanned in
+    sample order from where the last scan ended: rows within T2 of a centre are
+    covered, and these values drop out; the first other row ends the scan, and
+    the row of largest weight among the values left becomes a centre.
+    ``weight='reference'`` weighs by the nearest centre's distance and the row
+    sum and density of the sample row whose number the nearest centre has;
+    ``'density'`` by the candidate's own density and row sum within T2.
+    """
     if weight not in ("reference", "density"):
         raise ValueError(f"unknown weight {weight!r}")
-    st = density_stats(sample, t2, features).orderBy("seq").collect()
-    vecs = [list(r[features]) for r in st]
-    dens = [int(r["density"]) for r in st]
-    pos = greedy_density(
-        vecs, dens, [float(r["rowsum"]) for r in st], [float(r["rowsum_in"]) for r in st], t2, max_centers, weight
-    )
-    rows = [(k, int(st[p]["seq"]), int(st[p]["id"]), dens[p]) for k, p in enumerate(pos)]
-    return DensitySeeds([vecs[p] for p in pos], rows)
+    with storage.prepared(density_stats(sample, t2, features), "density-stats") as st:
+        top = st.orderBy(F.desc("density"), "seq").limit(1).collect()
+        if not top:
+            return DensitySeeds([], [])
+        chosen, densest = [top[0]], top[0]["density"]
+        # The rows that 'reference' weights look up: as many as there may be centres.
+        low = {r["seq"]: r["rowsum"] / r["density"] for r in st.where(F.col("seq") < max_centers).select("seq", "rowsum", "density").collect()}
+        others = st.where(F.col(features) != F.lit(list(top[0][features])))
+        covered, last = F.lit(False), -1
+        while len(chosen) < max_centers:
+            far = F.sqrt("d2")
+            near = assign(others, [list(c[features]) for c in chosen], None, features)
+            end = near.where((F.col("seq") > last) & (far > float(t2))).agg(F.min("seq").alias("s")).first()["s"]
+            if end is None:
+                break
+            covered = covered | ((F.col("seq") > last) & (F.col("seq") < end))
+            gone = others.where(covered).select(features).unionByName(others.where(F.col("seq").isin([c["seq"] for c in chosen])).select(features))
+            left = near.join(gone.distinct(), features, "left_anti")
+            if weight == "reference":
+                scale = F.coalesce(*(F.when(F.col("cid") == m, F.lit(float(densest) * (1.0 / v) if v else float("inf"))) for m, v in sorted(low.items())))
+                w = scale * far
+            else:
+                w = F.when(F.col("rowsum_in") == 0, F.lit(0.0)).otherwise(F.col("density") * (1.0 / (F.col("rowsum_in") / F.col("density"))) * far)
+            best = left.withColumn("w", w).orderBy(F.desc("w"), "seq").limit(1).collect()
+            if not best:
+                break
+            chosen.append(best[0])
+            last = end
+    return DensitySeeds([list(c[features]) for c in chosen], [(k, int(c["seq"]), int(c["id"]), int(c["density"])) for k, c in enumerate(chosen)])
+
+
+class DensityResult(NamedTuple):
+    centers: DataFrame  # cid int, center array<double>, size bigint, weight double
+    trace: DataFrame  # iter int, delta double, sse double, clusters int
+    assignments: DataFrame  # id bigint, cid int, d2 double
+    radius: DataFrame  # t2 double
+    seeds: DataFrame  # cid int, seq int, id bigint, density bigint, center array<double>
 
 
 def kmeans_density(
@@ -215,17 +194,22 @@ def kmeans_density(
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
-) -> tuple[KMeansResult, float, DensitySeeds]:
+) -> DensityResult:
     """K5: adaptive radius (unless ``t2`` is given), density seeding on a
     ``sample_n`` sample (``'seeded'`` md5 order or ``'first'`` ids), Lloyd."""
     src = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"))
-    pts = storage.prepare(storage.spread(src, "id"), "density")
-    try:
+    spark = points.sparkSession
+    with storage.prepared(storage.spread(src, "id"), "density") as pts:
         radius = adaptive_radius(pts, coef) if t2 is None else float(t2)
         smp = seeded_sample(pts, sample_n, seed) if sample == "seeded" else first_rows(pts, sample_n)
-        seeds = density_seed(smp, radius, max_centers, weight)
-    finally:
-        storage.release(pts)
-    # K1 prepares its own copy; its lazy assignments read the source.
-    res = kmeans(src, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form)
-    return res, radius, seeds
+        with storage.prepared(smp, "sample") as smp:  # drawn once
+            seeds = density_seed(smp, radius, max_centers, weight)
+        res = kmeans(pts, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form)
+    rows = [(*r, c) for r, c in zip(seeds.rows, seeds.centers)]
+    return DensityResult(
+        res.centers,
+        res.trace,
+        predict(src, res.centers, form=form),
+        local_frame(spark, [(radius,)], "t2 double"),
+        local_frame(spark, rows, "cid int, seq int, id bigint, density bigint, center array<double>"),
+    )

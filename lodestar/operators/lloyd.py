@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.assign import assign, centers_from_frame, collect_stats, predict
 from lodestar.plans import physical, storage
-from lodestar.sources.sample import DEFAULT_SEED, seed_vectors
+from lodestar.sources.sample import DEFAULT_SEED, sample_key, seed_vectors
+from lodestar.functions.vectors import elem_sql
 from lodestar.plans.storage import local_frame
+from lodestar.sources.text import one_width
 
 
 class KMeansResult(NamedTuple):
@@ -77,7 +79,7 @@ def lloyd_rounds(
     Stops after ``max_iter`` rounds or once delta <= ``tol`` (``tol=None``:
     fixed number of rounds). At least one round runs when ``max_iter >= 1``.
     """
-    if on_empty not in ("keep", "error", "reseed"):
+    if on_empty not in ("keep", "error", "reseed", "reseed-md5"):
         raise ValueError(f"unknown on_empty {on_empty!r}")
     centers = [list(c) for c in centers]
     trace, last = [], {}
@@ -95,12 +97,15 @@ def lloyd_rounds(
             new[cid] = [s / w for s in r["sums"]]
         if empty and on_empty == "error":
             raise ValueError(f"empty clusters in round {it}: {empty}")
-        if empty and on_empty == "reseed":
+        if empty and on_empty.startswith("reseed"):
             fcols = list(features) if isinstance(features, (list, tuple)) else [features]
+            rows_ = points.select(id_col, *fcols)
+            if on_empty == "reseed":
+                rows_ = assign(rows_, centers, None, features, form).orderBy(F.desc("d2"), F.col(id_col))
+            else:
+                rows_ = rows_.orderBy(sample_key(id_col), F.col(id_col))
             far = (
-                assign(points.select(id_col, *fcols), centers, None, features, form)
-                .orderBy(F.desc("d2"), F.col(id_col))
-                .limit(len(empty))
+                rows_.limit(len(empty))
                 .select(*fcols)
                 .collect()
             )
@@ -130,16 +135,18 @@ def kmeans(
     features: str = "features",
     id_col: str = "id",
     checkpoint: bool | None = None,
+    dim: int | None = None,
 ) -> KMeansResult:
     """Lloyd k-means on ``(id, features[, weight])`` rows.
 
     ``init``: list of vectors, a ``(cid, center)`` DataFrame, ``'sample'``
     (md5-seeded sample of ``k`` rows, see ``sources.sample``) or ``'first'``.
+    ``dim``: the vectors' width; without it all widths are checked (one job).
+    Rows of another width, or with a null, take no part.
     ``on_empty``: ``'keep'`` (an empty cluster keeps its centre), ``'error'``,
-    or ``'reseed'`` (farthest point from its centre, lowest id on ties).
-    The prepared points go to Parquet under the session's
-    ``spark.checkpoint.dir`` when one is set (``checkpoint=None``; see
-    ``plans.storage``), else to the cache; ``checkpoint`` forces either.
+    ``'reseed'`` (farthest point from its centre, lowest id on ties) or
+    ``'reseed-md5'`` (points in the order of the seeded sample).
+    The points are iterated on as ``plans.storage.prepared`` says.
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
@@ -150,37 +157,28 @@ def kmeans(
         # once (the seeding pass also fills the cache).
         if k is None or k < 1:
             raise ValueError("k >= 1 is required for seeded initialisation")
-        first = points.select(F.size(features).alias("d")).first()
-        if first is None:
+        kk = k
+        d = dim or one_width(points.where(F.col(features).isNotNull()).select(F.size(features).alias("width")))
+        if not d:
             raise ValueError("no points")
-        kk, d = k, int(first["d"])
     else:
         start = resolve_init(points.select(*cols), k, init, seed, distinct_seeds, features, id_col)
         kk, d = len(start), len(start[0])
-    # Iterated copy. For the expression form, one double column per dimension:
-    # the columnar cache stores it compressed and scans it vectorized, while an
-    # array column is decoded row by row on every round. The Arrow kernel reads
-    # the array's flat buffer zero-copy, which beats stacking many columns.
+    # For the expression form, one double column per dimension: scanned
+    # vectorized, while an array column is decoded row by row on every round.
+    # The Arrow kernel reads the array's flat buffer zero-copy.
     if physical.choose_form(kk, d, form) == "expr":
         feats = [f"_x{i}" for i in range(d)]
-        fcols = [F.col(features)[i].alias(c) for i, c in enumerate(feats)]
+        fcols = [F.expr(x).alias(c) for x, c in zip(elem_sql(features, d), feats)]
     else:
         feats, fcols = features, [F.col(features)]
-    prepared = storage.spread(
-        points.select(F.col(id_col), *fcols, *([F.col(weight)] if weight else [])), id_col
-    )
-    prepared = storage.prepare(prepared, "kmeans", checkpoint)
-    if seeded:
-        vec = F.array(*[F.col(c) for c in feats]) if isinstance(feats, list) else F.col(feats)
-        start = seed_vectors(
-            prepared.select(id_col, vec.alias("_seedvec")), k, seed, distinct_seeds, init, id_col, "_seedvec"
-        )
-    try:
-        centers, trace, last = lloyd_rounds(
-            prepared, start, tol, max_iter, feats, weight, on_empty, form, id_col
-        )
-    finally:
-        storage.release(prepared)
+    whole = (F.size(features) == d) & ~F.exists(features, lambda v: v.isNull())
+    src = points.where(whole).select(F.col(id_col), *fcols, *([F.col(weight)] if weight else []))
+    with storage.prepared(storage.spread(src, id_col), "kmeans", checkpoint) as pts:
+        if seeded:
+            vec = F.array(*[F.col(c) for c in feats]) if isinstance(feats, list) else F.col(feats)
+            start = seed_vectors(pts.select(id_col, vec.alias("_seedvec")), k, seed, distinct_seeds, init, id_col, "_seedvec")
+        centers, trace, last = lloyd_rounds(pts, start, tol, max_iter, feats, weight, on_empty, form, id_col)
     crow = []
     for cid, c in enumerate(centers):
         r = last.get(cid)

@@ -1,19 +1,19 @@
 """The K closest pairs of distinct vectors and their midpoints.
 
 Exact at any size without emitting pairs: points are hashed into blocks of
-at most ``block_rows`` rows; every tile (block a, block b >= a) is one group
+about ``block_rows`` rows; every tile (block a, block b >= a) is one group
 that computes its pair distances in NumPy and returns only its own K closest
 pairs; Spark then takes the global K closest (``TakeOrderedAndProject``).
 The global top K is contained in the union of the per-tile top K, so nothing
 is lost. Pairs of equal vectors are skipped (the reference compares points by
-value). Order: squared distance, then ids.
+value); rows are told apart by position, so ids may repeat. Order: squared
+distance, ids, midpoint. All vectors must have one length.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,40 +25,33 @@ PAIR_SCHEMA = "i bigint, j bigint, d2 double, mid array<double>"
 
 
 def _tile_topk(ia, xa, ib, xb, k: int, same: bool):
-    """Top-k (d2, i, j) unordered pairs with i < j between two blocks."""
-    out_i, out_j, out_d = [], [], []
+    """The k closest pairs of distinct vectors of two blocks: rows of a and of b, squared distances.
+
+    Rows are told apart by position, so equal ids don't matter; only candidates
+    at or below the k-th distance are ordered (by distance, ids, midpoint).
+    """
+    pa_, pb_, pd_ = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     step = max(1, 4_000_000 // max(1, len(xb)))
     for s in range(0, len(xa), step):
-        d2 = physical.sq_dists(xa[s : s + step], xb)
-        ii = np.broadcast_to(ia[s : s + step, None], d2.shape)
-        jj = np.broadcast_to(ib[None, :], d2.shape)
-        lo, hi = np.minimum(ii, jj), np.maximum(ii, jj)
+        d2 = physical.sq_dists(xa[s : s + step], xb[s + 1 :] if same else xb)
         keep = d2 > 0  # distinct vectors only
-        if same:
-            keep &= ii < jj
-        d, a, b = d2[keep], lo[keep], hi[keep]
+        if same:  # each pair once: b after a
+            keep &= np.arange(d2.shape[1])[None, :] >= np.arange(d2.shape[0])[:, None]
+        if len(pd_) >= k:
+            keep &= d2 <= pd_.max()
+        a, b = np.nonzero(keep)
+        d = d2[a, b]
         if len(d) > k:
-            order = np.lexsort((b, a, d))[:k]
-            d, a, b = d[order], a[order], b[order]
-        out_d.append(d)
-        out_i.append(a)
-        out_j.append(b)
-    d = np.concatenate(out_d) if out_d else np.empty(0)
-    a = np.concatenate(out_i) if out_i else np.empty(0, dtype=np.int64)
-    b = np.concatenate(out_j) if out_j else np.empty(0, dtype=np.int64)
-    order = np.lexsort((b, a, d))[:k]
-    return a[order], b[order], d[order]
-
-
-def _pairs_frame(i, j, d2, mids) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "i": pd.Series(i, dtype="int64"),
-            "j": pd.Series(j, dtype="int64"),
-            "d2": pd.Series(d2, dtype="float64"),
-            "mid": pd.Series(list(mids), dtype=object),
-        }
-    )
+            near = d <= np.partition(d, k - 1)[k - 1]  # ties with the k-th stay
+            a, b, d = a[near], b[near], d[near]
+        pa_ = np.concatenate([pa_, a + s])
+        pb_ = np.concatenate([pb_, b + (s + 1 if same else 0)])
+        pd_ = np.concatenate([pd_, d])
+        lo, hi = np.minimum(ia[pa_], ib[pb_]), np.maximum(ia[pa_], ib[pb_])
+        mid = (xa[pa_] + xb[pb_]) / 2.0
+        order = np.lexsort((*mid.T[::-1], hi, lo, pd_))[:k]
+        pa_, pb_, pd_ = pa_[order], pb_[order], pd_[order]
+    return pa_, pb_, pd_
 
 
 def closest_pairs(
@@ -78,36 +71,33 @@ def closest_pairs(
     n = points.count()
     nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
     blk = points.select(
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int").alias("blk"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(features)), F.lit(nb)).cast("int").alias("blk"),
         F.col(id_col).cast("bigint").alias("id"),
         F.col(features).alias("features"),
     )
+    # Non-unique ids would fall into one block: the vector takes part in the hash.
     rep = blk.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).select(
         F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", "id", "features"
     )
     kk = int(k)
 
-    def fn(pdf):
-        ta, tb = int(pdf["ta"].iloc[0]), int(pdf["tb"].iloc[0])
-        pa_ = pdf[pdf["blk"] == ta]
-        pb_ = pa_ if ta == tb else pdf[pdf["blk"] == tb]
-        if pa_.empty or pb_.empty:  # a hash block may be empty
-            return _pairs_frame([], [], [], [])
-        xa = np.stack(pa_["features"].to_numpy()).astype(np.float64)
-        xb = np.stack(pb_["features"].to_numpy()).astype(np.float64)
-        ia = pa_["id"].to_numpy(np.int64)
-        ib = pb_["id"].to_numpy(np.int64)
-        a, b, d = _tile_topk(ia, xa, ib, xb, kk, ta == tb)
-        vec = dict(zip(ia.tolist(), xa))
-        vec.update(zip(ib.tolist(), xb))
-        mids = [((vec[int(x)] + vec[int(y)]) / 2.0).tolist() for x, y in zip(a, b)]
-        return _pairs_frame(a, b, d, mids)
-
-    cand = rep.groupBy("ta", "tb").applyInPandas(fn, PAIR_SCHEMA)
+    def fn(tile: pa.Table) -> pa.Table:
+        rb = tile.combine_chunks().to_batches()[0]
+        ta, tb, own, ids = (rb.column(rb.schema.get_field_index(c)).to_numpy() for c in ("ta", "tb", "blk", "id"))
+        d = len(rb.column(rb.schema.get_field_index("features"))[0])
+        x, _ = physical._features_matrix(rb, "features", d)
+        a, b = np.flatnonzero(own == ta[0]), np.flatnonzero(own == tb[0])
+        i, j, d2 = _tile_topk(ids[a], x[a], ids[b], x[b], kk, ta[0] == tb[0])
+        i, j = a[i], b[j]
+        mid = (x[i] + x[j]) / 2.0
+        mids = pa.ListArray.from_arrays(pa.array(np.arange(len(i) + 1) * d, pa.int32()), pa.array(mid.ravel()))
+        return pa.table({"i": np.minimum(ids[i], ids[j]), "j": np.maximum(ids[i], ids[j]), "d2": d2, "mid": mids})
+
+    cand = rep.groupBy("ta", "tb").applyInArrow(fn, PAIR_SCHEMA)
     if ordered:
         cand = cand.select(F.col("i"), F.col("j"), "d2", "mid").unionByName(
             cand.select(F.col("j").alias("i"), F.col("i").alias("j"), "d2", "mid")
         )
-    top = cand.orderBy("d2", "i", "j").limit(kk)
-    w = Window.orderBy("d2", "i", "j")  # over the k rows of ``top`` only
+    top = cand.orderBy("d2", "i", "j", "mid").limit(kk)
+    w = Window.orderBy("d2", "i", "j", "mid")  # over the k rows of ``top`` only
     return top.withColumn("rank", F.row_number().over(w).cast("int")).select("rank", "i", "j", "d2", "mid")

@@ -4,13 +4,14 @@ Each outer round:
 1. assign every point to the current centres and sum per (bucket, cluster):
    the partial centroids, at most ``buckets x K`` rows, each weighted by the
    points behind it (one Spark job; the bucket is a hash of the id, or a
-   given column);
+   given column). They stay a table, written once a round;
 2. K2a: the K closest pairs of distinct partial centroids give K midpoints
    as starting centres;
 3. K2b: ``inner_iter`` fixed Lloyd rounds over the partial centroids only
    (weighted by default; ``weighted=False`` counts each centroid once, as the
    reference does), an empty cluster reseeded with the centroid farthest from
-   its centre (lowest id on ties);
+   its centre (lowest id on ties). Too few pairs or centroids for K seeds leave
+   the remaining centres as they were, so there are always K;
 4. delta = sum of squared movement between the old and new centres.
 The reference compares the new centres with themselves (delta always 0, one
 outer round); ``max_iter=1`` reproduces that.
@@ -23,16 +24,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.assign import assign, predict
+from lodestar.functions.vectors import elem_sql
+from lodestar.operators.assign import assign, collect_stats, predict
 from lodestar.operators.lloyd import lloyd_rounds, resolve_init, sq_movement
 from lodestar.operators.pairs import closest_pairs
 from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED
 from lodestar.plans.storage import local_frame
 
-CENTROID_SCHEMA = "id bigint, bucket int, cid int, features array<double>, weight double"
-
-
 class TwoLevelResult(NamedTuple):
     centers: DataFrame  # cid int, center array<double>
     trace: DataFrame  # iter int, delta double, partials int
@@ -46,66 +45,47 @@ def partial_centroids(
     features: str = "features",
     form: str = "auto",
 ) -> DataFrame:
-    """Per (bucket, cid): ``id = bucket * K + cid``, mean vector, point count as weight."""
-    k = len(centers)
-    d = len(centers[0])
-    a = assign(points.select(bucket, features), centers, None, features, form)
-    x = F.col(features)
-    g = a.groupBy(F.col(bucket).alias("bucket"), "cid").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"_s{i}") for i in range(d)]
-    )
+    """Per (bucket, cid): ``id = bucket * K + cid``, mean vector, point count as weight.
+
+    Stays a DataFrame (buckets x K rows); tasks hold a bounded number of sums.
+    """
+    k, d = len(centers), len(centers[0])
+    src = points.select(F.col(bucket).cast("int").alias("bucket"), features)
+    if physical.choose_form(k, d, form) == "expr" or k * d > physical.MAX_CENTER_NUMBERS:
+        xs = elem_sql(features, d)
+        g = assign(src, centers, None, features, form).groupBy("bucket", "cid").agg(
+            F.count(F.lit(1)).alias("n"), F.count("cid").alias("_known"), *[F.expr(f"sum({x})").alias(f"_s{i}") for i, x in enumerate(xs)]
+        )
+        g = g.where("_known > 0").select("bucket", "cid", "n", F.array(*[F.col(f"_s{i}") for i in range(d)]).alias("sums"))
+    else:
+        part = src.mapInArrow(
+            physical.arrow_group_stats_fn(centers, list(range(k)), "bucket", features),
+            "grp int, cid int, dim int, value double",
+        )
+        tot = part.groupBy("grp", "cid", "dim").agg(F.sum("value").alias("value"))
+        sums = F.array_sort(F.collect_list(F.when(F.col("dim") >= 0, F.struct("dim", "value"))))
+        g = tot.groupBy(F.col("grp").alias("bucket"), "cid").agg(
+            F.max(F.when(F.col("dim") == physical.DIM_COUNT, F.col("value"))).alias("n"), F.transform(sums, lambda s: s["value"]).alias("sums")
+        )
     return g.select(
         (F.col("bucket").cast("bigint") * k + F.col("cid")).alias("id"),
-        F.col("bucket").cast("int").alias("bucket"),
+        "bucket",
         "cid",
-        F.array(*[F.col(f"_s{i}") / F.col("n") for i in range(d)]).alias("features"),
+        F.transform("sums", lambda v: v / F.col("n")).alias("features"),
         F.col("n").cast("double").alias("weight"),
     )
 
 
-def collect_partial_centroids(
-    points: DataFrame,
-    centers: list[list[float]],
-    bucket: str = "bucket",
-    features: str = "features",
-    form: str = "auto",
-) -> list[tuple]:
-    """Partial centroid rows ``(id, bucket, cid, center, weight)`` on the driver
-    (at most buckets x K rows). The Arrow form accumulates per (bucket, cid) in
-    each task and needs one small shuffle."""
-    k, d = len(centers), len(centers[0])
-    if physical.choose_form(k, d, form) == "expr":
-        rows = partial_centroids(points, centers, bucket, features, form).collect()
-        return [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows]
-    part = points.select(F.col(bucket).cast("int").alias(bucket), features).mapInArrow(
-        physical.arrow_group_stats_fn(centers, list(range(k)), bucket, features),
-        "grp int, cid int, dim int, value double",
-    )
-    tot = part.groupBy("grp", "cid", "dim").agg(F.sum("value").alias("value")).collect()
-    acc: dict[tuple[int, int], dict] = {}
-    for r in tot:
-        a = acc.setdefault((int(r["grp"]), int(r["cid"])), {"sums": [0.0] * d})
-        dim, v = int(r["dim"]), float(r["value"])
-        if dim == physical.DIM_COUNT:
-            a["n"] = v
-        elif dim >= 0:
-            a["sums"][dim] = v
-    out = []
-    for (g, cid), a in sorted(acc.items()):
-        out.append((g * k + cid, g, cid, [x / a["n"] for x in a["sums"]], a["n"]))
-    return out
-
-
-def seeds_from_pairs(centroids: DataFrame, k: int, ordered: bool = False) -> list[list[float]]:
-    """Midpoints of the k closest pairs (padded from the heaviest centroids)."""
+def seeds_from_pairs(
+    centroids: DataFrame, k: int, ordered: bool = False, old: list[list[float]] | None = None
+) -> list[list[float]]:
+    """Midpoints of the k closest pairs; too few pairs are made up from the
+    heaviest centroids, and too few centroids from the centres before (``old``)."""
     mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered).orderBy("rank").collect()]
     if len(mids) < k:
-        extra = centroids.orderBy(F.desc("weight"), "id").limit(k).select("features").collect()
-        for r in extra:
-            if len(mids) >= k:
-                break
-            mids.append(list(r[0]))
-    return mids
+        extra = centroids.orderBy(F.desc("weight"), "id").limit(k - len(mids)).select("features").collect()
+        mids += [list(r[0]) for r in extra]
+    return mids + [list(c) for c in (old or [])[len(mids) :]]
 
 
 def inner_kmeans(
@@ -114,8 +94,10 @@ def inner_kmeans(
     inner_iter: int = 10,
     weighted: bool = True,
     form: str = "auto",
+    reseed: str = "reseed",
 ) -> list[list[float]]:
-    """Fixed rounds of Lloyd over the centroid table, empty clusters reseeded."""
+    """Fixed rounds of Lloyd over the centroid table, empty clusters reseeded
+    (``reseed``: ``'reseed'`` the farthest centroid, ``'reseed-md5'`` in md5 order)."""
     centers, _trace, _last = lloyd_rounds(
         centroids,
         seeds,
@@ -123,7 +105,7 @@ def inner_kmeans(
         max_iter=inner_iter,
         features="features",
         weight="weight" if weighted else None,
-        on_empty="reseed",
+        on_empty=reseed,
         form=form,
         id_col="id",
     )
@@ -142,6 +124,7 @@ def kmeans_two_level(
     weighted: bool = True,
     ordered_pairs: bool = False,
     seed: int = DEFAULT_SEED,
+    reseed: str = "reseed",
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
@@ -152,34 +135,23 @@ def kmeans_two_level(
         if bucket_col
         else F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int")
     )
-    pts = storage.prepare(
-        storage.spread(
-            points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket")),
-            "id",
-        ),
-        "two-level",
-    )
-    try:
+    src = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket"))
+    with storage.prepared(storage.spread(src, "id"), "two-level") as pts:
         centers = resolve_init(pts, k, init, seed, False, "features", "id")
-        physical.choose_form(len(centers), len(centers[0]), form)
         trace = []
         for it in range(1, max_iter + 1):
-            rows = collect_partial_centroids(pts, centers, "bucket", "features", form)
-            cent = local_frame(spark, rows, CENTROID_SCHEMA)
-            if len(centers) == 1:
-                tot = sum(r[4] for r in rows)
-                d = len(centers[0])
-                new = [[sum(r[4] * r[3][i] for r in rows) / tot for i in range(d)]]
-            else:
-                seeds = seeds_from_pairs(cent, len(centers), ordered_pairs)
-                new = inner_kmeans(cent, seeds, inner_iter, weighted, form)
-            delta = sum(sq_movement(a, b) for a, b in zip(centers, new))
-            trace.append((it, float(delta), len(rows)))
+            with storage.prepared(partial_centroids(pts, centers, "bucket", "features", form), "partials") as cent:
+                if len(centers) == 1:
+                    (one,) = collect_stats(cent, centers, None, "features", "weight")
+                    new, n = [[s / one["weight"] for s in one["sums"]]], one["n"]
+                else:
+                    seeds = seeds_from_pairs(cent, len(centers), ordered_pairs, centers)
+                    new, n = inner_kmeans(cent, seeds, inner_iter, weighted, form, reseed), cent.count()
+            delta = sum(sq_movement(a, b) for a, b in zip(centers, new, strict=True))
+            trace.append((it, float(delta), n))
             centers = new
             if tol is not None and delta <= tol:
                 break
-    finally:
-        storage.release(pts)
     cdf = local_frame(spark, list(enumerate(centers)), "cid int, center array<double>")
     tdf = local_frame(spark, trace, "iter int, delta double, partials int")
     adf = predict(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")), centers)

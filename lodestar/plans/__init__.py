@@ -2,26 +2,15 @@
 
 from lodestar.plans.config import local_session
 from lodestar.plans.physical import EXPR_MAX_TERMS, MAX_CENTER_NUMBERS, choose_form
-from lodestar.plans.storage import (
-    checkpoint_dir,
-    keep,
-    local_frame,
-    materialize,
-    prepare,
-    release,
-    spread,
-)
+from lodestar.plans.storage import checkpoint_dir, local_frame, prepared, spread
 
 __all__ = [
     "EXPR_MAX_TERMS",
     "MAX_CENTER_NUMBERS",
     "checkpoint_dir",
     "choose_form",
-    "keep",
     "local_frame",
     "local_session",
-    "materialize",
-    "prepare",
-    "release",
+    "prepared",
     "spread",
 ]

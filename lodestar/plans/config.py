@@ -23,7 +23,8 @@ def local_session(cpus: int | str = "*", app: str = "lodestar") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # Only set a checkpoint folder where the session has none (local runs).
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+    # A folder of this machine only serves local masters, and only where the session has none.
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") and not sc.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-"))
     return spark

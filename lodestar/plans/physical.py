@@ -29,7 +29,8 @@ import pyarrow as pa
 
 # Unrolled Column expressions up to this many (centre x dimension) terms.
 EXPR_MAX_TERMS = 128
-# Largest centre table inlined into a plan or a task closure (numbers).
+# Most numbers of a centre table in one task closure; larger tables are taken
+# block by block, each block lowering the best centre found so far.
 MAX_CENTER_NUMBERS = 4_000_000
 # Row chunk for the NumPy distance block: rows x K x D doubles stay ~32 MB.
 _BLOCK_ELEMS = 4_000_000
@@ -41,26 +42,60 @@ DIM_COUNT, DIM_WEIGHT, DIM_SSE = -3, -2, -1
 def choose_form(k: int, d: int, form: str = "auto") -> str:
     if form not in ("auto", "expr", "arrow"):
         raise ValueError(f"unknown form {form!r}")
-    if k * d > MAX_CENTER_NUMBERS:
-        raise ValueError(
-            f"{k} centres x {d} dims exceed the inlined-centre bound {MAX_CENTER_NUMBERS}"
-        )
     if form != "auto":
         return form
     return "expr" if k * d <= EXPR_MAX_TERMS else "arrow"
 
 
-def _features_matrix(rb: pa.RecordBatch, features, d: int) -> np.ndarray:
-    """Rows x d float64 matrix from an array column or one column per dimension."""
+def _features_matrix(rb: pa.RecordBatch, features, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows x d float64 matrix, and which rows are whole.
+
+    A null vector, a null element or another length makes a row not whole: it
+    belongs to no centre and enters no statistic, as in the expression form.
+    """
     if isinstance(features, (list, tuple)):
-        return np.column_stack(
-            [np.asarray(rb.column(c).to_numpy(zero_copy_only=False), dtype=np.float64) for c in features]
-        ).reshape(-1, d)
-    col = rb.column(features)
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(flat, dtype=np.float64).reshape(-1, d)
+        cols = [rb.column(rb.schema.get_field_index(c)) for c in features]
+        ok = np.ones(rb.num_rows, bool)
+        for c in cols:
+            ok &= np.asarray(c.is_valid())
+        x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in cols])
+        return x.reshape(-1, d), ok
+    col = rb.column(rb.schema.get_field_index(features))
+    off = np.asarray(col.offsets, dtype=np.int64)
+    n = np.diff(off)
+    flat = col.values.slice(off[0], off[-1] - off[0])
+    ok = np.asarray(col.is_valid()) & (n == d)
+    if flat.null_count:
+        row = np.repeat(np.arange(len(n)), n)
+        ok &= np.bincount(row[np.asarray(flat.is_null())], minlength=len(n)) == 0
+    flat = np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64)
+    if ok.all():
+        return flat.reshape(-1, d), ok
+    x = np.zeros((len(n), d))
+    good = np.flatnonzero(ok)
+    x[good] = flat[(off[good] - off[0])[:, None] + np.arange(d)]
+    return x, ok
+
+
+def _long(ids: np.ndarray, stats: np.ndarray, names, group: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows ``([grp,] cid, dim, value)`` of a (row x 3 + d) table of count, weight, sse and sums."""
+    width = stats.shape[1]
+    dims = np.tile(np.concatenate([[DIM_COUNT, DIM_WEIGHT, DIM_SSE], np.arange(width - 3)]), len(ids))
+    cols = [pa.array(np.repeat(ids, width), pa.int32()), pa.array(dims, pa.int32()), pa.array(stats.ravel(), pa.float64())]
+    if group is not None:
+        cols.insert(0, pa.array(np.repeat(group, width), pa.int32()))
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _sums(lab: np.ndarray, x: np.ndarray, d2: np.ndarray, wt: np.ndarray | None, k: int) -> np.ndarray:
+    """Per label: count, weight, weighted squared distance, weighted vector sums."""
+    out = np.empty((k, x.shape[1] + 3))
+    out[:, 0] = np.bincount(lab, minlength=k)
+    out[:, 1] = out[:, 0] if wt is None else np.bincount(lab, wt, k)
+    out[:, 2] = np.bincount(lab, d2 if wt is None else wt * d2, k)
+    for j in range(x.shape[1]):
+        out[:, 3 + j] = np.bincount(lab, x[:, j] if wt is None else wt * x[:, j], k)
+    return out
 
 
 def sq_dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,36 +112,26 @@ def sq_dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-# Below this many rows the all-pairs work of one tile is too small to split.
-TILE_SPLIT_ROWS = 4_096
-
-
 def tile_blocks(n: int, block_rows: int, parallelism: int) -> int:
-    """Blocks for an all-pairs tiling: at most ``block_rows`` rows per block, and,
-    once the pair work is worth splitting, enough tiles (b * (b + 1) / 2) for
-    two per core."""
+    """Blocks for an all-pairs tiling: at most ``block_rows`` rows per block, and
+    enough tiles (b * (b + 1) / 2) for two per core."""
     b = max(1, -(-n // block_rows))
-    if n < TILE_SPLIT_ROWS:
-        return b
-    while b * (b + 1) // 2 < 2 * parallelism:
+    while b * (b + 1) // 2 < 2 * parallelism and b < n:
         b += 1
     return b
 
 
-def _nearest(x: np.ndarray, c: np.ndarray, eligible: np.ndarray | None = None):
+def _nearest(x: np.ndarray, c: np.ndarray):
     """Row-chunked argmin; first minimum = lowest id on ties."""
     n, k = x.shape[0], c.shape[0]
     lab = np.empty(n, dtype=np.int64)
     mind = np.empty(n, dtype=np.float64)
     step = max(1, _BLOCK_ELEMS // max(1, k * x.shape[1]))
     for s in range(0, n, step):
-        blk = x[s : s + step]
-        d2 = sq_dists(blk, c)
-        if eligible is not None:
-            d2 = np.where(eligible[s : s + step], d2, np.inf)
+        d2 = sq_dists(x[s : s + step], c)
         j = d2.argmin(axis=1)
         lab[s : s + step] = j
-        mind[s : s + step] = d2[np.arange(blk.shape[0]), j]
+        mind[s : s + step] = d2[np.arange(len(j)), j]
     return lab, mind
 
 
@@ -114,8 +139,13 @@ def arrow_assign_fn(
     centers: Sequence[Sequence[float]],
     ids: Sequence[int],
     features: str = "features",
+    update: bool = False,
 ):
-    """``mapInArrow`` body: append ``cid`` (int) and ``d2`` (double)."""
+    """``mapInArrow`` body: append ``cid`` (int) and ``d2`` (double).
+
+    ``update``: the batch's last two columns are the best centre of earlier
+    blocks; a centre of this block replaces it where it is strictly nearer.
+    """
     c = np.asarray(centers, dtype=np.float64)
     id_arr = np.asarray(ids, dtype=np.int32)
     d = c.shape[1]
@@ -124,10 +154,18 @@ def arrow_assign_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb, features, d)
+            x, ok = _features_matrix(rb, features, d)
             lab, mind = _nearest(x, c)
-            yield rb.append_column("cid", pa.array(id_arr[lab], pa.int32())).append_column(
-                "d2", pa.array(mind, pa.float64())
+            cid, cols = id_arr[lab], rb.columns
+            if update:
+                cols = rb.columns[:-2]
+                old_c = rb.column(rb.num_columns - 2).fill_null(0).to_numpy()
+                old_d = rb.column(rb.num_columns - 1).fill_null(0).to_numpy()
+                keep = ~(mind < old_d)
+                cid, mind = np.where(keep, old_c, cid), np.where(keep, old_d, mind)
+            yield pa.RecordBatch.from_arrays(
+                [*cols, pa.array(cid, pa.int32(), mask=~ok), pa.array(mind, pa.float64(), mask=~ok)],
+                names=[*rb.schema.names[: len(cols)], "cid", "d2"],
             )
 
     return fn
@@ -145,44 +183,28 @@ def arrow_partial_stats_fn(
     k, d = c.shape
 
     def fn(batches):
-        n = np.zeros(k)
-        w = np.zeros(k)
-        sse = np.zeros(k)
-        s = np.zeros((k, d))
-        seen = False
+        total = np.zeros((k, d + 3))
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            seen = True
-            x = _features_matrix(rb, features, d)
+            x, ok = _features_matrix(rb, features, d)
+            wt = None
+            if weight:
+                wt = rb.column(rb.schema.get_field_index(weight)).to_numpy(zero_copy_only=False).astype(np.float64)[ok]
+            x = x[ok]
             lab, mind = _nearest(x, c)
-            wt = (
-                np.asarray(rb.column(weight).to_numpy(zero_copy_only=False), dtype=np.float64)
-                if weight
-                else np.ones(x.shape[0])
-            )
-            n += np.bincount(lab, minlength=k)
-            w += np.bincount(lab, weights=wt, minlength=k)
-            sse += np.bincount(lab, weights=wt * mind, minlength=k)
-            for j in range(d):
-                s[:, j] += np.bincount(lab, weights=wt * x[:, j], minlength=k)
-        if not seen:
-            return
-        live = np.nonzero(n)[0]
-        cids, dims, vals = [], [], []
-        for kk in live:
-            cid = int(id_arr[kk])
-            cids += [cid] * (d + 3)
-            dims += [DIM_COUNT, DIM_WEIGHT, DIM_SSE] + list(range(d))
-            vals += [n[kk], w[kk], sse[kk]] + list(s[kk])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cids, pa.int32()), pa.array(dims, pa.int32()), pa.array(vals, pa.float64())],
-            names=["cid", "dim", "value"],
-        )
+            total += _sums(lab, x, mind, wt, k)
+        live = np.flatnonzero(total[:, 0])
+        if len(live):
+            yield _long(id_arr[live], total[live], ["cid", "dim", "value"])
 
     return fn
 
 
+#: (group, cluster) sums a task holds before it emits them.
+GROUP_ROWS = 50_000
+
+
 def arrow_group_stats_fn(
     centers: Sequence[Sequence[float]],
     ids: Sequence[int],
@@ -190,61 +212,37 @@ def arrow_group_stats_fn(
     features: str = "features",
 ):
     """Like ``arrow_partial_stats_fn`` but per (group value, cluster), for the
-    two-level partial centroids: rows ``(grp, cid, dim, value)``."""
+    two-level partial centroids: rows ``(grp, cid, dim, value)``. A task holds at
+    most about ``GROUP_ROWS`` sums, however many groups there are."""
     c = np.asarray(centers, dtype=np.float64)
     id_arr = np.asarray(ids, dtype=np.int32)
     k, d = c.shape
+    names = ["grp", "cid", "dim", "value"]
 
     def fn(batches):
-        acc: dict[int, np.ndarray] = {}  # grp -> k x (d + 2): count, sse, sums
+        keys, total = np.zeros(0, np.int64), np.zeros((0, d + 3))
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb, features, d)
-            g = np.asarray(rb.column(group).to_numpy(zero_copy_only=False), dtype=np.int64)
+            x, ok = _features_matrix(rb, features, d)
+            g = rb.column(rb.schema.get_field_index(group)).to_numpy(zero_copy_only=False).astype(np.int64)[ok]
+            x = x[ok]
             lab, mind = _nearest(x, c)
-            for gv in np.unique(g):
-                sel = g == gv
-                a = acc.setdefault(int(gv), np.zeros((k, d + 2)))
-                lb = lab[sel]
-                a[:, 0] += np.bincount(lb, minlength=k)
-                a[:, 1] += np.bincount(lb, weights=mind[sel], minlength=k)
-                xs = x[sel]
-                for j in range(d):
-                    a[:, 2 + j] += np.bincount(lb, weights=xs[:, j], minlength=k)
-        if not acc:
-            return
-        grp, cids, dims, vals = [], [], [], []
-        for gv, a in acc.items():
-            for kk in np.nonzero(a[:, 0])[0]:
-                grp += [gv] * (d + 3)
-                cids += [int(id_arr[kk])] * (d + 3)
-                dims += [DIM_COUNT, DIM_WEIGHT, DIM_SSE] + list(range(d))
-                vals += [a[kk, 0], a[kk, 0], a[kk, 1]] + list(a[kk, 2:])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grp, pa.int32()), pa.array(cids, pa.int32()), pa.array(dims, pa.int32()),
-             pa.array(vals, pa.float64())],
-            names=["grp", "cid", "dim", "value"],
-        )
+            mine, at = np.unique(g * k + lab, return_inverse=True)
+            part = _sums(at, x, mind, None, len(mine))
+            both, to = np.unique(np.concatenate([keys, mine]), return_inverse=True)
+            merged = np.zeros((len(both), d + 3))
+            np.add.at(merged, to, np.concatenate([total, part]))
+            keys, total = both, merged
+            if len(keys) > GROUP_ROWS:
+                yield _long(id_arr[keys % k], total, names, keys // k)
+                keys, total = np.zeros(0, np.int64), np.zeros((0, d + 3))
+        if len(keys):
+            yield _long(id_arr[keys % k], total, names, keys // k)
 
     return fn
 
 
-def _list_mask(col: pa.Array, ids_index: dict[int, int], m: int) -> np.ndarray:
-    """Rows x m boolean matrix from a list<int> column of canopy ids."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    offsets = np.asarray(col.offsets.to_numpy(zero_copy_only=False), dtype=np.int64)
-    vals = np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
-    n = len(col)
-    mask = np.zeros((n, m), dtype=bool)
-    rows = np.repeat(np.arange(n), np.diff(offsets - offsets[0]))
-    pos = np.array([ids_index.get(int(v), -1) for v in vals], dtype=np.int64)
-    ok = pos >= 0
-    mask[rows[ok], pos[ok]] = True
-    return mask
-
-
 def arrow_within_fn(
     centers: Sequence[Sequence[float]],
     ids: Sequence[int],
@@ -261,21 +259,74 @@ def arrow_within_fn(
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb, features, d)
+            x, ok = _features_matrix(rb, features, d)
             step = max(1, _BLOCK_ELEMS // max(1, k * d))
-            parts = []
-            for s in range(0, x.shape[0], step):
-                parts.append(np.sqrt(sq_dists(x[s : s + step], c)) < radius)
-            inside = np.concatenate(parts) if parts else np.zeros((0, k), dtype=bool)
-            counts = inside.sum(axis=1)
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            vals = id_arr[np.nonzero(inside)[1]]
-            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(vals, pa.int32()))
-            yield rb.append_column(out, arr)
+            counts, vals = [], []
+            for s in range(0, len(x), step):
+                inside = (np.sqrt(sq_dists(x[s : s + step], c)) < radius) & ok[s : s + step, None]
+                counts.append(inside.sum(axis=1))
+                vals.append(id_arr[np.nonzero(inside)[1]])
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(vals), pa.int32()))
+            yield pa.RecordBatch.from_arrays([*rb.columns, arr], names=[*rb.schema.names, out])
 
     return fn
 
 
+def within(a: np.ndarray, b: np.ndarray, radius: float) -> list[np.ndarray]:
+    """Per row of ``a``: positions of the rows of ``b`` at distance < radius."""
+    out = []
+    step = max(1, _BLOCK_ELEMS // max(1, len(b) * a.shape[1]))
+    for s in range(0, len(a), step):
+        out += [np.flatnonzero(r) for r in np.sqrt(sq_dists(a[s : s + step], b)) < radius]
+    return out
+
+
+class Eligible:
+    """Centres of each canopy (in canopy id order), and the pairs that points may form."""
+
+    def __init__(self, center_canopies: Sequence[Sequence[int]], canopy_ids: Sequence[int]):
+        self.ids = np.sort(np.asarray(canopy_ids, np.int64))
+        n = [len(cs) for cs in center_canopies]
+        center = np.repeat(np.arange(len(n)), n)
+        at = np.searchsorted(self.ids, np.array([v for cs in center_canopies for v in cs], np.int64))
+        order = np.lexsort((center, at))
+        self.center = center[order]
+        self.first = np.searchsorted(at[order], np.arange(len(self.ids) + 1))
+
+    def pairs(self, col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (row, centre) pairs sharing a canopy, in order, of a list column of canopy ids."""
+        off = np.asarray(col.offsets, np.int64)
+        row = np.repeat(np.arange(len(col)), np.diff(off))
+        vals = col.values.slice(off[0], off[-1] - off[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.ids, vals), max(len(self.ids) - 1, 0))
+        known = self.ids[at] == vals if len(self.ids) else np.zeros(len(vals), bool)
+        row, at = row[known], at[known]
+        n = self.first[at + 1] - self.first[at]
+        base = np.cumsum(n) - n
+        take = np.arange(int(n.sum())) + np.repeat(self.first[at] - base, n)
+        key = np.unique(np.repeat(row, n) * k + self.center[take])
+        return key // k, key % k
+
+
+def _restricted(rb, features, canopies, c: np.ndarray, may: Eligible):
+    """Rows with an eligible centre, their nearest one (lowest id on ties), and its squared distance."""
+    x, ok = _features_matrix(rb, features, c.shape[1])
+    row, cen = may.pairs(rb.column(rb.schema.get_field_index(canopies)), len(c))
+    row, cen = row[ok[row]], cen[ok[row]]
+    d2 = np.zeros(len(row))
+    for j in range(c.shape[1]):  # the pairs alone, left to right like sq_dists
+        diff = x[row, j] - c[cen, j]
+        d2 += diff * diff
+    has, first = np.unique(row, return_index=True)
+    if not len(has):
+        return x, has, has, d2
+    best = np.minimum.reduceat(d2, first)
+    hit = np.flatnonzero(d2 == np.repeat(best, np.diff(np.append(first, len(row)))))
+    _, lowest = np.unique(row[hit], return_index=True)
+    return x, has, cen[hit[lowest]], best
+
+
 def arrow_restricted_stats_fn(
     centers: Sequence[Sequence[float]],
     ids: Sequence[int],
@@ -284,48 +335,21 @@ def arrow_restricted_stats_fn(
     features: str = "features",
     canopies: str = "canopies",
 ):
-    """Partial stats where a point may only join centres sharing a canopy."""
+    """Partial stats where a point may only join centres sharing a canopy; no other distance is computed."""
     c = np.asarray(centers, dtype=np.float64)
     id_arr = np.asarray(ids, dtype=np.int32)
     k, d = c.shape
-    index = {int(v): i for i, v in enumerate(canopy_ids)}
-    q = np.zeros((k, len(canopy_ids)), dtype=bool)
-    for j, cs in enumerate(center_canopies):
-        for v in cs:
-            q[j, index[int(v)]] = True
+    may = Eligible(center_canopies, canopy_ids)
 
     def fn(batches):
-        n = np.zeros(k)
-        sse = np.zeros(k)
-        s = np.zeros((k, d))
-        seen = False
+        total = np.zeros((k, d + 3))
         for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            x = _features_matrix(rb, features, d)
-            r = _list_mask(rb.column(canopies), index, len(canopy_ids))
-            elig = (r.astype(np.int32) @ q.T.astype(np.int32)) > 0
-            has = elig.any(axis=1)
-            if not has.any():
-                continue
-            seen = True
-            x, elig = x[has], elig[has]
-            lab, mind = _nearest(x, c, elig)
-            n += np.bincount(lab, minlength=k)
-            sse += np.bincount(lab, weights=mind, minlength=k)
-            for j in range(d):
-                s[:, j] += np.bincount(lab, weights=x[:, j], minlength=k)
-        if not seen:
-            return
-        cids, dims, vals = [], [], []
-        for kk in np.nonzero(n)[0]:
-            cids += [int(id_arr[kk])] * (d + 3)
-            dims += [DIM_COUNT, DIM_WEIGHT, DIM_SSE] + list(range(d))
-            vals += [n[kk], n[kk], sse[kk]] + list(s[kk])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cids, pa.int32()), pa.array(dims, pa.int32()), pa.array(vals, pa.float64())],
-            names=["cid", "dim", "value"],
-        )
+            if rb.num_rows:
+                x, has, lab, mind = _restricted(rb, features, canopies, c, may)
+                total += _sums(lab, x[has], mind, None, k)
+        live = np.flatnonzero(total[:, 0])
+        if len(live):
+            yield _long(id_arr[live], total[live], ["cid", "dim", "value"])
 
     return fn
 
@@ -341,24 +365,15 @@ def arrow_restricted_assign_fn(
     """Append ``cid``/``d2`` choosing only centres that share a canopy (else null)."""
     c = np.asarray(centers, dtype=np.float64)
     id_arr = np.asarray(ids, dtype=np.int32)
-    k, d = c.shape
-    index = {int(v): i for i, v in enumerate(canopy_ids)}
-    q = np.zeros((k, len(canopy_ids)), dtype=np.int32)
-    for j, cs in enumerate(center_canopies):
-        for v in cs:
-            q[j, index[int(v)]] = 1
+    may = Eligible(center_canopies, canopy_ids)
 
     def fn(batches):
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            x = _features_matrix(rb, features, d)
-            r = _list_mask(rb.column(canopies), index, len(canopy_ids)).astype(np.int32)
-            elig = (r @ q.T) > 0
-            has = elig.any(axis=1)
-            lab, mind = _nearest(x, c, elig)
-            yield rb.append_column(
-                "cid", pa.array(id_arr[lab], pa.int32(), mask=~has)
-            ).append_column("d2", pa.array(mind, pa.float64(), mask=~has))
+            _, has, lab, mind = _restricted(rb, features, canopies, c, may)
+            cid, d2, none = np.zeros(rb.num_rows, np.int32), np.zeros(rb.num_rows), np.ones(rb.num_rows, bool)
+            cid[has], d2[has], none[has] = id_arr[lab], mind, False
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(cid, mask=none), pa.array(d2, mask=none)], names=[*rb.schema.names, "cid", "d2"])
 
     return fn

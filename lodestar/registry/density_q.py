@@ -71,7 +71,8 @@ def _sql_stats_ctes(view: str, t2: str) -> list[str]:
     return [
         f"smp AS MATERIALIZED ({_sql_sample(view, SAMPLE_N)})",
         f"st AS MATERIALIZED (SELECT a.seq, a.id, a.f, count(*) FILTER (WHERE {sqlgen.d2('a.f', 'b.f', dim)} <= {t2}) AS dens, "
-        f"sum({sqlgen.d2('a.f', 'b.f', dim)}) AS rowsum FROM smp a CROSS JOIN smp b GROUP BY a.seq, a.id, a.f)",
+        f"sum({sqlgen.d2('a.f', 'b.f', dim)}) AS rowsum, "
+        f"sum(CASE WHEN {sqlgen.d2('a.f', 'b.f', dim)} <= {t2} THEN {sqlgen.d2('a.f', 'b.f', dim)} ELSE 0 END) AS rowsum_in FROM smp a CROSS JOIN smp b GROUP BY a.seq, a.id, a.f)",
     ]
 
 
@@ -88,13 +89,18 @@ def density_seed_q(spark: SparkSession, sf: str) -> DataFrame:
     return local_frame(spark, seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
 
 
-def _sql_seed_ctes(view: str, t2: str) -> list[str]:
+def _sql_seed_ctes(view: str, t2: str, weight: str = "reference") -> list[str]:
     """Greedy max-density seeding (max 3 centres) as two unrolled steps over ``st``."""
     dim = DIMS[view]
 
     def dist(a, b):
         return f"sqrt({sqlgen.d2(a, b, dim)})"
 
+    def weigh(row, near, d):
+        if weight == "reference":
+            return f"g1.dmax * (1.0 / ({near}.rowsum / {near}.dens)) * {d}"
+        return f"CASE WHEN {row}.rowsum_in = 0 THEN 0 ELSE {row}.dens * (1.0 / ({row}.rowsum_in / {row}.dens)) * {d} END"
+
     return [
         "g1 AS MATERIALIZED (SELECT seq AS mi, f AS v1, dens AS dmax FROM st ORDER BY dens DESC, seq LIMIT 1)",
         "snap AS MATERIALIZED (SELECT st.* FROM st, g1 WHERE st.f <> g1.v1)",
@@ -102,7 +108,7 @@ def _sql_seed_ctes(view: str, t2: str) -> list[str]:
         f"i1 AS MATERIALIZED (SELECT min(seq) AS i FROM snap, g1 WHERE {dist('snap.f', 'g1.v1')} > {t2})",
         "alive1 AS MATERIALIZED (SELECT * FROM snap WHERE f NOT IN "
         "(SELECT f FROM snap, i1 WHERE snap.seq < i1.i))",
-        f"w1 AS MATERIALIZED (SELECT a.seq, a.f, g1.dmax * (1.0 / (s0.rowsum / s0.dens)) * {dist('a.f', 'g1.v1')} AS w "
+        f"w1 AS MATERIALIZED (SELECT a.seq, a.f, {weigh('a', 's0', dist('a.f', 'g1.v1'))} AS w "
         "FROM alive1 a, g1, (SELECT * FROM st WHERE seq = 0) s0, i1 WHERE i1.i IS NOT NULL)",
         "g2 AS MATERIALIZED (SELECT seq AS s2, f AS v2 FROM w1 ORDER BY w DESC, seq LIMIT 1)",
         "alive2 AS MATERIALIZED (SELECT a.* FROM alive1 a, g2 WHERE a.f <> g2.v2)",
@@ -111,9 +117,9 @@ def _sql_seed_ctes(view: str, t2: str) -> list[str]:
         f"least({dist('snap.f', 'g1.v1')}, {dist('snap.f', 'g2.v2')}) > {t2})",
         "alive2b AS MATERIALIZED (SELECT * FROM alive2 WHERE f NOT IN "
         "(SELECT f FROM snap, i1, i2 WHERE snap.seq > i1.i AND snap.seq < i2.i))",
-        f"w2 AS MATERIALIZED (SELECT a.seq, a.f, {dist('a.f', 'g1.v1')} AS e1, {dist('a.f', 'g2.v2')} AS e2 "
+        f"w2 AS MATERIALIZED (SELECT a.seq, a.f, a.dens, a.rowsum_in, {dist('a.f', 'g1.v1')} AS e1, {dist('a.f', 'g2.v2')} AS e2 "
         "FROM alive2b a, g1, g2, i2 WHERE i2.i IS NOT NULL)",
-        "w2b AS MATERIALIZED (SELECT w2.seq, w2.f, g1.dmax * (1.0 / (sm.rowsum / sm.dens)) * least(e1, e2) AS w "
+        f"w2b AS MATERIALIZED (SELECT w2.seq, w2.f, {weigh('w2', 'sm', 'least(e1, e2)')} AS w "
         "FROM w2, g1, st sm WHERE sm.seq = CASE WHEN e1 <= e2 THEN 0 ELSE 1 END)",
         "g3 AS MATERIALIZED (SELECT seq AS s3, f AS v3 FROM w2b ORDER BY w DESC, seq LIMIT 1)",
         "seeds AS MATERIALIZED (SELECT 0 AS cid, mi AS seq FROM g1 UNION ALL SELECT 1, s2 FROM g2 "
@@ -130,12 +136,25 @@ SQL_DENSITY_SEED = (
 
 
 def kmeans_density_q(spark: SparkSession, sf: str) -> DataFrame:
-    res, _t2, _seeds = kmeans_density(
+    res = kmeans_density(
         vectors(spark, sf, KD_VIEW), tol=KD_TOL, max_iter=KD_MAX_ITER, sample_n=SAMPLE_N, seed=SEED
     )
     return long_vectors(res.centers, ["cid"], "center")
 
 
+def density_seed_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    seeds = density_seed(_sample(spark, sf), SEED_T2, weight="density")
+    return local_frame(spark, seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
+
+
+SQL_DENSITY_SEED_WEIGHTED = (
+    "WITH "
+    + ",\n".join(_sql_stats_ctes(SEED_VIEW, repr(SEED_T2)) + _sql_seed_ctes(SEED_VIEW, repr(SEED_T2), "density"))
+    + "\nSELECT CAST(s.cid AS INTEGER) AS cid, s.seq, st.id AS vec_id, st.dens AS density "
+    "FROM seeds s JOIN st ON s.seq = st.seq"
+)
+
+
 def _sql_kmeans_density() -> str:
     dim = DIMS[KD_VIEW]
     t2 = "(SELECT t2 FROM rad)"
@@ -150,5 +169,6 @@ QUERIES = {
     "adaptive_radius": (adaptive_radius_q, SQL_RADIUS),
     "density_rank": (density_rank, SQL_DENSITY_RANK),
     "density_seed": (density_seed_q, SQL_DENSITY_SEED),
+    "density_seed_weighted": (density_seed_weighted, SQL_DENSITY_SEED_WEIGHTED),
     "kmeans_density": (kmeans_density_q, _sql_kmeans_density()),
 }

@@ -8,7 +8,8 @@ Each view has the same ids and features on both sides:
   by the vector, so picks stay fixed.
 * ``cust``: ``customer`` -> ``(c_custkey, [c_acctbal, c_nationkey])``.
 * ``part``: ``part`` -> ``(p_partkey, [p_retailprice, p_size])``.
-* ``supp``: ``supplier`` -> ``(s_suppkey, [s_acctbal, s_nationkey])``.
+* ``supp``: ``supplier`` -> ``(s_suppkey, [s_acctbal, s_nationkey])``;
+  ``suppn`` has the same vectors under the nation's key, which isn't unique.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ VIEWS = {
     "cust": ("customer", "c_custkey", ["c_acctbal", "c_nationkey"], None),
     "part": ("part", "p_partkey", ["p_retailprice", "p_size"], None),
     "supp": ("supplier", "s_suppkey", ["s_acctbal", "s_nationkey"], None),
+    "suppn": ("supplier", "s_nationkey", ["s_acctbal", "s_nationkey"], None),
 }
 
-DIMS = {"emb": 64, "li": 4, "cust": 2, "part": 2, "supp": 2}
+DIMS = {"emb": 64, "li": 4, "cust": 2, "part": 2, "supp": 2, "suppn": 2}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

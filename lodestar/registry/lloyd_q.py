@@ -3,6 +3,8 @@ P1, P6, J1, A1, A2, A8, A13, K1, K7), each with its DuckDB oracle."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from lodestar.operators.assign import cluster_stats, kmeans_step, predict
 from lodestar.operators.lloyd import kmeans
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, table, vectors
+from lodestar.plans.storage import checkpoint_dir
 from lodestar.sources.sample import seed_vectors, seeded_sample
-from lodestar.sources.text import parse_tagged
+from lodestar.sources.table import table_vectors
+from lodestar.sources.text import parse_tagged, read_text_vectors
 
 # Fixed parameters of the registered queries.
 NEAREST_K = 8  # first 8 embeddings by vec_id are the fixed centres
@@ -81,6 +85,38 @@ FROM t
 """
 
 
+def text_file_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lines as files: written to the shared folder and read back by the text source."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-lines-{uuid.uuid4().hex}"
+    _order_lines(spark, sf).select("value").write.text(path)
+    got = read_text_vectors(spark, path, dim=3)
+    f = [F.col("features")[i].alias(f"f{i}") for i in range(3)]
+    none = [F.lit(None).cast("double").alias(f"f{i}") for i in range(3)]
+    return got.points.select(F.lit("ok").alias("reason"), *f).unionByName(got.rejects.select("reason", *none))
+
+
+SQL_TEXT_FILE_SCAN = f"SELECT reason, f0, f1, f2 FROM ({SQL_TEXT_VECTOR_SCAN})"
+
+
+RAGGED_DIM = 64
+
+
+def ragged_table_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of two widths, the first row's the wrong one: ``dim`` says which counts."""
+    e = table(spark, sf, "embeddings")
+    cut = e.select("vec_id", F.expr(f"slice(embedding, 1, {RAGGED_DIM} - CAST(vec_id % 7 = 0 AS INT) * 3)").alias("v"))
+    got = table_vectors(cut, "vec_id", array_col="v", dim=RAGGED_DIM)
+    kept = got.points.select(F.col("id").alias("vec_id"), F.lit(True).alias("kept"), F.size("features").cast("long").alias("width"))
+    width = F.size(F.from_json("line", "array<double>")).cast("long").alias("width")
+    return kept.unionByName(got.rejects.select(F.col("id").alias("vec_id"), F.lit(False).alias("kept"), width))
+
+
+SQL_RAGGED = (
+    "SELECT vec_id, w = 64 AS kept, w AS width FROM (SELECT vec_id, "
+    "CAST(len(embedding) - CASE WHEN vec_id % 7 = 0 THEN 3 ELSE 0 END AS BIGINT) AS w FROM embeddings)"
+)
+
+
 # --- T2 --------------------------------------------------------------------
 def seeded_sample_q(spark: SparkSession, sf: str) -> DataFrame:
     s = seeded_sample(vectors(spark, sf, "emb"), SAMPLE_N, SEED)
@@ -106,6 +142,15 @@ def nearest_center(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LARGE_K = 150  # centres, inlined 40 at a time
+
+
+def large_k_assign(spark: SparkSession, sf: str) -> DataFrame:
+    pts = vectors(spark, sf, "emb")
+    cs = _first_centers(spark, sf, "emb", LARGE_K)
+    return predict(pts, cs, inline_limit=40 * DIMS["emb"]).select(F.col("id").alias("vec_id"), "cid", F.round("d2", ROUND).alias("d2"))
+
+
 def _sql_nearest(view: str, centers_sql: str, dim: int) -> str:
     return (
         f"SELECT p.id, min({{'d': {sqlgen.d2('p.f', 'c.c', dim)}, 'k': c.cid}}) AS m "
@@ -119,6 +164,12 @@ SQL_NEAREST_CENTER = (
 )
 
 
+SQL_LARGE_K = (
+    f"SELECT id AS vec_id, m.k AS cid, round(m.d, {ROUND}) AS d2 FROM "
+    f"({_sql_nearest('emb', sqlgen.seeds('emb', LARGE_K, 'first'), DIMS['emb'])})"
+)
+
+
 # --- A1 / A2 / A13 ---------------------------------------------------------
 def cluster_stats_q(spark: SparkSession, sf: str) -> DataFrame:
     pts = vectors(spark, sf, "emb")
@@ -211,6 +262,9 @@ def _sql_lloyd(view: str, params: dict, what: str) -> str:
 QUERIES = {
     "vector_scan": (vector_scan, SQL_VECTOR_SCAN),
     "text_vector_scan": (text_vector_scan, SQL_TEXT_VECTOR_SCAN),
+    "text_file_scan": (text_file_scan, SQL_TEXT_FILE_SCAN),
+    "ragged_table_scan": (ragged_table_scan, SQL_RAGGED),
+    "large_k_assign": (large_k_assign, SQL_LARGE_K),
     "seeded_sample": (seeded_sample_q, SQL_SEEDED_SAMPLE),
     "nearest_center": (nearest_center, SQL_NEAREST_CENTER),
     "cluster_stats": (cluster_stats_q, _sql_cluster_stats()),

@@ -50,7 +50,8 @@ def lloyd_ctes(
     ``cid, c``. Returns (ctes, final) where ``final`` names the stopping
     round's centres ``(cid, c)``; ``{prefix}rounds`` holds ``(it, delta, sse,
     clusters)`` up to the stop. ``on_empty='reseed'`` gives the e-th empty
-    cluster (by cid) the e-th farthest point from its centre (ties: lowest id).
+    cluster (by cid) the e-th farthest point from its centre (ties: lowest id),
+    ``'reseed-md5'`` the e-th point of the seeded sample's order.
     """
     P = prefix
     wcol = ", p.w" if weighted else ""
@@ -71,13 +72,14 @@ def lloyd_ctes(
             f"{P}s{r} AS MATERIALIZED (SELECT a.m.k AS cid, {wsum} AS n, sum({wt}a.m.d) AS sse, [{sums}] AS s "
             f"FROM {P}a{r} a GROUP BY a.m.k)"
         )
-        if on_empty == "reseed":
+        if on_empty.startswith("reseed"):
+            rank = "a.m.d DESC, a.id" if on_empty == "reseed" else f"{md5_key('a.id')}, a.id"
             ctes.append(
                 f"{P}e{r} AS MATERIALIZED (SELECT o.cid, row_number() OVER (ORDER BY o.cid) AS er FROM {P}c{p} o "
                 f"WHERE o.cid NOT IN (SELECT cid FROM {P}s{r}))"
             )
             ctes.append(
-                f"{P}far{r} AS MATERIALIZED (SELECT a.f, row_number() OVER (ORDER BY a.m.d DESC, a.id) AS fr "
+                f"{P}far{r} AS MATERIALIZED (SELECT a.f, row_number() OVER (ORDER BY {rank}) AS fr "
                 f"FROM {P}a{r} a)"
             )
             ctes.append(

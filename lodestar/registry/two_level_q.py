@@ -13,9 +13,9 @@ from lodestar.operators.two_level import (
     seeds_from_pairs,
 )
 from lodestar.registry import sqlgen
-from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, vectors
+from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, table, vectors
 from lodestar.sources.sample import seed_vectors
-from lodestar.plans.storage import local_frame
+from lodestar.plans.storage import local_frame, prepared
 
 # Fixed parameters.
 PAIR_VIEW, PAIR_K = "supp", 5  # closest supplier pairs
@@ -35,16 +35,28 @@ def pair_distance_topk(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _sql_pairs(src: str, k: int, dim: int) -> str:
+def pair_equal_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids that aren't unique, in several tiles."""
+    top = closest_pairs(vectors(spark, sf, "suppn"), PAIR_K, block_rows=30)
+    return top.select("rank", "i", "j", F.round("d2", ROUND).alias("d2"), *[F.round(F.col("mid")[q], ROUND).alias(f"m{q}") for q in range(2)])
+
+
+def _sql_pairs(src: str, k: int, dim: int, unique: bool = True) -> str:
     mid = "[" + ", ".join(f"(a.f[{i}] + b.f[{i}]) / 2" for i in range(1, dim + 1)) + "]"
     d = sqlgen.d2("a.f", "b.f", dim)
+    rows = src if unique else f"(SELECT row_number() OVER (ORDER BY id, f) AS rid, * FROM {src})"
+    once = "a.id < b.id" if unique else "a.rid < b.rid"
     return (
-        f"SELECT CAST(row_number() OVER (ORDER BY d2, i, j) AS INTEGER) AS rank, i, j, d2, mid FROM "
-        f"(SELECT a.id AS i, b.id AS j, {d} AS d2, {mid} AS mid FROM {src} a JOIN {src} b "
-        f"ON a.id < b.id WHERE {d} > 0 ORDER BY d2, i, j LIMIT {k})"
+        f"SELECT CAST(row_number() OVER (ORDER BY d2, i, j, mid) AS INTEGER) AS rank, i, j, d2, mid FROM "
+        f"(SELECT least(a.id, b.id) AS i, greatest(a.id, b.id) AS j, {d} AS d2, {mid} AS mid FROM {rows} a JOIN {rows} b "
+        f"ON {once} WHERE {d} > 0 ORDER BY d2, i, j, mid LIMIT {k})"
     )
 
 
+SQL_PAIR_EQUAL_IDS = (
+    f"SELECT rank, i, j, round(d2, {ROUND}) AS d2, round(mid[1], {ROUND}) AS m0, round(mid[2], {ROUND}) AS m1 "
+    f"FROM ({_sql_pairs('(' + sql_vectors('suppn') + ')', PAIR_K, 2, unique=False)})"
+)
 SQL_PAIR_TOPK = (
     f"SELECT rank, i, j, round(d2, {ROUND}) AS d2, "
     + ", ".join(f"round(mid[{q + 1}], {ROUND}) AS m{q}" for q in range(DIMS[PAIR_VIEW]))
@@ -54,12 +66,7 @@ SQL_PAIR_TOPK = (
 
 def _centroids(spark, sf):
     pts = vectors(spark, sf, VIEW).withColumn("bucket", (F.col("id") % BUCKETS).cast("int"))
-    seeds = seed_vectors(pts, K, SEED)
-    rows = partial_centroids(pts, seeds, "bucket").collect()
-    return local_frame(spark, 
-        [(r["id"], r["bucket"], r["cid"], list(r["features"]), r["weight"]) for r in rows],
-        "id bigint, bucket int, cid int, features array<double>, weight double",
-    )
+    return partial_centroids(pts, seed_vectors(pts, K, SEED), "bucket")
 
 
 def closest_pair_seed(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,13 +74,41 @@ def closest_pair_seed(spark: SparkSession, sf: str) -> DataFrame:
     return long_vectors(top.select("rank", "i", "j", F.round("d2", ROUND).alias("d2"), "mid"), ["rank", "i", "j", "d2"], "mid")
 
 
-def kmeans_reseed(spark: SparkSession, sf: str) -> DataFrame:
-    cent = _centroids(spark, sf)
-    seeds = seeds_from_pairs(cent, K, ordered=True)
-    centers = inner_kmeans(cent, seeds, INNER, weighted=False)
+def _reseed(spark, sf, how):
+    with prepared(_centroids(spark, sf), "centroids") as cent:
+        centers = inner_kmeans(cent, seeds_from_pairs(cent, K, ordered=True), INNER, weighted=False, reseed=how)
     return long_vectors(local_frame(spark, list(enumerate(centers)), "cid int, center array<double>"), ["cid"], "center")
 
 
+def kmeans_reseed(spark: SparkSession, sf: str) -> DataFrame:
+    return _reseed(spark, sf, "reseed")
+
+
+def kmeans_reseed_md5(spark: SparkSession, sf: str) -> DataFrame:
+    return _reseed(spark, sf, "reseed-md5")
+
+
+FEW_INIT = [[0.0], [1.0], [5.0], [6.0]]
+
+
+def two_level_few_partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Two distinct values and four centres: fewer partial centroids than K, K centres all the same."""
+    li = table(spark, sf, "lineitem")
+    pts = li.select(F.expr("l_orderkey * 8 + l_linenumber").alias("id"), F.array(F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)).alias("features"))
+    res = kmeans_two_level(pts, 4, init=FEW_INIT, buckets=1, max_iter=1, inner_iter=1)
+    return res.centers.select("cid", F.round(F.col("center")[0], ROUND).alias("value"))
+
+
+# Seeds: the midpoint of the one pair, the two centroids by weight, the last centre as it was. The two centroids
+# choose the second and third; the empty first and fourth get the centroids in id order.
+SQL_FEW = (
+    "WITH v AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS v, count(*) AS n FROM lineitem GROUP BY 1), "
+    "o AS (SELECT list(v ORDER BY n DESC, v) AS h FROM v) "
+    "SELECT CAST(0 AS INTEGER) AS cid, CAST(0 AS DOUBLE) AS value UNION ALL SELECT 1, CAST(h[1] AS DOUBLE) FROM o "
+    "UNION ALL SELECT 2, CAST(h[2] AS DOUBLE) FROM o UNION ALL SELECT 3, CAST(1 AS DOUBLE)"
+)
+
+
 def kmeans_two_level_q(spark: SparkSession, sf: str) -> DataFrame:
     pts = vectors(spark, sf, VIEW).withColumn("bucket", (F.col("id") % BUCKETS).cast("int"))
     res = kmeans_two_level(
@@ -120,11 +155,11 @@ def _sql_closest_pair_seed() -> str:
     )
 
 
-def _sql_kmeans_reseed() -> str:
+def _sql_kmeans_reseed(how: str = "reseed") -> str:
     dim = DIMS[VIEW]
     ctes = [f"s0 AS MATERIALIZED ({sqlgen.seeds(VIEW, K)})", _sql_partials("", "s0"), _sql_seed_pairs("", True)]
     inner, final = sqlgen.lloyd_ctes(
-        "SELECT id, f FROM pc", "SELECT cid, c FROM sd", dim, None, INNER, on_empty="reseed", prefix="i_"
+        "SELECT id, f FROM pc", "SELECT cid, c FROM sd", dim, None, INNER, on_empty=how, prefix="i_"
     )
     return sqlgen.with_(ctes + inner, sqlgen.long_out(final, "cid", "c", dim))
 
@@ -162,6 +197,9 @@ def _sql_kmeans_two_level() -> str:
 QUERIES = {
     "pair_distance_topk": (pair_distance_topk, SQL_PAIR_TOPK),
     "closest_pair_seed": (closest_pair_seed, _sql_closest_pair_seed()),
+    "pair_equal_ids": (pair_equal_ids, SQL_PAIR_EQUAL_IDS),
+    "two_level_few_partials": (two_level_few_partials, SQL_FEW),
+    "kmeans_reseed_md5": (kmeans_reseed_md5, _sql_kmeans_reseed("reseed-md5")),
     "kmeans_reseed": (kmeans_reseed, _sql_kmeans_reseed()),
     "kmeans_two_level": (kmeans_two_level_q, _sql_kmeans_two_level()),
 }

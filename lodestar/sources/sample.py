@@ -14,9 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 20222132
-# Rows fetched to the driver while looking for distinct seeds before switching
-# to the distributed form.
-MAX_FETCH = 65_536
 
 
 def sample_key(id_col: str = "id", seed: int = DEFAULT_SEED):
@@ -57,9 +54,8 @@ def seed_vectors(
     """K starting centres as a driver list (K x D numbers).
 
     ``distinct=True`` skips rows whose vector equals an earlier pick, so no
-    two seeds coincide: the top ``m`` rows are fetched, de-duplicated in
-    order, and ``m`` grows until ``k`` distinct values are found or the table
-    is exhausted. Only ``m`` rows are ever collected.
+    two seeds coincide: each distinct vector is ranked by its first row, with
+    the copies collapsed map-side. One plan per mode at every ``k``.
     """
     # The vector itself breaks ties, so non-unique ids still give fixed seeds.
     order = [F.col(id_col), F.col(features)]
@@ -67,30 +63,11 @@ def seed_vectors(
         order = [sample_key(id_col, seed)] + order
     if how not in ("sample", "first"):
         raise ValueError(f"unknown seeding {how!r}")
-    m = k
-    while m <= MAX_FETCH:
-        rows = points.orderBy(*order).limit(m).select(features).collect()
-        vecs = [list(r[0]) for r in rows]
-        if not distinct:
-            picked = vecs[:k]
-        else:
-            seen, picked = set(), []
-            for v in vecs:
-                t = tuple(v)
-                if t not in seen:
-                    seen.add(t)
-                    picked.append(v)
-                if len(picked) == k:
-                    break
-        if len(picked) >= k or len(rows) < m:
-            if len(picked) < k:
-                raise ValueError(f"k={k} exceeds the number of available (distinct) points")
-            return picked
-        m *= 4
-    # Heavy duplication: rank each distinct value by its first row in the same
-    # order, on Spark (map-side combine collapses the copies before the shuffle).
-    keyed = points.select(F.struct(*order).alias("_o"), F.col(features).alias("_f"))
-    firsts = keyed.groupBy("_f").agg(F.min("_o").alias("_o")).orderBy("_o").limit(k).collect()
-    if len(firsts) < k:
-        raise ValueError(f"k={k} exceeds the number of available distinct points")
-    return [list(r["_f"]) for r in firsts]
+    if distinct:
+        keyed = points.select(F.struct(*order).alias("_o"), F.col(features).alias("_f"))
+        rows = keyed.groupBy("_f").agg(F.min("_o").alias("_o")).orderBy("_o").limit(k).select("_f").collect()
+    else:
+        rows = points.orderBy(*order).limit(k).select(features).collect()
+    if len(rows) < k:
+        raise ValueError(f"k={k} exceeds the number of available{' distinct' if distinct else ''} points")
+    return [list(r[0]) for r in rows]

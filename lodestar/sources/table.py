@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.sources.text import ParsedVectors
+from lodestar.sources.text import ParsedVectors, one_width
 
 
 def table_vectors(
@@ -16,13 +16,16 @@ def table_vectors(
     feature_cols: Sequence[str] | None = None,
     array_col: str | None = None,
     weight_col: str | None = None,
+    dim: int | None = None,
 ) -> ParsedVectors:
     """Project ``(id, features[, weight])`` from a table.
 
     Exactly one of ``feature_cols`` (numeric columns packed in order) or
     ``array_col`` (a numeric array, cast element-wise to double) is used.
-    Rows with a null id, a null vector or a null element go to ``rejects``;
-    with ``array_col`` a length different from the first row's also rejects.
+    Rows with a null id, a null vector or a null element go to ``rejects``.
+    With ``array_col``, rows of another length than ``dim`` do too; without
+    ``dim`` all lengths are counted (one job) and more than one is an error, so
+    no single row decides.
     Only the named columns are selected, so Parquet reads just those.
     """
     if (feature_cols is None) == (array_col is None):
@@ -32,7 +35,6 @@ def table_vectors(
         dim = len(feature_cols)
     else:
         feats = F.col(array_col).cast("array<double>")
-        dim = None
     cols = [F.col(id_col).cast("bigint").alias("id"), feats.alias("features")]
     if weight_col is not None:
         cols.append(F.col(weight_col).cast("double").alias("weight"))
@@ -47,8 +49,7 @@ def table_vectors(
             "features", lambda v: v.isNull()
         )
     if dim is None:
-        first = proj.where(~bad).select(F.size("features").alias("d")).first()
-        dim = int(first["d"]) if first is not None else 0
+        dim = one_width(proj.where(~bad).select(F.size("features").alias("width")))
     if feature_cols is None:
         bad = bad | (F.size("features") != F.lit(dim))
     if weight_col is not None:

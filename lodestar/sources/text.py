@@ -25,16 +25,21 @@ def _fields(value_col: str, sep: str):
     return F.transform(parts, lambda v: v.try_cast("double"))
 
 
+def one_width(widths: DataFrame) -> int:
+    """The only value of the column ``width`` over all rows (0 for no rows); an error if there are several."""
+    found = [r["width"] for r in widths.groupBy("width").count().orderBy(F.desc("count"), "width").limit(3).collect()]
+    if len(found) > 1:
+        raise ValueError(f"rows differ in width ({found} and perhaps more); pass dim= to say which one counts")
+    return int(found[0]) if found else 0
+
+
 def infer_dim(df: DataFrame, value_col: str = "value", sep: str = ",") -> int:
-    """Width of the first non-blank line (one small job; pass ``dim`` to skip)."""
-    row = (
-        df.where(F.length(F.trim(F.col(value_col))) > 0)
-        .select(F.size(F.split(F.col(value_col), re.escape(sep))).alias("w"))
-        .first()
-    )
-    if row is None:
+    """Width of the non-blank lines, which must agree (one job over all of them; pass ``dim`` to skip)."""
+    lines = df.where(F.length(F.trim(F.col(value_col))) > 0)
+    d = one_width(lines.select(F.size(F.split(F.col(value_col), re.escape(sep))).alias("width")))
+    if not d:
         raise ValueError("no non-blank line to infer the dimension from")
-    return int(row["w"])
+    return d
 
 
 def parse_tagged(
@@ -86,12 +91,16 @@ def read_text_vectors(
     path: str,
     sep: str = ",",
     dim: int | None = None,
+    ids: str = "content",
 ) -> ParsedVectors:
     """Read delimited text files (no header) as vectors.
 
-    ``id`` comes from ``monotonically_increasing_id`` over the file splits, so
-    it rises with the line order inside a file and is recomputed identically
-    if a task is retried on the same splits.
+    ``ids='content'``: the id is a 64-bit hash of the line, so it is the same
+    however files are split and read (equal lines share an id).
+    ``ids='position'``: ids rise with the line order inside a file
+    (``monotonically_increasing_id``), but depend on how files are split.
     """
-    lines = spark.read.text(path).withColumn("id", F.monotonically_increasing_id())
-    return parse_vectors(lines, "value", "id", sep, dim)
+    if ids not in ("content", "position"):
+        raise ValueError(f"unknown ids {ids!r}")
+    key = F.xxhash64("value") if ids == "content" else F.monotonically_increasing_id()
+    return parse_vectors(spark.read.text(path).withColumn("id", key), "value", "id", sep, dim)

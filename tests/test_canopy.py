@@ -1,8 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import fixture_path
-from lodestar import kmeans, read_text_vectors
+from lodestar import kmeans
 from lodestar.operators.canopy import (
     canopy_membership,
     greedy_pick,
@@ -10,30 +9,49 @@ from lodestar.operators.canopy import (
     local_canopies,
     merge_canopies,
 )
+from models import blobs, canopy_kmeans
 
 
-@pytest.mark.parametrize(
-    "name,t,canopies,covered,deltas,sizes",
-    [
-        ("wine", (400, 200, 400), 3, 148, [11072.775211, 0.0], [37, 13, 98]),
-        ("iris", (2, 0.8, 2), 4, 65, [0.332438, 0.0], [41, 12, 6, 6]),
-        ("soybean", (4, 2, 4.2), 4, 7, [0.875, 0.0], [1, 1, 4, 1]),
-    ],
-)
+@pytest.mark.parametrize("n,d,t", [(178, 13, (12, 8, 12)), (150, 4, (5, 2.5, 5)), (47, 35, (20, 13, 21))])
 @pytest.mark.parametrize("form", ["auto", "arrow"])
-def test_fixtures(spark, name, t, canopies, covered, deltas, sizes, form):
-    pts = read_text_vectors(spark, fixture_path(f"{name}_noclass_blank.data")).points
-    r = kmeans_canopy(pts, *t, tol=0.001, max_iter=20, buckets=1, form=form)
-    assert r.canopies.count() == canopies
-    assert r.assignments.count() == covered
-    assert [round(x.delta, 6) for x in r.trace.orderBy("iter").collect()] == deltas
-    assert [x.size for x in r.centers.orderBy("cid").collect()] == sizes
+@pytest.mark.parametrize("distinct", [True, False])
+def test_against_model(frame, n, d, t, form, distinct):
+    x = blobs(n, d, 5, seed=d, spread=1.5)
+    r = kmeans_canopy(frame(x.tolist()), *t, tol=0.001, max_iter=20, buckets=1, form=form, distinct=distinct)
+    if distinct:
+        _, at = np.unique(x, axis=0, return_index=True)
+        x = x[np.sort(at)]
+    canopies, covered, deltas, sizes = canopy_kmeans(x, *t, 0.001, 20)
+    assert canopies > 1 and r.canopies.count() == canopies
+    assert r.membership.first().covered == covered
+    assert [v.delta for v in r.trace.orderBy("iter").collect()] == pytest.approx(deltas)
+    assert [v.size for v in r.centers.orderBy("cid").collect()] == sizes
+
+
+def test_a_new_row_changes_its_own_bucket_alone(frame):
+    x = np.random.default_rng(6).uniform(0, 10, (600, 2)).tolist()
+    one = local_canopies(frame(x[:599]), 2.0, buckets=8).collect()
+    two = local_canopies(frame(x), 2.0, buckets=8).collect()
+    changed = {(r.bucket, r.id) for r in one} ^ {(r.bucket, r.id) for r in two}
+    assert len({bucket for bucket, _ in changed}) <= 1
+
+
+def test_only_eligible_pairs_are_compared():
+    import pyarrow as pa
+
+    from lodestar.plans.physical import Eligible
+
+    may = Eligible([[1], [1, 3], [2], []], [1, 2, 3])
+    row, cen = may.pairs(pa.array([[1], [2], [], [3, 1], [2, 3]], pa.list_(pa.int32())), 4)
+    assert list(zip(row.tolist(), cen.tolist())) == [(0, 0), (0, 1), (1, 2), (3, 0), (3, 1), (4, 1), (4, 2)]
+    assert len(row) < 5 * 4
 
 
-def test_iris_without_dedup(spark):
-    pts = read_text_vectors(spark, fixture_path("iris_noclass_blank.data")).points
-    r = kmeans_canopy(pts, 2, 0.8, 2, buckets=1, distinct=False)
-    assert [x.size for x in r.centers.orderBy("cid").collect()] == [43, 12, 6, 6]
+def test_uncovered_points_may_join_the_nearest(frame):
+    pts = frame([[0.0], [0.3], [9.0], [10.0], [30.0]])
+    r = kmeans_canopy(pts, 5, 0.5, 5, buckets=1, cover="nearest", max_iter=1)
+    assert r.uncovered.count() == 0 and r.assignments.count() == 5
+    assert {x.id: x.cid for x in r.assignments.collect()} == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3}
 
 
 def test_greedy_thresholds():
@@ -73,9 +91,9 @@ def test_uncovered_points_leave(frame):
     assert sorted(x.id for x in r2.uncovered.collect()) == [1, 2, 3]
 
 
-def test_huge_t2_equals_lloyd(spark):
-    pts = read_text_vectors(spark, fixture_path("wine_noclass_blank.data")).points
-    r = kmeans_canopy(pts, 400, 1e9, 400, tol=0.0, max_iter=30, buckets=1)
+def test_huge_t2_equals_lloyd(frame):
+    pts = frame(blobs(178, 13, 4, seed=5).tolist())
+    r = kmeans_canopy(pts, 12, 1e9, 12, tol=0.0, max_iter=30, buckets=1)
     seeds = [list(x.center) for x in r.canopies.orderBy("canopy").collect()]
     distinct = pts.dropDuplicates(["features"])
     k1 = kmeans(distinct, init=seeds, tol=0.0, max_iter=30)

@@ -2,18 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fixture_path
-from lodestar import read_text_vectors
-from lodestar.operators.density import adaptive_radius, kmeans_density, pair_distance_sum
+from lodestar.operators.density import density_seed, kmeans_density, pair_distance_sum
 from lodestar.sources import first_rows
-from lodestar.operators.density import density_seed
-
-
-@pytest.mark.parametrize("name,radius", [("iris", 2.622831), ("soybean", 1.167144), ("wine", 36.665122)])
-def test_adaptive_radius(spark, name, radius):
-    pts = read_text_vectors(spark, fixture_path(f"{name}_noclass_blank.data")).points
-    assert round(adaptive_radius(pts), 6) == radius
-    assert round(adaptive_radius(pts, block_rows=17), 6) == radius  # many tiles
+from models import blobs, density_seeds, lloyd, sq
 
 
 def test_pair_sum_brute_force(frame):
@@ -23,30 +14,31 @@ def test_pair_sum_brute_force(frame):
     assert pair_distance_sum(frame(x.tolist()), block_rows=25) == pytest.approx(want, rel=1e-12)
 
 
-@pytest.mark.parametrize(
-    "name,centers,dens,rounds,sizes,sse",
-    [
-        ("iris", [[5.1, 3.5, 1.4, 0.2], [6.9, 3.1, 4.9, 1.5], [5.0, 2.0, 3.5, 1.0]], [50, 13, 11], 6, [50, 46, 54], 80.895776),
-        ("soybean", None, [1, 1, 1], 3, [10, 27, 10], 251.379259),
-        ("wine", None, [3, 1, 1], 10, [105, 27, 46], 2642814.5913),
-    ],
-)
-def test_density_fixtures(spark, name, centers, dens, rounds, sizes, sse):
-    pts = read_text_vectors(spark, fixture_path(f"{name}_noclass_blank.data")).points
-    res, _t2, seeds = kmeans_density(pts, tol=0.01, max_iter=10, sample_n=70, sample="first")
-    if centers:
-        assert seeds.centers == centers
-    assert [r[3] for r in seeds.rows] == dens
+@pytest.mark.parametrize("n,d,t2,weight", [(150, 4, 1.5, "reference"), (178, 13, 6.0, "reference"), (60, 2, 0.8, "density"), (47, 35, 9.0, "reference")])
+def test_seeds_against_model(frame, n, d, t2, weight):
+    x = blobs(n, d, 4, seed=n, spread=0.8)
+    s = density_seed(first_rows(frame(x.tolist()), 70), t2, weight=weight)
+    chosen, dens = density_seeds(x[:70], t2, weight=weight)
+    assert [r[1] for r in s.rows] == chosen and [r[3] for r in s.rows] == dens
+    assert s.centers == x[chosen].tolist()
+
+
+def test_density_kmeans_against_model(frame):
+    x = blobs(150, 4, 3, seed=12)
+    res = kmeans_density(frame(x.tolist()), tol=0.01, max_iter=10, sample_n=70, sample="first")
+    t2 = np.sqrt(np.sqrt(sq(x, x)).sum()) * 0.011
+    assert res.radius.first().t2 == pytest.approx(t2)
+    chosen, _ = density_seeds(x[:70], t2)
+    assert [r.seq for r in res.seeds.orderBy("cid").collect()] == chosen
+    c, rounds, sizes, sse = lloyd(x, x[chosen], 0.01, 10)
     assert res.trace.count() == rounds
     agg = res.assignments.groupBy("cid").agg(F.count("*").alias("n"), F.sum("d2").alias("s")).orderBy("cid").collect()
-    assert [r.n for r in agg] == sizes
-    assert sum(r.s for r in agg) == pytest.approx(sse, abs=1e-3)
+    assert [r.n for r in agg] == sizes and sum(r.s for r in agg) == pytest.approx(sse)
 
 
-def test_wine_seed_rows(spark):
-    pts = read_text_vectors(spark, fixture_path("wine_noclass_blank.data")).points
-    res, t2, seeds = kmeans_density(pts, tol=0.01, max_iter=1, sample_n=70, sample="first")
-    assert [r[1] for r in seeds.rows] == [60, 18, 2]  # file lines 61, 19, 3
+def test_given_radius_skips_the_pair_sum(frame):
+    res = kmeans_density(frame([[0.0], [0.1], [9.0]]), t2=2.0, sample_n=3, max_iter=2)
+    assert res.radius.first().t2 == 2.0 and res.centers.count() == 2
 
 
 def test_density_weight_option(spark, frame):

@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fixture_path
-from lodestar import kmeans, predict, read_text_vectors
+from lodestar import kmeans, predict
+from models import blobs, lloyd
 from lodestar.operators.assign import assign, cluster_stats
 
 
@@ -20,42 +20,95 @@ def test_tie_goes_to_lowest_id(frame, form):
     assert out[1] in (0, 2)
 
 
-@pytest.mark.parametrize("form", ["expr", "arrow"])
-def test_forms_agree(spark, form):
-    pts = read_text_vectors(spark, fixture_path("wine_noclass_blank.data")).points
-    seeds = [list(r.features) for r in pts.orderBy("id").limit(3).collect()]
-    st = {r.cid: (r.n, [round(x, 6) for x in r.sums]) for r in cluster_stats(pts, seeds, form=form).collect()}
-    ref = {r.cid: (r.n, [round(x, 6) for x in r.sums]) for r in cluster_stats(pts, seeds, form="expr").collect()}
-    assert st == ref
-
-
-@pytest.mark.parametrize(
-    "name,k,rounds,sizes,sse",
-    [
-        ("iris", 3, 7, [46, 54, 50], 80.895776),
-        ("wine", 3, 13, [49, 102, 27], 2633555.332409),
-        ("soybean", 4, 4, [2, 9, 26, 10], 238.706752),
-    ],
-)
-def test_fixture_first_rows(spark, name, k, rounds, sizes, sse):
-    pts = read_text_vectors(spark, fixture_path(f"{name}_noclass_blank.data")).points
-    res = kmeans(pts, k, init="first", tol=0.01, max_iter=100)
+def test_forms_agree(frame):
+    x = blobs(180, 13, 3, seed=4)
+    x[:, 12] *= 100
+    pts, seeds = frame(x.tolist()), x[:3].tolist()
+    got = [{r.cid: (r.n, [round(v, 6) for v in r.sums]) for r in cluster_stats(pts, seeds, form=f).collect()} for f in ("expr", "arrow")]
+    assert got[0] == got[1]
+
+
+@pytest.mark.parametrize("n,d,k,form", [(150, 4, 3, "auto"), (178, 13, 3, "expr"), (178, 13, 3, "arrow"), (47, 35, 4, "auto")])
+def test_against_model(frame, n, d, k, form):
+    x = blobs(n, d, k, seed=n, spread=2.0)
+    res = kmeans(frame(x.tolist()), k, init="first", tol=0.01, max_iter=100, form=form)
+    c, rounds, sizes, sse = lloyd(x, x[:k], 0.01, 100)
     assert res.trace.count() == rounds
     got_sizes, got_sse = _sizes_sse(res)
-    assert got_sizes == sizes
-    assert round(got_sse, 6) == pytest.approx(sse, abs=1e-5)
-
-
-def test_iris_explicit_seeds_and_centres(spark):
-    pts = read_text_vectors(spark, fixture_path("iris_noclass_blank.data")).points
-    seeds = [[4.6, 3.1, 1.5, 0.2], [5.4, 3.9, 1.7, 0.4], [5.0, 3.3, 1.4, 0.2]]
-    res = kmeans(pts, init=seeds, tol=0.01, max_iter=100)
-    assert res.trace.count() == 9
-    cs = {r.cid: [round(x, 3) for x in r.center] for r in res.centers.collect()}
-    assert cs[0] == [5.822, 2.728, 4.256, 1.36]
-    assert cs[1] == [6.702, 3.016, 5.556, 1.992]
-    assert cs[2] == [5.006, 3.418, 1.464, 0.244]
-    assert _sizes_sse(res)[0] == [54, 46, 50]
+    assert got_sizes == sizes and got_sse == pytest.approx(sse)
+    assert np.allclose([list(r.center) for r in res.centers.orderBy("cid").collect()], c)
+
+
+def test_explicit_seeds(frame):
+    x = blobs(120, 2, 3, seed=1)
+    seeds = [[0.0, 0.0], [5.0, 5.0], [9.0, 1.0]]
+    res = kmeans(frame(x.tolist()), init=seeds, tol=0.01, max_iter=100)
+    assert res.trace.count() == lloyd(x, seeds, 0.01, 100)[1]
+
+
+def _odd(spark):
+    rows = [(0, [0.0, 0.0]), (1, [4.0, 4.0]), (2, None), (3, [1.0, None]), (4, [1.0]), (5, [4.0, 5.0, 6.0]), (6, [])]
+    return spark.createDataFrame(rows, "id bigint, features array<double>")
+
+
+@pytest.mark.parametrize("form", ["expr", "arrow"])
+def test_null_and_ragged_rows_belong_to_no_centre(spark, form):
+    centers = [[0.0, 1.0], [4.0, 4.0]]
+    got = {r.id: (r.cid, r.d2) for r in predict(_odd(spark), centers, form=form).collect()}
+    assert got == {0: (0, 1.0), 1: (1, 0.0), **{i: (None, None) for i in range(2, 7)}}
+    st = {r.cid: (r.n, list(r.sums)) for r in cluster_stats(_odd(spark), centers, form=form).collect()}
+    assert st == {0: (1, [0.0, 0.0]), 1: (1, [4.0, 4.0])}
+    res = kmeans(_odd(spark), init=centers, tol=0.0, max_iter=5, form=form)
+    assert [(list(r.center), r.size) for r in res.centers.orderBy("cid").collect()] == [([0.0, 0.0], 1), ([4.0, 4.0], 1)]
+
+
+def test_mixed_widths_need_a_dim(spark):
+    with pytest.raises(ValueError, match="differ in width"):
+        kmeans(_odd(spark), 1, init="first")
+    assert kmeans(_odd(spark), 2, init="first", dim=2).centers.count() == 2
+
+
+def test_centre_blocks_give_the_same_answer(frame, monkeypatch):
+    from lodestar.plans import physical
+
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 5, (120, 3)).astype(float)  # ties between blocks
+    c = rng.integers(0, 5, (40, 3)).astype(float)
+    pts = frame(x.tolist())
+    want = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1).tolist()
+    got = {r.id: r.cid for r in predict(pts, c.tolist(), form="arrow", inline_limit=21).collect()}
+    assert [got[i] for i in range(120)] == want
+    one = kmeans(pts, init=c.tolist(), tol=0.0, max_iter=3, form="arrow")
+    monkeypatch.setattr(physical, "MAX_CENTER_NUMBERS", 60)
+    two = kmeans(pts, init=c.tolist(), tol=0.0, max_iter=3, form="arrow")
+    assert np.allclose(*([list(r.center) for r in k.centers.orderBy("cid").collect()] for k in (one, two)))
+
+
+def test_failure_midway_leaves_no_copy(spark, frame):
+    import os
+
+    from lodestar.plans.storage import checkpoint_dir
+
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(base))
+    with pytest.raises(ValueError):
+        kmeans(frame([[0.0], [1.0]]), 3, init="sample", checkpoint=True)  # fails after the copy was made
+    with pytest.raises(ValueError):
+        kmeans(frame([[0.0], [1.0]]), init=[[0.0], [9.0]], on_empty="error", max_iter=3, checkpoint=True)
+    assert set(os.listdir(base)) == before
+
+
+def test_large_scans_are_not_copied(spark, tmp_path):
+    from lodestar.plans.storage import plain_scan, prepared, spread
+
+    src = str(tmp_path / "many")
+    spark.range(100).selectExpr("id", "array(cast(id as double)) as features").repartition(6).write.parquet(src)
+    df = spark.read.parquet(src).where("id > 3").select("id", "features")
+    assert plain_scan(df) and not plain_scan(df.distinct())
+    with prepared(spread(df)) as got:
+        assert got is df
+    with prepared(df.distinct()) as got:
+        assert got is not df and got.count() == 96
 
 
 def test_empty_cluster_policies(frame):

@@ -1,8 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import fixture_path
-from lodestar import read_text_vectors
+from models import blobs
 from lodestar.operators.pairs import closest_pairs
 from lodestar.operators.two_level import kmeans_two_level
 
@@ -37,12 +36,12 @@ def test_two_level_k1(frame):
     assert list(r.centers.first().center) == [2.0]
 
 
-def test_two_level_reference_mode(spark):
-    pts = read_text_vectors(spark, fixture_path("iris_noclass_blank.data")).points
+def test_two_level_reference_mode(frame):
+    x = blobs(150, 4, 3, seed=2)
+    pts = frame(x.tolist())
     r = kmeans_two_level(pts, 3, init="first", buckets=1, weighted=False, max_iter=1)
     # one Lloyd step from the first three rows, then midpoints of the closest
     # centroid pairs and 10 inner rounds over the three centroids
-    x = np.array([list(p.features) for p in pts.orderBy("id").collect()])
     c = x[:3].copy()
     lab = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
     cent = np.array([x[lab == j].mean(0) for j in range(3)])
@@ -67,3 +66,26 @@ def test_two_level_reference_mode(spark):
     got = np.array([list(p.center) for p in r.centers.orderBy("cid").collect()])
     key = lambda a: sorted(map(tuple, np.round(a, 9)))
     assert key(got) == key(seeds)
+
+
+def test_equal_ids_are_told_apart_by_position(frame):
+    pts = frame([[0.0], [10.0], [10.5]], ids=[1, 1, 2])
+    rows = closest_pairs(pts, 3, block_rows=1).orderBy("rank").collect()
+    assert [(r.i, r.j, list(r.mid)) for r in rows] == [(1, 2, [10.25]), (1, 1, [5.0]), (1, 2, [5.25])]
+
+
+def test_always_k_centres(frame):
+    r = kmeans_two_level(frame([[0.0], [0.0], [1.0]]), 4, init=[[0.0], [1.0], [5.0], [6.0]], buckets=1, max_iter=2)
+    assert r.centers.count() == 4
+
+
+def test_group_sums_flush(frame, monkeypatch):
+    from lodestar.operators.two_level import partial_centroids
+    from lodestar.plans import physical
+
+    x = blobs(200, 3, 4, seed=3)
+    pts = frame(x.tolist()).selectExpr("id", "features", "cast(id % 37 as int) as bucket")
+    one = {r.id: (r.weight, [round(v, 9) for v in r.features]) for r in partial_centroids(pts, x[:5].tolist(), form="expr").collect()}
+    monkeypatch.setattr(physical, "GROUP_ROWS", 3)
+    two = {r.id: (r.weight, [round(v, 9) for v in r.features]) for r in partial_centroids(pts, x[:5].tolist(), form="arrow").collect()}
+    assert one == two
