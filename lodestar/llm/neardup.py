@@ -41,7 +41,7 @@ CHUNKS, CHUNK = 8, 4
 SIGNED = "id long, h long, n long, s1 long, s2 long, sig binary"
 BITS = 26
 #: Classes of a key that are compared pair by pair; classes of a block beyond.
-FEW, BLOCK = 16, 256
+FEW, BLOCK = 16, 512
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +173,17 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
 
 
 def links_in_cells(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links between the components of a key's many classes. ``members``: key, id, c (component), m (classes of the key)."""
-    members = save(members.withColumn("s", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("k", F.pmod(F.xxhash64("id", "key"), F.col("s")).cast("int")), "members")
+    """Links between the components of a key's many classes. ``members``: key, id, c (component).
+
+    A key's largest component needs no comparison within itself: its blocks meet
+    the blocks of all others, and these meet each other.
+    """
+    parts = members.groupBy("key", "c").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("m"))
+    sizes = sizes.select("key", F.col("top.c").alias("big"), F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int").alias("others"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("own"))
+    at = F.xxhash64("id", "key")
+    k = F.when(F.col("c") == F.col("big"), F.col("others") + F.pmod(at, F.col("own"))).otherwise(F.pmod(at, F.col("others")))
+    members = save(members.join(sizes, "key").withColumn("k", k.cast("int")), "members")
 
     def sets(batches):
         for b in steps(batches, "text", 1 << 20):
@@ -182,8 +191,9 @@ def links_in_cells(members: DataFrame, classes: DataFrame, docs: DataFrame, shin
             yield pa.RecordBatch.from_arrays([b.column(0), binaries(g, bounds)], names=["id", "set"])
 
     known = save(texts_of(members.select("id").distinct(), classes, docs).mapInArrow(sets, "id long, set binary"), "sets")
-    # Each block meets each: cell (i, j) with i <= j gets blocks i and j.
-    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda o: F.struct(F.least("k", o).alias("i"), F.greatest("k", o).alias("j"))))
+    # Blocks below ``others`` meet every block, the largest component's meet these alone; cell (i, j) has i <= j.
+    meets = F.when(F.col("k") < F.col("others"), F.col("others") + F.col("own")).otherwise(F.col("others"))
+    cell = F.explode(F.transform(F.sequence(F.lit(0), meets - 1), lambda o: F.struct(F.least("k", o).alias("i"), F.greatest("k", o).alias("j"))))
     rows = members.select("key", "id", "c", "k", cell.alias("cell")).select("key", "cell.i", "cell.j", "id", "c", "k").join(known, "id")
 
     def link(table: pa.Table) -> pa.Table:
@@ -235,15 +245,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
 
     # Keys whose classes are not of one component yet: all pairs across components that were not compared.
     open_ = met.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("key")
+    # Keys with the same classes are looked at once.
+    same = [F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
+    mixed = open_.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *same).filter("lo != hi")
+    mixed = mixed.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m")
     open_ = save(open_.join(mixed, "key"), "open")
-    many = open_.groupBy("key").agg(F.count("*").alias("m"))
-    open_ = save(open_.join(many, "key"), "open")
     few = open_.filter(F.col("m") <= FEW)
     left, right = (few.select("key", F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
     across = left.join(right, "key").filter("ca != cb and a < b").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     more = confirmed(across, classes, cols, shingle, percent)
-    more = more.unionByName(links_in_cells(open_.filter(F.col("m") > FEW), classes, cols, shingle, percent))
+    more = more.unionByName(links_in_cells(open_.filter(F.col("m") > FEW).drop("m"), classes, cols, shingle, percent))
     # The first components are links too: a node and its component.
     comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
