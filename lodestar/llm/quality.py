@@ -7,7 +7,7 @@ what on bad and on good documents and gives each document a posterior label.
 (Text labellers start without trust; the labels table, where it has a row,
 starts with a belief in ``TRUST`` of its votes.) These posteriors train a linear
 scorer for junk and one for toxicity over hashed words, word beginnings (for
-stems that inflect) and binned statistics of the text, which score every
+stems that inflect) and levels of the text's statistics, which score every
 document; votes and labels are no inputs of a score.
 
 The labellers run, and the model is fitted, on at most ``LABELLED`` documents
@@ -42,8 +42,9 @@ BEGINNINGS = (4, 5)
 #: Belief in the labels table, and its weight in documents.
 TRUST, WEIGHT = 0.995, 10.0
 #: Features of a scorer: significance, in standard deviations, and number at most.
-SIGNIFICANCE, FEATURES = 8.0, 512
-STATS = ("repeats", "marks", "capitals", "bars", "long words")
+SIGNIFICANCE, FEATURES = 5.0, 512
+#: A statistic is a feature for each of these values that it exceeds.
+LEVELS = (0.0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5, 0.7)
 
 
 def _hash_of(texts: list[str]) -> np.ndarray:
@@ -52,8 +53,10 @@ def _hash_of(texts: list[str]) -> np.ndarray:
 
 def statistics(texts: pa.Array) -> np.ndarray:
     """Per text, shares in 0 to 1: words equal to the word before; punctuation of all other than white space; capitals of
-    ASCII letters; words that are a bar; words of over 20 bytes."""
+    ASCII letters; words that are a bar; words of over 20 bytes; insults."""
     w = words(texts, NON_SPACE)
+    plain = words(texts, ALNUM, lower=True)
+    insults = np.isin(word_hash(plain), _hash_of(INSULTS))
     n = np.diff(w.first)
     doc, h = w.doc(), word_hash(w)
     k = len(n)
@@ -78,14 +81,15 @@ def statistics(texts: pa.Array) -> np.ndarray:
             np.where(caps + small >= 20, caps / np.maximum(caps + small, 1), 0),
             np.bincount(doc, bar, k) / words_,
             np.bincount(doc, size > 20, k) / words_,
+            np.bincount(plain.doc(), insults, k) / words_,
         ],
         1,
     )
 
 
-def votes(stats: np.ndarray, insults: np.ndarray, junk: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def votes(stats: np.ndarray, junk: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A column per labeller of junk and of toxicity; the last is the labels table (1, 0, or -1 without a label)."""
-    repeats, marks, capitals, bars, _ = stats.T
+    repeats, marks, capitals, bars, _, insults = stats.T
     plain = (repeats < 0.05) & (marks < 0.10) & (capitals < 0.3) & (bars < 0.02)
     table = [np.where(x < 0, NONE, np.where(x > 0, BAD, GOOD)) for x in (junk, toxic)]
     of_junk = [np.where(x > most, BAD, NONE) for x, most in ((repeats, 0.2), (marks, 0.15), (capitals, 0.6), (bars, 0.1))]
@@ -110,8 +114,11 @@ def label_model(v: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray
     return p, table
 
 
-def features(texts: pa.Array, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of each text's distinct words, word beginnings and binned statistics, and the text of each."""
+def features(texts: pa.Array, stats: np.ndarray, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each text's distinct words, word beginnings and levels of its statistics, and the text of each.
+
+    ``only``: per bucket, whether it is wanted.
+    """
     w = words(texts, ALNUM, lower=True)
     h, doc = [word_hash(w)], [w.doc()]
     for k in BEGINNINGS:
@@ -119,10 +126,14 @@ def features(texts: pa.Array, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray
         part = w._replace(start=w.start[long], end=w.start[long] + k)
         h.append(mix(word_hash(part), k))
         doc.append(doc[0][long])
-    bins = np.minimum((stats * 20).astype(np.int64), 19) + np.arange(stats.shape[1]) * 20 + 1
-    h = np.concatenate([*h, mix(bins.ravel().astype(U), 77)])
-    doc = np.concatenate([*doc, np.repeat(np.arange(len(stats)), stats.shape[1])])
-    key = np.unique(doc << 18 | (h >> U(64 - 18)).astype(np.int64))
+    row, stat, level = np.nonzero(stats[:, :, None] > np.array(LEVELS))
+    h = np.concatenate([*h, mix((stat * len(LEVELS) + level).astype(U), 77)])
+    doc = np.concatenate([*doc, row])
+    bucket = (h >> U(64 - 18)).astype(np.int64)
+    if only is not None:
+        wanted = only[bucket]
+        bucket, doc = bucket[wanted], doc[wanted]
+    key = np.unique(doc << 18 | bucket)
     return key & (BUCKETS - 1), key >> 18
 
 
@@ -134,7 +145,7 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(np.bincount(doc, self.weights[feats], n) + self.bias, -50, 50)))
 
 
-def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds: int = 30, l2: float = 300.0) -> Scorer:
+def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds: int = 30, l2: float = 0.01) -> Scorer:
     """Logistic regression by damped Newton steps on the most significant features; rare ones are held back more."""
     n, mean = len(target), float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
     df = np.bincount(feats, minlength=BUCKETS)
@@ -148,7 +159,7 @@ def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds:
     x[doc[at >= 0], at[at >= 0]] = 1
     x[:, -1] = 1
     w = np.append(np.zeros(len(cols)), np.log(mean / (1 - mean)))
-    pen = np.append(l2 / np.maximum(df[cols], 1), 1e-6)
+    pen = np.append(l2 * n / np.maximum(df[cols], 1), 1e-6)
 
     def loss(u):
         y = x @ u
@@ -176,25 +187,26 @@ class Fitted(NamedTuple):
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, plain: int = PLAIN, id_col: str = "doc_id", text_col: str = "text") -> Fitted:
-    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).filter("id is not null")
+    ids = texts.select("id").distinct()
     known = labels.select(F.col("doc_id").cast("long").alias("id"), (1 - F.col("quality")).alias("junk"), "toxic")
     known = known.filter("id is not null").groupBy("id").agg(*(F.coalesce(F.max(c), F.lit(-1)).cast("long").alias(c) for c in ("junk", "toxic")))
-    with_label = ids.join(known, "id").orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(labelled)
-    without = ids.orderBy(F.xxhash64(F.col("id") + 1), F.xxhash64("text")).limit(plain).join(known, "id", "left_anti").withColumns({c: F.lit(-1).cast("long") for c in ("junk", "toxic")})
+    with_label = ids.join(known, "id").orderBy(F.xxhash64("id")).limit(labelled)
+    without = ids.orderBy(F.xxhash64(F.col("id") + 1)).limit(plain).join(known, "id", "left_anti")
+    chosen = with_label.unionByName(without.withColumns({c: F.lit(-1).cast("long") for c in ("junk", "toxic")}))
 
     def look(batches):
-        insults = _hash_of(INSULTS)
         for b in steps(batches, "text"):
-            t = strings(b.column(1))
+            t = strings(b.column(2))
             s = statistics(t)
-            w = words(t, ALNUM, lower=True)
-            hit = np.bincount(w.doc(), np.isin(word_hash(w), insults), b.num_rows)
-            junk, toxic = votes(s, hit, b.column(2).to_numpy(), b.column(3).to_numpy())
+            junk, toxic = votes(s, b.column(3).to_numpy(), b.column(4).to_numpy())
             f, doc = features(t, s)
             edge = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            yield pa.RecordBatch.from_pydict({"junk": [x.tobytes() for x in junk.astype("u1")], "toxic": [x.tobytes() for x in toxic.astype("u1")], "feats": [f[edge[i] : edge[i + 1]].astype("<u4").tobytes() for i in range(b.num_rows)]})
+            yield pa.RecordBatch.from_pydict({"id": b.column(0), "h": b.column(1), "junk": [x.tobytes() for x in junk.astype("u1")], "toxic": [x.tobytes() for x in toxic.astype("u1")], "feats": [f[edge[i] : edge[i + 1]].astype("<u4").tobytes() for i in range(b.num_rows)]})
 
-    rows = with_label.unionByName(without).select("id", "text", "junk", "toxic").mapInArrow(look, "junk binary, toxic binary, feats binary").collect()
+    # The chosen ids, at most ``labelled + plain``, go to the tasks; one row an id comes back.
+    sample = texts.join(F.broadcast(chosen), "id").select("id", "h", "text", "junk", "toxic").mapInArrow(look, "id long, h long, junk binary, toxic binary, feats binary")
+    rows = sample.groupBy("id").agg(F.min(F.struct("h", "junk", "toxic", "feats")).alias("r")).select("id", "r.junk", "r.toxic", "r.feats").collect()
     if not rows:
         return Fitted((Scorer(np.zeros(BUCKETS), -50.0),), (), 0)
     rows.sort()  # the same model however the rows arrive
@@ -210,9 +222,10 @@ def classify(docs: DataFrame, labels: DataFrame, *, reject: float = 0.5, text_co
     scorers = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options).scorers)
 
     def run(batches):
+        weighty = np.any([m.weights != 0 for m in scorers.value], axis=0)
         for b in steps(batches, text_col):
             t = strings(b.column(b.schema.get_field_index(text_col)))
-            f, doc = features(t, statistics(t))
+            f, doc = features(t, statistics(t), weighty)
             p = np.max([m.p_bad(f, doc, b.num_rows) for m in scorers.value], axis=0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 - p), pa.array(p < reject)], names=[*b.schema.names, "quality_score", "quality_kept"])
 
