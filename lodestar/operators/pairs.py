@@ -61,14 +61,15 @@ def closest_pairs(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     id_col: str = "id",
     features: str = "features",
+    n: int | None = None,
 ) -> DataFrame:
     """``(rank, i, j, d2, mid)`` for the k closest pairs of distinct vectors.
 
     ``ordered=False``: unordered pairs (i < j). ``ordered=True`` counts (i, j)
     and (j, i) separately, so each close pair takes two of the k slots, as in
-    the reference's ``cartesian``.
+    the reference's ``cartesian``. ``n``: the number of rows, if known.
     """
-    n = points.count()
+    n = points.count() if n is None else n
     nb = physical.tile_blocks(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
     blk = points.select(
         F.pmod(F.xxhash64(F.col(id_col), F.col(features)), F.lit(nb)).cast("int").alias("blk"),

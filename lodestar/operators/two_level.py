@@ -76,12 +76,16 @@ def partial_centroids(
     )
 
 
+#: Up to this many partial centroids are one partition, so that a round over them needs no shuffle.
+ONE_PARTITION = 20_000
+
+
 def seeds_from_pairs(
-    centroids: DataFrame, k: int, ordered: bool = False, old: list[list[float]] | None = None
+    centroids: DataFrame, k: int, ordered: bool = False, old: list[list[float]] | None = None, n: int | None = None
 ) -> list[list[float]]:
     """Midpoints of the k closest pairs; too few pairs are made up from the
     heaviest centroids, and too few centroids from the centres before (``old``)."""
-    mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered).orderBy("rank").collect()]
+    mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered, n=n).orderBy("rank").collect()]
     if len(mids) < k:
         extra = centroids.orderBy(F.desc("weight"), "id").limit(k - len(mids)).select("features").collect()
         mids += [list(r[0]) for r in extra]
@@ -141,12 +145,14 @@ def kmeans_two_level(
         trace = []
         for it in range(1, max_iter + 1):
             with storage.prepared(partial_centroids(pts, centers, "bucket", "features", form), "partials") as cent:
+                n = cent.count()
+                cent = cent.coalesce(1) if n <= ONE_PARTITION else cent
                 if len(centers) == 1:
                     (one,) = collect_stats(cent, centers, None, "features", "weight")
-                    new, n = [[s / one["weight"] for s in one["sums"]]], one["n"]
+                    new = [[s / one["weight"] for s in one["sums"]]]
                 else:
-                    seeds = seeds_from_pairs(cent, len(centers), ordered_pairs, centers)
-                    new, n = inner_kmeans(cent, seeds, inner_iter, weighted, form, reseed), cent.count()
+                    seeds = seeds_from_pairs(cent, len(centers), ordered_pairs, centers, n)
+                    new = inner_kmeans(cent, seeds, inner_iter, weighted, form, reseed)
             delta = sum(sq_movement(a, b) for a, b in zip(centers, new, strict=True))
             trace.append((it, float(delta), n))
             centers = new
