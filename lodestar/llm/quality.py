@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from lodestar.llm._common import steps, strings
 from lodestar.llm._text import ALNUM, NON_SPACE, U, mix, word_hash, words
 
-LABELLED, PLAIN = 10_000, 2_000
+LABELLED, PLAIN = 8_000, 2_000
 BUCKETS = 1 << 18
 BAD, GOOD, NONE = 1, 0, 2
 #: Words that the insult labeller looks for.
@@ -149,26 +149,38 @@ def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds:
     """Logistic regression by damped Newton steps on the most significant features; rare ones are held back more."""
     n, mean = len(target), float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
     df = np.bincount(feats, minlength=BUCKETS)
-    z = np.abs(np.bincount(feats, target[doc], BUCKETS) - mean * df) / np.sqrt(np.maximum(mean * (1 - mean) * df, 1e-9)) * (df >= 4)
+    bad = np.zeros(BUCKETS)
+    for i in range(0, len(feats), 1 << 19):  # a part at a time: the driver's memory is small
+        bad += np.bincount(feats[i : i + (1 << 19)], target[doc[i : i + (1 << 19)]], BUCKETS)
+    z = np.abs(bad - mean * df) / np.sqrt(np.maximum(mean * (1 - mean) * df, 1e-9)) * (df >= 4)
     cols = np.sort(np.argsort(-z, kind="stable")[:FEATURES])
     cols = cols[z[cols] >= SIGNIFICANCE]
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[cols] = np.arange(len(cols))
-    at = place[feats]
-    x = np.zeros((n, len(cols) + 1))
-    x[doc[at >= 0], at[at >= 0]] = 1
+    x = np.zeros((n, len(cols) + 1), np.float32)
+    for i in range(0, len(feats), 1 << 19):
+        at = place[feats[i : i + (1 << 19)]]
+        x[doc[i : i + (1 << 19)][at >= 0], at[at >= 0]] = 1
     x[:, -1] = 1
     w = np.append(np.zeros(len(cols)), np.log(mean / (1 - mean)))
     pen = np.append(l2 * n / np.maximum(df[cols], 1), 1e-6)
 
+    def line(u):
+        return np.concatenate([x[i : i + 1024] @ u for i in range(0, n, 1024)])
+
     def loss(u):
-        y = x @ u
+        y = line(u)
         return (np.logaddexp(0, y) - target * y).sum() + 0.5 * (pen * u * u).sum()
 
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(line(w), -30, 30)))
         v = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(pen), x.T @ (p - target) + pen * w)
+        curve, slope = np.diag(pen), pen * w
+        for i in range(0, n, 1024):  # in double precision, a part at a time
+            part = x[i : i + 1024].astype(np.float64)
+            curve = curve + (part * v[i : i + 1024, None]).T @ part
+            slope = slope + part.T @ (p - target)[i : i + 1024]
+        step = np.linalg.solve(curve, slope)
         size, now = 1.0, loss(w)
         while size > 1e-4 and loss(w - size * step) > now:
             size /= 2
@@ -210,23 +222,27 @@ def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, plain:
     if not rows:
         return Fitted((Scorer(np.zeros(BUCKETS), -50.0),), (), 0)
     rows.sort()  # the same model however the rows arrive
-    feats = [np.frombuffer(r["feats"], "<u4") for r in rows]
-    doc = np.repeat(np.arange(len(rows)), [len(f) for f in feats])
-    feats = np.concatenate(feats).astype(np.int64)
+    feats = [np.frombuffer(r["feats"], "<i4") for r in rows]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f in feats])
+    feats = np.concatenate(feats)
     models = [label_model(np.stack([np.frombuffer(r[c], "u1") for r in rows]).astype(int)) for c in ("junk", "toxic")]
-    return Fitted(tuple(train_scorer(feats, doc, p) for p, _ in models), tuple(t for _, t in models), len(rows))
+    n = len(rows)
+    del rows
+    return Fitted(tuple(train_scorer(feats, doc, p) for p, _ in models), tuple(t for _, t in models), n)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, reject: float = 0.5, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with ``quality_score`` (1 less the larger of P(junk) and P(toxic)) and ``quality_kept`` (neither reaches ``reject``)."""
-    scorers = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options).scorers)
+    fitted = fit(docs, labels, text_col=text_col, **options).scorers
+    scorers = docs.sparkSession.sparkContext.broadcast([tuple(m) for m in fitted])  # plain arrays: workers need no copy of this package
 
     def run(batches):
-        weighty = np.any([m.weights != 0 for m in scorers.value], axis=0)
+        models = [Scorer(*m) for m in scorers.value]
+        weighty = np.any([m.weights != 0 for m in models], axis=0)
         for b in steps(batches, text_col):
             t = strings(b.column(b.schema.get_field_index(text_col)))
             f, doc = features(t, statistics(t), weighty)
-            p = np.max([m.p_bad(f, doc, b.num_rows) for m in scorers.value], axis=0)
+            p = np.max([m.p_bad(f, doc, b.num_rows) for m in models], axis=0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 - p), pa.array(p < reject)], names=[*b.schema.names, "quality_score", "quality_kept"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
