@@ -32,8 +32,8 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def grams(texts: pa.Array, letters: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(bucket, text index)`` of every n-gram, and whether each text has a letter."""
+def grams(texts: pa.Array, letters: np.ndarray, buckets: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Per size, ``(bucket, text index)`` of every n-gram, text after text; and whether each text has a letter."""
     buf, off = buffer_of(strings(pc.utf8_lower(strings(texts))))
     raw = np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
     seen = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])[off]
@@ -50,7 +50,7 @@ def grams(texts: pa.Array, letters: np.ndarray, buckets: int) -> tuple[np.ndarra
     end = np.cumsum(n + last)
     chars, owner = np.full(int(end[-1]) if len(at) else 0, 0x20, U), np.repeat(doc[at], n + last)
     chars[end - 1 - last] = raw[at]
-    out, docs = [], []
+    out = []
     for k in SIZES:
         if len(chars) < k:
             continue
@@ -60,11 +60,8 @@ def grams(texts: pa.Array, letters: np.ndarray, buckets: int) -> tuple[np.ndarra
         same = owner[: len(h)] == owner[k - 1 :]
         if k == 1:
             same &= chars != 0x20
-        out.append((mix(h[same]) >> U(40)).astype(np.int64) & (buckets - 1))
-        docs.append(owner[: len(h)][same])
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), has
-    return np.concatenate(out), np.concatenate(docs), has
+        out.append(((mix(h[same]) >> U(40)).astype(np.int64) & (buckets - 1), owner[: len(h)][same]))
+    return out, has
 
 
 def train(docs: DataFrame, *, buckets: int = BUCKETS, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -72,16 +69,14 @@ def train(docs: DataFrame, *, buckets: int = BUCKETS, text_col: str = "text", la
     docs = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
 
     def count(batches):
-        letters, langs, total, rows = _letters(), {}, [], []
+        letters, langs, total, rows = _letters(), {}, np.zeros((0, buckets), np.int64), np.zeros(0, np.int64)
         for b in steps(batches, "text"):
-            g, doc, _ = grams(b.column(0), letters, buckets)
             code = np.array([langs.setdefault(x, len(langs)) for x in b.column(1).to_pylist()], np.int64)
-            while len(total) < len(langs):
-                total.append(np.zeros(buckets, np.int64))
-                rows.append(0)
-            for c in np.unique(code):
-                total[c] += np.bincount(g[code[doc] == c], minlength=buckets)
-                rows[c] += int((code == c).sum())
+            new = len(langs) - len(rows)
+            total, rows = np.pad(total, ((0, new), (0, 0))), np.pad(rows, (0, new))
+            rows += np.bincount(code, minlength=len(langs))
+            for g, doc in grams(b.column(0), letters, buckets)[0]:
+                total += np.bincount(code[doc] * buckets + g, minlength=total.size).reshape(total.shape)
         for x, c in langs.items():
             k = np.flatnonzero(total[c])
             yield pa.RecordBatch.from_pydict({"lang": pa.array([x] * (len(k) + 1)), "bucket": pa.array(np.append(k, buckets), pa.int32()), "n": pa.array(np.append(total[c][k], rows[c]), pa.int64())})
@@ -99,13 +94,17 @@ def train(docs: DataFrame, *, buckets: int = BUCKETS, text_col: str = "text", la
 def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, *, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (posterior probability of the predicted language)."""
     buckets = logp.shape[1] - 1
-    model = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logp.T))  # fixed size per language
+    model = docs.sparkSession.sparkContext.broadcast(logp)  # fixed size per language
 
     def run(batches):
         letters, m = _letters(), model.value
         for b in steps(batches, text_col):
-            g, doc, has = grams(b.column(b.schema.get_field_index(text_col)), letters, buckets)
-            s = np.stack([np.bincount(doc, m[g, k], minlength=b.num_rows) for k in range(len(langs))], 1) + m[buckets] if langs else np.zeros((b.num_rows, 0))
+            found, has = grams(b.column(b.schema.get_field_index(text_col)), letters, buckets)
+            s = np.tile(m[:, buckets], (b.num_rows, 1))
+            for g, doc in found:
+                first = np.flatnonzero(np.diff(doc, prepend=-1))
+                for k in range(len(langs)):
+                    s[doc[first], k] += np.add.reduceat(m[k][g], first)
             known = has & bool(langs)
             best = s.argmax(1) if langs else np.zeros(b.num_rows, int)
             top = 1 / np.exp(s - s.max(1, keepdims=True)).sum(1) if langs else np.zeros(b.num_rows)
