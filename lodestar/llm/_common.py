@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one NumPy step works on; a longer single text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _scratch: dict[str, list[str]] = {}
 
@@ -83,6 +83,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str, limit: int = STEP_BYTES)
             j = max(i + 1, int(np.searchsorted(size, done + limit, side="right")))
             yield b.slice(i, j - i)
             i = j
+        pa.default_memory_pool().release_unused()  # workers live on: give back what the batch took
 
 
 def binaries(flat, bounds) -> pa.Array:

@@ -81,7 +81,7 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
     """Per row: id, hash of the text, set size, 128-bit hash of the set, signature."""
 
     def run(batches):
-        for b in steps(batches, "text", 1 << 20):
+        for b in steps(batches, "text", 1 << 19):
             g, bounds = shingle_sets(strings(b.column(2)), shingle)
             sig = _signatures(g, bounds)
             cols = [np.diff(bounds), _sum_per(mix(g, 1), bounds), _sum_per(mix(g, 2), bounds)]
@@ -212,9 +212,9 @@ def links_in_cells(members: DataFrame, classes: DataFrame, docs: DataFrame, shin
         inter = np.zeros((len(left), len(right)))
         order = np.argsort(at, kind="stable")
         at, owner = at[order], owner[order]
-        for lo in range(0, len(cols), 8192):
-            x = np.zeros((len(raw), 8192), np.float32)
-            s = slice(*np.searchsorted(at, [lo, lo + 8192]))
+        for lo in range(0, len(cols), 2048):
+            x = np.zeros((len(raw), 2048), np.float32)
+            s = slice(*np.searchsorted(at, [lo, lo + 2048]))
             x[owner[s], at[s] - lo] = 1
             inter += x[left] @ x[right].T
         ok = _similar(inter, size[left, None], size[None, right], percent) & (c[left, None] != c[None, right])

@@ -32,7 +32,7 @@ WIDTH_BITS = 28
 DEPTH = 2
 SLICE_BITS = 22
 #: Windows that a task holds before it emits, and that one reducing step may hold.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 SLICE_WINDOWS = 4_000_000
 
 
