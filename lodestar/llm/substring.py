@@ -63,7 +63,7 @@ def _hashed(batches, window: int):
         yield b, w, at, doc, window_hash(h, window, 1)[at], h
 
 
-def sketch(texts: DataFrame, window: int) -> tuple[bytes, int]:
+def sketch(texts: DataFrame, window: int) -> tuple[bytearray, int]:
     """The merged sketch (a bit per cell: counted twice or more) and the number of windows."""
 
     def partial(batches):
@@ -124,7 +124,7 @@ def sketch(texts: DataFrame, window: int) -> tuple[bytes, int]:
         for r in merged.filter(F.col("slice").between(i, i + 15)).collect():
             bits[r["slice"] << (SLICE_BITS - 3) : (r["slice"] + 1) << (SLICE_BITS - 3)] = r["cells"]
             total += r["n"]
-    return bytes(bits), total
+    return bits, total
 
 
 def _repeated(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
