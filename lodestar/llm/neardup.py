@@ -19,10 +19,11 @@ intersections by one matrix product and return links alone. So no link between
 components is lost, and no group is held or paired out as a whole.
 
 Defined results: a null or wordless text has no shingles and is linked with
-nothing; rows of one id are one node; null ids are one node that ranks after all
-others, and a component of null ids alone has a null id; repeated rows share
-their class; an empty table gives no rows; columns other than id and text are
-ignored.
+nothing; rows of one id are one node; a null id says nothing about which texts
+belong together, so each set that only null ids have is a node of its own, and a
+component of such sets alone has a null id and keeps one text of one of them;
+repeated rows share their class; an empty table gives no rows; columns other
+than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -134,16 +135,16 @@ def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
 
 
 def texts_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``id, text`` of some classes; a bitmap of fixed size keeps most other texts from being shuffled."""
-    wanted = bitmap_of(ids.select(F.xxhash64("id").alias("x")), "x", BITS)
+    """``id, text`` of some classes' nodes; a bitmap of fixed size keeps most other texts from being shuffled."""
+    held = classes.select("id", F.col("own").alias("doc"), "h").join(ids, "id")
+    wanted = bitmap_of(held.select(F.xxhash64("doc", "h").alias("x")), "x", BITS)
 
     def maybe(batches):
         for b in batches:
             yield b.filter(pa.array(has_bit(wanted.value, b.column(2).to_numpy().view(U) >> U(64 - BITS)))).select([0, 1, 3])
 
-    held = classes.select("id", "h").join(ids, "id")
-    some = docs.select("id", "h", F.xxhash64("id").alias("x"), "text").mapInArrow(maybe, "id long, h long, text string")
-    return some.join(held, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "text")
+    some = docs.select(F.col("id").alias("doc"), "h", F.xxhash64("id", "h").alias("x"), "text").mapInArrow(maybe, "doc long, h long, text string")
+    return some.join(held, ["doc", "h"]).dropDuplicates(["doc", "h"]).select("id", "text")
 
 
 def _similar(inter: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
@@ -230,7 +231,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
     cols = docs.select(ranked_id(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     rows = save(signed(cols, shingle), "signed")
     one = F.min(F.struct("id", "h", "sig")).alias("m")
-    classes = save(rows.filter("n > 0").groupBy("s1", "s2", "n").agg(one).select("s1", "s2", "n", "m.*"), "classes")
+    null = F.lit((1 << 63) - 1)
+    # A class's node is its smallest id; without any, a negative number made from its set.
+    node = F.when(F.col("m.id") != null, F.col("m.id")).otherwise(-1 - F.shiftrightunsigned(F.xxhash64("s1", "s2", "n"), 1))
+    classes = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(one)
+    classes = save(classes.select("s1", "s2", "n", node.alias("id"), F.col("m.id").alias("own"), "m.h", "m.sig"), "classes")
 
     keys = save(chunk_keys(classes), "keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
@@ -258,19 +263,21 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
     # The first components are links too: a node and its component.
     comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    known = classes.select("s1", "s2", "n", F.col("id").alias("class_id")).join(comp.withColumnRenamed("id", "class_id"), "class_id", "left")
-    known = known.select("s1", "s2", "n", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    # Rows of one id but different texts are one node.
-    ids = known
-    out = rows.drop("sig").join(ids, ["s1", "s2", "n"], "left")
-    null = F.lit((1 << 63) - 1)
+    # A component's id is the smallest of its classes' ids. ``first``: the node that keeps a text where it has none.
+    known = classes.select("s1", "s2", "n", "id", F.col("own").alias("class_id"), F.col("h").alias("class_h")).join(comp, "id", "left")
+    known = known.withColumn("component", F.coalesce("component", "id"))
+    least = known.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min("id").alias("first"))
+    known = known.join(least, "component").select("s1", "s2", "n", "class_id", "component_id", F.when(F.col("id") == F.col("first"), F.col("class_h")).alias("first_h"))
+    out = rows.drop("sig").join(known, ["s1", "s2", "n"], "left")
     plain = lambda c: F.when(c != null, c)
     own = F.coalesce("component_id", "id")
+    # Without ids, rows of one text are copies; a row without shingles is alone.
+    first = F.col("component_id").isNull() | (F.col("id") != null) | F.coalesce(F.col("h") == F.col("first_h"), F.lit(False))
     return out.select(
         plain(F.col("id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         plain(own).alias("component_id"),
-        (F.col("id") == own).alias("kept"),
+        ((F.col("id") == own) & first).alias("kept"),
         plain(F.coalesce("class_id", "id")).alias("class_id"),
         "h",
     )

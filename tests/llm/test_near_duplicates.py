@@ -93,3 +93,28 @@ def test_components_of_long_chains_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {**{i: 0 for i in range(1, 61)}, **{i: 1000 for i in range(1001, 1100)}, 499: 498, 500: 498}
     assert got == want
+
+
+def test_null_ids_are_not_one_document(spark):
+    rng = random.Random(21)
+
+    def near(tag):  # two near copies
+        w = [f"{tag}{i}" for i in range(80)]
+        return " ".join(w), " ".join(w[:40] + [f"x{rng.randrange(10**6)}"] + w[41:])
+
+    (a9, a), (b1, b2), (c9, c), (d, d100), (e, e1) = (near(t) for t in "abcde")
+    e2 = e1[:-3] + "E79"
+    lone = "nothing else has these words"
+    rows = [(9, a9, "s"), (None, a, "s"), (None, lone, "s"), (None, lone, "s"), (None, b1, "s"), (None, b2, "s")]
+    rows += [(200, c9, "s"), (None, c, "s"), (None, d, "s"), (100, d100, "s"), (None, e, "s"), (None, e1, "s"), (None, e2, "s"), (None, None, "s")]
+    for df in (spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows, SCHEMA).repartition(3)):
+        got = {}
+        for r in near_duplicates(df).collect():
+            got.setdefault((r.doc_id, r.n_shingles), set()).add(r.component_id)
+        assert got[9, 78] == {9} and got[100, 78] == {100} and got[200, 78] == {200}
+        assert got[None, 78] == {9, 100, 200, None} and got[None, 3] == {None} and got[None, 0] == {None}
+        stay = [r.text for r in one_of_each(df).collect()]
+        assert a9 in stay and c9 in stay and d100 in stay and not {a, c, d} & set(stay)
+        assert stay.count(lone) == 1 and stay.count(None) == 1
+        assert len({b1, b2} & set(stay)) == 1 and len({e, e1, e2} & set(stay)) == 1
+        assert len(stay) == 7
