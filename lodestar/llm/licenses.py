@@ -1,16 +1,22 @@
-"""License scan: MinHash bands over overlapping text windows, then exact shingle containment.
+"""License scan: shingle keys or MinHash bands over overlapping text windows, then exact shingle containment.
 
 A template's class is the power of two at or above its number of words. For each
 class present, a text is cut into blocks of half the class's words, and every
 three blocks in a row are a window, so an occurrence of a template lies whole in
-some window. Window and template share a band if they have the same smallest
-hash under the band's hash function. An occurrence with containment 0.8 has a
-Jaccard similarity of 0.27 or more with its window, so 40 bands of one row
-retrieve it with a probability above 1 - 4e-6. Templates of fewer than five
-words are their own only shingle, and each run of that many words is a window.
-
-Bands of the templates set bits in a bitmap of fixed size; windows that it lets
-through are joined with the template bands, and every pair is verified:
+some window. Templates of fewer than five words are their own only shingle, and
+each run of that many words is a window.
+
+Of a template's m distinct shingles an occurrence holds ``need`` or more, so it
+holds at least one of any m - need + 1: where these are BANDS at most, they are
+the template's keys, and every window with one is retrieved, none missed. (So it
+is at a containment of 0.8 for up to some 200 words.) Longer templates have
+MinHash bands of one row: window and template share a band if they have the same
+smallest hash under the band's hash function. Their number follows from the
+smallest Jaccard similarity that such a template and its window may have, so
+that no band is shared with a probability of MISS at most.
+
+Keys of the templates set bits in a bitmap of fixed size; windows that it lets
+through are joined with the template keys, and every pair is verified:
 containment is the share of the template's five-word shingles (words lower-cased,
 digits and letters) that the window has.
 
@@ -32,6 +38,7 @@ from lodestar.llm._text import ALNUM, U, Words, _weights, gathered_words, mix, w
 
 SHINGLE, BANDS, BITS = 5, 40, 26
 CONTAINMENT = 0.8
+MISS = 4e-6
 
 # Usual license statements, as their licences or common practice give them.
 TEMPLATES = {
@@ -68,40 +75,69 @@ def _shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return g, whole
 
 
-def _bands(g: np.ndarray, starts: np.ndarray, spans: int, block_doc: np.ndarray, cls: int) -> tuple[np.ndarray, int]:
+def _plan(m: int, cls: int, containment: float) -> tuple[int, int]:
+    """Shingle keys and bands of a template of ``m`` distinct shingles; one of the two is 0."""
+    need = 1 + int(np.searchsorted(np.arange(1, m + 1) / m, containment))
+    keys = m - need + 1
+    if keys <= BANDS:
+        return keys, 0
+    bands = int(np.ceil(np.log(MISS) / np.log1p(-need / (3 * cls // 2 + m - need))))
+    return (keys, 0) if keys <= bands else (0, bands)
+
+
+def _shingle_keys(g: np.ndarray, cls: int) -> np.ndarray:
+    return mix(g ^ U(cls << 16 | 0xFFFF))
+
+
+def _bands(g: np.ndarray, starts: np.ndarray, spans: int, block_doc: np.ndarray, cls: int, bands: int) -> np.ndarray:
     """Band keys of windows of ``spans`` blocks; a row per band, a column per block."""
     keys = []
-    for band, a in enumerate(_weights(700, BANDS if cls >= 8 else 1)):
+    for band, a in enumerate(_weights(700, bands)):
         low = np.minimum.reduceat(g * a, starts)
         best = low.copy()
         for s in range(1, spans):
             same = block_doc[s:] == block_doc[:-s]
             best[:-s] = np.where(same, np.minimum(best[:-s], low[s:]), best[:-s])
-        keys.append(mix(best ^ U(cls << 8 | band)))
-    return np.stack(keys), len(keys)
+        keys.append(mix(best ^ U(cls << 16 | band)))
+    return np.stack(keys)
 
 
-def _windows(w: Words, h: np.ndarray, cls: int):
-    """(first word, text, band keys as band x window) of each window of a class."""
+def _windows(w: Words, h: np.ndarray, cls: int, bands: int, bitmap: np.ndarray):
+    """(first word, text) of each window of a class; (window, key) of those with a key or band that the bitmap has."""
     small = cls < SHINGLE
     k = cls if small else SHINGLE
     g, whole = _shingles(w, h, k)
     at = np.flatnonzero(whole)
     if not len(at):
-        return at, at, np.zeros((1, 0), U)
+        return at, at, at, np.zeros(0, U)
     doc = w.doc()[at]
-    half = 1 if small else cls // 2
+    half, spans = (1, 1) if small else (cls // 2, 3)
     # Blocks of ``half`` shingles from each text's first word on.
     block = (at - w.first[doc]) // half
     new = np.ones(len(at), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (block[1:] != block[:-1])
     starts = np.flatnonzero(new)
-    keys, _ = _bands(g[at], starts, 1 if small else 3, doc[starts], cls)
-    return at[starts], doc[starts], keys
-
-
-def _template_bands(df: DataFrame) -> DataFrame:
-    """cls, band key and template of each template's bands."""
+    first, text = at[starts], doc[starts]
+    keys = _shingle_keys(g[at], cls)
+    hit = np.flatnonzero(has_bit(bitmap, keys >> U(64 - BITS)))
+    own = np.searchsorted(starts, hit, side="right") - 1
+    found, key = [], []
+    for s in range(spans):  # a shingle is in the windows that begin with its block or one of the two before
+        ok = own >= s
+        ok[ok] = text[own[ok] - s] == text[own[ok]]
+        found.append(own[ok] - s)
+        key.append(keys[hit[ok]])
+    if bands:
+        banded = _bands(g[at], starts, spans, text, cls, bands)
+        band, i = np.nonzero(has_bit(bitmap, banded >> U(64 - BITS)))
+        found.append(i)
+        key.append(banded[band, i])
+    both = np.unique(np.stack([np.concatenate(found).astype(U), np.concatenate(key)]), axis=1)
+    return first, text, both[0].astype(np.int64), both[1]
+
+
+def _template_keys(df: DataFrame, containment: float) -> DataFrame:
+    """cls, bands, key and template of each template's keys or bands."""
 
     def run(batches):
         for b in batches:
@@ -112,22 +148,27 @@ def _template_bands(df: DataFrame) -> DataFrame:
                 one = Words(w.buf, w.start[w.first[i] : w.first[i + 1]], w.end[w.first[i] : w.first[i + 1]], np.array([0, n[i]]))
                 c = int(cls[i])
                 g, whole = _shingles(one, h[w.first[i] : w.first[i + 1]], c if c < SHINGLE else SHINGLE)
-                keys, k = _bands(g[whole], np.array([0]), 1, np.array([0]), c)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, c), pa.int32()), pa.array(keys[:, 0].view(np.int64)), b.column(0).take(pa.array([i] * k)), b.column(1).take(pa.array([i] * k))], names=["cls", "key", "template", "template_text"])
+                g = np.unique(g[whole])
+                few, bands = _plan(len(g), c, containment)
+                keys = _bands(g, np.array([0]), 1, np.array([0]), c, bands)[:, 0] if bands else _shingle_keys(g[:few], c)
+                k = len(keys)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(np.full(k, x), pa.int32()) for x in (c, bands)), pa.array(keys.view(np.int64)), *(x.take(pa.array([i] * k, pa.int64())) for x in b.columns)],
+                    names=["cls", "bands", "key", "template", "template_text"],
+                )
 
-    return df.mapInArrow(run, "cls int, key long, template string, template_text string")
+    return df.mapInArrow(run, "cls int, bands int, key long, template string, template_text string")
 
 
-def _candidates(docs: DataFrame, classes: list[int], bitmap) -> DataFrame:
-    """Windows with a band that the bitmap has: id, h, cls, key, first word, the window's words."""
+def _candidates(docs: DataFrame, classes: list[tuple[int, int]], bitmap) -> DataFrame:
+    """Windows with a key or band that the bitmap has: id, h, cls, key, first word, the window's words."""
 
     def run(batches):
         for b in steps(batches, "text"):
             w = words(strings(b.column(2)), ALNUM, lower=True)
             h = word_hash(w)
-            for cls in classes:
-                at, doc, keys = _windows(w, h, cls)
-                band, i = np.nonzero(has_bit(bitmap.value, keys >> U(64 - BITS)))
+            for cls, bands in classes:
+                at, doc, i, key = _windows(w, h, cls, bands, bitmap.value)
                 if not len(i):
                     continue
                 size = cls if cls < SHINGLE else 3 * cls // 2 + SHINGLE - 1
@@ -140,7 +181,7 @@ def _candidates(docs: DataFrame, classes: list[int], bitmap) -> DataFrame:
                 text = gathered_words(sub, np.ones(len(take), bool))
                 d = pa.array(doc[i])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(d), b.column(1).take(d), pa.array(np.full(len(i), cls), pa.int32()), pa.array(keys[band, i].view(np.int64)), pa.array((at - w.first[doc])[i]), text.take(pa.array(back))],
+                    [b.column(0).take(d), b.column(1).take(d), pa.array(np.full(len(i), cls), pa.int32()), pa.array(key.view(np.int64)), pa.array((at - w.first[doc])[i]), text.take(pa.array(back))],
                     names=["id", "h", "cls", "key", "at", "window"],
                 )
 
@@ -178,11 +219,11 @@ def _verify(pairs: DataFrame) -> DataFrame:
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, *, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, template, containment and first_word of the best window: a row per document and template it holds."""
     known = templates(docs.sparkSession) if known is None else known
-    bands = save(_template_bands(known.select("template", "text")), "templates")
-    classes = sorted(r["cls"] for r in bands.select("cls").distinct().collect())  # at most a few dozen
-    bitmap = bitmap_of(bands, "key", BITS)
+    keys = save(_template_keys(known.select("template", "text"), containment), "templates")
+    classes = sorted((r["cls"], r["bands"]) for r in keys.groupBy("cls").agg(F.max("bands").alias("bands")).collect())  # at most a few dozen
+    bitmap = bitmap_of(keys, "key", BITS)
     rows = docs.select(ranked_id(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    pairs = _candidates(rows, classes, bitmap).join(bands, ["cls", "key"]).drop("cls", "key").dropDuplicates(["id", "h", "template", "at"])
+    pairs = _candidates(rows, classes, bitmap).join(keys, ["cls", "key"]).drop("cls", "key").dropDuplicates(["id", "h", "template", "at"])
     found = _verify(pairs).filter(F.col("containment") >= containment)
     best = found.groupBy("id", "h", "template").agg(F.max(F.struct("containment", (-F.col("at")).alias("at"))).alias("b"))
     null = F.lit((1 << 63) - 1)

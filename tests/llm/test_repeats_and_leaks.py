@@ -162,3 +162,33 @@ def test_licenses(spark):
     own = spark.createDataFrame([("none", ""), ("null", None), ("two", "alpha beta")], "template string, text string")
     twice = frame(spark, [(None, "x ALPHA beta y alpha beta"), (7, "alpha gamma beta")])
     assert [tuple(r) for r in scan_licenses(twice, own).collect()] == [(None, "two", 1.0, 1)]
+
+
+def test_no_license_is_missed_in_longer_texts(spark):
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(20000)]
+    noise = lambda n: rng.choices(vocabulary, k=n)
+    own = {f"own{n}": " ".join(f"t{n}x{i}" for i in range(n)) for n in (5, 6, 7, 8, 9, 10, 12, 17, 33)}
+    docs, want = [], set()
+    for name, text in own.items():
+        for _ in range(2000):
+            docs.append((len(docs), " ".join(noise(rng.randint(20, 40)) + text.split() + noise(30))))
+            want.add((docs[-1][0], name))
+    known = spark.createDataFrame(list(own.items()), "template string, text string")
+    got = scan_licenses(frame(spark, docs), known).collect()
+    assert {(r.doc_id, r.template) for r in got} == want and all(r.containment == 1 for r in got)
+    # A lower bound finds parts: two of the ten-word template's six shingles.
+    part = frame(spark, [(i, " ".join(noise(30) + own["own10"].split()[2:8] + noise(30))) for i in range(300)])
+    got = scan_licenses(part, known, containment=0.3).collect()
+    assert {(r.doc_id, r.template) for r in got} == {(i, "own10") for i in range(300)}
+
+
+def test_long_templates_have_enough_bands(spark):
+    rng = random.Random(32)
+    text = [f"t{i}" for i in range(257)]  # half of its class's words: the smallest similarity
+    docs = []
+    for i in range(600):
+        noise = lambda: [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(300, 700))]  # noqa: B023, E731
+        docs.append((i, " ".join(noise() + text[:100] + ["x"] + text[101:] + noise())))
+    known = spark.createDataFrame([("long", " ".join(text))], "template string, text string")
+    assert {r.doc_id for r in scan_licenses(frame(spark, docs), known).collect()} == set(range(600))
