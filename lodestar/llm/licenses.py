@@ -51,7 +51,23 @@ TEMPLATES = {
     "gpl-3.0-short": "This work is licensed under the GNU General Public License, version 3.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
+    "mit-conditions": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "mit-short": "Released under the MIT License.",
+    # Versions and variants differ in few words, so these begin and end close to what tells them apart.
+    "agpl-notice": "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "bsd-3-clause": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "cc-by-sa-3.0": "licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    "cc-by-sa-4.0": "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc0-1.0": "has waived all copyright and related or neighboring rights to",
+    "epl-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "gpl-2.0-notice": "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    "gpl-2.0-only-notice": "the GNU General Public License version 2 as published by the Free Software Foundation",
+    "lgpl-2.1-notice": "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    "lgpl-3.0-notice": "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
 

@@ -192,3 +192,25 @@ def test_long_templates_have_enough_bands(spark):
         docs.append((i, " ".join(noise() + text[:100] + ["x"] + text[101:] + noise())))
     known = spark.createDataFrame([("long", " ".join(text))], "template string, text string")
     assert {r.doc_id for r in scan_licenses(frame(spark, docs), known).collect()} == set(range(600))
+
+
+def test_license_families(spark):
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    texts = {
+        "gpl-2.0-notice": gpl.format("General Public License", "2"),
+        "lgpl-2.1-notice": gpl.format("Lesser General Public License", "2.1").replace("program", "library"),
+        "lgpl-3.0-notice": gpl.format("Lesser General Public License", "3"),
+        "agpl-notice": gpl.format("Affero General Public License", "3"),
+        "gpl-3.0-notice": gpl.format("General Public License", "3"),
+        "gpl-2.0-only-notice": "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+        "mpl-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */",
+        "bsd-3-clause": "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "cc0-1.0": "To the extent possible under law, Ann has waived all copyright and related or neighboring rights to this dictionary.",
+        "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    }
+    names = list(texts)
+    got = {}
+    for r in scan_licenses(frame(spark, [(i, f"a b c {texts[n]} d e") for i, n in enumerate(names)])).collect():
+        got.setdefault(names[r.doc_id], set()).add(r.template)
+    # The notices of the other GNU licenses hold most of the one of GPL-3.0, too.
+    assert {n: got[n] - {"gpl-3.0-notice"} or got[n] for n in names} == {n: {n} for n in names}
