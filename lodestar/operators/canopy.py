@@ -6,7 +6,7 @@
    new row changes its own bucket's centres alone. Rows are sorted by Spark and
    stream through; a task holds the centres of one bucket and no bucket whole.
 2. C2 global merge: the same greedy rule with T3 over the local centres in
-   (bucket, id) order; canopy ids 1..M in acceptance order. Exact at any
+   (bucket, id, features) order, nulls first; canopy ids 1..M in acceptance order. Exact at any
    size: candidates are taken in ordered chunks, and before each chunk Spark
    drops every candidate within T3 of an accepted canopy.
 3. C3 membership: each point gets the array of canopies with distance < T2;
@@ -38,6 +38,8 @@ from lodestar.plans.storage import local_frame
 
 DEFAULT_BUCKETS = 64
 MERGE_CHUNK = 20_000
+#: Rows without a bucket share this one.
+NO_BUCKET = -(1 << 31)
 
 
 class CanopyResult(NamedTuple):
@@ -84,7 +86,7 @@ def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -
 
 def _bucketed(points: DataFrame, buckets: int, bucket_col, id_col) -> DataFrame:
     if bucket_col is not None:
-        return points.withColumn("bucket", F.col(bucket_col).cast("int"))
+        return points.withColumn("bucket", F.coalesce(F.col(bucket_col).cast("int"), F.lit(NO_BUCKET)))
     return points.withColumn("bucket", F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int"))
 
 
@@ -132,26 +134,28 @@ def merge_canopies(candidates: DataFrame, t3: float, chunk: int = MERGE_CHUNK) -
     """``[(canopy, id, vector)]`` from ``(bucket, id, features)`` candidates."""
     accepted: list[tuple[int, list[float]]] = []
     last = None
+    place = lambda b, i, v: F.struct(b.cast("bigint").alias("b"), i.cast("bigint").alias("i"), v.cast("array<double>").alias("v"))
     while True:
         q = candidates
         if last is not None:
-            lb, li = last
-            q = q.where((F.col("bucket") > lb) | ((F.col("bucket") == lb) & (F.col("id") > li)))
+            # Ids may repeat, so a place has the vector, too; struct order takes nulls first, as the sort does.
+            lb, li, lv = last
+            q = q.where(place(F.col("bucket"), F.col("id"), F.col("features")) > place(F.lit(lb), F.lit(li), F.array(*map(F.lit, lv))))
         if accepted:
             q = (
                 assign(q.select("bucket", "id", "features"), [v for _, v in accepted])
                 .where(F.sqrt("d2") > float(t3))
                 .drop("cid", "d2")
             )
-        rows = q.orderBy("bucket", "id").limit(chunk).select("bucket", "id", "features").collect()
+        rows = q.orderBy("bucket", "id", "features").limit(chunk).select("bucket", "id", "features").collect()
         if rows:
             x = np.asarray([r["features"] for r in rows], dtype=np.float64)
             prior = np.asarray([v for _, v in accepted]) if accepted else None
             for i in greedy_pick(x, float(t3), prior):
-                accepted.append((int(rows[i]["id"]), list(rows[i]["features"])))
+                accepted.append((rows[i]["id"], list(rows[i]["features"])))
         if len(rows) < chunk:
             break
-        last = (int(rows[-1]["bucket"]), int(rows[-1]["id"]))
+        last = (rows[-1]["bucket"], rows[-1]["id"], list(rows[-1]["features"]))
     return [(j + 1, i, v) for j, (i, v) in enumerate(accepted)]
 
 

@@ -100,3 +100,22 @@ def test_huge_t2_equals_lloyd(frame):
     a = [[round(v, 6) for v in x.center] for x in r.centers.orderBy("cid").collect()]
     b = [[round(v, 6) for v in x.center] for x in k1.centers.orderBy("cid").collect()]
     assert a == b
+
+
+def test_merge_goes_on_among_equal_ids_and_without_buckets(spark):
+    rows = [(0, 1, [0.0, 0.0]), (0, 1, [9.0, 0.0]), (0, 1, [9.0, 9.0]), (0, 2, [0.0, 9.0]), (1, 1, [0.5, 0.0]), (1, None, [30.0, 0.0]), (1, None, [30.0, 30.0])]
+    rows += [(None, 5, [60.0, 0.0]), (None, 5, [60.0, 60.0]), (None, 6, [60.0, 1.0])]
+    cands = spark.createDataFrame(rows, "bucket int, id bigint, features array<double>")
+    want = merge_canopies(cands, 2.0)
+    assert [c for c, _, _ in want] == list(range(1, 9))
+    for chunk in (1, 2, 3):
+        assert merge_canopies(cands, 2.0, chunk=chunk) == want
+
+
+def test_rows_without_a_bucket_share_one(spark):
+    rows = [(i, [float(i), 0.0], None if i % 2 else 3) for i in range(20)]
+    pts = spark.createDataFrame(rows, "id bigint, features array<double>, b int")
+    got = {(r.id, r.bucket) for r in local_canopies(pts, 4.5, bucket_col="b").collect()}
+    assert {i for i, b in got if b == 3} == {0, 6, 12, 18} and {i for i, b in got if b != 3} == {1, 7, 13, 19}
+    one = merge_canopies(local_canopies(pts, 4.5, bucket_col="b"), 0.5, chunk=1)
+    assert sorted(i for _, i, _ in one) == [0, 1, 6, 7, 12, 13, 18, 19]
