@@ -1,13 +1,15 @@
 """Near-duplicate detection: MinHash signatures, multi-index Hamming join, exact check, components.
 
-A document's signature is 64 MinHash values of 16 bits. Two signatures differ
-in d of the first 32 slots; all pairs with d <= 15 are found by pigeonhole: the
-slots are cut into 8 chunks of 4, so some chunk has at most one error, and each
-chunk gives one key per slot left out. A bound on the distance over all 64 slots,
-six standard deviations above the mean at the asked similarity, drops chance
-meetings before whole texts are fetched, and every link is confirmed on the full
-shingle sets. (Of pairs at a similarity of 0.85, about 2 in 10^8 share no key
-and 1 in 10^8 fail the bound; of pairs above it, fewer.)
+A document's signature is 64 MinHash values of 16 bits, of which the first are cut
+into chunks of 4: two signatures with at most one differing slot in some chunk are
+found, since each chunk gives one key per slot left out. There are 8 chunks, or as
+many more as the asked similarity needs: of pairs at it, MISS at most share no key
+(11 chunks at 0.80). The 16 chunks of a whole signature reach down to 0.71; lower
+similarities are refused. A bound on the distance over all 64 slots, six standard
+deviations above the mean at the asked similarity, drops chance meetings before
+whole texts are fetched (and 1 in 10^8 pairs at a similarity of 0.85), and every
+link is confirmed on the full shingle sets. Of pairs above the asked similarity
+fewer are lost.
 
 Equal sets are one class from the start. Among classes that share a key, the
 pairs to confirm are not all pairs: first every class is compared with its key's
@@ -39,6 +41,7 @@ from lodestar.llm.components import components
 
 SLOTS = 64
 CHUNKS, CHUNK = 8, 4
+MISS = 2.1e-8
 SIGNED = "id long, h long, n long, s1 long, s2 long, sig binary"
 BITS = 26
 #: Classes of a key that are compared pair by pair; classes of a block beyond.
@@ -99,8 +102,21 @@ def _sig(col: pa.Array) -> np.ndarray:
     return np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u2").reshape(-1, SLOTS)
 
 
-def chunk_keys(classes: DataFrame) -> DataFrame:
+def chunks_for(percent: int) -> int:
+    """Chunks of which all have two errors or more with a probability of MISS at most, at the similarity asked for."""
+    p = 1 - percent / 100
+    fails = 1 - (1 - p) ** CHUNK - CHUNK * p * (1 - p) ** (CHUNK - 1)
+    n = CHUNKS
+    while fails**n > MISS:
+        n += 1
+        if n * CHUNK > SLOTS:
+            raise ValueError(f"a similarity of {percent} % needs more than the {SLOTS} slots of a signature")
+    return n
+
+
+def chunk_keys(classes: DataFrame, percent: int) -> DataFrame:
     """``key, id``: for each chunk, one key per slot that may be in error."""
+    chunks = chunks_for(percent)
 
     def run(batches):
         for b in batches:
@@ -108,7 +124,7 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
                 continue
             sig = _sig(b.column(1)).astype(U)
             keys = []
-            for c in range(CHUNKS):
+            for c in range(chunks):
                 for out in range(CHUNK):
                     s = [c * CHUNK + j for j in range(CHUNK) if j != out]
                     x = sig[:, s[0]] | sig[:, s[1]] << U(16) | sig[:, s[2]] << U(32)
@@ -228,6 +244,7 @@ def links_in_cells(members: DataFrame, classes: DataFrame, docs: DataFrame, shin
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, class_id (smallest id of equal sets) and h (hash of the text)."""
+    chunks_for(percent)  # refuses what it can't find, before any work
     cols = docs.select(ranked_id(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     rows = save(signed(cols, shingle), "signed")
     one = F.min(F.struct("id", "h", "sig")).alias("m")
@@ -237,7 +254,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, percent: int = 85, id_
     classes = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(one)
     classes = save(classes.select("s1", "s2", "n", node.alias("id"), F.col("m.id").alias("own"), "m.h", "m.sig"), "classes")
 
-    keys = save(chunk_keys(classes), "keys")
+    keys = save(chunk_keys(classes, percent), "keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     met = save(keys.join(shared, "key"), "met")
     score = met.groupBy("id").agg(F.sum("c").alias("score"))

@@ -118,3 +118,20 @@ def test_null_ids_are_not_one_document(spark):
         assert stay.count(lone) == 1 and stay.count(None) == 1
         assert len({b1, b2} & set(stay)) == 1 and len({e, e1, e2} & set(stay)) == 1
         assert len(stay) == 7
+
+
+def test_chunks_follow_the_similarity(spark):
+    assert neardup.chunks_for(85) == neardup.chunks_for(100) == 8 and neardup.chunks_for(80) == 11
+    for percent in range(71, 101):
+        s = percent / 100
+        assert (1 - s**4 - 4 * (1 - s) * s**3) ** neardup.chunks_for(percent) <= 2.1e-8
+    with pytest.raises(ValueError):
+        near_duplicates(spark.createDataFrame([(1, "a b c d", "s")], SCHEMA), percent=70)
+    # Two errors in each of the first eight chunks: only a later chunk has a key in common.
+    a, b = [7] * 64, [7] * 64
+    for c in range(8):
+        b[4 * c] = b[4 * c + 1] = 8
+    sig = lambda x: bytearray(b"".join(v.to_bytes(2, "little") for v in x))
+    df = spark.createDataFrame([(1, sig(a)), (2, sig(b))], "id long, sig binary")
+    shared = lambda percent: neardup.chunk_keys(df, percent).groupBy("key").count().filter("count > 1").count()
+    assert shared(85) == 0 and shared(80) == 12
