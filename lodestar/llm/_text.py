@@ -89,18 +89,30 @@ def words(texts: pa.Array, rule: str = NON_SPACE, lower: bool = False) -> Words:
 
 
 def word_hash(w: Words, seed: int = 11) -> np.ndarray:
-    """Multilinear hash of each word's bytes with random odd weights by place, then mixed."""
+    """Multilinear hash of each word's bytes with random odd weights by place, then mixed.
+
+    A word of more than ``_WRAP`` bytes is hashed in blocks of that size, and
+    then its mixed block hashes with a weight for each block number.
+    """
     if not len(w.start):
         return np.zeros(0, U)
     n = w.end - w.start
-    total = int(n.sum())
+    if int(n.max()) <= _WRAP:
+        return _block_hash(w.buf, w.start, n, seed)
+    blocks = -(-n // _WRAP)
+    first = np.cumsum(blocks) - blocks
+    number = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    start = np.repeat(w.start, blocks) + number * _WRAP
+    h = _block_hash(w.buf, start, np.minimum(np.repeat(w.end, blocks) - start, _WRAP), seed)
+    by_number = mix(number.astype(U) + U(seed), 0x9E3779B97F4A7C15) | U(1)
+    whole = mix(np.add.reduceat(h * by_number, first) + n.astype(U) * U(0x9E3779B97F4A7C15))
+    return np.where(blocks > 1, whole, h[first])
+
+
+def _block_hash(buf: np.ndarray, start: np.ndarray, n: np.ndarray, seed: int) -> np.ndarray:
     first = np.cumsum(n) - n
-    place = np.arange(total) - np.repeat(first, n)
-    at = place + np.repeat(w.start, n)
-    wt = _weights(seed, _WRAP)[place & (_WRAP - 1)]
-    if int(n.max()) > _WRAP:
-        wt = wt * ((place >> 12).astype(U) * U(2) + U(1))
-    h = np.add.reduceat((w.buf[at].astype(U) + U(1)) * wt, first)
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    h = np.add.reduceat((buf[place + np.repeat(start, n)].astype(U) + U(1)) * _weights(seed, _WRAP)[place], first)
     return mix(h + n.astype(U) * U(0x9E3779B97F4A7C15))
 
 
