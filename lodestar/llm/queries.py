@@ -9,6 +9,7 @@ from lodestar.llm.langid import identify
 from lodestar.llm.licenses import scan_licenses
 from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
+from lodestar.llm.periodic import run_digest
 from lodestar.llm.quality import classify_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
@@ -137,6 +138,10 @@ def op10_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
@@ -148,4 +153,5 @@ QUERIES = {
     "op8_brown_lm": (op8_brown_lm, None),
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
+    "op11_periodic_runs": (op11_periodic_runs, None),
 }
