@@ -14,6 +14,7 @@ from lodestar.llm.quality import classify_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
 from lodestar.llm.topk import top_inner_products
+from lodestar.llm.variants import spelling_variants
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -142,6 +143,10 @@ def op11_periodic_runs(spark, sf_dir):
     return run_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"), edit=31)
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
@@ -154,4 +159,5 @@ QUERIES = {
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
     "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_spelling_variants": (op12_spelling_variants, None),
 }
