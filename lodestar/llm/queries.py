@@ -10,6 +10,7 @@ from lodestar.llm.licenses import scan_licenses
 from lodestar.llm.neardup import near_duplicate_digest
 from lodestar.llm.packing import pack_digest
 from lodestar.llm.periodic import run_digest
+from lodestar.llm.pieces import piece_digest
 from lodestar.llm.quality import classify_digest
 from lodestar.llm.substring import dedup_digest
 from lodestar.llm.tokenfile import token_digest
@@ -147,6 +148,10 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"), edit=31)
 
 
+def op13_sentencepiece(spark, sf_dir):
+    return piece_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op2_substring_dedup": (op2_substring_dedup, OP2_SQL),
@@ -160,4 +165,5 @@ QUERIES = {
     "op10_language_id": (op10_language_id, None),
     "op11_periodic_runs": (op11_periodic_runs, None),
     "op12_spelling_variants": (op12_spelling_variants, None),
+    "op13_sentencepiece": (op13_sentencepiece, None),
 }
