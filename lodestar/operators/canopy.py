@@ -35,6 +35,7 @@ from lodestar.operators.assign import collect_stats_sql, assign, stats_from_part
 from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
+from lodestar.sources.table import whole_rows
 
 DEFAULT_BUCKETS = 64
 MERGE_CHUNK = 20_000

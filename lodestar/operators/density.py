@@ -11,6 +11,9 @@
   70 rows by default), A5/A7 density and squared-distance row sums are tiled
   likewise; each further centre is a scan, an anti-join and an argmax on Spark.
 * K5 ``kmeans_density`` = K3 -> sample -> K4 -> K1.
+
+A row whose vector is null, holds a null or has another width than ``dim`` takes
+no part. Without ``dim`` all widths are counted (one job) and must agree.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from lodestar.operators.lloyd import kmeans
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
 from lodestar.sources.sample import DEFAULT_SEED, first_rows, seeded_sample
+from lodestar.sources.table import whole_rows
 
 DEFAULT_BLOCK_ROWS = 20_000
 DEFAULT_COEF = 0.011
@@ -58,13 +62,15 @@ def pair_distance_sum(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     id_col: str = "id",
     features: str = "features",
+    dim: int | None = None,
 ) -> float:
     """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j)."""
+    points, dim = whole_rows(points, features, dim)
 
     def fn(tile: pa.Table) -> pa.Table:
         rb = tile.combine_chunks().to_batches()[0]
         ta, tb, own = (rb.column(rb.schema.get_field_index(c)).to_numpy() for c in ("ta", "tb", "blk"))
-        x, _ = physical._features_matrix(rb, features, len(rb.column(rb.schema.get_field_index(features))[0]))
+        x, _ = physical._features_matrix(rb, features, dim)
         a, b = x[own == ta[0]], x[own == tb[0]]
         if ta[0] != tb[0]:
             return pa.table({"s": [2.0 * _tile_sum(a, b)]})
@@ -83,12 +89,13 @@ def adaptive_radius(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     id_col: str = "id",
     features: str = "features",
+    dim: int | None = None,
 ) -> float:
     """K3: ``sqrt(sum of all ordered pair distances) * coef``."""
-    return math.sqrt(pair_distance_sum(points, block_rows, id_col, features)) * coef
+    return math.sqrt(pair_distance_sum(points, block_rows, id_col, features, dim)) * coef
 
 
-def density_stats(sample: DataFrame, t2: float, features: str = "features", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def density_stats(sample: DataFrame, t2: float, features: str = "features", block_rows: int = DEFAULT_BLOCK_ROWS, dim: int | None = None) -> DataFrame:
     """A5/A7 over a sample ``(seq, id, features)``.
 
     Adds ``density`` (rows whose **squared** distance is <= t2, self
@@ -97,11 +104,12 @@ def density_stats(sample: DataFrame, t2: float, features: str = "features", bloc
     counted in ``density``). Tiles give partial sums per row, Spark adds them.
     """
     thr = float(t2)
+    sample, dim = whole_rows(sample, features, dim)
 
     def fn(tile: pa.Table) -> pa.Table:
         rb = tile.combine_chunks().to_batches()[0]
         ta, tb, own, seq = (rb.column(rb.schema.get_field_index(c)).to_numpy() for c in ("ta", "tb", "blk", "seq"))
-        x, _ = physical._features_matrix(rb, features, len(rb.column(rb.schema.get_field_index(features))[0]))
+        x, _ = physical._features_matrix(rb, features, dim)
         sides = {(int(ta[0]), int(tb[0])), (int(tb[0]), int(ta[0]))}  # each block against the other
         out = []
         for mine, other in sorted(sides):
@@ -128,6 +136,7 @@ def density_seed(
     max_centers: int = 3,
     weight: str = "reference",
     features: str = "features",
+    dim: int | None = None,
 ) -> DensitySeeds:
     """K4 on a ``(seq, id, features)`` sample, a few small Spark jobs per centre.
 
@@ -141,7 +150,7 @@ def density_seed(
     """
     if weight not in ("reference", "density"):
         raise ValueError(f"unknown weight {weight!r}")
-    with storage.prepared(density_stats(sample, t2, features), "density-stats") as st:
+    with storage.prepared(density_stats(sample, t2, features, dim=dim), "density-stats") as st:
         top = st.orderBy(F.desc("density"), "seq").limit(1).collect()
         if not top:
             return DensitySeeds([], [])
@@ -194,17 +203,20 @@ def kmeans_density(
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
+    dim: int | None = None,
 ) -> DensityResult:
     """K5: adaptive radius (unless ``t2`` is given), density seeding on a
     ``sample_n`` sample (``'seeded'`` md5 order or ``'first'`` ids), Lloyd."""
-    src = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"))
+    src, dim = whole_rows(points.select(F.col(id_col).alias("id"), F.col(features).alias("features")), "features", dim)
     spark = points.sparkSession
     with storage.prepared(storage.spread(src, "id"), "density") as pts:
-        radius = adaptive_radius(pts, coef) if t2 is None else float(t2)
+        radius = adaptive_radius(pts, coef, dim=dim) if t2 is None else float(t2)
         smp = seeded_sample(pts, sample_n, seed) if sample == "seeded" else first_rows(pts, sample_n)
         with storage.prepared(smp, "sample") as smp:  # drawn once
-            seeds = density_seed(smp, radius, max_centers, weight)
-        res = kmeans(pts, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form)
+            seeds = density_seed(smp, radius, max_centers, weight, dim=dim)
+        if not seeds.centers:
+            raise ValueError("no points")
+        res = kmeans(pts, init=seeds.centers, tol=tol, max_iter=max_iter, on_empty="keep", form=form, dim=dim)
     rows = [(*r, c) for r, c in zip(seeds.rows, seeds.centers)]
     return DensityResult(
         res.centers,

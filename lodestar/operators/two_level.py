@@ -31,6 +31,7 @@ from lodestar.operators.pairs import closest_pairs
 from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED
 from lodestar.plans.storage import local_frame
+from lodestar.sources.table import whole_rows
 
 class TwoLevelResult(NamedTuple):
     centers: DataFrame  # cid int, center array<double>
@@ -81,11 +82,11 @@ ONE_PARTITION = 20_000
 
 
 def seeds_from_pairs(
-    centroids: DataFrame, k: int, ordered: bool = False, old: list[list[float]] | None = None, n: int | None = None
+    centroids: DataFrame, k: int, ordered: bool = False, old: list[list[float]] | None = None, n: int | None = None, dim: int | None = None
 ) -> list[list[float]]:
     """Midpoints of the k closest pairs; too few pairs are made up from the
     heaviest centroids, and too few centroids from the centres before (``old``)."""
-    mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered, n=n).orderBy("rank").collect()]
+    mids = [list(r["mid"]) for r in closest_pairs(centroids, k, ordered, n=n, dim=dim).orderBy("rank").collect()]
     if len(mids) < k:
         extra = centroids.orderBy(F.desc("weight"), "id").limit(k - len(mids)).select("features").collect()
         mids += [list(r[0]) for r in extra]
@@ -132,13 +133,16 @@ def kmeans_two_level(
     form: str = "auto",
     id_col: str = "id",
     features: str = "features",
+    dim: int | None = None,
 ) -> TwoLevelResult:
+    """K2. Rows of another width than ``dim``, or with a null, take no part; without ``dim`` all widths are counted."""
     spark = points.sparkSession
     bcol = (
         F.col(bucket_col).cast("int")
         if bucket_col
         else F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(buckets))).cast("int")
     )
+    points, dim = whole_rows(points, features, dim)
     src = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), bcol.alias("bucket"))
     with storage.prepared(storage.spread(src, "id"), "two-level") as pts:
         centers = resolve_init(pts, k, init, seed, False, "features", "id")
@@ -151,7 +155,7 @@ def kmeans_two_level(
                     (one,) = collect_stats(cent, centers, None, "features", "weight")
                     new = [[s / one["weight"] for s in one["sums"]]]
                 else:
-                    seeds = seeds_from_pairs(cent, len(centers), ordered_pairs, centers, n)
+                    seeds = seeds_from_pairs(cent, len(centers), ordered_pairs, centers, n, dim)
                     new = inner_kmeans(cent, seeds, inner_iter, weighted, form, reseed)
             delta = sum(sq_movement(a, b) for a, b in zip(centers, new, strict=True))
             trace.append((it, float(delta), n))

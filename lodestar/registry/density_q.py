@@ -22,11 +22,12 @@ from lodestar.plans.storage import local_frame
 # Fixed parameters.
 RADIUS_VIEW = "emb"  # adaptive radius over all embeddings
 SEED_VIEW, SEED_T2, SAMPLE_N = "emb", 1.5, 70  # density stats / seeding on a 70-row sample
+ODD_VIEW = "custodd"
 KD_VIEW, KD_TOL, KD_MAX_ITER = "cust", 0.01, 10  # density-seeded k-means on customer
 
 
 def adaptive_radius_q(spark: SparkSession, sf: str) -> DataFrame:
-    s = pair_distance_sum(vectors(spark, sf, RADIUS_VIEW))
+    s = pair_distance_sum(vectors(spark, sf, RADIUS_VIEW), dim=DIMS[RADIUS_VIEW])
     return local_frame(spark, [(round(math.sqrt(s) * DEFAULT_COEF, ROUND),)], "t2 double")
 
 
@@ -38,6 +39,12 @@ def _sql_radius(view: str) -> str:
     )
 
 
+def adaptive_radius_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """A table in which some vectors are null, short or hold a null: they take no part."""
+    s = pair_distance_sum(vectors(spark, sf, ODD_VIEW), dim=DIMS[ODD_VIEW])
+    return local_frame(spark, [(round(math.sqrt(s) * DEFAULT_COEF, ROUND),)], "t2 double")
+
+
 SQL_RADIUS = f"SELECT round(t2, {ROUND}) AS t2 FROM ({_sql_radius(RADIUS_VIEW)})"
 
 
@@ -47,7 +54,7 @@ def _sample(spark, sf):
 
 def density_rank(spark: SparkSession, sf: str) -> DataFrame:
     # The sample is bounded (SAMPLE_N rows), so one ordered window over it is cheap.
-    st = density_stats(_sample(spark, sf), SEED_T2)
+    st = density_stats(_sample(spark, sf), SEED_T2, dim=DIMS[SEED_VIEW])
     rank = F.row_number().over(Window.orderBy(F.desc("density"), "seq"))
     return st.select(
         "seq",
@@ -85,7 +92,7 @@ SQL_DENSITY_RANK = (
 
 
 def density_seed_q(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = density_seed(_sample(spark, sf), SEED_T2)
+    seeds = density_seed(_sample(spark, sf), SEED_T2, dim=DIMS[SEED_VIEW])
     return local_frame(spark, seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
 
 
@@ -137,13 +144,13 @@ SQL_DENSITY_SEED = (
 
 def kmeans_density_q(spark: SparkSession, sf: str) -> DataFrame:
     res = kmeans_density(
-        vectors(spark, sf, KD_VIEW), tol=KD_TOL, max_iter=KD_MAX_ITER, sample_n=SAMPLE_N, seed=SEED
+        vectors(spark, sf, KD_VIEW), tol=KD_TOL, max_iter=KD_MAX_ITER, sample_n=SAMPLE_N, seed=SEED, dim=DIMS[KD_VIEW]
     )
     return long_vectors(res.centers, ["cid"], "center")
 
 
 def density_seed_weighted(spark: SparkSession, sf: str) -> DataFrame:
-    seeds = density_seed(_sample(spark, sf), SEED_T2, weight="density")
+    seeds = density_seed(_sample(spark, sf), SEED_T2, weight="density", dim=DIMS[SEED_VIEW])
     return local_frame(spark, seeds.rows, "cid int, seq int, vec_id bigint, density bigint")
 
 
@@ -167,6 +174,7 @@ def _sql_kmeans_density() -> str:
 
 QUERIES = {
     "adaptive_radius": (adaptive_radius_q, SQL_RADIUS),
+    "adaptive_radius_odd": (adaptive_radius_odd, f"SELECT round(t2, {ROUND}) AS t2 FROM ({_sql_radius(ODD_VIEW)})"),
     "density_rank": (density_rank, SQL_DENSITY_RANK),
     "density_seed": (density_seed_q, SQL_DENSITY_SEED),
     "density_seed_weighted": (density_seed_weighted, SQL_DENSITY_SEED_WEIGHTED),

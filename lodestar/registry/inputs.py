@@ -10,6 +10,8 @@ Each view has the same ids and features on both sides:
 * ``part``: ``part`` -> ``(p_partkey, [p_retailprice, p_size])``.
 * ``supp``: ``supplier`` -> ``(s_suppkey, [s_acctbal, s_nationkey])``;
   ``suppn`` has the same vectors under the nation's key, which isn't unique.
+* ``custodd``: ``cust`` with vectors that are null, short or hold a null, by the
+  customer's key. They stay in the Spark view, and operators leave them out.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ VIEWS = {
     "suppn": ("supplier", "s_nationkey", ["s_acctbal", "s_nationkey"], None),
 }
 
-DIMS = {"emb": 64, "li": 4, "cust": 2, "part": 2, "supp": 2, "suppn": 2}
+DIMS = {"emb": 64, "li": 4, "cust": 2, "part": 2, "supp": 2, "suppn": 2, "custodd": 2}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,13 +48,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """``(id bigint, features array<double>)`` for one view."""
+    if view == "custodd":
+        odd = "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 11 = 0 THEN slice(features, 1, 1) WHEN id % 13 = 0 THEN array(features[0], NULL) ELSE features END"
+        return vectors(spark, sf_dir, "cust").select("id", F.expr(odd).alias("features"))
     tbl, id_expr, cols, arr = VIEWS[view]
     df = table(spark, sf_dir, tbl).withColumn("_id", F.expr(id_expr))
-    return table_vectors(df, "_id", feature_cols=cols, array_col=arr).points
+    return table_vectors(df, "_id", feature_cols=cols, array_col=arr, dim=DIMS[view]).points
 
 
 def sql_vectors(view: str) -> str:
-    """DuckDB ``SELECT id, f`` for the same view."""
+    """DuckDB ``SELECT id, f`` for the same view (whole vectors alone)."""
+    if view == "custodd":
+        return f"SELECT * FROM ({sql_vectors('cust')}) WHERE id % 7 <> 0 AND id % 11 <> 0 AND id % 13 <> 0"
     tbl, id_expr, cols, arr = VIEWS[view]
     if arr is not None:
         f = f"CAST({arr} AS DOUBLE[])"

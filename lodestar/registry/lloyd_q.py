@@ -214,7 +214,7 @@ def _sql_kmeans_step() -> str:
 def _lloyd(spark, sf, view, params):
     pts = vectors(spark, sf, view)
     return kmeans(
-        pts, params["k"], init="sample", tol=params["tol"], max_iter=params["max_iter"], seed=SEED
+        pts, params["k"], init="sample", tol=params["tol"], max_iter=params["max_iter"], seed=SEED, dim=DIMS[view]
     )
 
 

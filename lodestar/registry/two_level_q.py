@@ -19,13 +19,14 @@ from lodestar.plans.storage import local_frame, prepared
 
 # Fixed parameters.
 PAIR_VIEW, PAIR_K = "supp", 5  # closest supplier pairs
+SLICE_K = 20  # closest customers
 VIEW, K, BUCKETS = "emb", 8, 2  # embeddings, 8 centres, buckets = vec_id % 2
 INNER = 10
 TWO = dict(tol=1e-4, max_iter=3)
 
 
 def pair_distance_topk(spark: SparkSession, sf: str) -> DataFrame:
-    top = closest_pairs(vectors(spark, sf, PAIR_VIEW), PAIR_K)
+    top = closest_pairs(vectors(spark, sf, PAIR_VIEW), PAIR_K, dim=DIMS[PAIR_VIEW])
     return top.select(
         "rank",
         "i",
@@ -37,10 +38,24 @@ def pair_distance_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def pair_equal_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids that aren't unique, in several tiles."""
-    top = closest_pairs(vectors(spark, sf, "suppn"), PAIR_K, block_rows=30)
+    top = closest_pairs(vectors(spark, sf, "suppn"), PAIR_K, block_rows=30, dim=DIMS["suppn"])
     return top.select("rank", "i", "j", F.round("d2", ROUND).alias("d2"), *[F.round(F.col("mid")[q], ROUND).alias(f"m{q}") for q in range(2)])
 
 
+def _pair_rows(top: DataFrame) -> DataFrame:
+    return top.select("rank", "i", "j", F.round("d2", ROUND).alias("d2"), *[F.round(F.col("mid")[q], ROUND).alias(f"m{q}") for q in range(2)])
+
+
+def pair_distance_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Closest customers by slices of one projection; only slices within the bound meet."""
+    return _pair_rows(closest_pairs(vectors(spark, sf, "cust"), SLICE_K, dim=DIMS["cust"], sample_rows=64, block_rows=100))
+
+
+def pair_distance_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """A table in which some vectors are null, short or hold a null: they form no pair."""
+    return _pair_rows(closest_pairs(vectors(spark, sf, "custodd"), SLICE_K, dim=DIMS["custodd"]))
+
+
 def _sql_pairs(src: str, k: int, dim: int, unique: bool = True) -> str:
     mid = "[" + ", ".join(f"(a.f[{i}] + b.f[{i}]) / 2" for i in range(1, dim + 1)) + "]"
     d = sqlgen.d2("a.f", "b.f", dim)
@@ -53,6 +68,13 @@ def _sql_pairs(src: str, k: int, dim: int, unique: bool = True) -> str:
     )
 
 
+def _sql_pair_rows(view: str) -> str:
+    return (
+        f"SELECT rank, i, j, round(d2, {ROUND}) AS d2, round(mid[1], {ROUND}) AS m0, round(mid[2], {ROUND}) AS m1 "
+        f"FROM ({_sql_pairs('(' + sql_vectors(view) + ')', SLICE_K, 2)})"
+    )
+
+
 SQL_PAIR_EQUAL_IDS = (
     f"SELECT rank, i, j, round(d2, {ROUND}) AS d2, round(mid[1], {ROUND}) AS m0, round(mid[2], {ROUND}) AS m1 "
     f"FROM ({_sql_pairs('(' + sql_vectors('suppn') + ')', PAIR_K, 2, unique=False)})"
@@ -70,13 +92,13 @@ def _centroids(spark, sf):
 
 
 def closest_pair_seed(spark: SparkSession, sf: str) -> DataFrame:
-    top = closest_pairs(_centroids(spark, sf), K)
+    top = closest_pairs(_centroids(spark, sf), K, dim=DIMS[VIEW])
     return long_vectors(top.select("rank", "i", "j", F.round("d2", ROUND).alias("d2"), "mid"), ["rank", "i", "j", "d2"], "mid")
 
 
 def _reseed(spark, sf, how):
     with prepared(_centroids(spark, sf), "centroids") as cent:
-        centers = inner_kmeans(cent, seeds_from_pairs(cent, K, ordered=True), INNER, weighted=False, reseed=how)
+        centers = inner_kmeans(cent, seeds_from_pairs(cent, K, ordered=True, dim=DIMS[VIEW]), INNER, weighted=False, reseed=how)
     return long_vectors(local_frame(spark, list(enumerate(centers)), "cid int, center array<double>"), ["cid"], "center")
 
 
@@ -95,7 +117,7 @@ def two_level_few_partials(spark: SparkSession, sf: str) -> DataFrame:
     """Two distinct values and four centres: fewer partial centroids than K, K centres all the same."""
     li = table(spark, sf, "lineitem")
     pts = li.select(F.expr("l_orderkey * 8 + l_linenumber").alias("id"), F.array(F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)).alias("features"))
-    res = kmeans_two_level(pts, 4, init=FEW_INIT, buckets=1, max_iter=1, inner_iter=1)
+    res = kmeans_two_level(pts, 4, init=FEW_INIT, buckets=1, max_iter=1, inner_iter=1, dim=len(FEW_INIT[0]))
     return res.centers.select("cid", F.round(F.col("center")[0], ROUND).alias("value"))
 
 
@@ -112,7 +134,7 @@ SQL_FEW = (
 def kmeans_two_level_q(spark: SparkSession, sf: str) -> DataFrame:
     pts = vectors(spark, sf, VIEW).withColumn("bucket", (F.col("id") % BUCKETS).cast("int"))
     res = kmeans_two_level(
-        pts, K, init="sample", inner_iter=INNER, bucket_col="bucket", weighted=True, seed=SEED, **TWO
+        pts, K, init="sample", inner_iter=INNER, bucket_col="bucket", weighted=True, seed=SEED, dim=DIMS[VIEW], **TWO
     )
     return long_vectors(res.centers, ["cid"], "center")
 
@@ -197,6 +219,8 @@ def _sql_kmeans_two_level() -> str:
 QUERIES = {
     "pair_distance_topk": (pair_distance_topk, SQL_PAIR_TOPK),
     "closest_pair_seed": (closest_pair_seed, _sql_closest_pair_seed()),
+    "pair_distance_slices": (pair_distance_slices, _sql_pair_rows("cust")),
+    "pair_distance_odd": (pair_distance_odd, _sql_pair_rows("custodd")),
     "pair_equal_ids": (pair_equal_ids, SQL_PAIR_EQUAL_IDS),
     "two_level_few_partials": (two_level_few_partials, SQL_FEW),
     "kmeans_reseed_md5": (kmeans_reseed_md5, _sql_kmeans_reseed("reseed-md5")),

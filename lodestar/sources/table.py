@@ -10,6 +10,26 @@ from pyspark.sql import functions as F
 from lodestar.sources.text import ParsedVectors, one_width
 
 
+#: Up to this width null elements are looked for one by one, so that the tests reach the scan.
+UNROLLED_WIDTH = 32
+
+
+def whole_rows(df: DataFrame, features: str = "features", dim: int | None = None) -> tuple[DataFrame, int]:
+    """Rows whose vector has width ``dim`` and no null, and that width (0 for no rows).
+
+    Without ``dim`` all widths are counted (one job); more than one is an error.
+    """
+    if dim is None:
+        dim = one_width(df.where(F.col(features).isNotNull()).select(F.size(features).alias("width")))
+    ok = F.size(features) == F.lit(dim)
+    if dim <= UNROLLED_WIDTH:
+        for i in range(dim):
+            ok = ok & F.get(F.col(features), F.lit(i)).isNotNull()
+    else:
+        ok = ok & ~F.exists(features, lambda v: v.isNull())
+    return df.where(ok), dim
+
+
 def table_vectors(
     df: DataFrame,
     id_col: str,

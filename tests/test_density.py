@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators.density import density_seed, kmeans_density, pair_distance_sum
+from lodestar.operators.density import density_seed, density_stats, kmeans_density, pair_distance_sum
 from lodestar.sources import first_rows
 from models import blobs, density_seeds, lloyd, sq
 
@@ -48,3 +48,21 @@ def test_density_weight_option(spark, frame):
     # 0.1 and 0.2 are covered; at 5.0 the weights are 2000 (5.0), 2040 (5.1),
     # 0 (9.0, alone) -> 5.1; at 9.0 the weights are 40 (5.0) and 0 -> 5.0.
     assert s.centers == [[0.0], [5.1], [5.0]]
+
+
+def test_odd_rows_take_no_part(spark):
+    whole = [(i, [float(i), float(i * i % 7)]) for i in range(12)]
+    odd = [(20, None), (21, [3.0]), (22, [None, 1.0]), (23, [1.0, 2.0, 3.0]), (24, [])]
+    want = spark.createDataFrame(whole, "id bigint, features array<double>")
+    a = kmeans_density(want, sample_n=10, max_iter=3)
+    for rows in (odd + whole, whole + odd):  # an odd row first decides nothing
+        df = spark.createDataFrame(rows, "id bigint, features array<double>")
+        assert pair_distance_sum(df, dim=2) == pytest.approx(pair_distance_sum(want))
+        st = density_stats(df.selectExpr("cast(id as int) as seq", "id", "features"), 9.0, dim=2)
+        assert st.count() == 12 and st.agg({"density": "sum"}).first()[0] == density_stats(want.selectExpr("cast(id as int) as seq", "id", "features"), 9.0).agg({"density": "sum"}).first()[0]
+        b = kmeans_density(df, sample_n=10, max_iter=3, dim=2)
+        assert b.radius.first()[0] == pytest.approx(a.radius.first()[0])
+        assert sorted(map(tuple, b.seeds.select("cid", "id").collect())) == sorted(map(tuple, a.seeds.select("cid", "id").collect()))
+        assert b.assignments.count() == 12
+        with pytest.raises(ValueError, match="width"):
+            pair_distance_sum(df)

@@ -89,3 +89,42 @@ def test_group_sums_flush(frame, monkeypatch):
     monkeypatch.setattr(physical, "GROUP_ROWS", 3)
     two = {r.id: (r.weight, [round(v, 9) for v in r.features]) for r in partial_centroids(pts, x[:5].tolist(), form="arrow").collect()}
     assert one == two
+
+
+@pytest.mark.parametrize("shape", ["uniform", "hot", "copies", "wide"])
+def test_slices_give_the_closest_pairs(spark, frame, shape):
+    rng = np.random.default_rng(4)
+    x = rng.uniform(0, 100, (900, 12 if shape == "wide" else 2)).round(2)
+    if shape == "hot":  # a third of all rows on one value of the better projection, and many ties
+        x[:300, 0] = 50.0
+        x[:, 1] = x[:, 1].round(0)
+    if shape == "copies":
+        x[100:800] = x[rng.integers(0, 100, 700)]
+    ids = rng.integers(0, 500, 900).tolist()
+    for k, ordered in ((7, False), (40, True)):
+        seen = spark.sparkContext.accumulator(0)
+        got = closest_pairs(frame(x.tolist(), ids), k, ordered=ordered, block_rows=40, sample_rows=100, compared=seen).orderBy("rank").collect()
+        want = closest_pairs(frame(x.tolist(), ids), k, ordered=ordered, sample_rows=1000).orderBy("rank").collect()
+        assert got == want and len(got) == k
+        assert 0 < seen.value < 900 * 899 / 2
+
+
+def test_few_pairs_are_compared_on_many_rows(spark, frame):
+    x = np.random.default_rng(1).uniform(0, 1000, (20_000, 2)).round(3)
+    seen = spark.sparkContext.accumulator(0)
+    got = closest_pairs(frame(x.tolist(), parts=4), 5, compared=seen).orderBy("rank").collect()
+    assert seen.value < 0.01 * 20_000**2 / 2
+    f = x[np.lexsort((x[:, 1], x[:, 0]))]
+    near = np.concatenate([np.sqrt(((f[s:] - f[:-s]) ** 2).sum(1)) for s in range(1, 60)])
+    assert [round(r.d2, 9) for r in got] == [round(v * v, 9) for v in np.sort(near[near > 0])[:5]]
+
+
+def test_odd_rows_form_no_pair(spark):
+    rows = [(1, [1.0, None]), (2, None), (3, [5.0, 5.0]), (4, [5.0, 6.5]), (5, [5.0]), (6, [9.0, 9.0, 9.0]), (7, [0.0, 0.0])]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "id bigint, features array<double>")
+        got = closest_pairs(df, 2, dim=2).orderBy("rank").collect()
+        assert [(r.i, r.j, r.d2) for r in got] == [(3, 4, 2.25), (3, 7, 50.0)]
+        with pytest.raises(ValueError, match="width"):
+            closest_pairs(df, 2)
+    assert closest_pairs(df.where("id = 2"), 2).count() == 0
