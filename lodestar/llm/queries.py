@@ -144,10 +144,89 @@ def op11_periodic_runs(spark, sf_dir):
     return run_digest(table(spark, sf_dir, "documents"))
 
 
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of the UTF-8 bytes of ``text``, with the table ``crc.t``."""
+    nibble = lambda k: f"strpos('0123456789ABCDEF', substr(hex(encode({text})), 2 * i + {k}, 1)) - 1"
+    byte = f"16 * ({nibble(1)}) + {nibble(2)}"
+    return (
+        f"xor(list_reduce(list_transform(range(0, octet_length(encode({text}))), lambda i: CAST({byte} AS BIGINT)), "
+        "lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+    )
+
+
+CRC_TABLE = """crc AS MATERIALIZED (
+  SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+)"""
+
+# A run matches on its lag's diagonal for at least six words, so the diagonals of equal six-word windows hold all of them.
+OP11_SQL = rf"""
+WITH {CRC_TABLE}, r AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc
+), p AS (
+  SELECT doc_id, ws, h, len(ws) AS n, h // 10 % greatest(len(ws), 1) AS a FROM r
+), w AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(0, n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + h // 10 % 8)) END]) ELSE ws END AS ws FROM p
+), g AS MATERIALIZED (
+  SELECT doc_id, n, i, array_to_string(ws[i + 1:i + 6], ' ') AS k FROM (SELECT doc_id, n, ws, unnest(range(0, n - 5)) AS i FROM w WHERE n >= 12)
+), same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.k = y.k AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), stretch AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 6 - min(i) + q AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island
+), run AS MATERIALIZED (
+  SELECT doc_id, s, l, min(q) AS q FROM stretch WHERE l >= greatest(12, 2 * q) GROUP BY doc_id, s, l
+), told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    max({{'l': l, 's': -s, 'q': -q}}) AS b FROM run GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run
+), kept AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS t FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(0, n)) AS i FROM w) e
+  ANTI JOIN gone ON e.doc_id = gone.doc_id AND e.i = gone.i GROUP BY e.doc_id
+)
+SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, -b.s AS start, b.l AS length, -b.q AS period, 1000 * b.l // -b.q AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM w LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op12_spelling_variants(spark, sf_dir):
     return spelling_variants(table(spark, sf_dir, "documents"), edit=31)
 
 
+OP12_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT id, translate(w, '{UPPER}', '{LOWER}') AS w, count(*) AS c
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+  WHERE length(w) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT w, c, {_crc32("id || ':' || w")} AS h FROM runs, crc
+), v AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), cut AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS x FROM (SELECT word, unnest(range(0, length(word))) AS i FROM v)
+), near AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.x = b.x AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, x FROM cut WHERE x IN (SELECT word FROM v) UNION SELECT x, word FROM cut WHERE x IN (SELECT word FROM v)
+), counted AS (
+  SELECT a AS word, count(*) AS n_near FROM near GROUP BY a
+), form AS MATERIALIZED (
+  SELECT a AS word, m.b AS form, -m.n AS form_n
+  FROM (SELECT a, min({{'n': -vb.n, 'b': b}}) AS m FROM near JOIN v va ON va.word = a JOIN v vb ON vb.word = b WHERE vb.n >= 10 * va.n GROUP BY a)
+), way(word, goal) AS (
+  SELECT word, form FROM form UNION ALL SELECT way.word, form.form FROM way JOIN form ON form.word = way.goal
+), root AS (
+  SELECT word, goal FROM way WHERE goal NOT IN (SELECT word FROM form)
+)
+SELECT v.word, form, coalesce(root.goal, v.word) AS root, v.n, coalesce(n_near, 0) AS n_near, form_n
+FROM v LEFT JOIN counted USING (word) LEFT JOIN form USING (word) LEFT JOIN root USING (word)
+"""
+
+
 def op13_sentencepiece(spark, sf_dir):
     return piece_digest(table(spark, sf_dir, "documents"))
 
@@ -163,7 +242,7 @@ QUERIES = {
     "op8_brown_lm": (op8_brown_lm, None),
     "op9_token_file": (op9_token_file, None),
     "op10_language_id": (op10_language_id, None),
-    "op11_periodic_runs": (op11_periodic_runs, None),
-    "op12_spelling_variants": (op12_spelling_variants, None),
+    "op11_periodic_runs": (op11_periodic_runs, OP11_SQL),
+    "op12_spelling_variants": (op12_spelling_variants, OP12_SQL),
     "op13_sentencepiece": (op13_sentencepiece, None),
 }

@@ -23,4 +23,4 @@ def test_workers_need_no_installed_package(tmp_path):
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
-    assert out.stdout.count("OK op") == 10, out.stderr[-2000:]
+    assert out.stdout.count("OK op") == 13, out.stderr[-2000:]
