@@ -5,16 +5,17 @@
    replacements) is replaced; where no key fits, the character stays. Every
    normalised byte keeps the offset of its source, through replacements, dropped
    white space and the leading space that the model may ask for.
-2. Merge. The pair of neighbouring pieces with the best score merges first, the
-   leftmost of equals. No merge crosses a place where no piece of the vocabulary
-   holds these two characters side by side, so texts are cut there, and each
-   distinct segment is merged once and remembered by its worker.
+2. Merge. No merge crosses a place where no piece of the vocabulary holds these two
+   characters side by side, so normalised texts are cut there, and each distinct
+   segment of a step is merged once, by the library on the bare vocabulary (its
+   own normaliser is off: it would lose the offsets, and normalise twice).
 3. Project. A piece's normalised range gives its range of source bytes. A
    character that no piece has becomes byte pieces; all but the last of them have
    an empty range.
 
 Decoding joins the surfaces of pieces; a byte that no character can hold becomes
-U+FFFD. Results equal the library's (tested); the library is not called.
+U+FFFD. Ids, byte ranges and decoded texts equal those of the library's own whole
+path (tested, with the compiled maps of four rule sets).
 
 Only BPE models with byte pieces and without user-defined symbols are read;
 others are refused. Defined results: a null or empty text has the end id alone,
@@ -26,9 +27,10 @@ ignored.
 from __future__ import annotations
 
 import codecs
-import heapq
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +42,10 @@ from lodestar.llm._common import steps, strings
 from lodestar.llm._text import buffer_of
 from lodestar.llm.tokens import gather
 
-#: Distinct segments that a worker remembers; beyond that it forgets them all and goes on.
-CACHE_SEGMENTS = 400_000
-STEP = 1 << 22
-#: Segments up to this many characters are merged by plain scans, longer ones with a heap.
-SCAN = 40
+STEP = 1 << 21
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 
-codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
-
-
 def default_path() -> str:
     import public_tokenizers
 
@@ -131,6 +126,7 @@ class Model:
     """A SentencePiece BPE model: normaliser, vocabulary with scores, and the characters that may join."""
 
     def __init__(self, path: str):
+        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -146,27 +142,24 @@ class Model:
         self.squeeze = proto.normalizer_spec.remove_extra_whitespaces
         self.end = kinds.index(_CONTROL) if proto.trainer_spec.eos_id < 0 else proto.trainer_spec.eos_id
         self.kind = np.array(kinds, np.int8)
+        for field in ("precompiled_charsmap", "add_dummy_prefix", "remove_extra_whitespaces"):
+            setattr(proto.normalizer_spec, field, b"" if field == "precompiled_charsmap" else False)
+        self.merger = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         plain = [p.piece.replace(SPACE, " ") if p.type == _NORMAL else "" for p in proto.pieces]
-        self.score = {s: p.score for s, p in zip(plain, proto.pieces) if s}
-        self.id = {s: i for i, s in enumerate(plain) if s}
-        self.byte = [0] * 256
         surface = []
         for i, p in enumerate(proto.pieces):
             if p.type == _BYTE:
-                self.byte[int(p.piece[3:-1], 16)] = i
                 surface.append(bytes([int(p.piece[3:-1], 16)]))
             else:
                 surface.append(proto.trainer_spec.unk_surface.encode() if p.type == _UNKNOWN else plain[i].encode())
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
         self.surface_len = np.array([len(s) for s in surface], np.int64)
         self.surface_at = np.cumsum(self.surface_len) - self.surface_len
-        self.joins = {s[i : i + 2] for s in self.id for i in range(len(s) - 1)}
         self.cut_before = np.zeros((256, 256), bool)  # between two ASCII characters
         self.cut_before[:128, :128] = True
-        for pair in self.joins:
+        for pair in {s[i : i + 2] for s in plain for i in range(len(s) - 1)}:
             if pair.isascii():
                 self.cut_before[ord(pair[0]), ord(pair[1])] = False
-        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     # -- normalising --------------------------------------------------------
 
@@ -205,70 +198,6 @@ class Model:
 
     # -- merging ------------------------------------------------------------
 
-    def _merge(self, part: str) -> list[str]:
-        score = self.score
-        pieces = list(part)
-        if len(pieces) > SCAN:
-            return self._merge_long(pieces)
-        got = [score.get(part[i : i + 2]) for i in range(len(part) - 1)]
-        while True:
-            best, at = None, -1
-            for i, s in enumerate(got):
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                return pieces
-            pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
-            del got[at]
-            if at:
-                got[at - 1] = score.get(pieces[at - 1] + pieces[at])
-            if at < len(got):
-                got[at] = score.get(pieces[at] + pieces[at + 1])
-
-    def _merge_long(self, pieces: list[str]) -> list[str]:
-        score, n = self.score, len(pieces)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = []
-
-        def offer(a):
-            b = after[a]
-            if a >= 0 and b < n:
-                both = pieces[a] + pieces[b]
-                s = score.get(both)
-                if s is not None:
-                    heapq.heappush(heap, (-s, a, b, both))
-
-        for i in range(n - 1):
-            offer(i)
-        while heap:
-            _, a, b, both = heapq.heappop(heap)
-            if not pieces[a] or after[a] != b or pieces[a] + pieces[b] != both:
-                continue
-            pieces[a], pieces[b] = both, ""
-            after[a] = after[b]
-            if after[b] < n:
-                before[after[b]] = a
-            if before[a] >= 0:
-                offer(before[a])
-            offer(a)
-        return [p for p in pieces if p]
-
-    def _segment(self, segment: str) -> tuple[bytes, bytes]:
-        """Ids of a segment, and how many normalised bytes each covers, as int32 buffers."""
-        ids, size = [], []
-        cuts = [0, *(i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.joins), len(segment)]
-        for a, b in zip(cuts, cuts[1:]):
-            for piece in self._merge(segment[a:b]):
-                raw = piece.encode()
-                i = self.id.get(piece)
-                if i is not None:
-                    ids.append(i)
-                    size.append(len(raw))
-                else:
-                    ids += [self.byte[x] for x in raw]
-                    size += [0] * (len(raw) - 1) + [len(raw)]
-        return np.array(ids, np.int32).tobytes(), np.array(size, np.int32).tobytes()
-
     def pieces(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(ids, normalised length of each, bounds)`` of normalised texts end to end."""
         if not len(buf):
@@ -279,19 +208,17 @@ class Model:
         at = np.flatnonzero(cut)
         raw = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(buf)])
         coded = raw.dictionary_encode()
-        if len(self.known) > CACHE_SEGMENTS:
-            self.known.clear()
-        known, got = self.known, []
-        for s in coded.dictionary.to_pylist():
-            e = known.get(s)
-            if e is None:
-                e = self._segment(s)
-                if len(s) <= 256:
-                    known[s] = e
-            got.append(e)
-        ids = np.frombuffer(b"".join(e[0] for e in got), np.int32)
-        size = np.frombuffer(b"".join(e[1] for e in got), np.int32)
-        lens = np.array([len(e[0]) // 4 for e in got], np.int64)
+        got = self.merger.encode(coded.dictionary.to_pylist(), out_type=int, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(got), np.int32)
+        size = self.surface_len[ids]
+        byte = np.flatnonzero(self.kind[ids] == _BYTE)
+        if len(byte):  # a character's bytes: its last one has its length, the others none
+            value = self.surface[self.surface_at[ids[byte]]]
+            wide = np.select([value >= 0xF0, value >= 0xE0, value >= 0xC0], [4, 3, 2], 1)
+            lead = (value & 0xC0) != 0x80
+            size[byte] = 0
+            size[byte[lead] + wide[lead] - 1] = wide[lead]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
         first, code = np.cumsum(lens) - lens, coded.indices.to_numpy(zero_copy_only=False)
         flat, each = gather(ids, first, lens, code)
         done = np.concatenate([[0], np.cumsum(each)])
@@ -376,6 +303,7 @@ def _model(path: str) -> Model:
     """The worker's copy: it hangs on the library's module, so that later tasks find what this one remembered."""
     import sentencepiece
 
+    codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
     models = vars(sentencepiece).setdefault("_lodestar_models", {})
     if path not in models:
         models[path] = Model(path)
@@ -386,51 +314,76 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column is the text, with ids, begins and ends in its place."""
+    model = _model(path)
+    for b in steps(batches, "text", STEP):
+        texts = strings(b.column(len(names) - 3))
+        ids, begin, end, bounds = model.encode(texts)
+        last, at = np.diff(buffer_of(texts)[1]), bounds[1:]
+        lists = [_lists(np.insert(x, at, y), bounds + np.arange(len(bounds))) for x, y in ((ids, model.end), (begin, last), (end, last))]
+        yield pa.RecordBatch.from_arrays([*b.columns[: len(names) - 3], *lists], names)
+
+
+def _decoded(lists: pa.Array, path: str) -> list[bytes]:
+    bounds = np.asarray(lists.offsets, np.int64)
+    flat = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
+    return _model(path).decode(flat, bounds - bounds[0])
+
+
 def encode_pieces(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), path: str | None = None) -> DataFrame:
     """Per row: the ``keep`` columns, then ``ids``, ``begins``, ``ends``: ids with an end id, and the bytes of the text of each."""
     path = path or default_path()
-    df = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
+    df = _numbered(docs, keep, F.col(text).cast("string").alias("text"))
     lists = T._parse_datatype_string("ids array<int>, begins array<int>, ends array<int>").fields
-    schema = T.StructType([*[T.StructField(f"k{i}", df.schema[i].dataType) for i in range(len(keep))], *lists])
-
-    def task(batches):
-        model = _model(path)
-        for b in steps(batches, "text", STEP):
-            ids, begin, end, bounds = model.encode(b.column(len(keep)))
-            last = np.diff(buffer_of(strings(b.column(len(keep))))[1])
-            at = bounds[1:]
-            cols = [_lists(np.insert(x, at, y), bounds + np.arange(len(bounds))) for x, y in ((ids, model.end), (begin, last), (end, last))]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *cols], [f.name for f in schema])
-
-    return df.mapInArrow(task, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "ids", "begins", "ends")
+    schema = T.StructType([*df.schema.fields[:-1], *lists])
+    names = schema.names
+    return _named(df.mapInArrow(lambda batches: _encoded(batches, path, names), schema), keep)
 
 
 def decode_pieces(encoded: DataFrame, ids: str = "ids", keep: Sequence[str] = ("doc_id",), path: str | None = None) -> DataFrame:
     """Per row: the ``keep`` columns and ``text``, decoded from ``ids``."""
     path = path or default_path()
-    df = encoded.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.array_compact(F.coalesce(F.col(ids), F.array().cast("array<int>"))).alias("ids"))
-    schema = T.StructType([*[T.StructField(f"k{i}", df.schema[i].dataType) for i in range(len(keep))], T.StructField("text", T.StringType())])
+    df = _numbered(encoded, keep, F.array_compact(F.coalesce(F.col(ids), F.array().cast("array<int>"))).alias("ids"))
+    schema = T.StructType([*df.schema.fields[:-1], T.StructField("text", T.StringType())])
+    names = schema.names
 
     def task(batches):
-        model = _model(path)
         for b in batches:
-            a = b.column(len(keep))
-            bounds = np.asarray(a.offsets, np.int64)
-            flat = a.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
-            got = model.decode(flat, bounds - bounds[0])
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(got, pa.binary()).cast(pa.string())], [f.name for f in schema])
+            text = pa.array(_decoded(b.column(len(names) - 1), path), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], text], names)
+
+    return _named(df.mapInArrow(task, schema), keep)
 
-    return df.mapInArrow(task, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "text")
 
+def _numbered(df: DataFrame, keep: Sequence[str], last) -> DataFrame:
+    """The kept columns under names of their own, so that none clashes."""
+    return df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], last)
 
-def piece_digest(docs: DataFrame) -> DataFrame:
+
+def _named(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *df.columns[len(keep) :])
+
+
+def piece_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Number and digest of all ids, digest of the text decoded from them, and the bytes of text that the pieces cover."""
-    numbered = encode_pieces(docs).select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.expr("cast(element_at(ends, -1) as long)").alias("n_bytes"),
-    )
-    back = decode_pieces(numbered, keep=("doc_id", "n_tokens", "ids_sha256", "n_bytes"))
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"), "n_bytes")
+    path = path or default_path()
+    df = _numbered(docs, ["doc_id"], F.col("text").cast("string").alias("text"))
+    schema = T.StructType([df.schema.fields[0], *T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long").fields])
+
+    def task(batches):  # the same steps as encode_pieces and decode_pieces, in one worker
+        digits = [f"{i} ".encode() for i in range(len(_model(path).kind))]
+        table = np.frombuffer(b"".join(digits), np.uint8)
+        wide = np.array([len(x) for x in digits], np.int64)
+        place = np.cumsum(wide) - wide
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        for b in _encoded(batches, path, ["k0", "ids", "begins", "ends"]):
+            ids, ends = b.column(1), b.column(3)
+            bounds = np.asarray(ids.offsets, np.int64)
+            flat, n = gather(table, place, wide, ids.values.to_numpy())
+            at = np.concatenate([[0], np.cumsum(n)])[bounds].tolist()
+            raw = flat.tobytes()
+            cols = [np.diff(bounds), [sha(raw[x : y - 1]) for x, y in zip(at, at[1:])], [sha(x) for x in _decoded(ids, path)]]
+            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, cols), pa.array(ends.values.to_numpy()[bounds[1:] - 1].astype(np.int64))], schema.names)
+
+    return _named(df.mapInArrow(task, schema), ["doc_id"])

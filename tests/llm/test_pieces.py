@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-from lodestar.llm.pieces import Model, decode_pieces, encode_pieces, piece_digest
+from lodestar.llm.pieces import Model, _model, decode_pieces, encode_pieces, piece_digest
 
 PATH = P.path("piece_bpe_32k.model")
 ALPHABET = ["a", "e", "th", "ing", " ", "  ", "\n", "\t", "▁", "0", "17", "é", "ß", "😀", "漢", "字", "ﬁ", "Ａ", "́", "㍿", "​", "　", "<s>", "\x00", " ", "क्ष", "."]
@@ -28,7 +28,7 @@ def samples(n=400, seed=3):
 
 
 def check_encoding(path, texts):
-    sp, model = library(path), Model(path)
+    sp, model = library(path), _model(path)
     ids, begin, end, bounds = model.encode(pa.array(texts))
     for i, t in enumerate(texts):
         want = sp.encode(t, return_type="proto").pieces
@@ -62,7 +62,7 @@ def test_compiled_character_maps(tmp_path, rule, prefix, squeeze):
     path = str(tmp_path / "m.model")
     with open(path, "wb") as f:
         f.write(proto.SerializeToString())
-    sp, model = library(path), Model(path)
+    sp, model = library(path), _model(path)
     texts = [t for t in samples(250)]
     ids, begin, end, bounds = model.encode(pa.array(texts))
     for i, t in enumerate(texts):
@@ -73,7 +73,7 @@ def test_compiled_character_maps(tmp_path, rule, prefix, squeeze):
 
 
 def test_decoding_any_ids_equals_the_library():
-    sp, model, rng = library(), Model(PATH), random.Random(8)
+    sp, model, rng = library(), _model(PATH), random.Random(8)
     byte = range(3, 259)
     for _ in range(300):
         ids = [rng.choice([0, 1, 2, 259, 28705, rng.choice(byte), rng.choice(byte), rng.randrange(32000)]) for _ in range(rng.randint(0, 12))]
