@@ -3,12 +3,12 @@
 1. C1 local canopies: inside each bucket, points are scanned in id order and
    a point becomes a local centre iff its distance to every local centre so
    far is > T1. The number of buckets is a parameter, never the row count: a
-   new row changes its own bucket's centres alone. Rows are sorted by Spark and
-   stream through; a task holds the centres of one bucket and no bucket whole.
+   new row changes its own bucket's centres alone. Rows of ordinary buckets are
+   sorted by Spark and stream through; a task holds the centres of one bucket and
+   no bucket whole. A large bucket goes in rounds over all cores.
 2. C2 global merge: the same greedy rule with T3 over the local centres in
-   (bucket, id, features) order, nulls first; canopy ids 1..M in acceptance order. Exact at any
-   size: candidates are taken in ordered chunks, and before each chunk Spark
-   drops every candidate within T3 of an accepted canopy.
+   (bucket, id, features) order, nulls first, in the same rounds; canopy ids 1..M
+   in acceptance order. Candidates and canopies stay on Spark.
 3. C3 membership: each point gets the array of canopies with distance < T2;
    points in none are returned as ``uncovered`` and take no further part.
 4. Rounds: C5 each point joins the nearest cluster that shares one of its
@@ -32,12 +32,15 @@ from pyspark.sql import types as T
 
 from lodestar.functions.vectors import elem_sql, sq_dist_sql, sql_double, with_nearest
 from lodestar.operators.assign import collect_stats_sql, assign, stats_from_partials
+from lodestar.operators.greedy import greedy_pick, greedy_rounds, ordered, walked
 from lodestar.operators.lloyd import sq_movement
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
 from lodestar.sources.table import whole_rows
 
 DEFAULT_BUCKETS = 64
+#: Rows of a bucket that one task takes by itself.
+BUCKET_ROWS = 100_000
 MERGE_CHUNK = 20_000
 #: Rows without a bucket share this one.
 NO_BUCKET = -(1 << 31)
@@ -52,39 +55,6 @@ class CanopyResult(NamedTuple):
     membership: DataFrame  # points bigint, covered bigint, mean_canopies double (over covered points)
 
 
-def greedy_pick(x: np.ndarray, radius: float, prior: np.ndarray | None = None) -> list[int]:
-    """Rows (in order) that become centres: distance to all centres so far > radius.
-
-    ``prior`` centres count as already chosen. Rows are screened in blocks
-    against the centres known before the block, then the survivors are
-    checked one by one against centres added inside the block.
-    """
-    n, d = x.shape
-    cent = np.empty((0, d)) if prior is None else np.asarray(prior, dtype=np.float64).reshape(-1, d)
-    picked: list[int] = []
-    s = 0
-    while s < n:
-        step = max(1, 4_000_000 // max(1, len(cent) * d))
-        blk = x[s : s + step]
-        if len(cent):
-            mind = np.sqrt(physical.sq_dists(blk, cent)).min(axis=1)
-            cand = np.nonzero(mind > radius)[0]
-        else:
-            cand = np.arange(len(blk))
-        new: list[np.ndarray] = []
-        for i in cand:
-            v = blk[i]
-            if new:
-                if np.sqrt(physical.sq_dists(v[None, :], np.asarray(new))).min() <= radius:
-                    continue
-            new.append(v)
-            picked.append(s + int(i))
-        if new:
-            cent = np.vstack([cent, np.asarray(new)])
-        s += step
-    return picked
-
-
 def _bucketed(points: DataFrame, buckets: int, bucket_col, id_col) -> DataFrame:
     if bucket_col is not None:
         return points.withColumn("bucket", F.coalesce(F.col(bucket_col).cast("int"), F.lit(NO_BUCKET)))
@@ -98,14 +68,17 @@ def local_canopies(
     bucket_col: str | None = None,
     id_col: str = "id",
     features: str = "features",
+    dim: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``(bucket, id, features)`` of the local canopy centres.
 
-    ``buckets=1`` is the single sequential pass over all points (one task).
+    A bucket of up to ``bucket_rows`` rows streams through one task. Larger ones
+    (the largest first, at most two a core) go in rounds over all cores, see
+    ``operators.greedy``; so does ``buckets=1``, the sequential pass over all points.
     """
-    pts = _bucketed(points, buckets, bucket_col, id_col).select(
-        "bucket", F.col(id_col).cast("bigint").alias("id"), F.col(features).alias("features")
-    )
+    pts, dim = whole_rows(_bucketed(points, buckets, bucket_col, id_col), features, dim)
+    pts = pts.select("bucket", F.col(id_col).cast("bigint").alias("id"), F.col(features).alias("features"))
     radius = float(t1)
 
     def fn(batches):
@@ -117,47 +90,59 @@ def local_canopies(
             edge = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
             picked = []
             for lo, hi in zip(edge[:-1], edge[1:]):
-                part = rb.slice(lo, hi - lo)
-                d = len(part.column(2)[0])
-                x, _ = physical._features_matrix(part, "features", d)
+                x, _ = physical._features_matrix(rb.slice(lo, hi - lo), "features", dim)
                 if own[lo] != now:
-                    now, cent = own[lo], np.zeros((0, d))
-                i = greedy_pick(x, radius, cent)
+                    now, cent = own[lo], np.zeros((0, dim))
+                i = greedy_pick(x, radius, cent if len(cent) else None)
                 cent = np.vstack([cent, x[i]])
                 picked += [lo + j for j in i]
             yield rb.take(pa.array(picked, pa.int64()))
 
-    ordered = pts.repartition("bucket").sortWithinPartitions("bucket", "id", "features")
-    return ordered.mapInArrow(fn, "bucket int, id bigint, features array<double>")
-
-
-def merge_canopies(candidates: DataFrame, t3: float, chunk: int = MERGE_CHUNK) -> list[tuple[int, int, list[float]]]:
-    """``[(canopy, id, vector)]`` from ``(bucket, id, features)`` candidates."""
-    accepted: list[tuple[int, list[float]]] = []
-    last = None
-    place = lambda b, i, v: F.struct(b.cast("bigint").alias("b"), i.cast("bigint").alias("i"), v.cast("array<double>").alias("v"))
-    while True:
-        q = candidates
-        if last is not None:
-            # Ids may repeat, so a place has the vector, too; struct order takes nulls first, as the sort does.
-            lb, li, lv = last
-            q = q.where(place(F.col("bucket"), F.col("id"), F.col("features")) > place(F.lit(lb), F.lit(li), F.array(*map(F.lit, lv))))
-        if accepted:
-            q = (
-                assign(q.select("bucket", "id", "features"), [v for _, v in accepted])
-                .where(F.sqrt("d2") > float(t3))
-                .drop("cid", "d2")
-            )
-        rows = q.orderBy("bucket", "id", "features").limit(chunk).select("bucket", "id", "features").collect()
-        if rows:
-            x = np.asarray([r["features"] for r in rows], dtype=np.float64)
-            prior = np.asarray([v for _, v in accepted]) if accepted else None
-            for i in greedy_pick(x, float(t3), prior):
-                accepted.append((rows[i]["id"], list(rows[i]["features"])))
-        if len(rows) < chunk:
-            break
-        last = (rows[-1]["bucket"], rows[-1]["id"], list(rows[-1]["features"]))
-    return [(j + 1, i, v) for j, (i, v) in enumerate(accepted)]
+    most = 2 * points.sparkSession.sparkContext.defaultParallelism
+    large = pts.groupBy("bucket").count().where(F.col("count") > bucket_rows).orderBy(F.desc("count"), "bucket").limit(most)
+    large = [r["bucket"] for r in large.collect()]
+    small = pts.where(~F.col("bucket").isin(large)) if large else pts
+    streamed = small.repartition("bucket").sortWithinPartitions("bucket", "id", "features")
+    streamed = streamed.mapInArrow(fn, "bucket int, id bigint, features array<double>")
+    if not large:
+        return streamed
+    rows = ordered(pts.where(F.col("bucket").isin(large)), "bucket", "id", "features").withColumnRenamed("bucket", "grp")
+    with storage.prepared(rows, "large-buckets", stored=True) as rows:
+        found = greedy_rounds(rows, radius, dim, len(large))
+    for table in found:
+        streamed = streamed.unionByName(table.select(F.col("grp").alias("bucket"), "id", "features"))
+    return streamed
+
+
+def global_canopies(candidates: DataFrame, t3: float, chunk: int = MERGE_CHUNK, dim: int | None = None) -> DataFrame:
+    """``(canopy, id, center)`` from ``(bucket, id, features)`` candidates, in rounds of at most ``chunk`` candidates.
+
+    Canopies are numbered from 1 as they are accepted. The candidates stay on Spark.
+    """
+    cands, dim = whole_rows(candidates, "features", dim)
+    by = ("bucket", "id", "features")
+    rows = cands.select("bucket", F.col("id").cast("bigint").alias("id"), F.col("features").cast("array<double>").alias("features"), F.lit(0).alias("grp"))
+    first = rows.orderBy(*by).limit(chunk + 1).withColumn("seq", F.monotonically_increasing_id())
+    table, ends = walked(first, float(t3), dim, chunk)
+    tables, trace = [table], [sum(r["n"] for r in ends)]
+    if any(r["more"] for r in ends):  # more candidates than one walk takes
+        trace = []
+        with storage.prepared(ordered(rows, *by), "candidates", stored=True) as rows:
+            tables = greedy_rounds(rows, float(t3), dim, 1, chunk, trace)
+    out, before = None, 0
+    for table, n in zip(tables, trace):
+        part = table.select((F.col("nth") + F.lit(before + 1)).cast("int").alias("canopy"), "id", F.col("features").alias("center"))
+        out, before = part if out is None else out.unionByName(part), before + n
+    return out
+
+
+def merge_canopies(candidates: DataFrame, t3: float, chunk: int = MERGE_CHUNK, dim: int | None = None) -> list[tuple[int, int, list[float]]]:
+    """C2 as a list ``[(canopy, id, vector)]``, for as many canopies as a driver may hold."""
+    return canopy_rows(global_canopies(candidates, t3, chunk, dim))
+
+
+def canopy_rows(canopies: DataFrame) -> list[tuple[int, int, list[float]]]:
+    return [(r["canopy"], r["id"], list(r["center"])) for r in canopies.orderBy("canopy").collect()]
 
 
 def canopy_membership(
@@ -237,10 +222,11 @@ def distinct_points(points: DataFrame, id_col: str = "id", features: str = "feat
     return points.groupBy(F.col(features).alias("features")).agg(*aggs).select("m.id", "features", *[f"m.{c}" for c in extra])
 
 
-def find_canopies(pts: DataFrame, t1: float, t3: float, buckets: int = DEFAULT_BUCKETS, bucket_col: str | None = None) -> list[tuple[int, int, list[float]]]:
-    """The global canopies ``(canopy, id, vector)``."""
-    with storage.prepared(local_canopies(pts, t1, buckets, bucket_col), "local-canopies") as cands:
-        return merge_canopies(cands, t3)
+def find_canopies(pts: DataFrame, t1: float, t3: float, buckets: int = DEFAULT_BUCKETS, bucket_col: str | None = None, dim: int | None = None) -> DataFrame:
+    """The global canopies ``(canopy, id, center)`` as a stored table."""
+    pts, dim = whole_rows(pts, "features", dim)
+    with storage.prepared(local_canopies(pts, t1, buckets, bucket_col, dim=dim), "local-canopies") as cands:
+        return global_canopies(cands, t3, dim=dim)
 
 
 def covered_points(pts: DataFrame, canopies: Sequence[tuple[int, Sequence[float]]], t2: float, cover: str = "drop", form: str = "auto") -> DataFrame:
@@ -268,9 +254,13 @@ def kmeans_canopy(
     id_col: str = "id",
     features: str = "features",
     checkpoint: bool | None = None,
+    dim: int | None = None,
 ) -> CanopyResult:
     """K6: canopy k-means; K = number of global canopies.
 
+    Rows whose vector is null, holds a null or has another width than ``dim`` take
+    no part; without ``dim`` all widths are counted (one job) and must agree.
+
     ``distinct=True`` first collapses points equal by value (lowest id kept),
     as the reference keys points by their vector. Loop: while delta > tol and
     rounds < max_iter, with at least one round. ``cover='nearest'`` sends points
@@ -280,13 +270,14 @@ def kmeans_canopy(
         raise ValueError(f"unknown cover {cover!r}")
     spark = points.sparkSession
     extra = [bucket_col] if bucket_col else []
+    points, dim = whole_rows(points, features, dim)
     if distinct:
         pts = distinct_points(points, id_col, features, extra)
     else:
         pts = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), *extra)
     base = pts  # source lineage, for the lazily evaluated outputs
     with storage.prepared(storage.spread(pts, "id"), "canopy-points", checkpoint) as pts:
-        canopies = find_canopies(pts, t1, t3, buckets, bucket_col)
+        canopies = canopy_rows(find_canopies(pts, t1, t3, buckets, bucket_col, dim))
         canopy_list = [(c, v) for c, _, v in canopies]
         canopy_ids = [c for c, _ in canopy_list]
         where = np.array([v for _, v in canopy_list], dtype=np.float64)

@@ -282,6 +282,37 @@ def within(a: np.ndarray, b: np.ndarray, radius: float) -> list[np.ndarray]:
     return out
 
 
+def any_within(x: np.ndarray, c: np.ndarray, radius: float) -> np.ndarray:
+    """Whether a row of ``x`` has a row of ``c`` at distance <= radius.
+
+    Rows are taken in the order of the coordinate in which ``c`` spreads most, and
+    a step of them meets only the slab of ``c`` within the radius of it.
+    """
+    out = np.zeros(len(x), bool)
+    if not len(x) or not len(c):
+        return out
+    axis = int(np.argmax(np.ptp(c, axis=0))) if c.shape[1] else 0
+    if len(c) > 64 and c.shape[1]:
+        c = c[np.argsort(c[:, axis], kind="stable")]
+        order = np.argsort(x[:, axis], kind="stable")
+        room = radius * (1 + 1e-9)
+        first = np.searchsorted(c[:, axis], x[order, axis] - room - np.abs(x[order, axis]) * 1e-12, side="left")
+        last = np.searchsorted(c[:, axis], x[order, axis] + room + np.abs(x[order, axis]) * 1e-12, side="right")
+    else:
+        order, first, last = np.arange(len(x)), np.zeros(len(x), np.int64), np.full(len(x), len(c))
+    s = 0
+    while s < len(x):
+        e = min(len(x), s + 256)
+        while e > s + 1 and (e - s) * (int(last[e - 1]) - int(first[s])) > _BLOCK_ELEMS:
+            e = s + (e - s) // 2
+        lo, hi = int(first[s]), int(last[e - 1])
+        if lo < hi:
+            rows = order[s:e]
+            out[rows] = (np.sqrt(sq_dists(x[rows], c[lo:hi])) <= radius).any(axis=1)
+        s = e
+    return out
+
+
 class Eligible:
     """Centres of each canopy (in canopy id order), and the pairs that points may form."""
 

@@ -48,14 +48,15 @@ def plain_scan(df: DataFrame) -> bool:
 
 
 @contextmanager
-def prepared(df: DataFrame, name: str = "points", checkpoint: bool | None = None):
+def prepared(df: DataFrame, name: str = "points", checkpoint: bool | None = None, stored: bool = False):
     """A reusable form of an iterated input for the time of the ``with`` block.
 
-    ``checkpoint``: True forces the Parquet copy, False the cache.
+    ``checkpoint``: True forces the Parquet copy, False the cache. ``stored``: never in
+    place, for columns that must be the same on every read (row numbers).
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark) if checkpoint in (None, True) else None
-    if checkpoint is None and plain_scan(df):
+    if checkpoint is None and not stored and plain_scan(df):
         yield df
     elif base:
         path = f"{base.rstrip('/')}/lodestar-{name}-{uuid.uuid4().hex}"
@@ -72,6 +73,30 @@ def prepared(df: DataFrame, name: str = "points", checkpoint: bool | None = None
             kept.unpersist()
 
 
+_held: dict[str, list] = {}
+
+
+def held(df: DataFrame, name: str) -> DataFrame:
+    """A stored copy that results are read from: it stays until ``release``."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    mine = _held.setdefault(spark.sparkContext.applicationId, [])
+    if not base:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        mine.append(kept.unpersist)
+        return kept
+    path = f"{base.rstrip('/')}/lodestar-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    mine.append(lambda: _delete(spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what ``held`` stored for this application; results not read yet need it."""
+    for drop in _held.pop(spark.sparkContext.applicationId, []):
+        drop()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from typing import NamedTuple
 
-from lodestar.operators.canopy import covered_points, distinct_points, find_canopies, kmeans_canopy, local_canopies
-from lodestar.plans.storage import local_frame, prepared
+from lodestar.operators.canopy import canopy_rows, covered_points, distinct_points, find_canopies, kmeans_canopy, local_canopies
+from lodestar.plans.storage import prepared
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, sql_vectors, vectors
 
@@ -41,18 +41,17 @@ def _distinct(spark, sf, q=CUST):
 
 
 def canopy_local(spark: SparkSession, sf: str) -> DataFrame:
-    return local_canopies(_distinct(spark, sf), CUST.t1, bucket_col="bucket").select("bucket", "id")
+    return local_canopies(_distinct(spark, sf), CUST.t1, bucket_col="bucket", dim=DIMS[CUST.view]).select("bucket", "id")
 
 
 def canopy_global(spark: SparkSession, sf: str) -> DataFrame:
-    found = find_canopies(_distinct(spark, sf), CUST.t1, CUST.t3, bucket_col="bucket")
-    return local_frame(spark, [(c, i) for c, i, _ in found], "canopy int, id bigint")
+    return find_canopies(_distinct(spark, sf), CUST.t1, CUST.t3, bucket_col="bucket", dim=DIMS[CUST.view]).select("canopy", "id")
 
 
 def _memb(spark, sf, q=CUST):
     """C1 to C3 alone: the rounds aren't needed for memberships."""
     with prepared(_distinct(spark, sf, q), "canopy-points") as pts:
-        found = find_canopies(pts, q.t1, q.t3, bucket_col="bucket")
+        found = canopy_rows(find_canopies(pts, q.t1, q.t3, bucket_col="bucket", dim=DIMS[q.view]))
     return covered_points(_distinct(spark, sf, q).select("id", "features"), [(c, v) for c, _, v in found], q.t2, q.cover)
 
 
@@ -69,7 +68,7 @@ def canopy_uncovered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run(spark, sf, q=CUST):
-    return kmeans_canopy(_points(spark, sf, q), q.t1, q.t2, q.t3, q.tol, q.max_iter, distinct=True, bucket_col="bucket", cover=q.cover)
+    return kmeans_canopy(_points(spark, sf, q), q.t1, q.t2, q.t3, q.tol, q.max_iter, distinct=True, bucket_col="bucket", cover=q.cover, dim=DIMS[q.view])
 
 
 def _centers(r):

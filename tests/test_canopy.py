@@ -1,14 +1,22 @@
+import json
+import os
+import subprocess
+import sys
+import textwrap
+
 import numpy as np
 import pytest
 
 from lodestar import kmeans
 from lodestar.operators.canopy import (
     canopy_membership,
+    global_canopies,
     greedy_pick,
     kmeans_canopy,
     local_canopies,
     merge_canopies,
 )
+from lodestar.operators.greedy import greedy_rounds, ordered
 from models import blobs, canopy_kmeans
 
 
@@ -119,3 +127,99 @@ def test_rows_without_a_bucket_share_one(spark):
     assert {i for i, b in got if b == 3} == {0, 6, 12, 18} and {i for i, b in got if b != 3} == {1, 7, 13, 19}
     one = merge_canopies(local_canopies(pts, 4.5, bucket_col="b"), 0.5, chunk=1)
     assert sorted(i for _, i, _ in one) == [0, 1, 6, 7, 12, 13, 18, 19]
+
+
+def _walk_in_order(x, radius):
+    out = []
+    for i, v in enumerate(x):
+        if all(np.sqrt(((v - x[j]) ** 2).sum()) > radius for j in out):
+            out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("d,radius", [(1, 2.0), (2, 4.0), (5, 30.0)])
+def test_rounds_equal_the_sequential_walk(frame, d, radius):
+    x = np.random.default_rng(d).uniform(0, 100, (700, d)).round(1)
+    x[600:] = x[:100]
+    want = _walk_in_order(x, radius)
+    for parts in (1, 5):
+        got = local_canopies(frame(x.tolist(), parts=parts), radius, buckets=1, bucket_rows=50)
+        assert sorted(r.id for r in got.collect()) == want
+    trace = []
+    pts = ordered(frame(x.tolist(), parts=3), "id").selectExpr("0 as grp", "seq", "id", "features").cache()
+    tables = greedy_rounds(pts, radius, d, head_rows=40, trace=trace)
+    assert len(tables) > 2 and sum(trace) == len(want)
+    assert [r.id for t in tables for r in t.orderBy("seq").collect()] == want
+
+
+def test_large_and_small_buckets_together(spark):
+    x = np.random.default_rng(3).uniform(0, 50, (600, 2)).round(1)
+    bucket = [0 if i < 400 else 1 if i < 500 else None if i < 560 else 2 for i in range(600)]
+    pts = spark.createDataFrame([(i, v.tolist(), b) for i, (v, b) in enumerate(zip(x, bucket))], "id bigint, features array<double>, b int")
+    got = local_canopies(pts, 6.0, bucket_col="b", bucket_rows=90).collect()
+    for b in (0, 1, None, 2):
+        rows = [i for i in range(600) if bucket[i] == b]
+        want = [rows[j] for j in _walk_in_order(x[rows], 6.0)]
+        assert sorted(r.id for r in got if r.id in set(rows)) == want
+
+
+def test_more_canopies_than_one_walk_takes(frame):
+    x = np.random.default_rng(8).uniform(0, 1000, (900, 2)).round(1)
+    cands = local_canopies(frame(x.tolist()), 5.0, buckets=4).cache()
+    rows = sorted(((r.bucket, r.id), list(r.features)) for r in cands.collect())
+    want = [rows[i][0][1] for i in _walk_in_order(np.array([v for _, v in rows]), 8.0)]
+    got = global_canopies(cands, 8.0, chunk=100).orderBy("canopy").collect()
+    assert len(want) > 300 and [r.id for r in got] == want and [r.canopy for r in got] == list(range(1, len(want) + 1))
+
+
+def test_one_bucket_uses_all_cores(tmp_path):
+    """With all rows in one bucket, no task takes over twice the median's rows (from Spark's event log)."""
+    code = textwrap.dedent(
+        f"""
+        import sys
+        sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+        from pyspark.sql import SparkSession
+        from pyspark.sql import functions as F
+        spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.adaptive.coalescePartitions.enabled", "false").config("spark.eventLog.enabled", "true")
+                 .config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
+                 .config("spark.eventLog.dir", "file://{tmp_path}").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate())
+        import lodestar.operators.greedy as greedy
+        from lodestar.operators.canopy import local_canopies
+        greedy.HEAD_ROWS = 500
+        pts = spark.range(0, 60000, numPartitions=8).select("id", F.array(F.rand(3) * 100, F.rand(4) * 100).alias("features"))
+        pts.write.parquet("file://{tmp_path}/pts")
+        greedy.greedy_rounds.__defaults__ = (1, 500, None)
+        print("FOUND", local_canopies(spark.read.parquet("file://{tmp_path}/pts"), 5.0, buckets=1, bucket_rows=1000, dim=2).count())
+        """
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "FOUND" in out.stdout, out.stderr[-2000:]
+    (log,) = [p for p in tmp_path.iterdir() if p.is_file() and p.name.startswith("local-")]
+    rows: dict = {}
+    for line in log.read_text().splitlines():
+        e = json.loads(line)
+        if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
+            m = e["Task Metrics"]
+            n = m["Input Metrics"]["Records Read"] + m["Shuffle Read Metrics"]["Total Records Read"]
+            rows.setdefault(e["Stage ID"], []).append(n)
+    busy = [sorted(r) for r in rows.values() if sum(r) > 30_000]  # stages that go over most of the table
+    assert len(busy) >= 3
+    for r in busy:
+        assert len(r) >= 4 and r[-1] <= 2 * max(r[len(r) // 2], 1), busy
+
+
+def test_odd_rows_become_no_canopy(spark):
+    whole = [(i, [float(i % 6), float(i // 6)]) for i in range(36)]
+    odd = [(50, None), (51, [1.0]), (52, [None, 2.0]), (53, [90.0, 1.0, 2.0])]
+    a = kmeans_canopy(spark.createDataFrame(whole, "id bigint, features array<double>"), 3, 2.5, 3, buckets=2, max_iter=3)
+    for rows in (odd + whole, whole + odd):
+        pts = spark.createDataFrame(rows, "id bigint, features array<double>")
+        for distinct in (True, False):
+            b = kmeans_canopy(pts, 3, 2.5, 3, buckets=2, max_iter=3, dim=2, distinct=distinct)
+            assert b.canopies.orderBy("canopy").collect() == a.canopies.orderBy("canopy").collect()
+            assert b.centers.orderBy("cid").collect() == a.centers.orderBy("cid").collect()
+            assert b.membership.first() == a.membership.first()
+            assert {r.id for r in b.assignments.collect()} <= set(range(36)) and b.uncovered.count() == a.uncovered.count()
+        with pytest.raises(ValueError, match="width"):
+            kmeans_canopy(pts, 3, 2.5, 3)
