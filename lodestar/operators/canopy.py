@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.operators import canopy_join
 from lodestar.functions.vectors import elem_sql, sq_dist_sql, sql_double, with_nearest
 from lodestar.operators.assign import collect_stats_sql, assign, stats_from_partials
 from lodestar.operators.greedy import greedy_pick, greedy_rounds, ordered, walked
@@ -265,6 +266,8 @@ def kmeans_canopy(
     as the reference keys points by their vector. Loop: while delta > tol and
     rounds < max_iter, with at least one round. ``cover='nearest'`` sends points
     in no canopy to the nearest one instead of leaving them out.
+    ``form='join'`` keeps canopies and clusters as tables, see ``operators.canopy_join``;
+    so does ``'auto'`` where they have more than ``MAX_CENTER_NUMBERS`` numbers.
     """
     if cover not in ("drop", "nearest"):
         raise ValueError(f"unknown cover {cover!r}")
@@ -277,7 +280,13 @@ def kmeans_canopy(
         pts = points.select(F.col(id_col).alias("id"), F.col(features).alias("features"), *extra)
     base = pts  # source lineage, for the lazily evaluated outputs
     with storage.prepared(storage.spread(pts, "id"), "canopy-points", checkpoint) as pts:
-        canopies = canopy_rows(find_canopies(pts, t1, t3, buckets, bucket_col, dim))
+        found = find_canopies(pts, t1, t3, buckets, bucket_col, dim)
+        n = found.count() if form in ("auto", "join") else 0
+        if form == "join" or n * dim > physical.MAX_CENTER_NUMBERS and form == "auto":
+            if cover != "drop":
+                raise ValueError("cover='nearest' needs form='expr' or 'arrow'")
+            return CanopyResult(**canopy_join.canopy_rounds(pts, found, n, t2, tol, max_iter, dim))
+        canopies = canopy_rows(found)
         canopy_list = [(c, v) for c, _, v in canopies]
         canopy_ids = [c for c, _ in canopy_list]
         where = np.array([v for _, v in canopy_list], dtype=np.float64)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from typing import NamedTuple
 
 from lodestar.operators.canopy import canopy_rows, covered_points, distinct_points, find_canopies, kmeans_canopy, local_canopies
+from lodestar.operators.canopy_join import radius_join
 from lodestar.plans.storage import prepared
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, sql_vectors, vectors
@@ -29,6 +30,8 @@ class Spec(NamedTuple):
 CUST = Spec("cust", 2000.0, 900.0, 2000.0)  # 2 dimensions: the expression form
 EMB = Spec("emb", 1.5, 1.38, 1.5, max_iter=4)  # 64 dimensions: the Arrow form
 NEAR = CUST._replace(cover="nearest", max_iter=4)
+MANY = CUST._replace(t1=6.0, t2=5.0, t3=6.0, max_iter=3)  # nearly as many canopies as points: the join form
+ODD = CUST._replace(view="custodd", max_iter=6)
 DELTA_ROUND = 3
 
 
@@ -71,6 +74,30 @@ def _run(spark, sf, q=CUST):
     return kmeans_canopy(_points(spark, sf, q), q.t1, q.t2, q.t3, q.tol, q.max_iter, distinct=True, bucket_col="bucket", cover=q.cover, dim=DIMS[q.view])
 
 
+def _run_many(spark, sf):
+    return kmeans_canopy(_points(spark, sf, MANY), MANY.t1, MANY.t2, MANY.t3, MANY.tol, MANY.max_iter, bucket_col="bucket", form="join", dim=DIMS[MANY.view])
+
+
+def canopy_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Canopies and clusters as tables: memberships by cell, assignment by an equi-join on the canopy."""
+    return _centers(_run_many(spark, sf))
+
+
+def canopy_many_assign(spark: SparkSession, sf: str) -> DataFrame:
+    return _run_many(spark, sf).assignments.select("id", "cid")
+
+
+def canopy_many_membership(spark: SparkSession, sf: str) -> DataFrame:
+    pts = _distinct(spark, sf, MANY)
+    found = find_canopies(pts, MANY.t1, MANY.t3, bucket_col="bucket", dim=DIMS[MANY.view])
+    return radius_join(pts.select("id", "features"), found.select("canopy", "center"), MANY.t2, DIMS[MANY.view], found.count()).select("id", "canopy")
+
+
+def kmeans_canopy_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """A table in which some vectors are null, short or hold a null: they take no part."""
+    return _centers(_run(spark, sf, ODD))
+
+
 def _centers(r):
     c = r.centers.select("cid", "active", "size", F.posexplode("center").alias("dim", "_v"))
     return c.select("cid", "active", "size", F.col("dim").cast("int").alias("dim"), F.round("_v", ROUND).alias("value"))
@@ -207,6 +234,10 @@ QUERIES = {
     "kmeans_canopy": (kmeans_canopy_q, _sql_centers(CUST)),
     "kmeans_canopy_arrow": (kmeans_canopy_arrow, _sql_centers(EMB)),
     "kmeans_canopy_cover": (kmeans_canopy_cover, _sql_centers(NEAR)),
+    "kmeans_canopy_odd": (kmeans_canopy_odd, _sql_centers(ODD)),
+    "canopy_many": (canopy_many, _sql_centers(MANY)),
+    "canopy_many_assign": (canopy_many_assign, _with(ASSIGNED, rounds=True, q=MANY)),
+    "canopy_many_membership": (canopy_many_membership, _with(MEMBERS, q=MANY)),
     "canopy_overlap": (
         canopy_overlap,
         _with(

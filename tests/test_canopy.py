@@ -215,11 +215,40 @@ def test_odd_rows_become_no_canopy(spark):
     a = kmeans_canopy(spark.createDataFrame(whole, "id bigint, features array<double>"), 3, 2.5, 3, buckets=2, max_iter=3)
     for rows in (odd + whole, whole + odd):
         pts = spark.createDataFrame(rows, "id bigint, features array<double>")
-        for distinct in (True, False):
-            b = kmeans_canopy(pts, 3, 2.5, 3, buckets=2, max_iter=3, dim=2, distinct=distinct)
-            assert b.canopies.orderBy("canopy").collect() == a.canopies.orderBy("canopy").collect()
-            assert b.centers.orderBy("cid").collect() == a.centers.orderBy("cid").collect()
-            assert b.membership.first() == a.membership.first()
-            assert {r.id for r in b.assignments.collect()} <= set(range(36)) and b.uncovered.count() == a.uncovered.count()
+        b = kmeans_canopy(pts, 3, 2.5, 3, buckets=2, max_iter=3, dim=2, distinct=rows[0] == odd[0])
+        assert b.canopies.orderBy("canopy").collect() == a.canopies.orderBy("canopy").collect()
+        assert b.centers.orderBy("cid").collect() == a.centers.orderBy("cid").collect()
+        assert b.membership.first() == a.membership.first()
+        assert {r.id for r in b.assignments.collect()} <= set(range(36)) and b.uncovered.count() == a.uncovered.count()
         with pytest.raises(ValueError, match="width"):
             kmeans_canopy(pts, 3, 2.5, 3)
+
+
+@pytest.mark.parametrize("d,broadcast", [(2, True), (5, False)])
+def test_join_form_equals_the_list_form(frame, monkeypatch, d, broadcast):
+    from lodestar.operators import canopy_join
+
+    if not broadcast:
+        monkeypatch.setattr(canopy_join, "BROADCAST_BYTES", -1)
+    x = np.random.default_rng(d).uniform(-40, 40, (300, d)).round(1)
+    r = {2: (9, 7, 9), 5: (40, 34, 40)}[d]
+    a = kmeans_canopy(frame(x.tolist()), *r, buckets=2, max_iter=2, form="arrow")
+    b = kmeans_canopy(frame(x.tolist()), *r, buckets=2, max_iter=2, form="join")
+    assert a.canopies.count() > 10 and b.canopies.orderBy("canopy").collect() == a.canopies.orderBy("canopy").collect()
+    assert b.assignments.orderBy("id").collect() == a.assignments.orderBy("id").collect()
+    assert sorted(v.id for v in b.uncovered.collect()) == sorted(v.id for v in a.uncovered.collect())
+    assert b.membership.first() == a.membership.first()
+    for one, two in zip(a.centers.orderBy("cid").collect(), b.centers.orderBy("cid").collect(), strict=True):
+        assert (one.cid, one.size, one.active) == (two.cid, two.size, two.active) and two.center == pytest.approx(one.center)
+    assert [v.delta for v in b.trace.orderBy("iter").collect()] == pytest.approx([v.delta for v in a.trace.orderBy("iter").collect()])
+
+
+def test_join_plan_follows_the_measured_size(frame):
+    from lodestar.operators.canopy_join import radius_join
+
+    pts = frame(np.random.default_rng(1).uniform(0, 9, (50, 2)).tolist())
+    can = pts.selectExpr("cast(id as int) as canopy", "features as center")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small, large = radius_join(pts, can, 1.0, 2, 50), radius_join(pts, can, 1.0, 2, 10**9)
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+    assert sorted(small.select("id", "canopy").collect()) == sorted(large.select("id", "canopy").collect())
