@@ -43,8 +43,13 @@ def assign(
     features: str = "features",
     form: str = "auto",
     inline_limit: int = physical.MAX_CENTER_NUMBERS,
+    compared=None,
 ) -> DataFrame:
-    """Append ``cid`` (nearest centre, lowest position on ties) and ``d2`` to every row."""
+    """Append ``cid`` (nearest centre, lowest position on ties) and ``d2`` to every row.
+
+    Many centres are searched by their boxes (``physical.CenterIndex``); ``compared``,
+    an accumulator, counts the distances computed by the Arrow form.
+    """
     centers = [list(map(float, c)) for c in centers]
     ids = list(range(len(centers))) if ids is None else [int(i) for i in ids]
     d = _dims(centers)
@@ -56,9 +61,9 @@ def assign(
         + [T.StructField("cid", T.IntegerType()), T.StructField("d2", T.DoubleType())]
     )
     step = max(1, inline_limit // d)
-    out = points.mapInArrow(physical.arrow_assign_fn(centers[:step], ids[:step], features), schema)
+    out = points.mapInArrow(physical.arrow_assign_fn(centers[:step], ids[:step], features, compared=compared), schema)
     for s in range(step, len(centers), step):
-        out = out.mapInArrow(physical.arrow_assign_fn(centers[s : s + step], ids[s : s + step], features, True), schema)
+        out = out.mapInArrow(physical.arrow_assign_fn(centers[s : s + step], ids[s : s + step], features, True, compared), schema)
     return out
 
 

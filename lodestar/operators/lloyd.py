@@ -10,12 +10,14 @@ numbers and inlines them into the next round's plan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators.assign import assign, centers_from_frame, collect_stats, predict
+from lodestar.operators.bounded import BoundedStats
 from lodestar.plans import physical, storage
 from lodestar.sources.sample import DEFAULT_SEED, sample_key, seed_vectors
 from lodestar.functions.vectors import elem_sql
@@ -73,8 +75,9 @@ def lloyd_rounds(
     on_empty: str = "keep",
     form: str = "auto",
     id_col: str = "id",
+    stats=None,
 ):
-    """Iterate on already-prepared points. Returns (centres, trace rows, last stats).
+    """Iterate on already-prepared points; ``stats`` replaces ``collect_stats`` for them. Returns (centres, trace rows, last stats).
 
     Stops after ``max_iter`` rounds or once delta <= ``tol`` (``tol=None``:
     fixed number of rounds). At least one round runs when ``max_iter >= 1``.
@@ -84,7 +87,7 @@ def lloyd_rounds(
     centers = [list(c) for c in centers]
     trace, last = [], {}
     for it in range(1, max_iter + 1):
-        rows = collect_stats(points, centers, None, features, weight, form)
+        rows = stats(centers) if stats else collect_stats(points, centers, None, features, weight, form)
         last = {int(r["cid"]): r for r in rows}
         new = [list(c) for c in centers]
         empty = []
@@ -136,6 +139,7 @@ def kmeans(
     id_col: str = "id",
     checkpoint: bool | None = None,
     dim: int | None = None,
+    computed: list | None = None,
 ) -> KMeansResult:
     """Lloyd k-means on ``(id, features[, weight])`` rows.
 
@@ -147,6 +151,8 @@ def kmeans(
     ``'reseed'`` (farthest point from its centre, lowest id on ties) or
     ``'reseed-md5'`` (points in the order of the seeded sample).
     The points are iterated on as ``plans.storage.prepared`` says.
+    ``form='bounds'`` remembers bounds between rounds (see ``operators.bounded``), for
+    many centres; ``computed`` then gets each round's number of distances.
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
@@ -167,6 +173,7 @@ def kmeans(
     # For the expression form, one double column per dimension: scanned
     # vectorized, while an array column is decoded row by row on every round.
     # The Arrow kernel reads the array's flat buffer zero-copy.
+    bounds, form = form == "bounds", "arrow" if form == "bounds" else form
     if physical.choose_form(kk, d, form) == "expr":
         feats = [f"_x{i}" for i in range(d)]
         fcols = [F.expr(x).alias(c) for x, c in zip(elem_sql(features, d), feats)]
@@ -178,7 +185,9 @@ def kmeans(
         if seeded:
             vec = F.array(*[F.col(c) for c in feats]) if isinstance(feats, list) else F.col(feats)
             start = seed_vectors(pts.select(id_col, vec.alias("_seedvec")), k, seed, distinct_seeds, init, id_col, "_seedvec")
-        centers, trace, last = lloyd_rounds(pts, start, tol, max_iter, feats, weight, on_empty, form, id_col)
+        with ExitStack() as stack:
+            stats = BoundedStats(pts, feats, weight, computed, stack) if bounds else None
+            centers, trace, last = lloyd_rounds(pts, start, tol, max_iter, feats, weight, on_empty, form, id_col, stats)
     crow = []
     for cid, c in enumerate(centers):
         r = last.get(cid)

@@ -121,9 +121,91 @@ def tile_blocks(n: int, block_rows: int, parallelism: int) -> int:
     return b
 
 
-def _nearest(x: np.ndarray, c: np.ndarray):
+#: From this many centres on, and up to this width, centres are searched by their boxes.
+INDEX_CENTERS = 512
+INDEX_WIDTH = 16
+#: Centres of a box, and rows that search together.
+LEAF_CENTERS = 32
+LEAF_ROWS = 128
+
+
+class CenterIndex:
+    """Centres in boxes: halved along the coordinate of largest spread until a box has few.
+
+    Rows that fall into one box search together. The distances to its own centres
+    bound each row's nearest, and only boxes no farther from the rows than the
+    largest bound are computed: exact, ties included.
+    """
+
+    def __init__(self, c: np.ndarray):
+        self.c = c
+        self.axis, self.split, self.left, self.right, self.leaf = [], [], [], [], []
+        self.members: list[np.ndarray] = []
+        todo = [(np.arange(len(c)), -1, False)]
+        while todo:
+            at, parent, is_right = todo.pop()
+            node = len(self.axis)
+            if parent >= 0:
+                (self.right if is_right else self.left)[parent] = node
+            spread = np.ptp(c[at], axis=0)
+            a = int(np.argmax(spread))
+            order = at[np.argsort(c[at, a], kind="stable")]
+            half = len(order) // 2
+            ends = len(at) <= LEAF_CENTERS or not spread[a] > 0
+            self.axis.append(a)
+            self.split.append(0.0 if ends else float(c[order[half], a]))
+            self.left.append(node)
+            self.right.append(node)
+            self.leaf.append(len(self.members) if ends else -1)
+            if ends:
+                self.members.append(np.sort(at))
+            else:
+                todo += [(order[half:], node, True), (order[:half], node, False)]
+        self.axis, self.left, self.right, self.leaf = (np.array(v) for v in (self.axis, self.left, self.right, self.leaf))
+        self.split = np.array(self.split)
+        self.low = np.array([c[m].min(axis=0) for m in self.members])
+        self.high = np.array([c[m].max(axis=0) for m in self.members])
+        self.computed = 0
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lab, mind = np.zeros(len(x), np.int64), np.zeros(len(x))
+        node = np.zeros(len(x), np.int64)
+        while True:
+            go = np.flatnonzero(self.leaf[node] < 0)
+            if not len(go):
+                break
+            at = node[go]
+            node[go] = np.where(x[go, self.axis[at]] < self.split[at], self.left[at], self.right[at])
+        box = self.leaf[node]
+        order = np.lexsort((x[:, 0], box))
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(box[order])) + 1, [len(x)]])
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            for s in range(lo, hi, LEAF_ROWS):
+                rows = order[s : min(s + LEAF_ROWS, hi)]
+                own = self.members[box[rows[0]]]
+                y = x[rows]
+                bound = sq_dists(y, self.c[own]).min(axis=1).max()
+                gap = np.maximum(np.maximum(self.low - y.max(axis=0), y.min(axis=0) - self.high), 0.0)
+                near = np.flatnonzero(~((gap * gap).sum(axis=1) > bound * (1 + 1e-9)))
+                cand = np.sort(np.concatenate([self.members[i] for i in near]))
+                self.computed += len(rows) * (len(own) + len(cand))
+                for t in range(0, len(rows), step := max(1, _BLOCK_ELEMS // len(cand))):
+                    d2 = sq_dists(y[t : t + step], self.c[cand])
+                    j = d2.argmin(axis=1)
+                    lab[rows[t : t + step]], mind[rows[t : t + step]] = cand[j], d2[np.arange(len(j)), j]
+        return lab, mind
+
+
+def index_of(c: np.ndarray) -> CenterIndex | None:
+    """An index where it pays: many centres of no great width, all of them finite."""
+    return CenterIndex(c) if len(c) >= INDEX_CENTERS and 0 < c.shape[1] <= INDEX_WIDTH and np.isfinite(c).all() else None
+
+
+def _nearest(x: np.ndarray, c: np.ndarray, index: CenterIndex | None = None):
     """Row-chunked argmin; first minimum = lowest id on ties."""
     n, k = x.shape[0], c.shape[0]
+    if index is not None and np.isfinite(x).all():
+        return index.nearest(x)
     lab = np.empty(n, dtype=np.int64)
     mind = np.empty(n, dtype=np.float64)
     step = max(1, _BLOCK_ELEMS // max(1, k * x.shape[1]))
@@ -140,9 +222,12 @@ def arrow_assign_fn(
     ids: Sequence[int],
     features: str = "features",
     update: bool = False,
+    compared=None,
 ):
     """``mapInArrow`` body: append ``cid`` (int) and ``d2`` (double).
 
+    ``compared``: an accumulator that counts the distances computed.
+
     ``update``: the batch's last two columns are the best centre of earlier
     blocks; a centre of this block replaces it where it is strictly nearer.
     """
@@ -151,11 +236,16 @@ def arrow_assign_fn(
     d = c.shape[1]
 
     def fn(batches):
+        index = index_of(c)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             x, ok = _features_matrix(rb, features, d)
-            lab, mind = _nearest(x, c)
+            lab, mind = _nearest(x, c, index)
+            if compared is not None:
+                compared.add(len(x) * len(c) if index is None else index.computed)
+                if index is not None:
+                    index.computed = 0
             cid, cols = id_arr[lab], rb.columns
             if update:
                 cols = rb.columns[:-2]
@@ -184,6 +274,7 @@ def arrow_partial_stats_fn(
 
     def fn(batches):
         total = np.zeros((k, d + 3))
+        index = index_of(c)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -192,7 +283,7 @@ def arrow_partial_stats_fn(
             if weight:
                 wt = rb.column(rb.schema.get_field_index(weight)).to_numpy(zero_copy_only=False).astype(np.float64)[ok]
             x = x[ok]
-            lab, mind = _nearest(x, c)
+            lab, mind = _nearest(x, c, index)
             total += _sums(lab, x, mind, wt, k)
         live = np.flatnonzero(total[:, 0])
         if len(live):

@@ -22,6 +22,7 @@ NEAREST_K = 8  # first 8 embeddings by vec_id are the fixed centres
 STEP_K = 5  # lineitem one-step update from 5 seeded centres
 LLOYD = dict(k=8, tol=1e-6, max_iter=20)  # embeddings
 LLOYD_LI = dict(k=8, tol=0.01, max_iter=10)  # lineitem
+BOUNDS_LI = dict(k=32, tol=0.01, max_iter=10)  # lineitem, bounds kept between rounds
 SAMPLE_N = 20
 
 
@@ -238,6 +239,12 @@ def kmeans_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return long_vectors(_lloyd(spark, sf, "li", LLOYD_LI).centers, ["cid"], "center")
 
 
+def kmeans_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """K = 32 with bounds kept between rounds: most points compute one distance a round."""
+    r = kmeans(vectors(spark, sf, "li"), BOUNDS_LI["k"], tol=BOUNDS_LI["tol"], max_iter=BOUNDS_LI["max_iter"], seed=SEED, form="bounds", dim=DIMS["li"])
+    return long_vectors(r.centers, ["cid"], "center")
+
+
 def _sql_lloyd(view: str, params: dict, what: str) -> str:
     dim = DIMS[view]
     ctes, final = sqlgen.lloyd_ctes(
@@ -260,6 +267,7 @@ def _sql_lloyd(view: str, params: dict, what: str) -> str:
 
 
 QUERIES = {
+    "kmeans_bounds": (kmeans_bounds, _sql_lloyd("li", BOUNDS_LI, "centers")),
     "vector_scan": (vector_scan, SQL_VECTOR_SCAN),
     "text_vector_scan": (text_vector_scan, SQL_TEXT_VECTOR_SCAN),
     "text_file_scan": (text_file_scan, SQL_TEXT_FILE_SCAN),

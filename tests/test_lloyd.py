@@ -187,3 +187,65 @@ def test_checkpointed_points(spark, frame):
     assert b.assignments.count() == 60  # lazy output reads the source, not the deleted copy
     left = {n for n in set(os.listdir(base)) - before if n.startswith("lodestar-")}
     assert not left  # the written copy is removed once the operator is done
+
+
+@pytest.mark.parametrize("d,k", [(1, 700), (2, 3000), (4, 600), (9, 600)])
+def test_boxes_of_centres_give_the_same_answer(d, k):
+    from lodestar.plans import physical
+
+    rng = np.random.default_rng(d)
+    c = rng.uniform(0, 50, (k, d)).round(1)
+    c[::7] = c[0]  # ties between equal centres
+    x = np.concatenate([rng.uniform(-5, 55, (1500, d)), c[:200], np.full((30, d), 25.0)])
+    index = physical.index_of(c)
+    lab, mind = physical._nearest(x, c, index)
+    want, dist = physical._nearest(x, c)
+    assert (lab == want).all() and (mind == dist).all()
+    assert index.computed < (0.2 if d <= 2 else 1.1) * len(x) * k
+    assert physical.index_of(np.full((600, d), 3.0)).nearest(x)[0].max() == 0
+
+
+def test_large_k_counts_its_distances(spark, frame):
+    x = np.random.default_rng(2).uniform(0, 100, (4000, 2))
+    c = np.random.default_rng(3).uniform(0, 100, (1000, 2)).tolist()
+    seen = spark.sparkContext.accumulator(0)
+    got = {r.id: r.cid for r in assign(frame(x.tolist()), c, compared=seen).collect()}
+    assert [got[i] for i in range(4000)] == ((x[:, None] - np.array(c)[None]) ** 2).sum(-1).argmin(1).tolist()
+    assert 0 < seen.value < 0.3 * 4000 * 1000
+
+
+@pytest.mark.parametrize("k,weight", [(1, None), (2, None), (9, "w")])
+def test_bounds_give_the_same_rounds(spark, k, weight):
+    x = blobs(600, 3, 9, seed=k, spread=2.0)
+    rows = [(i, v.tolist(), 1.0 + i % 3) for i, v in enumerate(x)] + [(900, None, 1.0), (901, [1.0], 1.0), (902, [None, 1.0, 2.0], 1.0)]
+    pts = spark.createDataFrame(rows, "id bigint, features array<double>, w double").repartition(3)
+    how = dict(init=x[:k].tolist(), tol=0.0, max_iter=12, weight=weight, dim=3)
+    a, seen = kmeans(pts, form="arrow", **how), []
+    b = kmeans(pts, form="bounds", computed=seen, **how)
+    for one, two in zip(a.centers.orderBy("cid").collect(), b.centers.orderBy("cid").collect(), strict=True):
+        assert (one.cid, one.size) == (two.cid, two.size) and two.center == pytest.approx(one.center)
+    ta, tb = a.trace.orderBy("iter").collect(), b.trace.orderBy("iter").collect()
+    assert len(ta) == len(tb) == len(seen) and [r.clusters for r in ta] == [r.clusters for r in tb]
+    assert [r.delta for r in tb] == pytest.approx([r.delta for r in ta]) and [r.sse for r in tb] == pytest.approx([r.sse for r in ta])
+    assert a.assignments.orderBy("id").collect() == b.assignments.orderBy("id").collect()
+
+
+def test_bounds_compute_at_most_half_on_lineitem(spark):
+    from lodestar.registry.inputs import vectors
+
+    pts = vectors(spark, "/root/testdata/sf0.01", "li")
+    seen = []
+    a = kmeans(pts, 32, tol=0.01, max_iter=10, form="bounds", computed=seen, dim=4)
+    n = pts.count()
+    assert sum(seen) <= 0.5 * n * 32 * len(seen), [s / n for s in seen]
+    b = kmeans(pts, 32, tol=0.01, max_iter=10, form="expr", dim=4)
+    got, want = (r.trace.orderBy("iter").collect() for r in (a, b))
+    assert [r.delta for r in got] == pytest.approx([r.delta for r in want], rel=1e-6)
+
+
+def test_empty_clusters_with_bounds(frame):
+    pts = frame([[0.0], [1.0], [9.0], [10.0]])
+    how = dict(init=[[0.0], [100.0], [9.0]], max_iter=4, tol=0.0)
+    for policy in ("keep", "reseed"):
+        a, b = (kmeans(pts, on_empty=policy, form=f, **how).centers.orderBy("cid").collect() for f in ("arrow", "bounds"))
+        assert a == b
