@@ -6,7 +6,7 @@
   ``block_rows`` rows, each point is sent to the B tiles ``(min(b, j),
   max(b, j))`` it takes part in, and every tile (two blocks, a bounded group)
   returns one partial sum. No pair is materialised as a row and no task holds
-  more than two blocks. Pass ``t2=`` to ``kmeans_density`` to skip it.
+  more than two blocks. In one dimension it is N log N, by ranges of sorted values. Pass ``t2=`` to ``kmeans_density`` to skip it.
 * K4 ``density_seed``: on a sample (the sampling step is part of the operator:
   70 rows by default), A5/A7 density and squared-distance row sums are tiled
   likewise; each further centre is a scan, an anti-join and an argmax on Spark.
@@ -35,6 +35,7 @@ from lodestar.sources.table import whole_rows
 
 DEFAULT_BLOCK_ROWS = 20_000
 DEFAULT_COEF = 0.011
+MAX_RANGES = 1 << 14
 
 
 def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
@@ -57,6 +58,42 @@ def tiles(points: DataFrame, block_rows: int, *cols) -> DataFrame:
     return rep.select(F.least("blk", "other").alias("ta"), F.greatest("blk", "other").alias("tb"), "blk", *cols)
 
 
+def _gap_sum(x: np.ndarray, n: np.ndarray) -> float:
+    """Sum of |x_i - x_j| over all unordered pairs of ascending values with counts ``n``: each gap times the pairs across it."""
+    below = np.cumsum(n, dtype=np.float64)
+    return float((np.diff(x) * below[:-1] * (below[-1] - below[:-1])).sum())
+
+
+def line_distance_sum(values: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> float:
+    """A6 for one dimension in N log N: ``values`` has one column ``x``.
+
+    Equal values become one row with a count first, so none is hot. Distinct
+    values are cut into ranges at quantiles; each range sums its own gaps, and of
+    two ranges only counts and means matter: of those the driver sees one row a
+    range, ``MAX_RANGES`` at most.
+    """
+    counted = values.where(F.col("x").isNotNull()).groupBy("x").agg(F.count("*").alias("n"))
+    with storage.prepared(counted, "line") as counted:
+        ranges = min(MAX_RANGES, -(-counted.count() // block_rows))
+        cuts = counted.approxQuantile("x", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)) if ranges > 1 else []
+        edges = np.unique(np.array(cuts))
+
+        def place(batches):
+            for rb in batches:
+                at = np.searchsorted(edges, rb.column(0).to_numpy(), side="right")
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *rb.columns], ["part", "x", "n"])
+
+        def fn(part: pa.Table) -> pa.Table:
+            x, n = part.column("x").to_numpy(), part.column("n").to_numpy()
+            order = np.argsort(x)
+            return pa.table({"n": [float(n.sum())], "mean": [float(np.average(x, weights=n))], "inside": [_gap_sum(x[order], n[order])]})
+
+        rows = counted.mapInArrow(place, "part int, x double, n bigint").groupBy("part").applyInArrow(fn, "n double, mean double, inside double").collect()
+    rows.sort(key=lambda r: r["mean"])
+    between = _gap_sum(np.array([r["mean"] for r in rows]), np.array([r["n"] for r in rows])) if rows else 0.0
+    return 2.0 * (sum(r["inside"] for r in rows) + between)
+
+
 def pair_distance_sum(
     points: DataFrame,
     block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -64,8 +101,10 @@ def pair_distance_sum(
     features: str = "features",
     dim: int | None = None,
 ) -> float:
-    """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j)."""
+    """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j); in one dimension by sorting."""
     points, dim = whole_rows(points, features, dim)
+    if dim == 1:
+        return line_distance_sum(points.select(F.get(features, F.lit(0)).alias("x")), block_rows)
 
     def fn(tile: pa.Table) -> pa.Table:
         rb = tile.combine_chunks().to_batches()[0]

@@ -32,6 +32,7 @@ class KMeansResult(NamedTuple):
 
 
 CENTER_SCHEMA = "cid int, center array<double>, size bigint, weight double"
+ROUND_SCHEMA = "cid int, center array<double>, n bigint, weight double, delta double, sse double, clusters int"
 TRACE_SCHEMA = "iter int, delta double, sse double, clusters int"
 
 
@@ -76,8 +77,9 @@ def lloyd_rounds(
     form: str = "auto",
     id_col: str = "id",
     stats=None,
+    rounds: storage.Rounds | None = None,
 ):
-    """Iterate on already-prepared points; ``stats`` replaces ``collect_stats`` for them. Returns (centres, trace rows, last stats).
+    """Iterate on already-prepared points; ``stats`` replaces ``collect_stats`` for them, ``rounds`` keeps every round. Returns (centres, trace rows, last stats).
 
     Stops after ``max_iter`` rounds or once delta <= ``tol`` (``tol=None``:
     fixed number of rounds). At least one round runs when ``max_iter >= 1``.
@@ -86,7 +88,16 @@ def lloyd_rounds(
         raise ValueError(f"unknown on_empty {on_empty!r}")
     centers = [list(c) for c in centers]
     trace, last = [], {}
-    for it in range(1, max_iter + 1):
+    for it, rows in enumerate(rounds.done() if rounds else [], 1):
+        rows = sorted(rows, key=lambda r: r["cid"])
+        if [len(r["center"]) for r in rows] != [len(c) for c in centers]:
+            raise ValueError("the rounds to go on from have other centres")
+        centers = [list(r["center"]) for r in rows]
+        last = {r["cid"]: r for r in rows if r["n"]}
+        trace.append((it, rows[0]["delta"], rows[0]["sse"], rows[0]["clusters"]))
+        if it >= max_iter or tol is not None and rows[0]["delta"] <= tol:
+            return centers, trace, last
+    for it in range(len(trace) + 1, max_iter + 1):
         rows = stats(centers) if stats else collect_stats(points, centers, None, features, weight, form)
         last = {int(r["cid"]): r for r in rows}
         new = [list(c) for c in centers]
@@ -119,6 +130,9 @@ def lloyd_rounds(
         sse = float(sum(float(r["sse"]) for r in rows))
         trace.append((it, float(delta), sse, len(rows)))
         centers = new
+        if rounds:
+            told = [(last.get(i, {"n": 0})["n"], float(last.get(i, {"weight": 0.0})["weight"])) for i in range(len(centers))]
+            rounds.commit(it, [(i, c, n, w, *trace[-1][1:]) for i, (c, (n, w)) in enumerate(zip(centers, told))], ROUND_SCHEMA)
         if tol is not None and delta <= tol:
             break
     return centers, trace, last
@@ -140,6 +154,7 @@ def kmeans(
     checkpoint: bool | None = None,
     dim: int | None = None,
     computed: list | None = None,
+    resume: str | None = None,
 ) -> KMeansResult:
     """Lloyd k-means on ``(id, features[, weight])`` rows.
 
@@ -153,6 +168,8 @@ def kmeans(
     The points are iterated on as ``plans.storage.prepared`` says.
     ``form='bounds'`` remembers bounds between rounds (see ``operators.bounded``), for
     many centres; ``computed`` then gets each round's number of distances.
+    ``resume``: a shared folder to commit every round's centres and trace to; a run
+    that finds rounds there goes on after the last one, and ends as one run would.
     """
     spark = points.sparkSession
     cols = [id_col, features] + ([weight] if weight else [])
@@ -187,7 +204,9 @@ def kmeans(
             start = seed_vectors(pts.select(id_col, vec.alias("_seedvec")), k, seed, distinct_seeds, init, id_col, "_seedvec")
         with ExitStack() as stack:
             stats = BoundedStats(pts, feats, weight, computed, stack) if bounds else None
-            centers, trace, last = lloyd_rounds(pts, start, tol, max_iter, feats, weight, on_empty, form, id_col, stats)
+            centers, trace, last = lloyd_rounds(
+                pts, start, tol, max_iter, feats, weight, on_empty, form, id_col, stats, storage.Rounds(spark, resume) if resume else None
+            )
     crow = []
     for cid, c in enumerate(centers):
         r = last.get(cid)

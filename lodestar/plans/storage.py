@@ -73,6 +73,27 @@ def prepared(df: DataFrame, name: str = "points", checkpoint: bool | None = None
             kept.unpersist()
 
 
+class Rounds:
+    """Rounds of an iteration, each committed as a small table ``round=N`` in a folder that all executors share."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _has(self, name: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def done(self) -> list[list]:
+        """The rows of every round from 1 on that was committed whole."""
+        out = []
+        while self._has(f"round={len(out) + 1}/_SUCCESS"):
+            out.append(self.spark.read.parquet(f"{self.path}/round={len(out) + 1}").collect())
+        return out
+
+    def commit(self, number: int, rows, schema: str) -> None:
+        local_frame(self.spark, rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/round={number}")
+
+
 _held: dict[str, list] = {}
 
 

@@ -15,7 +15,8 @@ from lodestar.operators.density import (
     pair_distance_sum,
 )
 from lodestar.registry import sqlgen
-from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, vectors
+from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, table, vectors
+from lodestar.sources.table import table_vectors
 from lodestar.sources.sample import seeded_sample
 from lodestar.plans.storage import local_frame
 
@@ -39,6 +40,19 @@ def _sql_radius(view: str) -> str:
     )
 
 
+def adaptive_radius_line(spark: SparkSession, sf: str) -> DataFrame:
+    """One dimension, all orders: by sorted ranges, not by pairs."""
+    pts = table_vectors(table(spark, sf, "orders"), "o_orderkey", feature_cols=["o_totalprice"]).points
+    s = pair_distance_sum(pts, block_rows=500, dim=1)
+    return local_frame(spark, [(round(math.sqrt(s) * DEFAULT_COEF, ROUND),)], "t2 double")
+
+
+SQL_RADIUS_LINE = (
+    f"SELECT round(sqrt(2 * sum(CAST(2 * rn - n - 1 AS DOUBLE) * x)) * {DEFAULT_COEF!r}, {ROUND}) AS t2 FROM "
+    "(SELECT CAST(o_totalprice AS DOUBLE) AS x, row_number() OVER (ORDER BY o_totalprice) AS rn, count(*) OVER () AS n FROM orders)"
+)
+
+
 def adaptive_radius_odd(spark: SparkSession, sf: str) -> DataFrame:
     """A table in which some vectors are null, short or hold a null: they take no part."""
     s = pair_distance_sum(vectors(spark, sf, ODD_VIEW), dim=DIMS[ODD_VIEW])
@@ -174,6 +188,7 @@ def _sql_kmeans_density() -> str:
 
 QUERIES = {
     "adaptive_radius": (adaptive_radius_q, SQL_RADIUS),
+    "adaptive_radius_line": (adaptive_radius_line, SQL_RADIUS_LINE),
     "adaptive_radius_odd": (adaptive_radius_odd, f"SELECT round(t2, {ROUND}) AS t2 FROM ({_sql_radius(ODD_VIEW)})"),
     "density_rank": (density_rank, SQL_DENSITY_RANK),
     "density_seed": (density_seed_q, SQL_DENSITY_SEED),

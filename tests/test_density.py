@@ -66,3 +66,13 @@ def test_odd_rows_take_no_part(spark):
         assert b.assignments.count() == 12
         with pytest.raises(ValueError, match="width"):
             pair_distance_sum(df)
+
+
+@pytest.mark.parametrize("block_rows", [20_000, 7])
+def test_one_dimension_by_sorting(frame, block_rows):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(0, 100, 300), np.full(200, 5.0), [1e6, -1e6]])
+    want = np.abs(x[:, None] - x[None]).sum()
+    assert pair_distance_sum(frame(x[:, None].tolist(), parts=3), block_rows) == pytest.approx(want, rel=1e-12)
+    assert pair_distance_sum(frame([[4.0]]), block_rows) == 0.0 and pair_distance_sum(frame([[4.0], [4.0]]), block_rows) == 0.0
+    assert pair_distance_sum(frame([[4.0]]).where("id > 5"), block_rows, dim=1) == 0.0

@@ -249,3 +249,35 @@ def test_empty_clusters_with_bounds(frame):
     for policy in ("keep", "reseed"):
         a, b = (kmeans(pts, on_empty=policy, form=f, **how).centers.orderBy("cid").collect() for f in ("arrow", "bounds"))
         assert a == b
+
+
+@pytest.mark.parametrize("form", ["arrow", "bounds"])
+def test_rounds_go_on_after_a_stop(frame, tmp_path, monkeypatch, form):
+    from lodestar.operators import bounded, lloyd as module
+
+    x = blobs(300, 3, 6, seed=5, spread=2.0)
+    how = dict(init=x[:6].tolist(), tol=0.0, max_iter=9, form=form, dim=3)
+    want = kmeans(frame(x.tolist()), **how)
+    path = f"file://{tmp_path}/run"
+    calls, owner, name = [], (bounded.BoundedStats, "__call__") if form == "bounds" else (module, "collect_stats"), None
+    real = getattr(*owner)
+
+    def fails(*a, **k):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("the driver is gone")
+        return real(*a, **k)
+
+    monkeypatch.setattr(*owner, fails)
+    with pytest.raises(RuntimeError, match="gone"):
+        kmeans(frame(x.tolist()), resume=path, **how)
+    (tmp_path / "run" / "round=4").mkdir()  # begun, not committed
+    got = kmeans(frame(x.tolist()), resume=path, **how)
+    rounds = want.trace.count()
+    assert len(calls) == rounds + 1 > 4  # three rounds, the failure, and only the rest
+    for a, b in zip(want.trace.orderBy("iter").collect(), got.trace.orderBy("iter").collect(), strict=True):
+        assert (a.iter, a.clusters) == (b.iter, b.clusters) and b.delta == pytest.approx(a.delta) and b.sse == pytest.approx(a.sse)
+    again = kmeans(frame(x.tolist()), resume=path, **how)  # all rounds are there
+    assert len(calls) == rounds + 1 and again.centers.orderBy("cid").collect() == got.centers.orderBy("cid").collect()
+    with pytest.raises(ValueError, match="other centres"):
+        kmeans(frame(x.tolist()), **{**how, "init": x[:4].tolist()}, resume=path)
