@@ -1,4 +1,4 @@
-"""License scan: shingle keys or MinHash bands over overlapping text windows, then exact shingle containment.
+"""License scan: MinHash bands over overlapping text windows, then exact shingle containment.
 
 A template's class is the power of two at or above its number of words. For each
 class present, a text is cut into blocks of half the class's words, and every
@@ -6,14 +6,13 @@ three blocks in a row are a window, so an occurrence of a template lies whole in
 some window. Templates of fewer than five words are their own only shingle, and
 each run of that many words is a window.
 
-Of a template's m distinct shingles an occurrence holds ``need`` or more, so it
-holds at least one of any m - need + 1: where these are BANDS at most, they are
-the template's keys, and every window with one is retrieved, none missed. (So it
-is at a containment of 0.8 for up to some 200 words.) Longer templates have
-MinHash bands of one row: window and template share a band if they have the same
-smallest hash under the band's hash function. Their number follows from the
-smallest Jaccard similarity that such a template and its window may have, so
-that no band is shared with a probability of MISS at most.
+Templates of LEAST_BANDED distinct shingles or more have MinHash bands of one row:
+window and template share a band if they have the same smallest hash under the
+band's hash function. Their number follows from the smallest Jaccard similarity
+that such a template and its window may have, so that no band is shared with a
+probability of MISS at most. Shorter templates have too few shingles for a
+signature: an occurrence holds ``need`` of the m or more, so at least one of any
+m - need + 1, and these are their keys.
 
 Keys of the templates set bits in a bitmap of fixed size; windows that it lets
 through are joined with the template keys, and every pair is verified:
@@ -36,7 +35,9 @@ from pyspark.sql import functions as F
 from lodestar.llm._common import bitmap_of, has_bit, ranked_id, save, steps, strings
 from lodestar.llm._text import ALNUM, U, Words, _weights, gathered_words, mix, window_hash, word_hash, words
 
-SHINGLE, BANDS, BITS = 5, 40, 26
+SHINGLE, BITS = 5, 26
+#: Distinct shingles from which on a template is retrieved by bands.
+LEAST_BANDED = 5
 CONTAINMENT = 0.8
 MISS = 4e-6
 
@@ -94,11 +95,9 @@ def _shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _plan(m: int, cls: int, containment: float) -> tuple[int, int]:
     """Shingle keys and bands of a template of ``m`` distinct shingles; one of the two is 0."""
     need = 1 + int(np.searchsorted(np.arange(1, m + 1) / m, containment))
-    keys = m - need + 1
-    if keys <= BANDS:
-        return keys, 0
-    bands = int(np.ceil(np.log(MISS) / np.log1p(-need / (3 * cls // 2 + m - need))))
-    return (keys, 0) if keys <= bands else (0, bands)
+    if m < LEAST_BANDED:
+        return m - need + 1, 0
+    return 0, int(np.ceil(np.log(MISS) / np.log1p(-need / (3 * cls // 2 + m - need))))
 
 
 def _shingle_keys(g: np.ndarray, cls: int) -> np.ndarray:

@@ -214,3 +214,42 @@ def test_license_families(spark):
         got.setdefault(names[r.doc_id], set()).add(r.template)
     # The notices of the other GNU licenses hold most of the one of GPL-3.0, too.
     assert {n: got[n] - {"gpl-3.0-notice"} or got[n] for n in names} == {n: {n} for n in names}
+
+
+def test_bands_retrieve_every_template_and_brute_force_agrees(spark):
+    from lodestar.llm.licenses import LEAST_BANDED, _class, _plan
+
+    for name, text in TEMPLATES.items():
+        n = len(re.findall("[0-9a-z]+", text.lower()))
+        m = n - 4
+        keys, bands = _plan(m, int(_class(np.array([n]))[0]), 0.8) if m > 0 else (1, 0)
+        assert (bands > 0) == (m >= LEAST_BANDED), name
+    sp = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rng = random.Random(12)
+    rows = [(r.doc_id, r.text) for r in sp.collect()]
+    names = sorted(TEMPLATES)
+    for i in range(1500):  # contexts of every template, with a word in it changed at times
+        words = TEMPLATES[names[i % len(names)]].split()
+        if i % 2 and len(words) > 8:
+            words[rng.randrange(len(words))] = "changed"
+        noise = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(0, 120))]
+        cut = rng.randint(0, len(noise))
+        rows.append((10_000 + i, " ".join(noise[:cut] + words + noise[cut:])))
+    shingles = {}
+    for name in names:
+        w = re.findall("[0-9a-z\x80-\U0010ffff]+", TEMPLATES[name].lower())
+        k = min(5, len(w))
+        shingles[name] = k, len(w), {tuple(w[s : s + k]) for s in range(len(w) - k + 1)}
+    want = {}
+    for i, t in rows:
+        w = re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in t))
+        for name, (k, n, own) in shingles.items():
+            at = [s for s in range(len(w) - k + 1) if tuple(w[s : s + k]) in own]
+            # whole occurrences: a stretch of the template's length holds enough of its shingles
+            best = max((len({tuple(w[s : s + k]) for s in at if a <= s <= a + n - k}) for a in at), default=0) / len(own)
+            if best >= 0.8:
+                want[i, name] = best
+    got = {(r.doc_id, r.template): r.containment for r in scan_licenses(frame(spark, rows)).collect()}
+    assert set(want) <= set(got) and len(want) > 1000
+    assert all(got[key] >= share - 1e-9 for key, share in want.items())
+    assert all(share >= 0.8 for share in got.values())
