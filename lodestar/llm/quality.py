@@ -4,15 +4,19 @@ Two things make a document bad, junk and toxicity, and each has its labellers:
 they look at a text, or at the ``labels`` table, and vote bad, good or nothing;
 they overlap and err. Expectation-maximisation estimates how often each votes
 what on bad and on good documents and gives each document a posterior label.
-(Text labellers start without trust; the labels table, where it has a row,
-starts with a belief in ``TRUST`` of its votes.) These posteriors train a linear
+(Text labellers start without trust; the labels table, where it has a row, has
+a prior belief of ``TRUST``, worth ``PRIOR`` documents.) These posteriors train a linear
 scorer for junk and one for toxicity over hashed words, word beginnings (for
 stems that inflect) and levels of the text's statistics, which score every
 document; votes and labels are no inputs of a score.
 
 The labellers run, and the model is fitted, on at most ``LABELLED`` documents
 that the labels table covers and ``PLAIN`` others, chosen by a hash of their
-ids; these two bounds are all that is bounded.
+ids; these two bounds are all that is bounded. Their votes, a few bytes a
+document, go to the driver for expectation-maximisation; features are counted on
+Spark, and of each document only the chosen ones, at most 2 x FEATURES bits, go
+to the driver for the scorers' fits. So its memory follows from the bounds, not
+from the texts.
 
 Defined results: a null or empty text has no words and is scored by its
 statistics alone; a null id takes no part in fitting and is scored; repeated
@@ -29,18 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import steps, strings
+from lodestar.llm._common import save, steps, strings
 from lodestar.llm._text import ALNUM, NON_SPACE, U, mix, word_hash, words
 
-LABELLED, PLAIN = 8_000, 2_000
+LABELLED, PLAIN = 10_000, 2_000
 BUCKETS = 1 << 18
 BAD, GOOD, NONE = 1, 0, 2
 #: Words that the insult labeller looks for.
 INSULTS = "clown disgusting dumb fool garbage idiot imbecile jerk loser moron pathetic scum stupid trash worthless".split()
 #: Bytes of the word beginnings that are features besides whole words.
 BEGINNINGS = (4, 5)
-#: Belief in the labels table, and its weight in documents.
-TRUST, WEIGHT = 0.995, 10.0
+#: Prior belief in the labels table's votes, and its weight in documents: beyond that many its accuracy is estimated as any other's.
+TRUST, PRIOR = 0.995, 1_000.0
 #: Features of a scorer: significance, in standard deviations, and number at most.
 SIGNIFICANCE, FEATURES = 5.0, 512
 #: A statistic is a feature for each of these values that it exceeds.
@@ -105,8 +109,8 @@ def label_model(v: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray
         for c, w in ((GOOD, 1 - p), (BAD, p)):
             n = np.einsum("d,dlx->lx", w, hot) + 0.5
             table[:, c] = n / n.sum(1, keepdims=True)
-            # The labels table: its votes with the belief in them; no row says nothing.
-            n = n[-1, :2] + WEIGHT * len(v) * np.where(np.arange(2) == c, TRUST, 1 - TRUST)
+            # The labels table: its votes with the prior belief in them; no row says nothing.
+            n = n[-1, :2] + PRIOR * np.where(np.arange(2) == c, TRUST, 1 - TRUST)
             table[-1, c] = [*(n / n.sum()), 1.0]
         prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
         log = np.einsum("dlx,lcx->dc", hot, np.log(table)) + np.log([1 - prior, prior])
@@ -145,25 +149,19 @@ class Scorer(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(np.bincount(doc, self.weights[feats], n) + self.bias, -50, 50)))
 
 
-def train_scorer(feats: np.ndarray, doc: np.ndarray, target: np.ndarray, rounds: int = 30, l2: float = 0.01) -> Scorer:
-    """Logistic regression by damped Newton steps on the most significant features; rare ones are held back more."""
-    n, mean = len(target), float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
-    df = np.bincount(feats, minlength=BUCKETS)
-    bad = np.zeros(BUCKETS)
-    for i in range(0, len(feats), 1 << 19):  # a part at a time: the driver's memory is small
-        bad += np.bincount(feats[i : i + (1 << 19)], target[doc[i : i + (1 << 19)]], BUCKETS)
+def chosen_features(df: np.ndarray, bad: np.ndarray, n: int, mean: float) -> np.ndarray:
+    """Which of the features of ``df`` documents, ``bad`` of them bad, differ significantly from the mean of all ``n``."""
     z = np.abs(bad - mean * df) / np.sqrt(np.maximum(mean * (1 - mean) * df, 1e-9)) * (df >= 4)
-    cols = np.sort(np.argsort(-z, kind="stable")[:FEATURES])
-    cols = cols[z[cols] >= SIGNIFICANCE]
-    place = np.full(BUCKETS, -1, np.int32)
-    place[cols] = np.arange(len(cols))
-    x = np.zeros((n, len(cols) + 1), np.float32)
-    for i in range(0, len(feats), 1 << 19):
-        at = place[feats[i : i + (1 << 19)]]
-        x[doc[i : i + (1 << 19)][at >= 0], at[at >= 0]] = 1
-    x[:, -1] = 1
+    order = np.argsort(-z, kind="stable")[:FEATURES]
+    return np.sort(order[z[order] >= SIGNIFICANCE])
+
+
+def train_scorer(x: np.ndarray, cols: np.ndarray, df: np.ndarray, target: np.ndarray, rounds: int = 30, l2: float = 0.01) -> Scorer:
+    """Logistic regression by damped Newton steps on 0/1 rows ``x`` of the columns ``cols``; rare ones are held back more."""
+    n, mean = len(target), float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
+    x = np.concatenate([x, np.ones((n, 1), x.dtype)], axis=1)
     w = np.append(np.zeros(len(cols)), np.log(mean / (1 - mean)))
-    pen = np.append(l2 * n / np.maximum(df[cols], 1), 1e-6)
+    pen = np.append(l2 * n / np.maximum(df, 1), 1e-6)
 
     def line(u):
         return np.concatenate([x[i : i + 1024] @ u for i in range(0, n, 1024)])
@@ -207,28 +205,58 @@ def fit(docs: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, plain:
     without = ids.orderBy(F.xxhash64(F.col("id") + 1)).limit(plain).join(known, "id", "left_anti")
     chosen = with_label.unionByName(without.withColumns({c: F.lit(-1).cast("long") for c in ("junk", "toxic")}))
 
+    # The chosen ids, at most ``labelled + plain``, go to the tasks; one text an id stays.
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "junk", "toxic").agg(F.min(F.struct("h", "text")).alias("t"))
+    sample = save(sample.select("id", F.col("t.text").alias("text"), "junk", "toxic"), "labelled")
+
     def look(batches):
         for b in steps(batches, "text"):
-            t = strings(b.column(2))
-            s = statistics(t)
-            junk, toxic = votes(s, b.column(3).to_numpy(), b.column(4).to_numpy())
-            f, doc = features(t, s)
-            edge = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            yield pa.RecordBatch.from_pydict({"id": b.column(0), "h": b.column(1), "junk": [x.tobytes() for x in junk.astype("u1")], "toxic": [x.tobytes() for x in toxic.astype("u1")], "feats": [f[edge[i] : edge[i + 1]].astype("<u4").tobytes() for i in range(b.num_rows)]})
-
-    # The chosen ids, at most ``labelled + plain``, go to the tasks; one row an id comes back.
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "h", "text", "junk", "toxic").mapInArrow(look, "id long, h long, junk binary, toxic binary, feats binary")
-    rows = sample.groupBy("id").agg(F.min(F.struct("h", "junk", "toxic", "feats")).alias("r")).select("id", "r.junk", "r.toxic", "r.feats").collect()
+            got = votes(statistics(strings(b.column(1))), b.column(2).to_numpy(), b.column(3).to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([x.tobytes() for x in v.astype("u1")]) for v in got)], ["id", "junk", "toxic"])
+
+    rows = sample.mapInArrow(look, "id long, junk binary, toxic binary").orderBy("id").collect()  # a few bytes a document
     if not rows:
         return Fitted((Scorer(np.zeros(BUCKETS), -50.0),), (), 0)
-    rows.sort()  # the same model however the rows arrive
-    feats = [np.frombuffer(r["feats"], "<i4") for r in rows]
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f in feats])
-    feats = np.concatenate(feats)
+    ids_ = np.array([r["id"] for r in rows], np.int64)
     models = [label_model(np.stack([np.frombuffer(r[c], "u1") for r in rows]).astype(int)) for c in ("junk", "toxic")]
-    n = len(rows)
+    targets, n = np.stack([p for p, _ in models]), len(rows)
     del rows
-    return Fitted(tuple(train_scorer(feats, doc, p) for p, _ in models), tuple(t for _, t in models), n)
+
+    def counts(batches):
+        total = np.zeros((1 + len(targets), BUCKETS))
+        for b in steps(batches, "text"):
+            t = strings(b.column(1))
+            f, doc = features(t, statistics(t))
+            at = np.searchsorted(ids_, b.column(0).to_numpy())[doc]
+            for row, w in zip(total, (None, *targets[:, at])):
+                row += np.bincount(f, w, BUCKETS)
+        seen = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), *(pa.array(x[seen]) for x in total)], ["bucket", "df", "junk", "toxic"])
+
+    sums = sample.mapInArrow(counts, "bucket long, df double, junk double, toxic double").groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("df", "junk", "toxic")))
+    sums = sums.filter("df >= 4").toPandas().sort_values("bucket")  # BUCKETS rows at most
+    bucket, df = sums["bucket"].to_numpy(), sums["df"].to_numpy()
+    picks = [chosen_features(df, sums[c].round(6).to_numpy(), n, float(np.clip(t.mean(), 1e-6, 1 - 1e-6))) for c, t in zip(("junk", "toxic"), targets)]
+    either = np.unique(np.concatenate(picks))
+    wanted = bucket[either]
+    only = np.zeros(BUCKETS, bool)
+    only[wanted] = True
+
+    def packed(batches):
+        for b in steps(batches, "text"):
+            t = strings(b.column(1))
+            f, doc = features(t, statistics(t), only)
+            x = np.zeros((b.num_rows, len(wanted)), bool)
+            x[doc, np.searchsorted(wanted, f)] = True
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())], ["id", "x"])
+
+    bits = sample.mapInArrow(packed, "id long, x binary").orderBy("id").collect()  # 2 x FEATURES bits a document at most
+    x = np.unpackbits(np.stack([np.frombuffer(r["x"], np.uint8) for r in bits]), axis=1)
+    scorers = []
+    for pick, target in zip(picks, targets):
+        part = x[:, np.searchsorted(either, pick)].astype(np.float32)
+        scorers.append(train_scorer(part, bucket[pick], df[pick], target))
+    return Fitted(tuple(scorers), tuple(t for _, t in models), n)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, reject: float = 0.5, text_col: str = "text", **options) -> DataFrame:

@@ -160,3 +160,25 @@ def test_quality_odd_rows(spark):
     assert classify(odd.limit(0), labels).count() == 0
     twice = labels.unionByName(labels.selectExpr("doc_id", "0 as quality", "toxic"))
     assert fit_quality(odd, twice).documents > 0
+
+
+def test_the_labels_table_is_a_labeller_whose_accuracy_is_estimated():
+    rng = np.random.default_rng(6)
+    truth = rng.random(8000) < 0.4
+
+    def say(right):
+        return np.where(rng.random(8000) < right, truth, ~truth).astype(int)
+
+    v = np.stack([say(0.9), say(0.88), say(0.92), say(0.85)], 1)
+    p, table = label_model(v)
+    assert 0.84 < table[-1, 0, 0] < 0.93 and 0.84 < table[-1, 1, 1] < 0.93  # true 0.85; the prior is worth 1,000 of 8,000
+    assert abs(table[0, 0, 0] - 0.9) < 0.03 and ((p > 0.5) == truth).mean() > 0.95
+
+
+def test_the_fit_does_not_depend_on_how_rows_arrive(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    a, b = fit_quality(docs, labels), fit_quality(docs.repartition(7), labels.repartition(3))
+    assert a.documents == b.documents
+    for x, y in zip(a.scorers, b.scorers, strict=True):
+        assert np.allclose(x.weights, y.weights) and np.isclose(x.bias, y.bias)
