@@ -2,14 +2,16 @@
 
 A document's signature is 64 MinHash values of 16 bits, of which the first are cut
 into chunks of 4: two signatures with at most one differing slot in some chunk are
-found, since each chunk gives one key per slot left out. There are 8 chunks, or as
-many more as the asked similarity needs: of pairs at it, MISS at most share no key
-(11 chunks at 0.80). The 16 chunks of a whole signature reach down to 0.71; lower
-similarities are refused. A bound on the distance over all 64 slots, six standard
-deviations above the mean at the asked similarity, drops chance meetings before
-whole texts are fetched (and 1 in 10^8 pairs at a similarity of 0.85), and every
-link is confirmed on the full shingle sets. Of pairs above the asked similarity
-fewer are lost.
+found, since each chunk gives one key per slot left out. The distance threshold is
+the number of differing slots six standard deviations above the mean at the asked
+similarity (26 at 0.85, 31 at 0.80; 1 in 10^8 pairs at 0.85 lies beyond it). There
+are as many chunks as make the pigeonhole hold for it: with threshold // 2 + 1
+chunks (14 at 0.85, 16 at 0.80) no pair within the threshold has two errors in every
+chunk, so all of them share a key. Below 0.80 a signature has no more chunks: all
+pairs of up to 31 differing slots are found and of those beyond MISS at most are
+lost, which holds down to 0.71; lower similarities are refused. Pairs beyond the
+threshold are dropped before whole texts are fetched, and every link is confirmed
+on the full shingle sets.
 
 Equal sets are one class from the start. Among classes that share a key, the
 pairs to confirm are not all pairs: first every class is compared with its key's
@@ -40,7 +42,7 @@ from lodestar.llm._text import NON_SPACE, U, _weights, mix, window_hash, window_
 from lodestar.llm.components import components
 
 SLOTS = 64
-CHUNKS, CHUNK = 8, 4
+CHUNK = 4
 MISS = 2.1e-8
 SIGNED = "id long, h long, n long, s1 long, s2 long, sig binary"
 BITS = 26
@@ -102,15 +104,19 @@ def _sig(col: pa.Array) -> np.ndarray:
     return np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]].view("<u2").reshape(-1, SLOTS)
 
 
+def radius_of(percent: int) -> int:
+    """Most differing slots of a pair that is looked at: six standard deviations above the mean at the similarity."""
+    p = 1 - percent / 100
+    return int(SLOTS * p + 6 * np.sqrt(SLOTS * p * (1 - p)))
+
+
 def chunks_for(percent: int) -> int:
-    """Chunks of which all have two errors or more with a probability of MISS at most, at the similarity asked for."""
+    """Chunks of which one has at most one error in every pair within the radius; as many as there are below 80 %."""
+    n = min(SLOTS // CHUNK, radius_of(percent) // 2 + 1)
     p = 1 - percent / 100
     fails = 1 - (1 - p) ** CHUNK - CHUNK * p * (1 - p) ** (CHUNK - 1)
-    n = CHUNKS
-    while fails**n > MISS:
-        n += 1
-        if n * CHUNK > SLOTS:
-            raise ValueError(f"a similarity of {percent} % needs more than the {SLOTS} slots of a signature")
+    if 2 * n - 1 < radius_of(percent) and fails**n > MISS:
+        raise ValueError(f"a similarity of {percent} % needs more than the {SLOTS} slots of a signature")
     return n
 
 
@@ -136,8 +142,7 @@ def chunk_keys(classes: DataFrame, percent: int) -> DataFrame:
 
 def _near_signatures(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that differ in no more slots than pairs of the asked similarity do."""
-    p = 1 - percent / 100
-    radius = int(SLOTS * p + 6 * np.sqrt(SLOTS * p * (1 - p)))
+    radius = radius_of(percent)
     sig = classes.select("id", "sig")
     both = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
 

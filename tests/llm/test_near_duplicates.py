@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from lodestar.llm import neardup
@@ -121,7 +122,8 @@ def test_null_ids_are_not_one_document(spark):
 
 
 def test_chunks_follow_the_similarity(spark):
-    assert neardup.chunks_for(85) == neardup.chunks_for(100) == 8 and neardup.chunks_for(80) == 11
+    assert neardup.chunks_for(85) == 14 and neardup.chunks_for(80) == 16
+    assert all(2 * neardup.chunks_for(p) - 1 >= neardup.radius_of(p) for p in range(80, 101))
     for percent in range(71, 101):
         s = percent / 100
         assert (1 - s**4 - 4 * (1 - s) * s**3) ** neardup.chunks_for(percent) <= 2.1e-8
@@ -134,4 +136,21 @@ def test_chunks_follow_the_similarity(spark):
     sig = lambda x: bytearray(b"".join(v.to_bytes(2, "little") for v in x))
     df = spark.createDataFrame([(1, sig(a)), (2, sig(b))], "id long, sig binary")
     shared = lambda percent: neardup.chunk_keys(df, percent).groupBy("key").count().filter("count > 1").count()
-    assert shared(85) == 0 and shared(80) == 12
+    assert shared(85) == 24 and shared(80) == 32
+
+
+def test_all_signatures_within_the_distance_share_a_key(spark):
+    """Pigeonhole: errors dealt as evenly as can be over the chunks, and at random, at every distance up to the threshold."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 15, 64).astype("<u2")
+    for percent in (80, 85, 92):
+        radius, rows = neardup.radius_of(percent), [(0, bytearray(base.tobytes()))]
+        for d in range(1, radius + 1):
+            even = [4 * (i % 16) + i // 16 for i in range(64)]
+            for at in [even[:d], *(rng.permutation(64)[:d] for _ in range(20))]:
+                x = base.copy()
+                x[at] += 1 << 15
+                rows.append((len(rows), bytearray(x.tobytes())))
+        keys = neardup.chunk_keys(spark.createDataFrame(rows, "id long, sig binary"), percent)
+        own = keys.filter("id = 0").select("key")
+        assert keys.join(own, "key", "left_semi").select("id").distinct().count() == len(rows)
