@@ -17,6 +17,7 @@ Whatever was made is gone when the ``with`` block ends, however it ends.
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -112,6 +113,19 @@ def held(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, gone with ``release``. Only a local session without a folder gets one of this machine."""
+    base = checkpoint_dir(spark)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-"))
+        base = checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/lodestar-{name}-{uuid.uuid4().hex}"
+    _held.setdefault(spark.sparkContext.applicationId, []).append(lambda: _delete(spark, path))
+    return path
+
+
 def release(spark: SparkSession) -> None:
     """Delete what ``held`` stored for this application; results not read yet need it."""
     for drop in _held.pop(spark.sparkContext.applicationId, []):

@@ -3,8 +3,6 @@ P1, P6, J1, A1, A2, A8, A13, K1, K7), each with its DuckDB oracle."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from lodestar.operators.assign import cluster_stats, kmeans_step, predict
 from lodestar.operators.lloyd import kmeans
 from lodestar.registry import sqlgen
 from lodestar.registry.inputs import DIMS, ROUND, SEED, long_vectors, sql_vectors, table, vectors
-from lodestar.plans.storage import checkpoint_dir
+from lodestar.plans.storage import shared_path
 from lodestar.sources.sample import seed_vectors, seeded_sample
 from lodestar.sources.table import table_vectors
 from lodestar.sources.text import parse_tagged, read_text_vectors
@@ -88,7 +86,7 @@ FROM t
 
 def text_file_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The same lines as files: written to the shared folder and read back by the text source."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-lines-{uuid.uuid4().hex}"
+    path = shared_path(spark, "lines")
     _order_lines(spark, sf).select("value").write.text(path)
     got = read_text_vectors(spark, path, dim=3)
     f = [F.col("features")[i].alias(f"f{i}") for i in range(3)]

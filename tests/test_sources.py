@@ -103,3 +103,16 @@ def test_distinct_seeds_under_heavy_duplication(spark, frame):
     with pytest.raises(ValueError):
         seed_vectors(frame(vecs), 4, distinct=True)
     assert len(seed_vectors(frame(vecs), 150)) == 150  # the plain mode at any k
+
+
+def test_shared_paths_and_held_tables_go_with_release(spark):
+    from lodestar.plans import storage
+
+    path = storage.shared_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    kept = storage.held(spark.range(5), "probe")
+    assert kept.count() == 5 and spark.read.parquet(path).count() == 3
+    files = kept.inputFiles()
+    storage.release(spark)
+    exists = lambda p: (q := spark._jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(q)
+    assert not exists(path) and not any(exists(f) for f in files)
