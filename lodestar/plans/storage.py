@@ -16,7 +16,6 @@ Whatever was made is gone when the ``with`` block ends, however it ends.
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -43,9 +42,13 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
 
 def plain_scan(df: DataFrame) -> bool:
     """Whether the plan only scans Parquet files, filters and projects."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = [re.sub(r"^[\s:+\-]*", "", x) for x in plan.strip().splitlines()]
-    return all(re.match(r"(Project|Filter) ", x) or x.startswith("Relation") and x.endswith(" parquet") for x in nodes)
+    node = df._jdf.queryExecution().optimizedPlan()
+    kind = lambda x: x.getClass().getSimpleName()
+    while kind(node) in ("Project", "Filter"):
+        node = node.child()
+    if kind(node) != "LogicalRelation" or kind(node.relation()) != "HadoopFsRelation":
+        return False
+    return kind(node.relation().fileFormat()) == "ParquetFileFormat"
 
 
 @contextmanager
