@@ -95,11 +95,6 @@ def binaries(flat, bounds) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(raw.tobytes())])
 
 
-def by_slots(df: DataFrame, n: int, col: str) -> DataFrame:
-    """Deal rows to ``n`` tasks by the integer in ``col`` (0 to n - 1)."""
-    return df.repartition(n, col)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
