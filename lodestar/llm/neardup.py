@@ -47,7 +47,7 @@ MISS = 2.1e-8
 SIGNED = "id long, h long, n long, s1 long, s2 long, sig binary"
 BITS = 26
 #: Classes of a key that are compared pair by pair; classes of a block beyond.
-FEW, BLOCK = 16, 512
+FEW, BLOCK = 16, 1024
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
