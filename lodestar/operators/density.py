@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.assign import assign, predict
 from lodestar.operators.lloyd import kmeans
+from lodestar.operators.plane import plane_distance_sum
 from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
 from lodestar.sources.sample import DEFAULT_SEED, first_rows, seeded_sample
@@ -36,6 +37,9 @@ from lodestar.sources.table import whole_rows
 DEFAULT_BLOCK_ROWS = 20_000
 DEFAULT_COEF = 0.011
 MAX_RANGES = 1 << 14
+#: From this many rows on, points of the plane are summed by squares.
+PLANE_ROWS = 50_000
+FAR = 1e150
 
 
 def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
@@ -100,11 +104,17 @@ def pair_distance_sum(
     id_col: str = "id",
     features: str = "features",
     dim: int | None = None,
+    plane_rows: int = PLANE_ROWS,
 ) -> float:
-    """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j); in one dimension by sorting."""
+    """Sum of ``||x_i - x_j||`` over all ordered pairs (i, j); in one dimension by sorting, in two by squares."""
     points, dim = whole_rows(points, features, dim)
     if dim == 1:
         return line_distance_sum(points.select(F.get(features, F.lit(0)).alias("x")), block_rows)
+    if dim == 2:
+        plane = points.select(*(F.get(features, F.lit(i)).alias(c) for i, c in enumerate("xy")))
+        ends = plane.agg(F.count("*").alias("n"), *(f(c) for f in (F.min, F.max) for c in "xy")).first()
+        if ends["n"] >= plane_rows and all(abs(v) < FAR for v in ends[1:]):  # no NaN or infinity, and squares in range
+            return plane_distance_sum(plane, ends[1:3], ends[3:])
 
     def fn(tile: pa.Table) -> pa.Table:
         rb = tile.combine_chunks().to_batches()[0]

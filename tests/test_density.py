@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators.density import density_seed, density_stats, kmeans_density, pair_distance_sum
+from lodestar.operators.plane import plane_distance_sum
 from lodestar.sources import first_rows
 from models import blobs, density_seeds, lloyd, sq
 
@@ -14,6 +15,28 @@ def test_pair_sum_brute_force(frame):
     assert pair_distance_sum(frame(x.tolist()), block_rows=25) == pytest.approx(want, rel=1e-12)
 
 
+def plane_shapes():
+    rng = np.random.default_rng(8)
+    yield "uniform", rng.random((1500, 2))
+    yield "lines", np.column_stack([rng.random(1500) * 11000 - 1000, rng.integers(0, 25, 1500)])
+    yield "copies", np.repeat(rng.normal(size=(300, 2)), 5, axis=0)
+    yield "two scales", np.concatenate([rng.normal(size=(700, 2)) * 1e-3, rng.normal(size=(700, 2)) * 5])
+
+
+@pytest.mark.parametrize("name,x", list(plane_shapes()), ids=[n for n, _ in plane_shapes()])
+def test_pair_sum_in_the_plane(spark, name, x):
+    values = spark.createDataFrame(x.tolist(), "x double, y double")
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)).sum()
+    assert plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 12) == pytest.approx(want, rel=1e-13)
+
+
+def test_points_that_squares_cannot_part(spark):
+    x = np.concatenate([np.random.default_rng(9).normal(size=(1200, 2)), [[1e13, 0.0]]])
+    values = spark.createDataFrame(x.tolist(), "x double, y double")
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)).sum()
+    assert plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 18) == pytest.approx(want, rel=1e-13)
+
+
 @pytest.mark.parametrize("n,d,t2,weight", [(150, 4, 1.5, "reference"), (178, 13, 6.0, "reference"), (60, 2, 0.8, "density"), (47, 35, 9.0, "reference")])
 def test_seeds_against_model(frame, n, d, t2, weight):
     x = blobs(n, d, 4, seed=n, spread=0.8)
