@@ -30,6 +30,15 @@ def test_pair_sum_in_the_plane(spark, name, x):
     assert plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 12) == pytest.approx(want, rel=1e-13)
 
 
+def test_odd_rows_take_no_part_in_the_plane(spark):
+    x = np.random.default_rng(3).random((400, 2)).tolist()
+    odd = [(i, v) for i, v in enumerate([*x, None, [1.0], [1.0, None], [1.0, 2.0, 3.0]])]
+    points = spark.createDataFrame(odd, "id bigint, features array<double>")
+    a = np.array(x)
+    want = np.sqrt(((a[:, None] - a[None]) ** 2).sum(-1)).sum()
+    assert pair_distance_sum(points, dim=2, plane_rows=10) == pytest.approx(want, rel=1e-13)
+
+
 def test_points_that_squares_cannot_part(spark):
     x = np.concatenate([np.random.default_rng(9).normal(size=(1200, 2)), [[1e13, 0.0]]])
     values = spark.createDataFrame(x.tolist(), "x double, y double")
