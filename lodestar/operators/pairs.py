@@ -7,7 +7,8 @@ Exact without emitting pairs and without comparing all of them:
    lowers it on larger tables (pairs that happen to be in one batch).
 2. One projection that no pair's distance can fall below: a coordinate or the
    distance to a pivot, whichever has the fewest sample pairs within the bound.
-   Rows are cut into slices of it at sample quantiles. A row goes to its own slice
+   Rows are cut into slices of it at quantiles of a sample that grows with the
+   number of slices (``SLICE_SAMPLE`` values each). A row goes to its own slice
    and, as a guest, to the earlier slices within the bound of it.
 3. A slice of more than ``block_rows`` rows (a hot value of the projection) is cut
    into blocks by hash; each pair of its blocks is a tile. Every tile is one
@@ -15,6 +16,9 @@ Exact without emitting pairs and without comparing all of them:
    the bound, and the tile returns its K closest pairs. Spark takes the global
    K (``TakeOrderedAndProject``), which are among those of the tiles.
 
+On larger tables only the K smallest ids of each vector go on: a pair with a later
+copy has K pairs of the same two vectors before it or equal to it.
+
 Tables of no more rows than the sample go without the bound: slice and guests
 are then one block structure over all rows. Pairs of equal vectors are skipped
 (the reference compares points by value); rows are told apart by position, so
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.plans import physical
+from lodestar.plans import physical, storage
 from lodestar.plans.storage import local_frame
 from lodestar.sources.table import whole_rows
 
@@ -38,7 +42,9 @@ DEFAULT_BLOCK_ROWS = 20_000
 #: Rows of the sample that gives the bound, the projection and the slices.
 SAMPLE_ROWS = 1024
 MAX_SLICES = 1 << 16
-#: From this many rows on, a pass over all batches lowers the bound first.
+#: Sampled values for each slice.
+SLICE_SAMPLE = 16
+#: From this many rows on, copies are dropped and a pass over all batches lowers the bound first.
 BOUND_PASS_ROWS = 50_000
 #: Pairs whose distances one step computes.
 STEP_PAIRS = 2_000_000
@@ -185,13 +191,34 @@ def _lower(points: DataFrame, bound: float, by: Projection, k: int, dim: int) ->
     return float(np.sqrt(got[-1])) if len(got) == k else bound
 
 
+def _first_copies(points: DataFrame, k: int) -> DataFrame:
+    """The rows of the k smallest ids of each vector."""
+    w = Window.partitionBy("features").orderBy("id")
+    return points.withColumn("copy", F.row_number().over(w)).where(F.col("copy") <= k).select("id", "features")
+
+
+def _cuts(points: DataFrame, n: int, dim: int, sample: np.ndarray, by: Projection, want: int) -> np.ndarray:
+    """Where slices begin: quantiles of a sample of rows by hash, of ``SLICE_SAMPLE`` values a slice at least."""
+    f = by(sample)
+    if len(f) < min(n, want * SLICE_SAMPLE):
+
+        def project(batches):
+            for rb in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(by(physical._features_matrix(rb, "features", dim)[0]))], ["f"])
+
+        some = F.pmod(F.xxhash64("features", "id"), F.lit(max(1, n // (want * SLICE_SAMPLE)))) == 0
+        rows = points.where(some).select("features").mapInArrow(project, "f double").limit(4 * want * SLICE_SAMPLE)
+        f = np.concatenate([f, rows.toArrow().column("f").to_numpy()])
+    f = np.sort(f)
+    return np.unique(f[np.linspace(0, len(f), want + 1)[1:-1].astype(int)])
+
+
 def _slices(points: DataFrame, n: int, k: int, block_rows: int, dim: int, sample: np.ndarray, bound: float, by: Projection, compared) -> DataFrame:
     if n >= BOUND_PASS_ROWS:
         bound = min(bound, _lower(points, bound, by, k, dim))
     cores = points.sparkSession.sparkContext.defaultParallelism
-    want = min(MAX_SLICES, max(-(-n // block_rows), min(2 * cores, n // 256 + 1)))
-    f = np.sort(by(sample))
-    cuts = np.unique(f[np.linspace(0, len(f), want + 1)[1:-1].astype(int)])
+    want = min(MAX_SLICES, max(-(-2 * n // block_rows), min(2 * cores, n // 256 + 1)))
+    cuts = _cuts(points, n, dim, sample, by, want)
 
     def deal(batches):
         for rb in batches:
@@ -261,6 +288,14 @@ def closest_pairs(
     pts = points.select(F.col(id_col).cast("bigint").alias("id"), F.col(features).alias("features"))
     n = pts.count() if n is None else n
     kk = int(k)
+    if n >= max(BOUND_PASS_ROWS, sample_rows + 1):
+        with storage.prepared(_first_copies(pts, kk), "copies") as few:
+            top = _top(few, few.count(), kk, ordered, block_rows, dim, sample_rows, compared)
+            return local_frame(points.sparkSession, top.collect(), "rank int, i bigint, j bigint, d2 double, mid array<double>")
+    return _top(pts, n, kk, ordered, block_rows, dim, sample_rows, compared)
+
+
+def _top(pts: DataFrame, n: int, kk: int, ordered: bool, block_rows: int, dim: int, sample_rows: int, compared) -> DataFrame:
     plan = None
     if n > sample_rows:
         rows = pts.select("features").orderBy(F.xxhash64("features", "id"), "id", "features").limit(sample_rows).collect()

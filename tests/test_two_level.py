@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from models import blobs
+from lodestar.operators import pairs
 from lodestar.operators.pairs import closest_pairs
 from lodestar.operators.two_level import kmeans_two_level
 
@@ -128,3 +129,21 @@ def test_odd_rows_form_no_pair(spark):
         with pytest.raises(ValueError, match="width"):
             closest_pairs(df, 2)
     assert closest_pairs(df.where("id = 2"), 2).count() == 0
+
+
+def test_slices_are_as_many_as_wanted_from_a_small_sample(frame):
+    x = np.random.default_rng(4).random((3000, 2))
+    by = pairs.Projection(axis=0)
+    cuts = pairs._cuts(frame(x.tolist()), len(x), 2, x[:64], by, 300)
+    sizes = np.diff(np.searchsorted(np.sort(x[:, 0]), cuts))
+    assert len(cuts) > 250 and sizes.max() < 60
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_only_the_first_copies_go_on(frame, monkeypatch, ordered):
+    x = np.repeat(np.random.default_rng(6).random((30, 2)), 40, axis=0)
+    ids = np.random.default_rng(7).permutation(len(x)).tolist()
+    want = closest_pairs(frame(x.tolist(), ids), 12, ordered=ordered).orderBy("rank").collect()
+    monkeypatch.setattr(pairs, "BOUND_PASS_ROWS", 100)
+    assert closest_pairs(frame(x.tolist(), ids), 12, ordered=ordered, sample_rows=64, block_rows=50).orderBy("rank").collect() == want
+    assert pairs._first_copies(frame(x.tolist(), ids), 12).count() == 30 * 12
