@@ -40,12 +40,19 @@ MAX_RANGES = 1 << 14
 #: From this many rows on, points of the plane are summed by squares.
 PLANE_ROWS = 50_000
 FAR = 1e150
+#: From this width on, distances come from matrix products of so many rows a side.
+PRODUCT_WIDTH = 8
+PRODUCT_ROWS = 512
+#: Squared distances below this share of the squared lengths are computed from the differences.
+CLOSE = 1e-3
 
 
 def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
     """Sum of Euclidean distances over all (row of a, row of b) pairs."""
     if len(a) == 0 or len(b) == 0:
         return 0.0
+    if a.shape[1] >= PRODUCT_WIDTH:
+        return _product_sum(a, b)
     step = max(1, 4_000_000 // max(1, len(b)))
     total = 0.0
     for s in range(0, len(a), step):
@@ -53,6 +60,27 @@ def _tile_sum(a: np.ndarray, b: np.ndarray) -> float:
     return total
 
 
+def _product_sum(a: np.ndarray, b: np.ndarray) -> float:
+    """``_tile_sum`` by matrix products; pairs so close that the difference would lose digits are computed again."""
+    mid = b.mean(0)
+    a, b = a - mid, b - mid
+    na, nb = (a * a).sum(1), (b * b).sum(1)
+    total, step = 0.0, PRODUCT_ROWS
+    for t in range(0, len(b), step):
+        y = b[t : t + step]
+        for s in range(0, len(a), step):
+            x = a[s : s + step]
+            size = na[s : s + step, None] + nb[None, t : t + step]
+            d = x @ (y.T * -2.0)
+            d += size
+            size *= CLOSE
+            i, j = np.nonzero(~(d > size))  # NaN, too
+            if len(i):
+                d[i, j] = ((x[i] - y[j]) ** 2).sum(1)
+            total += float(np.sqrt(d, out=d).sum())
+    return total
+
+
 def tiles(points: DataFrame, block_rows: int, *cols) -> DataFrame:
     """Every row once per tile it takes part in: ``ta, tb, blk`` and ``cols``; a tile is two blocks of rows."""
     n = points.count()

@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.operators.density import density_seed, density_stats, kmeans_density, pair_distance_sum
+from lodestar.operators.density import _tile_sum, density_seed, density_stats, kmeans_density, pair_distance_sum
 from lodestar.operators.plane import plane_distance_sum
+from lodestar.plans import physical
 from lodestar.sources import first_rows
 from models import blobs, density_seeds, lloyd, sq
 
@@ -46,6 +47,19 @@ def test_points_that_squares_cannot_part(spark):
     assert plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 18) == pytest.approx(want, rel=1e-13)
 
 
+@pytest.mark.parametrize("shift", [0.0, 1e3])
+def test_tile_sum_by_matrix_products(monkeypatch, shift):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(700, 16)), rng.normal(size=(300, 16)) * 1e-6 + 3]) + shift
+    x = np.concatenate([x, x[:100]])  # equal vectors, too
+    got, y = _tile_sum(x, x), x[::-1].copy()
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)).sum()
+    assert got == pytest.approx(want, rel=1e-13) and _tile_sum(y, x[:0]) == 0.0
+    monkeypatch.setattr(physical, "sq_dists", None)  # the passes over dimensions aren't used
+    assert _tile_sum(y, x) == pytest.approx(want, rel=1e-13)
+    assert np.isnan(_tile_sum(np.full((1, 16), np.nan), x))
+
+
 @pytest.mark.parametrize("n,d,t2,weight", [(150, 4, 1.5, "reference"), (178, 13, 6.0, "reference"), (60, 2, 0.8, "density"), (47, 35, 9.0, "reference")])
 def test_seeds_against_model(frame, n, d, t2, weight):
     x = blobs(n, d, 4, seed=n, spread=0.8)
