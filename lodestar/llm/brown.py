@@ -18,6 +18,13 @@ in the first round and a half of them in the others, so that neighbours don't
 swap forever. The end of a text has a class of its own, which also stands before
 its first word.
 
+At last every other training word, however rare, is exchanged by itself
+(``own_classes``): from how often each class stands before it, summed over all
+training text by slices of the hash range, it goes to the class that raises the
+likelihood most. Units keep their classes as what stands before a word, so the
+class pairs follow from the same counts. No word shares its class with another
+for want of a unit; only words without training text take their ending's.
+
 P(w | v) = share * P(class w | class v) P(w | class w) + (1 - share) * P(w),
 with add-0.5 emissions (one unseen word per class), transitions smoothed towards
 class frequencies, and the add-0.5 unigram ``base``.
@@ -126,17 +133,25 @@ class Units(NamedTuple):
         return np.where(types == U(END), self.size, u)
 
 
+def hash_slices(chunks: DataFrame) -> int:
+    n_types = chunks.agg(F.sum(F.length("types"))).first()[0] or 0
+    return max(shuffle_width(chunks.sparkSession), n_types // 8 // SLICE_TYPES + 1)
+
+
+def _edges(types: np.ndarray, slices: int) -> np.ndarray:
+    """Where each slice of the hash range begins in sorted ``types``, and their end."""
+    return np.append(np.searchsorted(types, np.array([(k << 64) // slices for k in range(slices)], U)), len(types))
+
+
 def word_totals(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Counts in all training text: per chunk and slice of its words; and per slice its words, their endings and counts."""
-    n_types = chunks.agg(F.sum(F.length("types"))).first()[0] or 0
-    slices = max(shuffle_width(chunks.sparkSession), n_types // 8 // SLICE_TYPES + 1)
+    slices = hash_slices(chunks)
 
     def split(batches):
         for b in batches:
             for i in range(b.num_rows):
                 types, ends, counts = _col(b, "types", i, "<u8"), _col(b, "ends", i, "<u2"), _col(b, "counts", i, "<u4")
-                edge = np.searchsorted(types, np.array([(k << 64) // slices for k in range(slices)], U))
-                edge = np.append(edge, len(types))
+                edge = _edges(types, slices)
                 k = np.flatnonzero(np.diff(edge))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -400,26 +415,30 @@ class Model:
 
     def __init__(self, *tables):
         self.tables = tables  # plain values, from which workers make the model again
-        units, of, pairs, unit_n, unit_v, share, pull = tables
+        units, of, pairs, unit_n, unit_v, share, pull, *moved = tables
         units, classes = Units(*units), len(pairs)
         self.of, self.units, self.share = of, units, share
         self.n, self.v = int(unit_n.sum()), int(unit_v.sum())
         self.class_n, self.class_v = (np.bincount(of, x, classes) for x in (unit_n, unit_v))
+        if moved:  # by ``own_classes``: changes of class pairs, and of the words in each class
+            pairs, self.class_v = pairs + moved[0], self.class_v + moved[1]
+            self.class_n = self.class_n + moved[0].sum(0)
         if self.n:
             prior = (self.class_n + 1) / (self.n + classes)
             self.step = np.log((pairs + pull * prior[None, :]) / (pairs.sum(1, keepdims=True) + pull))
 
-    def score(self, types: np.ndarray, ends: np.ndarray, total: np.ndarray, tokens: np.ndarray, per: np.ndarray):
-        """Per text: known tokens, base score, model score (log10)."""
+    def score(self, types: np.ndarray, ends: np.ndarray, total: np.ndarray, tokens: np.ndarray, per: np.ndarray, own: np.ndarray | None = None):
+        """Per text: known tokens, base score, model score (log10). ``own``: classes of ``types`` (else their units')."""
         c, first = total[tokens], np.cumsum(per) - per
         base = np.log((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
         out = base
         if self.n:
-            k = self.of[self.units.of(types, ends)]
+            unit_k = self.of[self.units.of(types, ends)]
+            k = unit_k if own is None else own
             emit = np.log((total + 0.5) / (self.class_n[k] + 0.5 * (self.class_v[k] + 1)))
             emit[k == 0] = 0.0  # the end's class has no other word
             k = k[tokens]
-            before = np.concatenate([[0], k[:-1]])
+            before = np.concatenate([[0], unit_k[tokens[:-1]]])
             before[first] = 0  # every text starts anew
             step = self.step[before, k]
             out = np.logaddexp(np.log(self.share) + step + emit[tokens], np.log1p(-self.share) + base)
@@ -458,13 +477,116 @@ def fit(
     return Model(tuple(units), of, pairs, unit_n, unit_v, share, pull), totals
 
 
+OWN_STEP = 1 << 15
+
+
+def best_classes(word: np.ndarray, before: np.ndarray, n: np.ndarray, old: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Best class of each word: ``n`` times class ``before`` stands before ``word`` (ascending numbers), which is now in class ``old``.
+
+    The likelihood of class pairs changes by the cells that hold the word's counts and by the sizes of the classes.
+    """
+    table, size, out = pairs.astype(np.float64), pairs.sum(0).astype(np.float64), old.copy()
+    new = np.flatnonzero(np.append(True, np.diff(word) != 0)) if len(word) else np.zeros(0, np.int64)
+    ends, s = np.append(new[1:], len(word)), 0
+    while s < len(new):  # some words at a time
+        e = max(s + 1, int(np.searchsorted(ends, new[s] + OWN_STEP, side="right")))
+        rows = slice(new[s], ends[e - 1])
+        w, x, row = word[new[s:e]], n[rows].astype(np.float64), np.arange(ends[e - 1] - new[s])
+        total = np.add.reduceat(x, new[s:e] - new[s])
+        cell = table[before[rows]]  # per entry: its row of the table, without the word
+        cell[row, old[word[rows]]] -= x
+        np.maximum(cell, 0, out=cell)
+        gain = np.add.reduceat(_xlogx(cell + x[:, None]) - _xlogx(cell), new[s:e] - new[s], axis=0)
+        rest = np.tile(size, (e - s, 1))
+        rest[np.arange(e - s), old[w]] -= total
+        np.maximum(rest, 0, out=rest)
+        gain -= _xlogx(rest + total[:, None]) - _xlogx(rest)
+        gain[:, 0] = -np.inf
+        out[w] = gain.argmax(1)
+        s = e
+    return out
+
+
+def own_classes(chunks: DataFrame, model: Model) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Classes of each chunk's words by slice (``slice, chunk, k``), each training word outside the core exchanged by itself.
+
+    And how that changes the class pairs (units before, words after) and the number of words in each class.
+    """
+    tables, slices = model.tables, hash_slices(chunks)
+    classes = len(tables[2])
+    cols = ["slice", "chunk", "types", "ends", "entries", "before", "n"]
+
+    def count(batches):
+        units, of = Units(*tables[0]), tables[1]
+        for b in batches:
+            for i in range(b.num_rows):
+                types, ends = _col(b, "types", i, "<u8"), _col(b, "ends", i, "<u2")
+                unit = units.of(types, ends)
+                per = b.column(b.schema.get_field_index("n_tokens"))[i].values.to_numpy()
+                out = b.column(b.schema.get_field_index("held"))[i].values.to_numpy(zero_copy_only=False)
+                t = _col(b, "tokens", i, "<u4")[np.repeat(~out, per)].astype(np.int64)
+                key = np.zeros(0, np.int64)
+                if len(t):
+                    # Before the first word stands the end of the text before it, of the same class as a start.
+                    key = t * classes + of[unit[np.concatenate([t[-1:], t[:-1]])]]
+                    key = key[(unit[t] >= len(units.core)) & (unit[t] < units.size)]
+                key, n = np.unique(key, return_counts=True)
+                entries = np.bincount(key // classes, minlength=len(types)).astype("<u4")
+                at, edge = np.concatenate([[0], np.cumsum(entries, dtype=np.int64)]), _edges(types, slices)
+                before, n = (key % classes).astype("<u2"), n.astype("<u4")
+                k = np.flatnonzero(np.diff(edge))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(k, pa.int32()),
+                        pa.array(np.full(len(k), b.column(b.schema.get_field_index("chunk"))[i].as_py(), np.int64)),
+                        *(pa.array([x[edge[j] : edge[j + 1]].tobytes() for j in k], pa.binary()) for x in (types, ends, entries)),
+                        *(pa.array([x[at[edge[j]] : at[edge[j + 1]]].tobytes() for j in k], pa.binary()) for x in (before, n)),
+                    ],
+                    names=cols,
+                )
+
+    def choose(batches):
+        # A partition is one slice of the hash range.
+        units, of = Units(*tables[0]), tables[1]
+        rows = [(b.column(0)[i].as_py(), b.column(1)[i].as_py(), *(_col(b, c, i, d) for c, d in zip(cols[2:], ("<u8", "<u2", "<u4", "<u2", "<u4")))) for b in batches for i in range(b.num_rows)]
+        if not rows:
+            return
+        types, one, at = np.unique(np.concatenate([r[2] for r in rows]), return_index=True, return_inverse=True)
+        old = of[units.of(types, np.concatenate([r[3] for r in rows])[one])]
+        key = np.repeat(at, np.concatenate([r[4] for r in rows])) * classes + np.concatenate([r[5] for r in rows])
+        key, place = np.unique(key, return_inverse=True)
+        n = np.zeros(len(key), np.int64)
+        np.add.at(n, place, np.concatenate([r[6] for r in rows]).astype(np.int64))
+        word, before = key // classes, key % classes
+        own = best_classes(word, before, n, old, tables[2])
+        pairs, v = np.zeros((classes, classes), np.int64), np.zeros(classes, np.int64)
+        for k, sign in ((own, 1), (old, -1)):
+            np.add.at(pairs, (before, k[word]), sign * n)
+            np.add.at(v, k[np.unique(word)], sign)
+        done = 0
+        for r in rows:
+            k = own[at[done : done + len(r[2])]].astype("<u2").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([r[0]], pa.int32()), pa.array([r[1]], pa.int64()), pa.array([k], pa.binary())], names=["slice", "chunk", "k"])
+            done += len(r[2])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0]], pa.int32()), pa.nulls(1, pa.int64()), pa.array([pairs.tobytes() + v.tobytes()], pa.binary())], names=["slice", "chunk", "k"])
+
+    sent = chunks.select("chunk", "types", "ends", "tokens", "n_tokens", "held").mapInArrow(count, "slice int, chunk long, types binary, ends binary, entries binary, before binary, n binary")
+    got = save(sent.repartitionById(slices, F.col("slice")).mapInArrow(choose, "slice int, chunk long, k binary"), "own")
+    moved = np.zeros((classes + 1, classes), np.int64)
+    for r in got.filter("chunk is null").select("k").toLocalIterator():  # a table of fixed size per slice, one after the other
+        moved += np.frombuffer(r["k"], np.int64).reshape(classes + 1, classes)
+    return got.filter("chunk is not null"), moved[:-1], moved[-1]
+
+
 def score(docs: DataFrame, *, folds: int = 5, held: int = 1, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Learn from the documents outside the held-out fold, score all: per document its tokens and log10 probabilities."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), train_fold(docs, folds, held, id_col).alias("held_out"), F.col(text_col).alias("text"))
     chunks = save(read_chunks(rows), "chunks")
     model, totals = fit(chunks, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model.tables)
-    by_chunk = totals.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("slice", "n"))).alias("x")).select("chunk", F.col("x.n").alias("totals"))
+    own, pairs, v = own_classes(chunks, model)
+    shared = docs.sparkSession.sparkContext.broadcast((*model.tables, pairs, v))
+    by_chunk = totals.join(own, ["slice", "chunk"]).groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("slice", "n", "k"))).alias("x"))
+    by_chunk = by_chunk.select("chunk", F.col("x.n").alias("totals"), F.col("x.k").alias("own"))
 
     def run(batches):
         m = Model(*shared.value)
@@ -473,12 +595,12 @@ def score(docs: DataFrame, *, folds: int = 5, held: int = 1, id_col: str = "doc_
                 types, ends, tokens = _col(b, "types", i, "<u8"), _col(b, "ends", i, "<u2"), _col(b, "tokens", i, "<u4")
                 per = b.column(2)[i].values.to_numpy()
                 total = np.frombuffer(b"".join(b.column(6)[i].as_py()), "<i8")
-                known, base, s = m.score(types, ends, total, tokens, per)
+                known, base, s = m.score(types, ends, total, tokens, per, np.frombuffer(b"".join(b.column(7)[i].as_py()), "<u2"))
                 k = len(per)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[i].values, b.column(1)[i].values, pa.array(per, pa.int64()), pa.array(known), pa.array(np.full(k, m.n)), pa.array(base), pa.array(s)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    both = chunks.drop("counts").join(by_chunk, "chunk").select("doc_ids", "held", "n_tokens", "types", "ends", "tokens", "totals")
+    both = chunks.drop("counts").join(by_chunk, "chunk").select("doc_ids", "held", "n_tokens", "types", "ends", "tokens", "totals", "own")
     return both.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

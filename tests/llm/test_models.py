@@ -5,10 +5,12 @@ from collections import Counter
 from math import floor, log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lodestar.llm import topk
-from lodestar.llm.brown import fit, read_chunks, score
+from lodestar.llm._text import NON_SPACE, word_hash, words
+from lodestar.llm.brown import Model, _edges, best_classes, fit, hash_slices, own_classes, read_chunks, score
 from lodestar.llm.langid import identify
 from lodestar.llm.quality import classify, classify_digest, fit as fit_quality, label_model
 from lodestar.llm.topk import top_inner_products
@@ -118,6 +120,52 @@ def test_language_model_is_a_distribution(spark):
         assert 0.9 < (10 ** (both - one)).sum() <= 1 + 1e-9
 
 
+def test_words_outside_the_core_have_classes_of_their_own(spark):
+    # Two words of one ending, so of one unit: one stands where "cat" does, one where "go" does.
+    rows = list(enumerate(["the cat to go"] * 100 + ["the abxyz to efxyz"] * 20))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "false as held_out", "text").repartition(3)
+    chunks = read_chunks(docs).cache()
+    model, _ = fit(chunks, core=4, endings=16, classes=8)
+    got, pairs, v = own_classes(chunks, model)
+    of = {}
+    for r in got.collect():
+        mine = chunks.filter(f"chunk = {r.chunk}").first()
+        types = np.frombuffer(mine.types, "<u8")
+        edge = _edges(types, hash_slices(chunks))
+        of.update(zip(types[edge[r.slice] : edge[r.slice + 1]].tolist(), np.frombuffer(r.k, "<u2").tolist()))
+    text = "the cat to go abxyz efxyz"
+    k = dict(zip(text.split(), (of[h] for h in word_hash(words(pa.array([text], pa.large_string()), NON_SPACE, lower=True)).tolist())))
+    assert k["abxyz"] == k["cat"] != k["efxyz"] == k["go"]
+    assert pairs.sum() == 0 and v.sum() == 0  # words move, none is lost
+    want = Counter({0: 120})  # all tokens by class
+    for w, n in zip(text.split(), [120, 100, 120, 100, 20, 20]):
+        want[k[w]] += n
+    assert {c: n for c, n in enumerate(Model(*model.tables, pairs, v).class_n.tolist()) if n} == dict(want)
+
+
+def test_best_classes_against_a_plain_exchange():
+    rng = np.random.default_rng(3)
+    classes, n_words = 7, 40
+    left = rng.poisson(1.0, (n_words, classes))
+    old = rng.integers(1, classes, n_words)
+    pairs = rng.integers(1, 50, (classes, classes))
+    np.add.at(pairs.T, old, left)
+    word, before = np.nonzero(left)
+    got = best_classes(word, before, left[word, before], old, pairs)
+    xlogx = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+    for w in range(n_words):
+        likelihood = []
+        for c in range(1, classes):
+            p = pairs.astype(float)
+            p[:, old[w]] -= left[w]
+            p[:, c] += left[w]
+            likelihood.append(xlogx(p) - xlogx(p.sum(0)))
+        if left[w].any():
+            assert likelihood[got[w] - 1] == pytest.approx(max(likelihood), abs=1e-9)
+        else:
+            assert got[w] == old[w]
+
+
 def test_language_model_odd_tables(spark):
     schema = "doc_id long, text string"
     assert score(spark.createDataFrame([], schema)).count() == 0
