@@ -22,8 +22,9 @@ At last every other training word, however rare, is exchanged by itself
 (``own_classes``): from how often each class stands before it, summed over all
 training text by slices of the hash range, it goes to the class that raises the
 likelihood most. Units keep their classes as what stands before a word, so the
-class pairs follow from the same counts. No word shares its class with another
-for want of a unit; only words without training text take their ending's.
+class pairs follow from the same counts. All move side by side in one step, so
+words of one unit that would gain by parting may still choose the same class.
+Only words without training text take their ending's.
 
 P(w | v) = share * P(class w | class v) P(w | class w) + (1 - share) * P(w),
 with add-0.5 emissions (one unseen word per class), transitions smoothed towards
