@@ -141,7 +141,9 @@ def pair_distance_sum(
     if dim == 2:
         plane = points.select(*(F.get(features, F.lit(i)).alias(c) for i, c in enumerate("xy")))
         ends = plane.agg(F.count("*").alias("n"), *(f(c) for f in (F.min, F.max) for c in "xy")).first()
-        if ends["n"] >= plane_rows and all(abs(v) < FAR for v in ends[1:]):  # no NaN or infinity, and squares in range
+        if ends["n"] >= plane_rows and not all(math.isfinite(v) for v in ends[1:]):
+            return math.nan  # such a row's distance to itself
+        if ends["n"] >= plane_rows and all(abs(v) < FAR for v in ends[1:]):  # squares in range
             return plane_distance_sum(plane, ends[1:3], ends[3:])
 
     def fn(tile: pa.Table) -> pa.Table:

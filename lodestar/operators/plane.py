@@ -12,14 +12,16 @@
 
 Each step is a join or an aggregate over rows, squares or pairs of squares; a
 point goes to its own square and a bounded number of neighbours on each level
-with such tiles, and no task holds more than a square and its neighbours. Points that
-squares of the last level can't part (2^-31 of the table's width) are compared
-in blocks of a bounded size.
+with such tiles, and no task holds more than a square and its neighbours. Of points that
+squares of the last level can't part (2^-31 of the table's width), pairs of squares of
+at most ``BLOCK_PAIRS`` point pairs are compared in blocks of a bounded size; beyond,
+the points of such squares get a tree of their own.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from contextlib import ExitStack
 from functools import lru_cache, reduce
 
@@ -36,6 +38,10 @@ NODES = 18
 #: Point pairs that a task computes rather than parting them.
 TILE_PAIRS = 1 << 20
 BLOCK_ROWS = 1 << 10
+#: Of squares of the last level, point pairs that are compared in blocks: N times its root at most, in all.
+BLOCK_PAIRS = 1 << 32
+#: Below this width squared distances have lost their digits, and no tree is built.
+TINY = 1e-140
 
 
 def distance_sum(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> float:
@@ -110,8 +116,8 @@ def _cell(level: int):
     return F.shiftright("z", 2 * (DEPTH - level))
 
 
-def _by_place(values: DataFrame, corner: tuple[float, float], side: float) -> DataFrame:
-    """Distinct points ``z, x, y, n`` in order of ``z``."""
+def _by_place(points: DataFrame, corner: tuple[float, float], side: float) -> DataFrame:
+    """Distinct points ``z, x, y, n`` in order of ``z``, from ``x, y, n``."""
 
     def place(batches):
         for rb in batches:
@@ -119,8 +125,7 @@ def _by_place(values: DataFrame, corner: tuple[float, float], side: float) -> Da
             z = _spaced(at[0]) | _spaced(at[1]) << np.uint64(1)
             yield pa.RecordBatch.from_arrays([pa.array(z.astype(np.int64)), *rb.columns], ["z", "x", "y", "n"])
 
-    counted = values.groupBy("x", "y").agg(F.count("*").cast("double").alias("n"))
-    return counted.mapInArrow(place, "z bigint, x double, y double, n double").repartitionByRange("z").sortWithinPartitions("z")
+    return points.mapInArrow(place, "z bigint, x double, y double, n double").repartitionByRange("z").sortWithinPartitions("z")
 
 
 def _next_pairs(pts: DataFrame, split: DataFrame, level: int) -> DataFrame:
@@ -234,7 +239,31 @@ def _blocks_sum(pts: DataFrame, left: DataFrame) -> DataFrame:
 
 def plane_distance_sum(values: DataFrame, low: tuple[float, float], high: tuple[float, float], pairs: int = TILE_PAIRS) -> float:
     """Sum of the distances of all ordered pairs of ``values`` (``x, y``: finite, between ``low`` and ``high``)."""
-    spark = values.sparkSession
+    counted = values.groupBy("x", "y").agg(F.count("*").cast("double").alias("n"))
+    return _tree_sum(counted, low, high, pairs)
+
+
+def _own_trees(pts: DataFrame, left: DataFrame, pairs: int) -> float:
+    """Pairs of squares of the last level with too many point pairs for blocks: T(a) of a square with itself,
+    T(a and b) - T(a) - T(b) of two, where T sums over all pairs of some squares' points by a tree of their own."""
+    times = Counter()
+    for r in left.select("a", "b").collect():  # a number that BLOCK_PAIRS bounds: such squares are few
+        times[r["a"], r["b"]] += 1
+        if r["a"] != r["b"]:
+            times[r["a"], r["a"]] -= 1
+            times[r["b"], r["b"]] -= 1
+    total = 0.0
+    for squares, k in sorted(times.items()):
+        if k:
+            points = pts.where(F.col("z").isin(*set(squares))).select("x", "y", "n")
+            ends = points.agg(*(f(c) for f in (F.min, F.max) for c in "xy")).first()
+            total += k * _tree_sum(points, ends[:2], ends[2:], pairs)
+    return total
+
+
+def _tree_sum(points: DataFrame, low: tuple[float, float], high: tuple[float, float], pairs: int) -> float:
+    """``plane_distance_sum`` of distinct points with their counts: ``x, y, n``."""
+    spark = points.sparkSession
     span = max(h - v for h, v in zip(high, low))
     if span == 0:
         return 0.0
@@ -242,7 +271,7 @@ def plane_distance_sum(values: DataFrame, low: tuple[float, float], high: tuple[
     # Corners of squares are multiples of their widths, so places within a square are exact.
     corner = tuple(math.floor(v / (side / 4)) * (side / 4) for v in low)
     with ExitStack() as kept:
-        pts = kept.enter_context(storage.prepared(_by_place(values, corner, side), "plane", stored=True))
+        pts = kept.enter_context(storage.prepared(_by_place(points, corner, side), "plane", stored=True))
         split = local_frame(spark, [(0, 0, 0, 0)], "a bigint, b bigint, dx int, dy int")
         far, near, left = {}, {}, None
         for level in range(1, DEPTH + 1):
@@ -259,7 +288,7 @@ def plane_distance_sum(values: DataFrame, low: tuple[float, float], high: tuple[
                 break
             split = next_.where(~apart & ~small)
             left = split if level == DEPTH else None
-        sums = []
+        sums, trees = [], 0.0
         if far:
             all_far = reduce(DataFrame.unionByName, far.values())
             weights = kept.enter_context(storage.prepared(_weights(pts, all_far, list(far), corner, side), "plane-weights", stored=True))
@@ -267,5 +296,7 @@ def plane_distance_sum(values: DataFrame, low: tuple[float, float], high: tuple[
         if near:
             sums.append(_near_sum(pts, reduce(DataFrame.unionByName, near.values()), list(near)))
         if left is not None:
-            sums.append(_blocks_sum(pts, left))
-        return float(reduce(DataFrame.unionByName, sums).agg(F.sum("s").alias("s")).first()["s"] or 0.0)
+            many = (F.col("na") * F.col("nb") > BLOCK_PAIRS) & F.lit(side * 2.0**-DEPTH > TINY)
+            sums.append(_blocks_sum(pts, left.where(~many)))
+            trees = _own_trees(pts, left.where(many), pairs)
+        return trees + float(reduce(DataFrame.unionByName, sums).agg(F.sum("s").alias("s")).first()["s"] or 0.0)

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lodestar.operators import density, plane
 from lodestar.operators.density import _tile_sum, density_seed, density_stats, kmeans_density, pair_distance_sum
 from lodestar.operators.plane import plane_distance_sum
 from lodestar.plans import physical
@@ -47,6 +48,44 @@ def test_points_that_squares_cannot_part(spark):
     assert plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 18) == pytest.approx(want, rel=1e-13)
 
 
+def test_one_far_point_makes_no_block_of_all_others(spark, monkeypatch):
+    rng, far = np.random.default_rng(10), 1e13
+    x = np.concatenate([rng.normal(size=(600, 2)), rng.normal(size=(40, 2)) + [0.0, far / 2], [[far, 0.0]]])
+    x = np.concatenate([x, x[:100]])
+    values = spark.createDataFrame(x.tolist(), "x double, y double")
+    compared, blocks = [], plane._blocks_sum
+
+    def spy(pts, left):
+        compared.extend(r.na * r.nb for r in left.select("na", "nb").collect())
+        return blocks(pts, left)
+
+    monkeypatch.setattr(plane, "_blocks_sum", spy)
+    monkeypatch.setattr(plane, "BLOCK_PAIRS", 1 << 13, raising=False)
+    got = plane_distance_sum(values, x.min(0).tolist(), x.max(0).tolist(), pairs=1 << 10)
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)).sum()
+    assert got == pytest.approx(want, rel=1e-13) and max(compared, default=0) <= 1 << 13
+
+
+def test_neighbouring_squares_with_trees_of_their_own(spark):
+    x = np.random.default_rng(11).normal(size=(300, 2))
+    at = (x[:, 0] > 0) * 1 + (x[:, 1] > 0) * 2
+    rows = [(int(z), *map(float, p), 1.0) for z, p in zip(at, x)]
+    pts = spark.createDataFrame(rows, "z bigint, x double, y double, n double")
+    kept = [(0, 0), (1, 1), (0, 1), (1, 3), (2, 3)]  # the others were done by blocks
+    left = spark.createDataFrame(kept, "a bigint, b bigint")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = sum((1 if a == b else 2) * d[np.ix_(at == a, at == b)].sum() for a, b in kept)
+    assert plane._own_trees(pts, left, 1 << 12) == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("odd", [float("nan"), float("inf")])
+def test_values_without_a_distance_need_no_pairs(frame, monkeypatch, odd):
+    points = frame([[float(i), 1.0] for i in range(30)] + [[odd, 0.0]])
+    assert np.isnan(pair_distance_sum(points, dim=2))
+    monkeypatch.setattr(density, "tiles", None)
+    assert np.isnan(pair_distance_sum(points, dim=2, plane_rows=10))
+
+
 @pytest.mark.parametrize("shift", [0.0, 1e3])
 def test_tile_sum_by_matrix_products(monkeypatch, shift):
     rng = np.random.default_rng(2)
